@@ -58,7 +58,7 @@ def ratio_safe(a: Column | str, b: Column | str) -> Column:
 
 
 def group_digits(c: Column | str, pattern: str = "#,###") -> Column:
-    return F.format_number(_col(c), pattern)
+    return F.call_function("format_number", _col(c), F.lit(pattern))
 
 
 def month_key(c: Column | str) -> Column:

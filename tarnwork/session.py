@@ -36,3 +36,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="run-tarnwork-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """A new database whose managed tables lie in the scratch folder."""
+    name = f"tarnwork_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, 'tables')}'")
+    return name

@@ -92,7 +92,13 @@ def with_rescue(df: DataFrame, schema: T.StructType, rescue: str) -> DataFrame:
     return df.select(*typed, rescued.alias(rescue))
 
 
-def scan_json_array(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Files that each hold one JSON array of flat objects."""
-    reader = spark.read.option("multiLine", True)
+def scan_json_array(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True
+) -> DataFrame:
+    """JSON arrays of flat objects, one row per object.
+
+    A file is one array; with ``multi_line=False`` each line is, and large
+    files are split among tasks.
+    """
+    reader = spark.read.option("multiLine", multi_line)
     return (reader.schema(schema) if schema else reader).json(path)
