@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnwork.functions.scalars import ratio_safe
 from tarnwork.operators.aggregates import running_total
+from tarnwork.session import settle
 
 _TINY = 1e-15
 
@@ -16,30 +17,35 @@ def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str =
     ).agg(F.count("*").alias("n"))
 
 
-def threshold_counts(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
-    """Per score, from high to low: positives and negatives at it and down to it (``tp``, ``fp``).
+def score_counts(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
+    """Positives and negatives per score, stored.
 
-    Rows of equal score are combined first, so ties count together and a score
-    shared by many rows is one row from there on.
+    Rows of equal score are combined, so ties count together and a score shared
+    by many rows is one row from here on. The scored rows are read only here.
     """
     positive = F.col(label) == 1
-    per_score = scored.groupBy(F.col(probability).cast("double").alias("threshold")).agg(
+    counts = scored.groupBy(F.col(probability).cast("double").alias("threshold")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
-    ranked = running_total(per_score, "threshold", ["positives", "negatives"], descending=True)
+    return settle(counts, "score-counts")
+
+
+def threshold_counts(counts: DataFrame) -> DataFrame:
+    """Per score, positives and negatives at it and at all higher ones (``tp``, ``fp``)."""
+    ranked = running_total(counts, "threshold", ["positives", "negatives"], descending=True)
     return ranked.withColumnsRenamed({"positives_cum": "tp", "negatives_cum": "fp"})
 
 
-def _class_totals(scored: DataFrame, label: str):
-    positive = F.col(label) == 1
-    stats = F.struct(F.count_if(positive).alias("p"), F.count_if(~positive).alias("n"))
-    return scored.agg(stats.alias("t")).scalar()
+def _class_totals(counts: DataFrame) -> Column:
+    stats = F.struct(F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
+    return counts.agg(stats.alias("t")).scalar()
 
 
 def roc_curve(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
     """False and true positive rate at each threshold."""
-    totals = _class_totals(scored, label)
-    return threshold_counts(scored, label, probability).select(
+    counts = score_counts(scored, label, probability)
+    totals = _class_totals(counts)
+    return threshold_counts(counts).select(
         "threshold",
         ratio_safe(F.col("fp").cast("double"), totals["n"]).alias("fpr"),
         ratio_safe(F.col("tp").cast("double"), totals["p"]).alias("tpr"),
@@ -48,9 +54,10 @@ def roc_curve(scored: DataFrame, label: str = "label", probability: str = "proba
 
 def pr_curve(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
     """Precision and recall at each threshold."""
-    totals = _class_totals(scored, label)
+    counts = score_counts(scored, label, probability)
+    totals = _class_totals(counts)
     tp = F.col("tp").cast("double")
-    return threshold_counts(scored, label, probability).select(
+    return threshold_counts(counts).select(
         "threshold",
         (tp / (F.col("tp") + F.col("fp"))).alias("precision"),
         ratio_safe(tp, totals["p"]).alias("recall"),
@@ -60,7 +67,7 @@ def pr_curve(scored: DataFrame, label: str = "label", probability: str = "probab
 def roc_auc(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
     """Exact area under the ROC curve: pairs ranked rightly, ties counting half, in whole numbers."""
     wide = lambda c: F.col(c).cast("decimal(19,0)")
-    counts = threshold_counts(scored, label, probability)
+    counts = threshold_counts(score_counts(scored, label, probability))
     halves = F.sum(wide("negatives") * (2 * wide("tp") - wide("positives")))
     pairs = 2 * F.sum("positives").cast("double") * F.sum("negatives").cast("double")
     return counts.agg((halves.cast("double") / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))

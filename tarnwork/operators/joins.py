@@ -69,16 +69,24 @@ def unmatched(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 
 
 def star_totals(
-    fact: DataFrame, dim: DataFrame, key: str, where: str, amount: str, names: tuple[str, str]
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    where: str,
+    amount: str,
+    names: tuple[str, str],
+    combine_first: bool = False,
 ) -> DataFrame:
     """COUNT and SUM over the fact rows whose dimension row passes a filter.
 
-    The fact is summed per key before the join, so what is shuffled is one row
-    per key and task instead of the fact, and a hot key weighs no more than others.
+    A filtered dimension below Spark's broadcast limit prunes the fact where it
+    is read, with no shuffle. For larger ones ``combine_first`` sums the fact
+    per key before the join: what is shuffled is one row per key and task, and
+    a hot key weighs no more than any other.
     """
-    per_key = fact.groupBy(key).agg(F.count("*").alias("_n"), F.sum(amount).alias("_amount"))
-    kept = dim.where(where).select(key)
     n, total = names
-    return per_key.join(kept, key).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias(n), F.sum("_amount").alias(total)
-    )
+    kept = dim.where(where).select(key)
+    if not combine_first:
+        return fact.join(kept, key).agg(F.count("*").alias(n), F.sum(amount).alias(total))
+    per_key = fact.groupBy(key).agg(F.count("*").alias("_n"), F.sum(amount).alias("_amount"))
+    return per_key.join(kept, key).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(n), F.sum("_amount").alias(total))

@@ -235,18 +235,28 @@ def skewed_enrich(spark, d):
     return joins.left_join_skewed(event.select("event_id", user.alias("user_id")), balances, "user_id")
 
 
-@query(
-    "star_inner_filter",
-    """SELECT COUNT(*) AS row_count, CAST(SUM(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE) AS total_revenue
-    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand = 'Brand#3'""",
-)
-def star_inner_filter(spark, d):
+STAR_SQL = """SELECT COUNT(*) AS row_count, CAST(SUM(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE) AS total_revenue
+    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand = 'Brand#3'"""
+
+
+def _star_totals(spark, d, combine_first):
     line, part = load_tables(spark, d, "lineitem", "part")
     fact = line.select(F.col("l_partkey").alias("p_partkey"), F.col("l_extendedprice").cast("decimal(14,2)").alias("revenue"))
-    totals = joins.star_totals(fact, part, "p_partkey", "p_brand = 'Brand#3'", "revenue", ("row_count", "total_revenue"))
+    names = ("row_count", "total_revenue")
+    totals = joins.star_totals(fact, part, "p_partkey", "p_brand = 'Brand#3'", "revenue", names, combine_first)
     return totals.withColumn("total_revenue", F.col("total_revenue").cast("double"))
 
 
+@query("star_inner_filter", STAR_SQL)
+def star_inner_filter(spark, d):
+    return _star_totals(spark, d, combine_first=False)
+
+
+@query("star_combined_first", STAR_SQL)
+def star_combined_first(spark, d):
+    return _star_totals(spark, d, combine_first=True)
+
+
 @query(
     "user_category_quantity",
     dt.TRANSACTIONS_SQL,

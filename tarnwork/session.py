@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "tarnwork") -> SparkSession:
@@ -38,6 +38,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """The same rows read back from a table in the scratch folder.
+
+    For a result that several later steps read: it is computed once, and a lost
+    executor costs a read instead of a recomputation.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_database(spark: SparkSession) -> str:
     """A new database whose managed tables lie in the scratch folder."""
     name = f"tarnwork_{uuid.uuid4().hex}"

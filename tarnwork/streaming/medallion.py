@@ -68,7 +68,7 @@ def bronze(spark: SparkSession, p: Pipeline) -> None:
     for flow, (path, once) in feeds.items():
         query = flows.cdc_flow(
             stream_csv(spark, path, p.user_schema, "_rescued_data_users", p.max_bytes),
-            p.table("users"),
+            p.table("users_changes"),
             flow,
             p.checkpoint(f"users/{flow}"),
             USER_KEY,
@@ -80,6 +80,8 @@ def bronze(spark: SparkSession, p: Pipeline) -> None:
         started += [query] if query else []
     flows.finish(started, p.timeout)
     p.products.write.mode("overwrite").parquet(p.table("products"))
+    changes = flows.read_changes(spark, p.table("users_changes"), USER_KEY, USER_SEQUENCE)
+    current_rows(changes).write.mode("overwrite").parquet(p.table("users"))
     if p.rules:
         split_by_flag(spark, p)
 
@@ -94,16 +96,13 @@ def split_by_flag(spark: SparkSession, p: Pipeline) -> None:
     flows.finish(started, p.timeout)
 
 
-def users(spark: SparkSession, p: Pipeline) -> DataFrame:
-    return current_rows(flows.read_changes(spark, p.table("users"), USER_KEY, USER_SEQUENCE))
-
-
 def silver(spark: SparkSession, p: Pipeline) -> None:
     """Each micro-batch of transactions meets the users and products as they are at that time."""
 
     def add_masters(batch: DataFrame) -> DataFrame:
         session = batch.sparkSession
-        dims = [(users(session, p), "user_id"), (session.read.parquet(p.table("products")), "product_id")]
+        masters = {"users": "user_id", "products": "product_id"}
+        dims = [(session.read.parquet(p.table(name)), key) for name, key in masters.items()]
         enriched = enrich(batch, dims)
         if not p.check_masters:
             return enriched
