@@ -48,6 +48,9 @@ def ask(prompt: Column, text: Column, load: Load, on_error: str = "null") -> Col
 
     With ``on_error="null"`` a row whose answer fails gets a NULL result and
     the error text; with ``"raise"`` it fails the job. A NULL prompt is not asked.
+
+    A model need not answer twice the same, so the answers count as not
+    deterministic: a filter on them does not make Spark ask again.
     """
     if on_error not in ("null", "raise"):
         raise ValueError("on_error is 'null' or 'raise'")
@@ -69,7 +72,7 @@ def ask(prompt: Column, text: Column, load: Load, on_error: str = "null") -> Col
         for prompts, reviews in batches:
             yield pd.DataFrame(map(one, prompts, reviews), columns=["result", "errorMessage"], dtype=object)
 
-    return answers(prompt, text)
+    return answers.asNondeterministic()(prompt, text)
 
 
 def classify_text(

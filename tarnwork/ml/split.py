@@ -52,10 +52,11 @@ def split_bounds(
         .where((F.col("before") <= F.col("at")) & (F.col("at") < F.col("before") + F.col("n")))
     )
     in_prefix = Window.partitionBy(label, "_prefix", "i").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
+    # Null-safe: rows without a label are a class of their own.
+    hashes = rows.groupBy(F.col(label).alias("_label"), F.col("_prefix").alias("_slice"), "_hash")
     near = (
-        rows.groupBy(label, "_prefix", "_hash")
-        .agg(F.count("*").alias("copies"))
-        .join(cuts, [label, "_prefix"])
+        hashes.agg(F.count("*").alias("copies"))
+        .join(cuts, F.col("_label").eqNullSafe(F.col(label)) & (F.col("_slice") == F.col("_prefix")))
         .withColumn("rank", F.col("before") + F.coalesce(F.sum("copies").over(in_prefix), F.lit(0)))
     )
     begin = F.min(F.when(F.col("rank") >= F.col("at"), F.col("_hash")))
@@ -91,4 +92,4 @@ def stratified_split(
     part = F.lit(names[-1])
     for i in range(len(names) - 2, -1, -1):
         part = F.when(F.col("_hash") < F.col(f"begin_{i + 1}"), F.lit(names[i])).otherwise(part)
-    return joined.select(*df.columns, part.alias(name))
+    return joined.withColumn(name, part).drop("_hash", "_label", *[f"begin_{i + 1}" for i in range(len(names) - 1)])

@@ -86,11 +86,11 @@ def shuffle_features(df: DataFrame, features: Sequence[str], ids: Sequence[str],
     placed = df.withColumn("_group", F.pmod(F.xxhash64(*ids, F.lit(seed + 1)), F.lit(groups)))
     ring = Window.partitionBy("_group").orderBy(order)
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    moved = []
+    moved = {}
     for f in features:
-        value = F.struct(F.col(f"`{f}`").alias("v"))
-        moved.append(F.coalesce(F.lag(value).over(ring), F.last(value).over(whole))["v"].alias(f"{f}_moved"))
-    return placed.select(*df.columns, *moved)
+        value = F.struct(F.col(f"`{f}`").alias("v"))  # a struct tells a NULL value from no row before
+        moved[f"{f}_moved"] = F.coalesce(F.lag(value).over(ring), F.last(value).over(whole))["v"]
+    return placed.withColumns(moved).drop("_group")
 
 
 def permutation_importance(

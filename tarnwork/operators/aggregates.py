@@ -130,4 +130,5 @@ def running_total(
     within = Window.partitionBy("_slice").orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     summed = sliced.select("*", *[F.sum(v).over(within).alias(f"{v}_cum") for v in values])
     out = summed.join(F.broadcast(offsets), "_slice")
-    return out.select(*df.columns, *[(F.col(f"{v}_cum") + F.col(f"_{v}")).alias(f"{v}_cum") for v in values])
+    out = out.withColumns({f"{v}_cum": F.col(f"{v}_cum") + F.col(f"_{v}") for v in values})
+    return out.drop("_slice", *[f"_{v}" for v in values])

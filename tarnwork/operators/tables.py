@@ -48,8 +48,8 @@ def insert_rows(df: DataFrame, name: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header line; for small results."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """One CSV file with a header line, quotes doubled; for small results."""
+    df.coalesce(1).write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def clustered_write(df: DataFrame, path: str, keys: Sequence[str], n_files: int) -> None:

@@ -43,15 +43,14 @@ def scan_csv(spark, d):
 
 @query("scan_csv_tvf", ORDER_SQL)
 def scan_csv_tvf(spark, d):
-    schema = T.StructType.fromDDL(ORDER_DDL)
     path = land_csv(spark, _order_lines(spark, d), "csv")
-    return files.scan_csv(spark, path, schema, rescue="_rescued_data").drop("_rescued_data")
+    return files.scan_csv(spark, path, ORDER_DDL, rescue="_rescued_data").drop("_rescued_data")
 
 
 @query("stream_csv", ORDER_SQL)
 def stream_csv(spark, d):
     source, target = land_csv(spark, _order_lines(spark, d), "csv"), scratch_dir(spark, "orders")
-    stream = files.stream_csv(spark, source, T.StructType.fromDDL(ORDER_DDL), "_rescued")
+    stream = files.stream_csv(spark, source, ORDER_DDL, "_rescued")
     flows.append_flows(target, {"all": stream}, scratch_dir(spark, "checkpoints"))
     return flows.read_flows(spark, target).drop("_rescued")
 
@@ -71,8 +70,8 @@ def rescued_data(spark, d):
         F.when(F.col("l_returnflag") == "A", F.concat(F.lit("about "), quantity)).otherwise(quantity).alias("quantity"),
         F.col("l_returnflag").alias("flag"),
     )
-    schema = T.StructType.fromDDL("order_id bigint, line int, quantity int")
-    return files.scan_csv(spark, land_csv(spark, raw, "csv"), schema, rescue="_rescued_data")
+    path = land_csv(spark, raw, "csv")
+    return files.scan_csv(spark, path, "order_id bigint, line int, quantity int", rescue="_rescued_data")
 
 
 @query(
@@ -294,7 +293,7 @@ def export_csv_single(spark, d):
     )
     path = scratch_dir(spark, "export")
     tables.export_csv(per_nation, path)
-    return files.scan_csv(spark, path, T.StructType.fromDDL("nation string, customers bigint"))
+    return files.scan_csv(spark, path, "nation string, customers bigint")
 
 
 @query("clustered_write", ORDER_SQL)

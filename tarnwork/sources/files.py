@@ -1,24 +1,33 @@
-"""CSV and JSON readers, type inference and rescue of values that do not fit."""
+"""CSV and JSON readers, type inference and rescue of values that do not fit.
+
+Keyword options go to Spark's CSV reader: ``escape='"'`` for files that double
+their quotes, ``encoding``, ``sep`` and so on.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CORRUPT = "_corrupt_record"
+Schema = T.StructType | str
+
+
+def _struct(schema: Schema) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
+def header_columns(spark: SparkSession, path: str, **options) -> list[str]:
     """Column names from the header line; reads the head of one file."""
-    return spark.read.option("header", True).csv(path).columns
+    return spark.read.options(**{**options, "header": True}).csv(path).columns
 
 
-def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> T.StructType:
+def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0, **options) -> T.StructType:
     """Types guessed from a one-off batch read.
 
     On a large directory pass a small ratio: values that turn out not to fit
     the guess are rescued, not lost.
     """
-    reader = spark.read.option("header", True).option("inferSchema", True)
+    reader = spark.read.options(**{**options, "header": True, "inferSchema": True})
     return reader.option("samplingRatio", sampling_ratio).csv(path).schema
 
 
@@ -34,34 +43,38 @@ _CSV = {"header": True, "enforceSchema": False, "columnNameOfCorruptRecord": COR
 def scan_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | None = None,
+    schema: Schema | None = None,
     rescue: str | None = None,
     sampling_ratio: float = 1.0,
+    **options,
 ) -> DataFrame:
     """CSV with a header line; types inferred unless given.
 
     With ``rescue`` a column of that name keeps what does not fit the schema.
     """
     if schema is None:
-        schema = infer_schema(spark, path, sampling_ratio)
+        schema = infer_schema(spark, path, sampling_ratio, **options)
+    reader = spark.read.options(**{**options, **_CSV})
     if rescue is None:
-        return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
-    raw = spark.read.schema(_text_schema(header_columns(spark, path))).options(**_CSV).csv(path)
+        return reader.schema(schema).csv(path)
+    raw = reader.schema(_text_schema(header_columns(spark, path, **options))).csv(path)
     return with_rescue(raw, schema, rescue)
 
 
 def stream_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: Schema,
     rescue: str,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
+    **options,
 ) -> DataFrame:
     """New CSV files of a directory as a stream, each read once per checkpoint.
 
-    ``max_bytes`` (such as ``"100g"``) bounds one micro-batch.
+    ``max_bytes`` bounds one micro-batch.
     """
-    reader = spark.readStream.schema(_text_schema(header_columns(spark, path))).options(**_CSV)
+    reader = spark.readStream.schema(_text_schema(header_columns(spark, path, **options)))
+    reader = reader.options(**{**options, **_CSV})
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return with_rescue(reader.csv(path), schema, rescue)
@@ -71,13 +84,14 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def with_rescue(df: DataFrame, schema: T.StructType, rescue: str) -> DataFrame:
+def with_rescue(df: DataFrame, schema: Schema, rescue: str) -> DataFrame:
     """Type a frame of texts, keeping what is left over as JSON in one column.
 
     Left over are texts that cannot be read as the declared type, columns the
     schema does not know, and whole lines with too many or too few values.
     The column is NULL for rows that fit.
     """
+    schema = _struct(schema)
     typed, leftover = [], []
     for field in schema:
         if field.name not in df.columns:
@@ -93,7 +107,7 @@ def with_rescue(df: DataFrame, schema: T.StructType, rescue: str) -> DataFrame:
 
 
 def scan_json_array(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, schema: Schema | None = None, multi_line: bool = True
 ) -> DataFrame:
     """JSON arrays of flat objects, one row per object.
 

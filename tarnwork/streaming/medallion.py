@@ -37,7 +37,7 @@ class Pipeline:
     rules: Mapping[str, str] = field(default_factory=dict)
     null_as: str = "invalid"
     check_masters: bool = False
-    max_bytes: str | None = None
+    max_bytes: int | None = None
     timeout: int | None = None
 
     def table(self, name: str) -> str:
