@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tarnwork.operators.joins import broadcast_if_small
+
 PARTS = {"train": 60, "validation": 20, "test": 20}
 MAX_LABELS = 1_000
 _END = "g"  # sorts after every hex digit
@@ -16,9 +18,9 @@ def row_hash(ids: Sequence[str], seed: int) -> Column:
 
 
 def split_bounds(
-    df: DataFrame, label: str, ids: Sequence[str], parts: Mapping[str, int], seed: int, digits: int = 3
+    df: DataFrame, label: str, ids: Sequence[str], parts: Mapping[str, int], seed: int, digits: int = 4
 ) -> DataFrame:
-    """Per label: the row hashes at which each part but the first begins.
+    """Per label (``_label``): the row hashes at which each part but the first begins.
 
     Rows ordered by hash are cut at exact counts without sorting them. A first
     pass counts rows per hash prefix and finds the prefix each cut falls into;
@@ -51,18 +53,21 @@ def split_bounds(
         )
         .where((F.col("before") <= F.col("at")) & (F.col("at") < F.col("before") + F.col("n")))
     )
-    in_prefix = Window.partitionBy(label, "_prefix", "i").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = broadcast_if_small(cuts.withColumnRenamed(label, "_label"), MAX_LABELS * len(marks))
+
     # Null-safe: rows without a label are a class of their own.
-    hashes = rows.groupBy(F.col(label).alias("_label"), F.col("_prefix").alias("_slice"), "_hash")
+    in_cut = F.col(label).eqNullSafe(F.col("_label")) & (rows["_prefix"] == cuts["_prefix"])
+    near = rows.join(cuts, in_cut).select("_label", cuts["_prefix"], "before", "i", "at", "_hash")
+    in_prefix = Window.partitionBy("_label", "i").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
     near = (
-        hashes.agg(F.count("*").alias("copies"))
-        .join(cuts, F.col("_label").eqNullSafe(F.col(label)) & (F.col("_slice") == F.col("_prefix")))
+        near.groupBy("_label", "_prefix", "before", "i", "at", "_hash")
+        .agg(F.count("*").alias("copies"))
         .withColumn("rank", F.col("before") + F.coalesce(F.sum("copies").over(in_prefix), F.lit(0)))
     )
     begin = F.min(F.when(F.col("rank") >= F.col("at"), F.col("_hash")))
-    bounds = near.groupBy(label, "_prefix", "i").agg(begin.alias("begin"))
-    bounds = bounds.select(label, "i", F.coalesce("begin", F.concat("_prefix", F.lit(_END))).alias("begin"))
-    return bounds.groupBy(label).agg(
+    bounds = near.groupBy("_label", "_prefix", "i").agg(begin.alias("begin"))
+    bounds = bounds.withColumn("begin", F.coalesce("begin", F.concat("_prefix", F.lit(_END))))
+    return bounds.groupBy("_label").agg(
         *[F.max(F.when(F.col("i") == i, F.col("begin"))).alias(f"begin_{i + 1}") for i in range(len(marks))]
     )
 
@@ -82,14 +87,11 @@ def stratified_split(
     alone. The rows themselves are not moved: they meet a table with one row
     per class, whose size is checked before it is broadcast.
     """
-    bounds = split_bounds(df, label, ids, parts, seed)
-    found = bounds.limit(MAX_LABELS + 1).collect()
-    if len(found) <= MAX_LABELS:
-        bounds = F.broadcast(df.sparkSession.createDataFrame(found, bounds.schema))
-    renamed = bounds.withColumnRenamed(label, "_label")
-    joined = df.withColumn("_hash", row_hash(ids, seed)).join(renamed, F.col(label).eqNullSafe(F.col("_label")))
+    bounds = broadcast_if_small(split_bounds(df, label, ids, parts, seed), MAX_LABELS)
+    joined = df.withColumn("_hash", row_hash(ids, seed)).join(bounds, F.col(label).eqNullSafe(F.col("_label")))
     names = list(parts)
     part = F.lit(names[-1])
     for i in range(len(names) - 2, -1, -1):
         part = F.when(F.col("_hash") < F.col(f"begin_{i + 1}"), F.lit(names[i])).otherwise(part)
-    return joined.withColumn(name, part).drop("_hash", "_label", *[f"begin_{i + 1}" for i in range(len(names) - 1)])
+    helpers = [f"begin_{i + 1}" for i in range(len(names) - 1)]
+    return joined.withColumn(name, part).drop("_hash", "_label", *helpers)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tarnwork import fixed_values as fv
 from tarnwork.functions.scalars import equals_value, mask_constant, mask_email
@@ -48,6 +48,21 @@ EMPLOYEE_POLICIES = (
 )
 
 
+def register_functions(spark: SparkSession) -> None:
+    """The masks and the row test as SQL functions ``mask_email``, ``mask_salary`` and ``is_apac_region``."""
+    user = "substring_index(email, '@', 1)"
+    bodies = {
+        "mask_email(email string) returns string": (
+            f"if(instr(email, '@') > 1, concat(left({user}, 1), repeat('*', length({user}) - 2), right({user}, 1),"
+            f" substr(email, length({user}) + 1)), null)"
+        ),
+        "mask_salary(val double) returns double": f"cast({fv.MASKED_SALARY} as double)",
+        "is_apac_region(region string) returns boolean": f"coalesce(region = '{fv.VISIBLE_REGION}', false)",
+    }
+    for signature, body in bodies.items():
+        spark.sql(f"create or replace temporary function {signature} return {body}")
+
+
 def apply_policies(df: DataFrame, policies: Sequence[Policy], groups: Iterable[str] = ()) -> DataFrame:
     """The frame as a reader in the given groups may see it.
 

@@ -10,6 +10,17 @@ HOT_SHARE = 0.02
 MAX_HOT_DIM_ROWS = 10_000
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """The rows ready to be broadcast, or the frame as it is where there are more than ``max_rows``.
+
+    They are computed once, for the check and the join.
+    """
+    found = df.limit(max_rows + 1).collect()
+    if len(found) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
+
+
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys that hold more than ``share`` of all rows: at most ``1/share`` of them.
 

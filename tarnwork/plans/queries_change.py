@@ -231,6 +231,20 @@ def row_filter(spark, d):
     return dt.staff(spark, d).select("employee_id", equals_value("region", "ASIA").alias("visible"))
 
 
+@query(
+    "sql_functions",
+    dt.STAFF_SQL,
+    """SELECT employee_id, left(email, 1) || repeat('*', strpos(email, '@') - 3) || substr(email, strpos(email, '@') - 1) AS email,
+      -99.99::DOUBLE AS salary, region = 'APAC' AS visible FROM staff""",
+)
+def sql_functions(spark, d):
+    govern.register_functions(spark)
+    dt.staff(spark, d).createOrReplaceTempView("staff")
+    return spark.sql(
+        "SELECT employee_id, mask_email(email) AS email, mask_salary(salary) AS salary, is_apac_region(region) AS visible FROM staff"
+    )
+
+
 @query(
     "apply_policies",
     dt.STAFF_SQL,

@@ -192,6 +192,17 @@ def train_classifier(spark, d):
     return evaluate.evaluate_classifier(scored, "dear", by="split")
 
 
+@query("tune")
+def tune(spark, d):
+    """The best of three depths on the validation part, with its metrics on every part."""
+    rows = _labelled(spark, d)
+    parts = [rows.where(F.col("split") == p) for p in ("train", "validation")]
+    grid = [{"maxIter": 3, "maxDepth": depth} for depth in (1, 3, 5)]
+    model, params, _ = training.tune(*parts, MODEL_FEATURES, grid, "dear")
+    scored = training.batch_score(rows, model, MODEL_FEATURES, ["split", "dear"])
+    return evaluate.evaluate_classifier(scored, "dear", by="split").withColumn("max_depth", F.lit(params["maxDepth"]))
+
+
 @query("batch_score")
 def batch_score(spark, d):
     """All rows scored by a model read back from where it was saved."""

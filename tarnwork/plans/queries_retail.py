@@ -531,6 +531,18 @@ def metric_view_two_dimensions(spark, d):
     )
 
 
+@query(
+    "metric_view_formatted",
+    dt.SALES_SQL,
+    """SELECT strftime(date_trunc('month', order_date), '%Y-%-m-%-d') AS order_month,
+      format('{:,}', CAST(round_even(CAST(SUM(sales_amount) AS DOUBLE), 0) AS BIGINT)) AS total_sales,
+      format('{:.1f}%', CAST(SUM(profit) AS DOUBLE) / CAST(SUM(sales_amount) AS DOUBLE) * 100) AS profit_margin
+    FROM sales GROUP BY date_trunc('month', order_date)""",
+)
+def metric_view_formatted(spark, d):
+    return _metrics(spark, d).query(["order_month"], ["total_sales", "profit_margin"], formatted=True)
+
+
 @query("metric_view_total", dt.SALES_SQL, f"SELECT {METRICS_SQL} FROM sales")
 def metric_view_total(spark, d):
     return _metrics(spark, d).query([], ["total_sales", "total_profit", "order_count", "profit_margin"])

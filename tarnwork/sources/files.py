@@ -6,6 +6,7 @@ their quotes, ``encoding``, ``sep`` and so on.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CORRUPT = "_corrupt_record"
@@ -73,7 +74,12 @@ def stream_csv(
 
     ``max_bytes`` bounds one micro-batch.
     """
-    reader = spark.readStream.schema(_text_schema(header_columns(spark, path, **options)))
+    schema = _struct(schema)
+    try:
+        columns = header_columns(spark, path, **options)
+    except AnalysisException:  # no file has come yet
+        columns = schema.names
+    reader = spark.readStream.schema(_text_schema(columns))
     reader = reader.options(**{**options, **_CSV})
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)

@@ -25,6 +25,7 @@ class Pipeline:
 
     ``rules`` sends transactions that break them to ``transactions_invalid``.
     ``check_masters`` stops the run at a transaction of an unknown user or product.
+    ``hot_share`` is the share of a batch above which a key is joined apart.
     """
 
     root: str
@@ -37,6 +38,7 @@ class Pipeline:
     rules: Mapping[str, str] = field(default_factory=dict)
     null_as: str = "invalid"
     check_masters: bool = False
+    hot_share: float | None = None
     max_bytes: int | None = None
     timeout: int | None = None
 
@@ -103,7 +105,7 @@ def silver(spark: SparkSession, p: Pipeline) -> None:
         session = batch.sparkSession
         masters = {"users": "user_id", "products": "product_id"}
         dims = [(session.read.parquet(p.table(name)), key) for name, key in masters.items()]
-        enriched = enrich(batch, dims)
+        enriched = enrich(batch, dims, p.hot_share)
         if not p.check_masters:
             return enriched
         flags = [f"{key}_matched" for _, key in dims]

@@ -51,6 +51,15 @@ def test_exempt_readers(staff, rows):
     assert len(rows(govern.apply_policies(staff, policies, ["it"]))) == 2
 
 
+def test_sql_functions(spark):
+    govern.register_functions(spark)
+    row = spark.sql(
+        "SELECT mask_email('anna@x'), mask_email('a@b@c'), mask_email('none'), mask_email('@x'), mask_salary(5.0), "
+        "is_apac_region('APAC'), is_apac_region(NULL)"
+    ).first()
+    assert tuple(row) == ("a**a@x", "aa@b@c", None, None, -99.99, True, False)
+
+
 def test_kind():
     with pytest.raises(ValueError):
         govern.Policy("hide", ("a", "b"), lambda c: c)

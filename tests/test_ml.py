@@ -74,7 +74,7 @@ def test_impute_and_standardize(spark, rows):
     assert rows(scaled) == [(-1.0, 0.0), (1.0, 0.0)]
 
 
-@pytest.mark.parametrize("digits", [1, 3])
+@pytest.mark.parametrize("digits", [1, 4])
 def test_split_sizes_are_exact(spark, digits):
     df = spark.range(1000).selectExpr("id", "if(id % 7 = 0, 1, if(id % 2 = 0, null, 0)) AS y")
     bounds = split.split_bounds(df, "y", ["id"], split.PARTS, 3, digits)

@@ -183,3 +183,24 @@ def test_enrich_takes_streams(spark, raw):
     assert joined.isStreaming
     flows.append_flows(str(raw / "t"), {"e": joined}, str(raw / "c"), LIMIT)
     assert flows.read_flows(spark, str(raw / "t")).where(F.col("age") == 30).count() == 2
+
+
+def test_a_stream_before_its_first_file(spark, raw):
+    (raw / "later").mkdir()
+
+    def run():
+        stream = stream_csv(spark, str(raw / "later"), TRANSACTIONS, "r")
+        flows.append_flows(str(raw / "t"), {"later": stream}, str(raw / "c"), LIMIT)
+
+    run()
+    put(raw / "later", "1.csv", HEAD, "1,p1,2,10.0")
+    run()
+    assert flows.read_flows(spark, str(raw / "t")).count() == 1
+
+
+def test_hot_keys_in_the_pipeline(spark, raw, rows):
+    p = pipeline(spark, raw, hot_share=0.3)
+    medallion_run(spark, p)
+    assert read(spark, p, "transactions_enriched").count() == 6
+    by_segment = rows(spark.read.parquet(p.table("revenue_by_user_segment")))
+    assert by_segment == [("シニア層", None, None, 40.0), ("シニア層", "M", "S", 20.0), ("若年層", "F", "N", 15.0)]
