@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarnwork.ml.evaluate import evaluate_classifier
+from tarnwork.session import settle
 
 DEFAULTS = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 653201287}
 ROWS_PER_GROUP = 50_000
@@ -27,19 +28,21 @@ def model_input(df: DataFrame, features: Sequence[str], extra: Sequence[Column |
     return df.select(*extra, *columns)
 
 
-def train_classifier(
-    train: DataFrame,
-    validation: DataFrame,
-    features: Sequence[str],
-    label: str = "churn",
-    params: Mapping | None = None,
-) -> PipelineModel:
-    """Mean imputation and boosted trees that stop early on the validation rows."""
+def training_rows(train: DataFrame, validation: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """Both parts in one stored table, spread evenly.
+
+    Training reads its rows many times; what they were made from is read once.
+    """
     target = F.col(label).cast("double").alias("label")
-    plain = list(_plain_names(features).values())
     rows = model_input(train, features, [target, F.lit(False).alias("held_out")]).unionByName(
         model_input(validation, features, [target, F.lit(True).alias("held_out")])
     )
+    return settle(rows.hint("rebalance"), "training-rows")
+
+
+def fit(rows: DataFrame, features: Sequence[str], params: Mapping | None = None) -> PipelineModel:
+    """Mean imputation and boosted trees that stop early on the held-out rows."""
+    plain = list(_plain_names(features).values())
     filled = [f"{c}_filled" for c in plain]
     trees = GBTClassifier(labelCol="label", featuresCol="features", validationIndicatorCol="held_out")
     stages = [
@@ -50,16 +53,29 @@ def train_classifier(
     return Pipeline(stages=stages).fit(rows)
 
 
+def train_classifier(
+    train: DataFrame,
+    validation: DataFrame,
+    features: Sequence[str],
+    label: str = "churn",
+    params: Mapping | None = None,
+) -> PipelineModel:
+    return fit(training_rows(train, validation, features, label), features, params)
+
+
 def batch_score(df: DataFrame, model: PipelineModel | str, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Kept columns plus ``prediction`` and ``probability`` of class 1, by a model or the path of a saved one."""
     if isinstance(model, str):
         model = PipelineModel.load(model)
-    scored = model.transform(model_input(df, features, keep))
-    return scored.select(*keep, "prediction", vector_to_array("probability")[1].alias("probability"))
+    return _scored(model, model_input(df, features, keep), keep)
+
+
+def _scored(model: PipelineModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    second = vector_to_array("probability")[1].alias("probability")
+    return model.transform(rows).select(*keep, "prediction", second)
 
 
-def f1_score(df: DataFrame, model: PipelineModel, features: Sequence[str], label: str) -> float:
-    scored = batch_score(df, model, features, [label])
+def f1_score(scored: DataFrame, label: str) -> float:
     return evaluate_classifier(scored, label).first()["f1"] or 0.0
 
 
@@ -67,10 +83,12 @@ def tune(
     train: DataFrame, validation: DataFrame, features: Sequence[str], grid: Sequence[Mapping], label: str = "churn"
 ) -> tuple[PipelineModel, Mapping, float]:
     """The model, parameters and F1 of the grid's best entry on the validation rows (highest F1, first of equals)."""
+    rows = training_rows(train, validation, features, label)
+    held_out = rows.where("held_out")
     trials = []
     for params in grid:
-        model = train_classifier(train, validation, features, label, params)
-        trials.append((model, params, f1_score(validation, model, features, label)))
+        model = fit(rows, features, params)
+        trials.append((model, params, f1_score(_scored(model, held_out, ["label"]), "label")))
     return max(trials, key=lambda t: t[2])
 
 
@@ -79,7 +97,8 @@ def shuffle_features(df: DataFrame, features: Sequence[str], ids: Sequence[str],
 
     Rows fall into groups by a hash of their id and each passes its values to
     the next by hash, the last to the first. Every value is kept and none has
-    to do with its row any more; no task holds more than one group.
+    to do with its row any more; no task holds more than one group, given ids
+    that tell the rows apart.
     """
     order = F.xxhash64(*ids, F.lit(seed))
     groups = max(1, df.count() // ROWS_PER_GROUP)
@@ -97,8 +116,8 @@ def permutation_importance(
     df: DataFrame, model: PipelineModel, features: Sequence[str], label: str, ids: Sequence[str], seed: int = 1
 ) -> DataFrame:
     """How much F1 falls when one feature's values belong to other rows, largest first. Uses all rows."""
-    moved = shuffle_features(df, features, ids, seed)
-    base = F.lit(f1_score(df, model, features, label))
+    moved = settle(shuffle_features(df, features, ids, seed), "moved-features")
+    base = F.lit(f1_score(batch_score(moved, model, features, [label]), label))
     drops = []
     for f in features:
         swapped = moved.withColumn(f, F.col(f"`{f}_moved`"))

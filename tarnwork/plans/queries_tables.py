@@ -181,8 +181,8 @@ def gen_dim_customer(spark, d):
     "gen_dim_time",
     """WITH days AS (SELECT DISTINCT datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS id FROM orders)
     SELECT id + 1 AS time_id, CAST(DATE '2021-01-01' + CAST(id AS INT) AS DATE) AS order_date,
-      month(DATE '2021-01-01' + CAST(id AS INT)) AS month, quarter(DATE '2021-01-01' + CAST(id AS INT)) AS quarter,
-      year(DATE '2021-01-01' + CAST(id AS INT)) AS year
+      CAST(month(DATE '2021-01-01' + CAST(id AS INT)) AS INT) AS month, CAST(quarter(DATE '2021-01-01' + CAST(id AS INT)) AS INT) AS quarter,
+      CAST(year(DATE '2021-01-01' + CAST(id AS INT)) AS INT) AS year
     FROM days""",
 )
 def gen_dim_time(spark, d):
@@ -345,7 +345,7 @@ def union_all(spark, d):
     "scalar_functions",
     """SELECT o_orderkey, left(lpad(CAST(o_orderkey AS VARCHAR), 4, '0'), 4) AS padded,
       strftime(o_orderdate, '%Y-%m') AS month, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start,
-      quarter(o_orderdate) AS quarter, CAST(o_orderdate AS DATE) - 730 AS two_years_before,
+      CAST(quarter(o_orderdate) AS INT) AS quarter, CAST(o_orderdate AS DATE) - 730 AS two_years_before,
       replace(o_orderpriority, ' ', '') AS priority,
       format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS whole_price,
       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS customer
@@ -365,7 +365,11 @@ def scalar_functions(spark, d):
     )
 
 
-@query("multi_flow_append", dt.TRANSACTIONS_SQL, "SELECT * FROM transactions")
+@query(
+    "multi_flow_append",
+    dt.TRANSACTIONS_SQL,
+    "SELECT user_id, product_id, quantity, CAST(transaction_price AS DOUBLE) AS transaction_price, area FROM transactions",
+)
 def multi_flow_append(spark, d):
     lines = dt.transactions(spark, d)
     schema = lines.schema
@@ -376,4 +380,5 @@ def multi_flow_append(spark, d):
     target, checkpoints = scratch_dir(spark, "transactions"), scratch_dir(spark, "checkpoints")
     flows.append_flows(target, {"east": streams["east"]}, checkpoints)
     flows.append_flows(target, streams, checkpoints)  # the first flow has nothing new
-    return flows.read_flows(spark, target).drop("_rescued")
+    stored = flows.read_flows(spark, target).drop("_rescued")
+    return stored.withColumn("transaction_price", F.col("transaction_price").cast("double"))
