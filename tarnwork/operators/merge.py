@@ -71,15 +71,19 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], evolve: bool = False) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], evolve: bool = False, large_source: bool = False
+) -> DataFrame:
     """Update target rows from source rows with the same keys and insert the others.
 
     With ``evolve`` columns only the source has are added, NULL on rows it does
     not touch. Columns only the target has keep their values on update and are
     NULL on insert. Two source rows for one target row are an error.
 
-    The target is joined once from the left, so a small source is broadcast
-    and the target never moves; inserts are found among the source rows only.
+    The target is joined from the left, so a source below Spark's broadcast
+    limit leaves the target where it is; inserts are then found among the
+    source rows. For a source beyond it, ``large_source`` does both in a single
+    full outer join, with one shuffle of each side.
     """
     new_columns = [c for c in source.columns if c not in target.columns]
     if new_columns and not evolve:
@@ -92,22 +96,23 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], evol
     if not repeated.isEmpty() and not repeated.join(target, list(keys), "left_semi").isEmpty():
         raise SchemaError("more than one source row for a target row")
 
-    columns = [*target.columns, *new_columns]
     shared = [c for c in typed.columns if c not in keys]
     changes = typed.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in shared])
-    merged = target.join(changes, list(keys), "left")
+    merged = target.join(changes, list(keys), "full" if large_source else "left")
     picked = []
-    for c in columns:
-        if c in keys or c not in typed.columns:
+    for c in [*target.columns, *new_columns]:
+        if c not in shared:
             picked.append(F.col(c))
         elif c in new_columns:
             picked.append(F.col(f"_new_{c}").alias(c))
         else:
             picked.append(F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
-    updated = merged.select(*picked)
+    result = merged.select(*picked)
+    if large_source:
+        return result
     matched = target.join(typed.select(*keys), list(keys), "left_semi").select(*keys).distinct()
     inserted = typed.join(matched, list(keys), "left_anti")
-    return updated.unionByName(inserted, allowMissingColumns=True)
+    return result.unionByName(inserted, allowMissingColumns=True)
 
 
 def evolve(

@@ -95,6 +95,17 @@ def merge_schema_evolution(spark, d):
     return merged.withColumn("balance", F.col("balance").cast("double"))
 
 
+@query(
+    "merge_large_source",
+    MERGED_SQL,
+    """SELECT COALESCE(b.id, u.id) AS id, COALESCE(u.segment, b.segment) AS segment, CAST(b.balance AS DOUBLE) AS balance, u.nation
+    FROM base b FULL JOIN updates u ON b.id = u.id""",
+)
+def merge_large_source(spark, d):
+    merged = merge.merge_upsert(*_merge_sides(spark, d), ["id"], evolve=True, large_source=True)
+    return merged.withColumn("balance", F.col("balance").cast("double"))
+
+
 @query(
     "enforce_schema",
     "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS INT) AS nation, s_acctbal AS balance FROM supplier",

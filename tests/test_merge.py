@@ -91,10 +91,11 @@ def test_the_whole_story(spark, table, rows):
     assert spark.table(table).count() == 5
 
 
-def test_null_keys_and_null_updates(spark, rows):
+@pytest.mark.parametrize("large", [False, True])
+def test_null_keys_and_null_updates(spark, rows, large):
     target = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k int, v string")
     source = spark.createDataFrame([(1, None), (None, "n"), (None, "m")], "k int, v string")
-    merged = merge.merge_upsert(target, source, ["k"])
+    merged = merge.merge_upsert(target, source, ["k"], large_source=large)
     assert rows(merged) == [(None, "b"), (None, "m"), (None, "n"), (1, None), (2, "c")]
 
 
@@ -106,10 +107,11 @@ def test_two_source_rows_for_one_target_row(spark, rows):
     assert rows(both) == [(1, "a"), (5, "x"), (5, "y")]
 
 
-def test_repeated_target_keys_are_all_updated(spark, rows):
+@pytest.mark.parametrize("large", [False, True])
+def test_repeated_target_keys_are_all_updated(spark, rows, large):
     target = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 3)], "k int, v string, own int")
     source = spark.createDataFrame([(1, "z"), (9, "q")], "k int, v string")
-    assert rows(merge.merge_upsert(target, source, ["k"])) == [(1, "z", 1), (1, "z", 2), (2, "c", 3), (9, "q", None)]
+    assert rows(merge.merge_upsert(target, source, ["k"], large_source=large)) == [(1, "z", 1), (1, "z", 2), (2, "c", 3), (9, "q", None)]
 
 
 @pytest.mark.parametrize(
