@@ -103,16 +103,24 @@ def per_group_linear_fit(df: DataFrame, group: str, x: str, y: str) -> DataFrame
     )
 
 
+ROWS_PER_SLICE = 500_000
+MAX_SLICES = 10_000
+
+
 def running_total(
-    df: DataFrame, order: str, values: Sequence[str], descending: bool = False, slices: int = 256
+    df: DataFrame, order: str, values: Sequence[str], descending: bool = False, slices: int | None = None
 ) -> DataFrame:
     """Add ``<value>_cum``: the sum of each value over all rows up to this one.
 
     ``order`` must be a DOUBLE that is unique per row. A window without
     partitions would be one task, so the rows are cut into slices of about
     equal size at estimated quantiles; each slice is summed on its own and
-    offset by the total of the slices before it (a table of ``slices`` rows).
+    offset by the total of the slices before it (a table of ``slices`` rows,
+    by default one per half a million rows). The frame is read four times, so
+    it should be a stored one.
     """
+    if slices is None:
+        slices = min(MAX_SLICES, max(16, df.count() // ROWS_PER_SLICE))
     steps = [i / slices for i in range(1, slices)]
     cuts = sorted(set(df.approxQuantile(order, steps, 0.25 / slices)))
     bounds = [float("-inf"), *cuts, float("inf")]

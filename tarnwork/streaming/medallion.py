@@ -49,21 +49,24 @@ class Pipeline:
         return f"{self.root}/checkpoints/{name}"
 
 
+RULE_COUNTS = "rule_counts"
 USER_KEY, USER_SEQUENCE = ["user_id"], ["last_updated"]
 
 
-def bronze(spark: SparkSession, p: Pipeline) -> None:
+def bronze(spark: SparkSession, p: Pipeline) -> dict[str, dict[str, int]]:
+    """Take in new files; gives per flow how many new rows broke each rule."""
     landing = "transactions_all" if p.rules else "transactions"
     streams = {}
     for flow, path in p.transactions.items():
         lines = stream_csv(spark, path, p.transaction_schema, "_rescued_data_transactions", p.max_bytes)
         if p.rules:
-            lines = expect(with_rule_flag(lines, p.rules, "valid"), p.rules, "warn", flow)
+            lines = expect(with_rule_flag(lines, p.rules, "valid"), p.rules, "warn", RULE_COUNTS)
         streams[flow] = lines
-    started = [
-        flows.start(s, flows.batch_writer(p.table(landing), f), p.checkpoint(f"{landing}/{f}"), f)
+    appended = {
+        f: flows.start(s, flows.batch_writer(p.table(landing), f), p.checkpoint(f"{landing}/{f}"), f)
         for f, s in streams.items()
-    ]
+    }
+    started = list(appended.values())
     feeds = {"users": (p.users, False)}
     if p.users_backfill:
         feeds["backfill"] = (p.users_backfill, True)
@@ -86,6 +89,7 @@ def bronze(spark: SparkSession, p: Pipeline) -> None:
     current_rows(changes).write.mode("overwrite").parquet(p.table("users"))
     if p.rules:
         split_by_flag(spark, p)
+    return {f: flows.rule_counts(query, RULE_COUNTS) for f, query in appended.items()}
 
 
 def split_by_flag(spark: SparkSession, p: Pipeline) -> None:
@@ -125,11 +129,12 @@ def gold(spark: SparkSession, p: Pipeline) -> None:
         view(enriched).write.mode("overwrite").parquet(p.table(name))
 
 
-def medallion_run(spark: SparkSession, p: Pipeline) -> None:
-    """Bring all tables up to date. A run without new files changes nothing."""
-    bronze(spark, p)
+def medallion_run(spark: SparkSession, p: Pipeline) -> dict[str, dict[str, int]]:
+    """Bring all tables up to date. A run without new files changes nothing. Gives bronze's rule counts."""
+    counts = bronze(spark, p)
     silver(spark, p)
     gold(spark, p)
+    return counts
 
 
 def default_rules() -> dict[str, str]:

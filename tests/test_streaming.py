@@ -81,7 +81,10 @@ def test_the_pipeline(spark, raw, rows):
 @pytest.mark.parametrize("null_as, invalid", [("invalid", 4), ("drop", 2)])
 def test_quarantine_in_the_pipeline(spark, raw, null_as, invalid):
     p = pipeline(spark, raw, rules=fv.TRANSACTION_RULES, null_as=null_as)
-    medallion_run(spark, p)
+    counts = medallion_run(spark, p)
+    quantity, price = fv.TRANSACTION_RULES
+    assert counts == {"east": {"n_rows": 3, quantity: 2, price: 0}, "west": {"n_rows": 3, quantity: 0, price: 2}}
+    assert medallion_run(spark, p) == {"east": {}, "west": {}}
     assert read(spark, p, "transactions").count() == 2
     assert read(spark, p, "transactions_invalid").count() == invalid
     assert "valid" not in read(spark, p, "transactions").columns
