@@ -106,8 +106,8 @@ SALES_MEASURES = {
     "total_quantity": "sum(source.quantity)",
     "order_count": "count(distinct source.order_id)",
     "customer_count": "count(distinct source.customer_id)",
-    "profit_margin": "(MEASURE(total_profit)) / NULLIF(MEASURE(total_sales), 0)",
-    "avg_order_value": "MEASURE(total_sales) / NULLIF(MEASURE(order_count), 0)",
+    "profit_margin": "MEASURE(total_profit) / nullif(MEASURE(total_sales), 0)",
+    "avg_order_value": "MEASURE(total_sales) / nullif(MEASURE(order_count), 0)",
 }
 _WHOLE = {"type": "number", "decimal_places": {"type": "exact", "places": 0}, "hide_group_separator": False}
 SALES_DETAILS = {

@@ -40,8 +40,8 @@ def cdc_tombstones(spark, d):
     return cdc.current_rows(cdc.apply_changes(state, feed.where(~late), *how))
 
 
-@query("cdc_stream", dt.FEED_SQL, NEWEST_SQL, CURRENT_SQL)
-def cdc_stream(spark, d):
+@query("cdc_backfill_once", dt.FEED_SQL, NEWEST_SQL, CURRENT_SQL)
+def cdc_backfill_once(spark, d):
     """A stream of the feed's deletes and a backfill with the other changes, into one table."""
     feed = dt.feed(spark, d)
     is_delete = F.col("operation") == "DELETE"

@@ -72,6 +72,32 @@ def performance_tag(spark, d):
     return retail.with_scores(totals).select("l_returnflag", "l_linestatus", "l_suppkey", "performance_tag")
 
 
+@query(
+    "clean_sales",
+    dt.SALES_SQL,
+    """SELECT order_id, row_id, order_date, ship_date, ship_mode, customer_id, 'n' || customer_id AS customer_name, customer_segment,
+      prefecture AS city, prefecture, region AS country_region, region, region AS region_manager, product_id, category, sub_category,
+      category || ' ' || sub_category AS product_name, CAST(sales_amount AS DOUBLE) AS sales_amount, quantity,
+      CAST(discount_rate AS DOUBLE) AS discount_rate, CAST(profit AS DOUBLE) AS profit, 35.5::DOUBLE AS latitude,
+      139.5::DOUBLE AS longitude, CAST(budget AS DOUBLE) AS budget, returned
+    FROM sales WHERE profit >= 0""",
+)
+def clean_sales(spark, d):
+    """Lines under the file's own headers and marker, cleaned to the silver table."""
+    lines = dt.sales(spark, d).withColumns({
+        "customer_name": F.concat(F.lit("n"), F.col("customer_id").cast("string")),
+        "city": F.col("prefecture"),
+        "country_region": F.col("region"),
+        "region_manager": F.col("region"),
+        "product_name": F.concat_ws(" ", "category", "sub_category"),
+        "latitude": F.lit(35.5),
+        "longitude": F.lit(139.5),
+        "returned": F.when(F.col("returned"), fv.RETURN_MARKER),
+    })
+    raw = lines.withColumnsRenamed({name: header for header, name in fv.SALES_COLUMN_NAMES.items()})
+    return _as_double(retail.clean_sales(raw), "sales_amount", "discount_rate", "profit", "budget")
+
+
 # Projections and filters
 
 
@@ -362,19 +388,21 @@ def revenue_by_segment(spark, d):
 
 
 @query(
-    "monthly_rollup",
-    """SELECT strftime(o_orderdate, '%Y-%m') AS month, CAST(SUM(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) / COUNT(*) AS avg_price,
-      MAX(o_totalprice) AS max_price, MIN(o_totalprice) AS min_price FROM orders GROUP BY 1""",
+    "monthly_weather",
+    """SELECT strftime(o_orderdate, '%Y-%m') AS month,
+      ROUND(CAST(SUM(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) / COUNT(*), 2) AS avg_value,
+      ROUND(MAX(o_totalprice), 2) AS max_value, ROUND(MIN(o_totalprice), 2) AS min_value FROM orders GROUP BY 1""",
 )
-def monthly_rollup(spark, d):
-    price = F.col("o_totalprice").cast("decimal(14,2)")
+def monthly_weather(spark, d):
+    """The monthly weather table's aggregates, on the prices of orders."""
+    exact_sum = F.sum(F.col("o_totalprice").cast("decimal(14,2)")).cast("double")
     return aggregates.monthly_rollup(
         load_tables(spark, d, "orders")[0],
         "o_orderdate",
         {
-            "avg_price": F.sum(price).cast("double") / F.count("*"),
-            "max_price": F.max("o_totalprice"),
-            "min_price": F.min("o_totalprice"),
+            "avg_value": F.round(exact_sum / F.count("*"), 2),
+            "max_value": F.round(F.max("o_totalprice"), 2),
+            "min_value": F.round(F.min("o_totalprice"), 2),
         },
     )
 

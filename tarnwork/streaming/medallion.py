@@ -30,9 +30,9 @@ class Pipeline:
 
     root: str
     transactions: Mapping[str, str]
-    transaction_schema: T.StructType
+    transaction_schema: T.StructType | str
     users: str
-    user_schema: T.StructType
+    user_schema: T.StructType | str
     products: DataFrame
     users_backfill: str | None = None
     rules: Mapping[str, str] = field(default_factory=dict)
@@ -49,6 +49,32 @@ class Pipeline:
         return f"{self.root}/checkpoints/{name}"
 
 
+def pipeline_from_conf(
+    spark: SparkSession,
+    base: str,
+    transaction_schema: T.StructType | str,
+    user_schema: T.StructType | str,
+    backfill: bool = False,
+    **options,
+) -> Pipeline:
+    """The pipeline of the catalog and schema named in the session's ``catalog_name`` and ``schema_name``.
+
+    Raw files lie under ``<base>/<catalog>/<schema>/raw_data``; products come from the table ``products_source``.
+    """
+    schema = spark.conf.get("schema_name")
+    home = f"{base}/{spark.conf.get('catalog_name')}/{schema}"
+    return Pipeline(
+        root=f"{home}/tables",
+        transactions={flow: f"{home}/raw_data/transactions_{flow}" for flow in ("east", "west")},
+        transaction_schema=transaction_schema,
+        users=f"{home}/raw_data/users",
+        user_schema=user_schema,
+        products=spark.read.table(f"{schema}.products_source"),
+        users_backfill=f"{home}/raw_data/users_backfill" if backfill else None,
+        **options,
+    )
+
+
 RULE_COUNTS = "rule_counts"
 USER_KEY, USER_SEQUENCE = ["user_id"], ["last_updated"]
 

@@ -82,3 +82,31 @@ def test_dynamic_pruning_of_a_partitioned_fact(spark, sf_dir, tmp_path):
 def test_a_small_source_does_not_move_the_target(spark, sf_dir):
     text = plan(QUERIES["merge_schema_evolution"](spark, sf_dir))
     assert "SortMergeJoin" not in text
+
+
+def test_a_hot_key_is_split_at_run_time(spark, tmp_path):
+    """Without the hot-key split, AQE cuts the skewed partition of a shuffled join."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    path = str(tmp_path / "fact")
+    spark.range(60_000).selectExpr("id", "if(id % 3 = 0, 1, id) AS k", "sha2(cast(id as string), 256) AS v").repartition(
+        8
+    ).write.parquet(path)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        dim = spark.range(60_000).selectExpr("id AS k", "id AS w")
+        joined = joins.enrich(spark.read.parquet(path), [(dim, "k")])
+        assert joined.count() == 60_000
+        joined.write.format("noop").mode("overwrite").save()
+        rows = joined.collect()
+        assert len(rows) == 60_000 and "skew=true" in plan(joined)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -7,7 +7,7 @@ from tarnwork import fixed_values as fv
 from tarnwork.operators import cdc, quality
 from tarnwork.sources.files import stream_csv
 from tarnwork.streaming import flows
-from tarnwork.streaming.medallion import Pipeline, medallion_run
+from tarnwork.streaming.medallion import Pipeline, medallion_run, pipeline_from_conf
 
 TRANSACTIONS = "user_id int, product_id string, quantity int, transaction_price double"
 USERS = "user_id int, age int, gender string, region string, operation string, last_updated timestamp_ntz"
@@ -207,3 +207,17 @@ def test_hot_keys_in_the_pipeline(spark, raw, rows):
     assert read(spark, p, "transactions_enriched").count() == 6
     by_segment = rows(spark.read.parquet(p.table("revenue_by_user_segment")))
     assert by_segment == [("シニア層", None, None, 40.0), ("シニア層", "M", "S", 20.0), ("若年層", "F", "N", 15.0)]
+
+
+def test_the_pipeline_named_in_the_session(spark, raw, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    pipeline(spark, raw).products.write.mode("overwrite").saveAsTable("shop.products_source")
+    home = tmp_path / "volumes" / "main" / "shop"
+    for old, new in {"east": "transactions_east", "west": "transactions_west", "users": "users"}.items():
+        shutil.copytree(raw / old, home / "raw_data" / new)
+    spark.conf.set("catalog_name", "main")
+    spark.conf.set("schema_name", "shop")
+    p = pipeline_from_conf(spark, str(tmp_path / "volumes"), TRANSACTIONS, USERS, timeout=LIMIT)
+    medallion_run(spark, p)
+    assert read(spark, p, "transactions_enriched").count() == 6
+    assert p.root == str(home / "tables")
