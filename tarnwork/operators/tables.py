@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tarnwork.operators.merge import SchemaError, merge_upsert
+
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", overwrite_schema: bool = False) -> None:
     """Save as a managed table: ``overwrite``, ``append``, ``ignore`` (only if absent) or ``error``.
@@ -47,6 +51,51 @@ def insert_rows(df: DataFrame, name: str) -> None:
     df.sparkSession.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {{rows}}", rows=df)
 
 
+def add_columns(spark: SparkSession, name: str, columns: Mapping[str, str]) -> None:
+    """Add columns to a table's schema alone; rows stored before read NULL. No file is touched."""
+    added = ", ".join(f"`{column}` {data_type}" for column, data_type in columns.items())
+    spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+
+
+def merge_into(source: DataFrame, name: str, keys: Sequence[str], evolve: bool = False) -> None:
+    """Upsert into a table, rewriting only the partitions the source has rows for.
+
+    The table's partition columns must be among the keys, so that no row
+    changes its partition; a table without partitions is replaced as a whole.
+    Spark writes the partitions aside and swaps them in when all are written.
+    """
+    spark = source.sparkSession
+    target = spark.table(name)
+    new = {f.name: f.dataType.simpleString() for f in source.schema if f.name not in target.columns}
+    if new and not evolve:
+        raise SchemaError(f"the table has no column {', '.join(new)}")
+    partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if not partition_by:
+        replace_table(merge_upsert(target, source, keys, evolve), name)
+        return
+    if not set(partition_by) <= set(keys):
+        raise ValueError(f"the keys must include the partition columns {', '.join(partition_by)}")
+    if new:
+        add_columns(spark, name, new)
+        target = spark.table(name)
+    touched = source.select(*[F.col(c).alias(f"_{c}") for c in partition_by]).distinct()
+    # Null-safe, for rows without a partition value lie in a partition of their own.
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by])
+    merged = merge_upsert(target.join(touched, same, "left_semi"), source, keys)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        merged.select(*target.columns).write.mode("overwrite").insertInto(name)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header line, quotes doubled; for small results."""
     df.coalesce(1).write.mode("overwrite").options(header=True, escape='"').csv(path)

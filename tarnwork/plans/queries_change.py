@@ -6,11 +6,11 @@ from pyspark.sql import functions as F, types as T
 
 from tarnwork import fixed_values as fv
 from tarnwork.functions.scalars import equals_value, mask_constant, mask_email
-from tarnwork.operators import cdc, govern, joins, merge, quality
+from tarnwork.operators import cdc, govern, joins, merge, quality, tables
 from tarnwork.plans import driver_tables as dt
 from tarnwork.plans.queries_tables import land_csv
 from tarnwork.plans.registry import query
-from tarnwork.session import scratch_dir
+from tarnwork.session import scratch_database, scratch_dir
 from tarnwork.sources.files import stream_csv
 from tarnwork.sources.tables import load_tables
 from tarnwork.streaming import flows
@@ -106,6 +106,34 @@ def merge_large_source(spark, d):
     return merged.withColumn("balance", F.col("balance").cast("double"))
 
 
+@query(
+    "merge_into_partitions",
+    """SELECT c_custkey AS id, CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE c_acctbal END AS DOUBLE) AS balance,
+      c_mktsegment AS segment FROM customer
+    UNION ALL SELECT -1 - c_custkey, 1, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'""",
+)
+def merge_into_partitions(spark, d):
+    """One of five partitions gets updates and inserts; the others keep their files."""
+    segment, key = F.col("c_mktsegment").alias("segment"), F.col("c_custkey")
+    customer = load_tables(spark, d, "customer")[0]
+    name = f"{scratch_database(spark)}.customers"
+    stored = customer.select(key.alias("id"), F.col("c_acctbal").alias("balance"), segment)
+    stored.write.partitionBy("segment").saveAsTable(name)
+    building = customer.where("c_mktsegment = 'BUILDING'")
+    updates = building.select(key.alias("id"), F.lit(0.0).alias("balance"), segment)
+    inserts = building.select((-1 - key).alias("id"), F.lit(1.0).alias("balance"), segment)
+    tables.merge_into(updates.union(inserts), name, ["id", "segment"])
+    return spark.table(name)
+
+
+@query("add_columns_to_table", "SELECT *, CAST(NULL AS VARCHAR) AS campaign FROM supplier")
+def add_columns_to_table(spark, d):
+    name = f"{scratch_database(spark)}.suppliers"
+    tables.write_table(load_tables(spark, d, "supplier")[0], name)
+    tables.add_columns(spark, name, {"campaign": "string"})
+    return spark.table(name)
+
+
 @query(
     "enforce_schema",
     "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS INT) AS nation, s_acctbal AS balance FROM supplier",

@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tarnwork import fixed_values as fv
 from tarnwork.operators.cdc import current_rows
 from tarnwork.operators.joins import enrich, match_audit
 from tarnwork.operators.project import with_rule_flag
@@ -161,7 +160,3 @@ def medallion_run(spark: SparkSession, p: Pipeline) -> dict[str, dict[str, int]]
     silver(spark, p)
     gold(spark, p)
     return counts
-
-
-def default_rules() -> dict[str, str]:
-    return dict(fv.TRANSACTION_RULES)

@@ -2,7 +2,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import day
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from tarnwork.operators import merge, tables
 
@@ -54,7 +54,7 @@ def test_text_for_a_number_is_refused(spark, table):
 
 
 def test_the_whole_story(spark, table, rows):
-    tables.replace_table(merge.evolve(spark.table(table), add={"campaign_id": "string"}), table)
+    tables.add_columns(spark, table, {"campaign_id": "string"})
     tables.insert_rows(fourth(spark, campaign_id="CP001"), table)
     updates = spark.createDataFrame(
         [
@@ -177,3 +177,45 @@ def test_clustering_splits_a_hot_key(spark, tmp_path):
     assert (clustered["files"], clustered["files_to_read"] <= 2) == (9, True)
     assert tables.files_to_read(spark.read.parquet(plain), "k", "7").first()["files_to_read"] == 9
     assert spark.read.parquet(path).exceptAll(df).isEmpty()
+
+
+@pytest.fixture
+def shops(spark):
+    spark.sql("DROP TABLE IF EXISTS shops")
+    df = spark.createDataFrame(
+        [(1, "a", "east"), (2, "b", "east"), (3, "c", "west"), (4, "d", None)], "id int, v string, area string"
+    )
+    df.coalesce(1).write.partitionBy("area").saveAsTable("shops")
+    yield "shops"
+    spark.sql("DROP TABLE IF EXISTS shops")
+
+
+def files_of(spark, name, where):
+    return {r[0] for r in spark.table(name).where(where).select("_metadata.file_path").distinct().collect()}
+
+
+def test_only_touched_partitions_are_rewritten(spark, shops, rows):
+    west = files_of(spark, shops, "area = 'west'")
+    source = spark.createDataFrame([(1, "A", "east"), (9, "N", "north"), (4, "D", None)], "id int, v string, area string")
+    tables.merge_into(source, shops, ["id", "area"])
+    # A NULL never equals a NULL, so row 4 is inserted beside the old one, which stays.
+    assert rows(spark.table(shops)) == [
+        (1, "A", "east"), (2, "b", "east"), (3, "c", "west"), (4, "D", None), (4, "d", None), (9, "N", "north")
+    ]
+    assert files_of(spark, shops, "area = 'west'") == west
+
+
+def test_merge_into_with_a_new_column(spark, shops, rows):
+    source = spark.createDataFrame([(3, "C", "west", 7)], "id int, v string, area string, n int")
+    with pytest.raises(merge.SchemaError, match="no column n"):
+        tables.merge_into(source, shops, ["id", "area"])
+    with pytest.raises(ValueError, match="partition columns area"):
+        tables.merge_into(source, shops, ["id"], evolve=True)
+    tables.merge_into(source, shops, ["id", "area"], evolve=True)
+    found = rows(spark.table(shops).select("id", "v", "n", "area"))
+    assert found == [(1, "a", None, "east"), (2, "b", None, "east"), (3, "C", 7, "west"), (4, "d", None, None)]
+
+
+def test_merge_into_a_table_without_partitions(spark, table):
+    tables.merge_into(spark.table(table).where("sale_id = 1").withColumn("amount", F.lit(1)), table, ["sale_id"])
+    assert spark.table(table).where("amount = 1").count() == 1 and spark.table(table).count() == 3
