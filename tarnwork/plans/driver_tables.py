@@ -34,9 +34,10 @@ def sales(spark: SparkSession, d: str, first: str | None = None, last: str | Non
     # What belongs to an order is joined to the orders, a quarter of the lines' size.
     buyers = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     bought = order.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    price = F.col("l_extendedprice").cast("decimal(14,2)")
+    # Products of up to 18 digits stay in a LONG.
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
-    rate = F.lit("0.25").cast("decimal(4,2)") - F.lit(3).cast("decimal(4,0)") * discount
+    rate = (F.lit("0.25").cast("decimal(4,2)") - F.lit(3).cast("decimal(1,0)") * discount).cast("decimal(5,2)")
     return (
         line.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
