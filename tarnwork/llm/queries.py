@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tarnwork.llm import langid, mixing, sharding, warc  # noqa: F401
+from tarnwork.llm import decontam, langid, mixing, sharding, warc  # noqa: F401
 from tarnwork.llm.registry import QUERIES, SQL  # noqa: F401
