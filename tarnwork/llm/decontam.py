@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -41,49 +43,54 @@ class Search:
     recall: float = 0.99
     samples: int = 3
     differing: float = 0.65
-    per_walk: int = 4
+    per_walk: int = 8
     seed: int = 5
 
     @property
     def walks(self) -> int:
         tables = math.log(1 - self.recall) / math.log(1 - (1 - self.differing) ** self.samples)
+        if tables > 62 * self.per_walk:
+            raise ValueError("so many tables need more of them per walk")
         return math.ceil(tables / self.per_walk)
 
     def edits(self, n: int) -> int:
         return int(self.max_edits * n + 1e-9)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+#: The walk's bits are drawn per step (in this period) and class of symbols, one bit of a word for each walk.
+PERIOD, CLASSES = 512, 1024
+
+
+@lru_cache(maxsize=2)
+def coins(seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 1 << 63, (PERIOD, CLASSES), dtype=np.int64)
 
 
 def embed(symbols: np.ndarray, starts: np.ndarray, n: int, search: Search) -> np.ndarray:
-    """CGK embeddings, shape (walks, starts, 3n), of the windows of ``n`` symbols at ``starts``; past a window's end stands -1."""
-    padded = np.append(symbols, -1).astype(np.int64)
-    stop = np.minimum(starts + n, len(symbols))
-    at = np.tile(starts, (search.walks, 1))
-    salt = mixed(np.arange(search.walks, dtype=np.uint64) + np.uint64(search.seed << 20))[:, None]
-    out = np.empty((search.walks, len(starts), 3 * n), np.int64)
+    """CGK embeddings, shape (3n, walks, starts), of the windows of ``n`` symbols at ``starts``; past a window's end stands -1."""
+    toss, walk = coins(search.seed), np.arange(search.walks)[:, None]
+    windows = np.append(symbols, np.full(n + 1, -1))[starts[:, None] + np.arange(n + 1)]
+    windows[:, n] = -1
+    flat, base = windows.ravel(), (np.arange(len(starts)) * (n + 1))[None, :]
+    at = np.repeat(base, search.walks, 0)
+    stop = at + n
+    out = np.empty((3 * n, search.walks, len(starts)), np.int64)
     for step in range(3 * n):
-        now = np.where(at < stop, padded[np.minimum(at, len(symbols))], -1)
-        out[:, :, step] = now
-        at = at + (mixed(now.astype(np.uint64) * np.uint64(2 * step + 1) + salt + np.uint64(step)) & np.uint64(1)).astype(np.int64)
+        now = out[step] = flat[at]
+        at = np.minimum(at + ((toss[step % PERIOD][now & (CLASSES - 1)] >> walk) & 1), stop)
     return out
 
 
+@lru_cache(maxsize=4096)
+def places(n: int, search: Search) -> np.ndarray:
+    """Places of an embedding that the tables compare, shape (walks, tables of a walk, samples)."""
+    rng = np.random.default_rng((search.seed, n))
+    return rng.integers(0, 3 * n, (search.walks, search.per_walk, search.samples))
+
+
 def keys(embedded: np.ndarray, n: int, search: Search) -> np.ndarray:
-    """Hash keys, shape (tables, windows): each from ``samples`` places of one walk."""
-    rng = np.random.default_rng(search.seed + n)
-    out = []
-    for walk in embedded:
-        for _ in range(search.per_walk):
-            key = np.zeros(walk.shape[0], np.uint64)
-            for place in rng.choice(3 * n, min(search.samples, 3 * n), replace=False):
-                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + walk[:, place].astype(np.uint64))
-            out.append(key)
-    return np.stack(out)
+    """Keys, shape (walks, tables of a walk, samples, windows): the sampled symbols themselves."""
+    return embedded[places(n, search), np.arange(search.walks)[:, None, None]]
 
 
 def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -112,25 +119,27 @@ class Items:
     def __init__(self, texts: list[str], search: Search):
         self.search, self.words, self.symbols = search, {}, []
         for text in texts:
-            words = [w.lower() for w in TOKEN.findall(text)]
+            words = TOKEN.findall(text.lower())
             self.symbols.append(np.array([self.words.setdefault(w, len(self.words) + 1) for w in words], np.int64))
         self.base = len(self.words) + 1
         self.kept = [i for i, s in enumerate(self.symbols) if len(s) >= max(2, search.least_words)]
         postings, self.tables = defaultdict(list), {}
-        self.needs, sizes = {}, defaultdict(list)
+        self.needs, self.counts, sizes = {}, {}, defaultdict(list)
         for i in self.kept:
             n, grams = len(self.symbols[i]), self.grams(self.symbols[i])
             # An edit spoils two pairs of neighbours at most, so this many remain in a match.
             self.needs[i] = max(1, n - 1 - 2 * search.edits(n))
             sizes[n].append(i)
-            for g in set(grams.tolist()):
+            self.counts[i] = Counter(grams.tolist())
+            for g in self.counts[i]:
                 postings[g].append(i)
         self.postings = dict(postings)
         self.pairs = np.array(sorted(postings), np.int64)
         for n, members in sizes.items():
-            made = [keys(embed(self.symbols[i], np.zeros(1, np.int64), n, search), n, search)[:, 0] for i in members]
-            self.tables[n] = (members, np.stack(made, 1))
+            for i in members:
+                self.tables[i] = keys(embed(self.symbols[i], np.zeros(1, np.int64), n, search), n, search)
         if self.kept:
+            self.margin = max(n + search.edits(n) for n in sizes)
             self.reach = min(n + search.edits(n) for n in sizes)
             self.least = min(math.ceil(self.needs[m[0]] / math.ceil((n + search.edits(n)) / self.reach)) for n, m in sizes.items())
 
@@ -143,15 +152,19 @@ class Items:
         ends = np.minimum(np.arange(len(hits)) + self.reach, len(hits))
         dense = np.flatnonzero(total[ends] - total[:-1] >= self.least)
         if len(dense):
-            margin = max(len(self.symbols[i]) + self.search.edits(len(self.symbols[i])) for i in self.kept)
-            for part in np.split(dense, np.flatnonzero(np.diff(dense) > 2 * margin + self.reach) + 1):
-                yield max(0, int(part[0]) - margin), min(len(hits) + 1, int(part[-1]) + margin + self.reach)
+            for part in np.split(dense, np.flatnonzero(np.diff(dense) > 2 * self.margin + self.reach) + 1):
+                yield max(0, int(part[0]) - self.margin), min(len(hits) + 1, int(part[-1]) + self.margin + self.reach)
+
+    def shares(self, item: int, part: np.ndarray) -> bool:
+        """Whether ``part`` has enough of the item's pairs, each as often as the item has it at most."""
+        seen, times = np.unique(self.grams(part), return_counts=True)
+        own = self.counts[item]
+        return sum(min(own.get(g, 0), t) for g, t in zip(seen.tolist(), times.tolist(), strict=True)) >= self.needs[item]
 
     def find(self, text: str | None) -> list[dict]:
         """Best match per item, in words ``[start, end)`` of the text."""
-        tokens = TOKEN.findall(text) if text and self.kept else []
-        known = self.words.get
-        symbols = np.fromiter((known(w.lower(), 0) for w in tokens), np.int64, len(tokens))
+        tokens = TOKEN.findall(text.lower()) if text and self.kept else []
+        symbols = np.fromiter(map(self.words.get, tokens, repeat(0)), np.int64, len(tokens))
         if len(symbols) < 2:
             return []
         grams = self.grams(symbols)
@@ -166,9 +179,9 @@ class Items:
                 for item in self.postings[int(grams[low + at])]:
                     shared[item].append(int(at))
             by_size = defaultdict(list)
-            for item, places in shared.items():
-                if len(places) >= self.needs[item]:
-                    by_size[len(self.symbols[item])].append((item, np.array(places)))
+            for item, at in shared.items():
+                if len(at) >= self.needs[item]:
+                    by_size[len(self.symbols[item])].append((item, np.array(at)))
             for n, items in by_size.items():
                 for item, start, end, distance in self.matches(symbols[low:high], n, items):
                     if item not in best or (distance, low + start) < best[item][:2]:
@@ -178,15 +191,15 @@ class Items:
     def matches(self, symbols: np.ndarray, n: int, items: list) -> Iterator[tuple[int, int, int, int]]:
         """LSH over all windows of ``n`` words that keep enough of an item's pairs, then the exact distance around those that collide."""
         edits = self.search.edits(n)
-        members, table = self.tables[n]
-        column = {item: k for k, item in enumerate(members)}
-        for item, places in items:
+        for item, hits in items:
             starts = np.arange(max(1, len(symbols) - (n - edits) + 1))
-            held = np.searchsorted(places, starts + n + edits) - np.searchsorted(places, starts)
+            held = np.searchsorted(hits, starts + n + edits) - np.searchsorted(hits, starts)
             starts = starts[held >= self.needs[item]]
+            runs = np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1) if len(starts) else []
+            starts = np.concatenate([r for r in runs if self.shares(item, symbols[r[0] : r[-1] + n + edits])] or [np.zeros(0, np.int64)])
             for batch in np.array_split(starts, math.ceil(len(starts) / 256)) if len(starts) else []:
                 own = keys(embed(symbols, batch, n, self.search), n, self.search)
-                for group in np.split(near := batch[(own == table[:, column[item], None]).any(0)], np.flatnonzero(np.diff(near) > n) + 1):
+                for group in np.split(near := batch[(own == self.tables[item]).all(2).any((0, 1))], np.flatnonzero(np.diff(near) > n) + 1):
                     if len(group):
                         low = max(0, int(group[0]) - edits)
                         part = symbols[low : int(group[-1]) + n + 2 * edits]
