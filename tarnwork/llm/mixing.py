@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tarnwork.llm.common import col, global_prefix, slices_for, table, word_count
+from tarnwork.llm.common import col, global_prefix, shuffle_width, slices_for, table, word_count
 from tarnwork.llm.registry import query
 from tarnwork.session import settle
 
@@ -100,7 +100,7 @@ def mix_plan(
     stride = F.coalesce(*[F.when(F.col("n_blocks") % p != 0, F.lit(p)) for p in STRIDES], F.lit(1))
     quotas = settle(quotas.withColumn("stride", stride), "seats")
 
-    slices = slices_for(rows.count(), rows_per_slice)
+    slices = max(slices_for(rows.count(), rows_per_slice), shuffle_width(df.sparkSession))
     place = F.shiftrightunsigned(F.xxhash64(F.col("id"), F.lit(seed)), 1)
     hashed = rows.withColumn("place", place).withColumn("slice", F.expr(f"place div {2**63 // slices + 1}"))
     known = hashed.join(quotas, hashed["source"].eqNullSafe(quotas["source"])).drop(quotas["source"])

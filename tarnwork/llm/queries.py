@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tarnwork.llm import chat, decontam, fingerprints, langid, mixing, pii, sharding, warc  # noqa: F401
+from tarnwork.llm import chat, decontam, fingerprints, langid, licenses, mixing, pii, sharding, warc  # noqa: F401
 from tarnwork.llm.registry import QUERIES, SQL  # noqa: F401
