@@ -122,21 +122,22 @@ def train(
 
 
 def identifier(spark: SparkSession, model: Model | None, margin: float = 0.15, batch: int = 128):
-    """A function from a text column to a struct ``lang, score, ambiguous``.
+    """A function from a text column to a struct ``lang, score, ambiguous, fits``.
 
     The language is that of the codeword with the least loss; ``score`` is its share of exp(-loss) over
     all codewords, sharpened by the code's width; ``ambiguous`` marks texts whose second codeword's
-    loss is nearer than ``margin`` times the sum of both. A text that is NULL or has no
-    letter, or any text without a model, is ``und`` with score 0 and ambiguous.
+    loss is nearer than ``margin`` times the sum of both, and ``fits`` those whose bits agree with the
+    codeword better than coins would (a loss under ln 2). A text that is NULL or has no
+    letter, or any text without a model, is ``und`` with score 0, ambiguous, and fits nothing.
     """
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double, ambiguous boolean")
+    @F.pandas_udf("lang string, score double, ambiguous boolean, fits boolean")
     def identify(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for texts in parts:
             n = len(texts)
-            lang, score, vague = np.full(n, UNDETERMINED, object), np.zeros(n), np.ones(n, bool)
+            lang, score, vague, fits = np.full(n, UNDETERMINED, object), np.zeros(n), np.ones(n, bool), np.zeros(n, bool)
             known = [i for i, t in enumerate(texts) if m and t and LETTER.search(t)]
             for start in range(0, len(known), batch):
                 rows = known[start : start + batch]
@@ -144,6 +145,7 @@ def identifier(spark: SparkSession, model: Model | None, margin: float = 0.15, b
                 order = np.argsort(loss, 1, kind="stable")
                 best = np.take_along_axis(loss, order[:, :1], 1)
                 odds = np.exp(-(loss - best) * m.codes.shape[1])
+                fits[rows] = best[:, 0] < np.log(2)
                 lang[rows] = np.array(m.classes, object)[order[:, 0]]
                 score[rows] = 1 / odds.sum(1)
                 if len(m.classes) > 1:
@@ -151,7 +153,7 @@ def identifier(spark: SparkSession, model: Model | None, margin: float = 0.15, b
                     vague[rows] = ((second - best) < margin * (second + best))[:, 0]
                 else:
                     vague[rows] = False
-            yield pd.DataFrame({"lang": lang, "score": score, "ambiguous": vague})
+            yield pd.DataFrame({"lang": lang, "score": score, "ambiguous": vague, "fits": fits})
 
     return identify
 
