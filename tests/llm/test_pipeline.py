@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from tarnwork.llm.decontam import TOKEN
-from tests.llm.test_decontam import brute as brute_leaks
-from tests.llm.test_jaccard_join import brute as brute_groups
-from tests.llm.test_mixing import brute_targets
-from tests.llm.test_sharding import brute as brute_shards
+from .test_decontam import brute as brute_leaks
+from .test_jaccard_join import brute as brute_groups
+from .test_mixing import brute_targets
+from .test_sharding import brute as brute_shards
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = {"en": "the of and with there house water from this".split(), "fr": "le la des eau être maison où dans une".split(), "de": "der die und Haus Wasser über ßig nicht ein".split()}
