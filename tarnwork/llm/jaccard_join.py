@@ -13,6 +13,10 @@ are one point (class). The join goes from coarse to fine:
    measured against the pivot p of the other one; by the triangle inequality only points x with
    d(x, p) >= d(y, p) - r can link to y, and only these boundary points are compared.
 
+Before a distance is measured, a lower bound is taken from parity sketches: hashing the shingles into buckets, two sets
+differ in at least as many shingles as buckets whose counts differ in parity. Pairs beyond what matters by this bound are
+not measured.
+
 Steps 2 and 3 take one measurement per point and pivot, so a large group of near copies costs a multiple of its size and
 not its square, while every link between components is found.
 """
@@ -36,7 +40,11 @@ from tarnwork.session import settle
 
 #: Odd 64-bit numbers that tell a word's place in a shingle.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-META = "doc_id long, n long, cid long, proof long, heavy binary"
+#: Bits of a sketch per shingle, at least; sketches have powers of two from the least number of bits on.
+SKETCH_RATE, SKETCH_LEAST = 4, 1024
+#: Bits of the filter that keeps most unneeded texts out of a shuffle.
+FILTER_BITS = 1 << 23
+META = "doc_id long, n long, cid long, proof long, sketch array<long>, heavy binary"
 
 
 @dataclass(frozen=True)
@@ -88,26 +96,36 @@ def identity(own: np.ndarray) -> tuple[int, int]:
     return tuple(x - (1 << 64) if x >> 63 else x for x in (xxhash.xxh3_64_intdigest(raw), xxhash.xxh64_intdigest(raw, seed=1)))
 
 
+def sketch(own: np.ndarray) -> list[int]:
+    """Parity of the number of shingles per bucket, 64 buckets to a number. Twice the buckets fold into these by exclusive or of both halves."""
+    bits = SKETCH_LEAST
+    while bits < SKETCH_RATE * len(own):
+        bits *= 2
+    parity = np.bincount((own % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64).tolist()
+
+
 def describe(docs: DataFrame, rule: Rule) -> DataFrame:
     """Per document its set's size and digests; one row of each batch also lists shingles that are frequent in the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, ids, proofs, sets = [], [], [], {}
+            sizes, ids, proofs, sketches, sets = [], [], [], [], {}
             for text in batch.column("text"):
                 own = shingles(text.as_py(), rule.size)
                 cid, proof = identity(own)
                 sizes.append(len(own))
                 ids.append(cid)
                 proofs.append(proof)
+                sketches.append(None if cid in sets else sketch(own))
                 sets[cid] = own
             heavy = [None] * len(sizes)
             if sizes:
                 seen, times = np.unique(np.concatenate(list(sets.values())), return_counts=True)
                 often = times >= 4
                 heavy[0] = np.stack([seen[often], times[often].astype(np.uint64)], 1).tobytes()
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(proofs, pa.int64()), pa.array(heavy, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "cid", "proof", "heavy"])
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(proofs, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(heavy, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "cid", "proof", "sketch", "heavy"])
 
     return docs.mapInArrow(run, META)
 
@@ -128,7 +146,9 @@ def common_shingles(meta: DataFrame, rule: Rule) -> np.ndarray:
 
 
 def neighbourhoods(docs: DataFrame, rule: Rule, common: np.ndarray, buckets: int) -> DataFrame:
-    """``shingle, cid``: the points that look at a shingle first, for shingles that several points look at.
+    """``place, cid``: the points that look at the same shingle first, for shingles that several points look at.
+
+    A place is named by the sum of hashes of its points; if two sums were equal, the points would be compared as if they met.
 
     Tasks send packed arrays per range of shingles, not a row for every shingle, and a range is sorted where it arrives.
     """
@@ -173,19 +193,67 @@ def neighbourhoods(docs: DataFrame, rule: Rule, common: np.ndarray, buckets: int
             new = np.ones(len(rows), bool)
             new[1:] = (rows[1:] != rows[:-1]).any(1)
             rows = rows[new]
-            same = np.zeros(len(rows) + 1, bool)
-            same[1:-1] = rows[1:, 0] == rows[:-1, 0]
-            rows = rows[same[:-1] | same[1:]]
+            begins = np.ones(len(rows), bool)
+            begins[1:] = rows[1:, 0] != rows[:-1, 0]
+            at = np.flatnonzero(begins)
+            length = np.diff(np.append(at, len(rows)))
+            # Near copies share many shingles; where the same points meet, one neighbourhood is enough.
+            who = np.repeat(np.add.reduceat(mixed(rows[:, 1]), at), length)
+            several = np.repeat(length > 1, length)
+            rows = np.unique(np.stack([who[several], rows[several, 1]], 1), axis=0)
         for part in range(0, len(rows), 100_000):
-            own = rows[part : part + 100_000].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(own[:, 0]), pa.array(own[:, 1])], ["shingle", "cid"])
+            own = np.ascontiguousarray(rows[part : part + 100_000]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(own[:, 0]), pa.array(own[:, 1])], ["place", "cid"])
 
     packed = docs.select("text").mapInArrow(send, "bucket int, rows binary")
-    return packed.repartition(buckets, "bucket").mapInArrow(meet, "shingle long, cid long")
+    return packed.repartition(buckets, "bucket").mapInArrow(meet, "place long, cid long").distinct()
+
+
+def folded(longer, other):
+    """A sketch folded to half its size if it is longer than the other one."""
+    half = F.floor(F.size(longer) / 2).cast("int")
+    return F.when(F.size(longer) > F.size(other), F.zip_with(F.slice(longer, 1, half), F.slice(longer, half + 1, half), lambda x, y: x.bitwiseXOR(y))).otherwise(longer)
+
+
+def within(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` (once each) whose distance can be ``reach`` at most, a column of ``pairs``, as far as sizes and sketches tell."""
+    left = classes.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    right = classes.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    # Sizes first: they are short, and most pairs go by them.
+    sized = pairs.join(left.select("a", "n_a"), "a").join(right.select("b", "n_b"), "b")
+    apart = F.abs(F.col("n_a") - F.col("n_b"))
+    sized = sized.where(apart / F.greatest("n_a", "n_b") <= F.col("reach") + 1e-9).groupBy("a", "b").agg(F.max("reach").alias("reach"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
+    both = sized.join(left.select("a", "sketch_a"), "a").join(right.select("b", "sketch_b"), "b")
+    for _ in range(2):
+        both = both.withColumns({"sketch_a": folded(F.col("sketch_a"), F.col("sketch_b")), "sketch_b": folded(F.col("sketch_b"), F.col("sketch_a"))})
+    odd = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    differ = F.greatest(F.coalesce(odd, F.lit(0)), apart)
+    least = 2.0 * differ / (F.col("n_a") + F.col("n_b") + differ)
+    return settle(both.where(least <= F.col("reach") + 1e-9).select("a", "b"), "pairs")
 
 
-def measured(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """``a, b, d, linked`` for pairs ``a, b`` of points: the exact distance of their sets, from ``texts`` (``cid, text``)."""
+def texts_of(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``cid, text`` of the points in ``pairs``.
+
+    A bitmap of hashed ids, of at most ``FILTER_BITS`` bits however many ids there are, keeps other texts out of the join's shuffle.
+    """
+    used = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    wanted = settle(used.join(classes.select("cid", F.col("name").alias("wanted_id")), "cid"), "wanted")
+
+    def bit(doc_id: str):
+        return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS)).cast("long")
+
+    maps = wanted.select(bit("wanted_id").alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    placed = docs.withColumn("bit", bit("doc_id"))
+    placed = placed.withColumns({"bucket": F.bitmap_bucket_number("bit"), "position": F.bitmap_bit_position("bit")})
+    octet = F.conv(F.hex(F.expr("substring(bits, CAST(position div 8 AS INT) + 1, 1)")), 16, 10).cast("long")
+    likely = placed.join(F.broadcast(maps), "bucket").where(F.getbit(octet, (F.col("position") % 8).cast("int")) == 1)
+    return settle(likely.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("cid", "text"), "texts")
+
+
+def measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """``a, b, d, linked`` for pairs ``a, b`` of points: the exact distance of their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, other = None, None
@@ -206,26 +274,21 @@ def measured(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
             columns = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "d", "linked"])
 
+    texts = texts_of(pairs, docs, classes)
     left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").sortWithinPartitions("b")
     return settle(rows.mapInArrow(run, "a long, b long, d double, linked boolean").distinct(), "measured")
 
 
-def compatible(n: str, m: str, rule: Rule):
-    """Whether sets of these sizes can link at all."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * rule.percent
-
-
-def links(points: DataFrame, near: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """Links ``a, b`` whose components are those of all links. ``points``: ``cid, n``; ``near``: ``shingle, cid``."""
-    own = settle(near.join(points, "cid"), "near")
-    pivots = own.groupBy("shingle").agg(F.min("cid").alias("b"))
-    sizes = points.select(F.col("cid").alias("b"), F.col("n").alias("m"))
-    first = own.join(pivots, "shingle").where("cid <> b").select(F.col("cid").alias("a"), "b", "n").distinct()
-    first = first.join(sizes, "b").where(compatible("n", "m", rule)).select("a", "b")
-    tested = measured(first, texts, rule)
+def links(near: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Links ``a, b`` whose components are those of all links. ``near``: ``place, cid``; ``classes``: ``cid, name, n, sketch``."""
+    radius = F.lit(rule.radius)
+    pivots = near.groupBy("place").agg(F.min("cid").alias("b"))
+    first = near.join(pivots, "place").where("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
+    tested = measured(within(first.withColumn("reach", radius), classes), docs, classes, rule)
     found = tested.where("linked").select("a", "b")
+    points = near.select("cid").distinct()
     if not found.head(1):
         parts = points.select("cid", F.col("cid").alias("part"))
     else:
@@ -234,28 +297,27 @@ def links(points: DataFrame, near: DataFrame, texts: DataFrame, rule: Rule) -> D
     # Regions: the nearest linked pivot, at distance at; a point without one is its own.
     nearest = tested.where("linked").groupBy(F.col("a").alias("cid")).agg(F.min(F.struct("d", "b")).alias("to")).select("cid", "to.d", "to.b")
     placed = parts.join(nearest, "cid", "left").select("cid", "part", F.coalesce("b", "cid").alias("region"), F.coalesce("d", F.lit(0.0)).alias("at"))
-    weight = placed.groupBy("region").agg(F.count(F.lit(1)).alias("weight"))
+    weight = placed.groupBy("region").agg(F.count(F.lit(1)).alias("weight"), F.max("at").alias("breadth"))
     placed = settle(placed.join(weight, "region"), "regions")
     # Only neighbourhoods that still hold several components.
-    here = own.join(placed, "cid")
-    open_ = here.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("shingle")
-    here = settle(here.join(open_, "shingle"), "open")
-    x = here.select("shingle", F.col("part").alias("x_part"), "region", F.col("weight").alias("x_weight")).distinct()
-    y = here.select("shingle", F.col("cid").alias("y"), F.col("part").alias("y_part"), F.col("region").alias("y_region"), F.col("weight").alias("y_weight"))
+    here = near.join(placed, "cid")
+    open_ = here.groupBy("place").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("place")
+    here = settle(here.join(open_, "place"), "open")
+    x = here.select("place", F.col("part").alias("x_part"), "region", F.col("weight").alias("x_weight")).distinct()
+    y = here.select("place", F.col("cid").alias("y"), F.col("part").alias("y_part"), F.col("region").alias("y_region"), F.col("weight").alias("y_weight"))
     larger = (F.col("x_weight") > F.col("y_weight")) | ((F.col("x_weight") == F.col("y_weight")) & (F.col("region") > F.col("y_region")))
-    probes = x.join(y, "shingle").where((F.col("x_part") != F.col("y_part")) & larger).select(F.col("y").alias("a"), F.col("region").alias("b")).distinct()
-    # Against a region of one point the measurement is the comparison itself, so sizes that cannot link need none.
-    sized = probes.join(points.select(F.col("cid").alias("a"), "n"), "a").join(sizes, "b").join(weight.select(F.col("region").alias("b"), "weight"), "b")
-    probes = sized.where(compatible("n", "m", rule) | (F.col("weight") > 1)).select("a", "b")
-    probed = measured(probes, texts, rule)
+    probes = x.join(y, "place").where((F.col("x_part") != F.col("y_part")) & larger).select(F.col("y").alias("a"), F.col("region").alias("b")).distinct()
+    # Beyond the region's breadth and the radius together nothing in it can link.
+    reach = weight.select(F.col("region").alias("b"), (F.col("breadth") + radius).alias("reach"))
+    probed = measured(within(probes.join(reach, "b"), classes), docs, classes, rule)
     # Boundary points of the region that the triangle inequality leaves open.
-    inner = here.where("weight > 1").select("shingle", F.col("cid").alias("x"), "region", "at", F.col("n").alias("x_n"), F.col("part").alias("x_part"))
-    outer = here.select("shingle", F.col("cid").alias("a"), F.col("n").alias("a_n"), F.col("part").alias("a_part"))
+    inner = here.where("weight > 1").select("place", F.col("cid").alias("x"), "region", "at", F.col("part").alias("x_part"))
+    outer = here.select("place", F.col("cid").alias("a"), F.col("part").alias("a_part"))
     window = probed.where("NOT linked").select("a", F.col("b").alias("region"), "d")
-    both = outer.join(window, "a").join(inner, ["shingle", "region"])
+    both = outer.join(window, "a").join(inner, ["place", "region"])
     close = both.where((F.col("at") >= F.col("d") - F.lit(rule.radius + 1e-9)) & (F.col("x") != F.col("region")) & (F.col("x_part") != F.col("a_part")))
-    last = close.where(compatible("a_n", "x_n", rule)).select("a", F.col("x").alias("b")).distinct()
-    checked = measured(last, texts, rule)
+    last = close.select("a", F.col("x").alias("b"), radius.alias("reach"))
+    checked = measured(within(last, classes), docs, classes, rule)
     return found.unionByName(probed.where("linked").select("a", "b")).unionByName(checked.where("linked").select("a", "b"))
 
 
@@ -270,7 +332,8 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     spark = df.sparkSession
     docs = df.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
     meta = settle(describe(docs, rule), "sets")
-    classes = settle(meta.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("name"), F.max("n").alias("n"), F.min("proof").alias("low"), F.max("proof").alias("high")), "classes")
+    facts = [F.min("doc_id").alias("name"), F.max("n").alias("n"), F.min("proof").alias("low"), F.max("proof").alias("high"), F.first("sketch", ignorenulls=True).alias("sketch")]
+    classes = settle(meta.where("n > 0").groupBy("cid").agg(*facts), "classes")
     total, torn = classes.agg(F.sum("n"), F.count(F.when(F.col("low") != F.col("high"), 1))).first()
     if torn:
         raise RuntimeError(f"{torn} digests stand for several sets; use another seed")
@@ -278,11 +341,7 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
         return meta.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     buckets = max(shuffle_width(spark), math.ceil(total * rule.radius * 16 / (32 << 20)))
     near = settle(neighbourhoods(docs, rule, common_shingles(meta, rule), buckets), "neighbourhoods")
-    points = settle(near.select("cid").distinct().join(classes.select("cid", "name", "n"), "cid"), "points")
-    # The texts of the points that have neighbours; the others are done with.
-    wanted = points.select("cid", F.col("name").alias("doc_id"))
-    texts = settle(docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("cid", "text"), "texts")
-    found = settle(links(points.select("cid", "n"), near, texts, rule), "links")
+    found = settle(links(near, docs, classes, rule), "links")
     named = classes.select("cid", "name")
     if found.head(1):
         labels = components(found)

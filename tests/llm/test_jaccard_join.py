@@ -132,3 +132,21 @@ def test_all_documents(spark, sf_dir):
     result = jj.op5_jaccard_join(spark, sf_dir)
     same(result, rows)
     assert result.where(F.col("component_id") != F.col("doc_id")).count() > 0
+
+
+def test_sketches_never_hide_a_link(frame):
+    rng, rows, wanted = np.random.default_rng(5), [], {}
+    for k in range(60):
+        size = int(rng.integers(1, 3000))
+        base = rng.integers(0, 1 << 62, size).astype(np.uint64)
+        other = np.concatenate([base[: int(size * rng.uniform(0.3, 1))], rng.integers(0, 1 << 62, int(size * rng.uniform(0, 0.7))).astype(np.uint64)])
+        sets = [np.unique(x) for x in (base, other)]
+        common = len(np.intersect1d(*sets))
+        wanted[2 * k, 2 * k + 1] = 1 - common / (len(sets[0]) + len(sets[1]) - common)
+        rows += [(2 * k + i, len(x), jj.sketch(x)) for i, x in enumerate(sets)]
+    classes = frame(rows, "cid long, n long, sketch array<long>")
+    for reach in (0.25, 0.5):
+        pairs = frame([(a, b, reach) for a, b in wanted], "a long, b long, reach double")
+        kept = {(r.a, r.b) for r in jj.within(pairs, classes).collect()}
+        assert {p for p, d in wanted.items() if d <= reach} <= kept
+        assert len(kept) < 0.8 * len(wanted)
