@@ -35,7 +35,14 @@ def bucket_label(c: Column | str, labels: Sequence[str]) -> Column:
 
 
 def numbered_name(prefix: str, c: Column | str, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(_col(c).cast("string"), width, "0"))
+    """Prefix and number with zeros up to ``width`` digits; a longer number stays whole."""
+    return F.concat(F.lit(prefix), padded(c, width))
+
+
+def padded(c: Column | str, width: int) -> Column:
+    """Number as text with zeros up to ``width`` digits; a longer one stays whole."""
+    digits = _col(c).cast("string")
+    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
 
 
 def to_number(c: Column | str, sentinel: str = "null") -> Column:

@@ -92,9 +92,12 @@ def classify_text(
 def summarize_text(
     df: DataFrame, text: str, load: Load, max_chars: int = 30, name: str = "summary", on_error: str = "null"
 ) -> DataFrame:
-    """Add one sentence of at most ``max_chars`` characters."""
+    """Add one sentence, for which the prompt asks for at most ``max_chars`` characters, and its length ``<name>_chars``.
+
+    The answer is kept whole, also where the model was not brief.
+    """
     answer = ask(summarize_prompt(text, max_chars), F.col(text), load, on_error)["result"]
-    return df.withColumn(name, F.left(answer, F.lit(max_chars)))
+    return df.withColumn(name, answer).withColumn(f"{name}_chars", F.length(name))
 
 
 def score_text(

@@ -21,7 +21,7 @@ def keyword_classifier(words: Mapping[str, Sequence[str]], default: str):
 
 
 def sentence_picker(max_chars: int = 30):
-    """The longest sentence that fits, the first of equals; the shortest one cut if none fits."""
+    """The longest sentence that fits, the first of equals; the shortest one if none fits."""
 
     def load():
         end = re.compile(SENTENCE_END)
@@ -31,7 +31,7 @@ def sentence_picker(max_chars: int = 30):
             fitting = [s for s in sentences if len(s) <= max_chars]
             if fitting:
                 return max(fitting, key=len)
-            return min(sentences, key=len, default="")[:max_chars]
+            return min(sentences, key=len, default="")
 
         return answer
 

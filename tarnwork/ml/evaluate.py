@@ -22,12 +22,17 @@ def score_counts(scored: DataFrame, label: str = "label", probability: str = "pr
 
     Rows of equal score are combined, so ties count together and a score shared
     by many rows is one row from here on. The scored rows are read only here.
+    Rows without a score have no place in an order, so they are refused with their number.
     """
     positive = F.col(label) == 1
     counts = scored.groupBy(F.col(probability).cast("double").alias("threshold")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
-    return settle(counts, "score-counts")
+    counts = settle(counts, "score-counts")
+    unscored = counts.where(F.col("threshold").isNull() | F.isnan("threshold")).agg(F.sum(F.col("positives") + F.col("negatives"))).first()[0]
+    if unscored:
+        raise ValueError(f"{unscored} rows have no score")
+    return counts
 
 
 def threshold_counts(counts: DataFrame) -> DataFrame:

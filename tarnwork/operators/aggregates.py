@@ -18,17 +18,12 @@ def sum_by(df: DataFrame, keys: Sequence[str | Column], value: str | Column, nam
 def percent_of_total(df: DataFrame, key: str, count_name: str = "n", percent_name: str = "pct") -> DataFrame:
     """Rows per group and their share of all rows in percent, one decimal, largest first.
 
-    The total is a scalar subquery: a window over the whole result would put
-    all groups into one task.
+    The total is a scalar subquery over the groups' counts, whose shuffle it
+    shares: a window over the whole result would put all groups into one task.
     """
-    total = df.agg(F.count("*"))
-    share = F.col(count_name).cast("decimal(20,0)") * 100 / total.scalar()
-    return (
-        df.groupBy(key)
-        .agg(F.count("*").alias(count_name))
-        .withColumn(percent_name, F.round(share, 1))
-        .orderBy(F.desc(count_name), key)
-    )
+    counts = df.groupBy(key).agg(F.count("*").alias(count_name))
+    share = F.col(count_name).cast("decimal(20,0)") * 100 / counts.agg(F.sum(count_name)).scalar()
+    return counts.withColumn(percent_name, F.round(share, 1)).orderBy(F.desc(count_name), key)
 
 
 def sum_where(value: str, condition: Column, name: str) -> Column:

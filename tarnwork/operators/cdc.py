@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 DELETED = "_deleted"
 
@@ -34,7 +34,12 @@ def latest_changes(
         delete = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
     feed = feed.withColumn(DELETED, F.coalesce(delete, F.lit(False))).drop(*except_columns)
     rest = [c for c in feed.columns if c not in {*keys, *sequence_by, DELETED}]
-    newest = F.max(F.struct(*sequence_by, DELETED, *rest)).alias("_newest")
+    maps = {f.name for f in feed.schema if isinstance(f.dataType, T.MapType)}
+    if maps:  # maps have no order, their sorted entries have
+        order = F.struct(*sequence_by, DELETED, *[F.sort_array(F.map_entries(c)) if c in maps else F.col(c) for c in rest])
+        newest = F.max_by(F.struct(*sequence_by, DELETED, *rest), order).alias("_newest")
+    else:
+        newest = F.max(F.struct(*sequence_by, DELETED, *rest)).alias("_newest")
     return feed.groupBy(*keys).agg(newest).select(*[c if c in keys else F.col("_newest")[c].alias(c) for c in feed.columns])
 
 

@@ -7,8 +7,9 @@ each operator returns the new content; ``tables.replace_table`` swaps it in.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 class SchemaError(ValueError):
@@ -49,11 +50,20 @@ def can_store(old: T.DataType, new: T.DataType) -> bool:
     return isinstance(new, T.StringType) and isinstance(old, T.AtomicType)
 
 
+def in_target_spelling(source: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Source columns that differ from the table's in case alone get its spelling, as Spark takes both for the same."""
+    if source.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return source
+    known = {c.lower(): c for c in names}
+    return source.toDF(*[known.get(c.lower(), c) for c in source.columns])
+
+
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The frame in the table's columns and types, or ``SchemaError``.
 
     Unknown columns and text for numbers are refused; missing columns are NULL.
     """
+    df = in_target_spelling(df, schema.names)
     unknown = [c for c in df.columns if c not in schema.names]
     if unknown:
         raise SchemaError(f"the table has no column {', '.join(unknown)}")
@@ -85,6 +95,7 @@ def merge_upsert(
     source rows. For a source beyond it, ``large_source`` does both in a single
     full outer join, with one shuffle of each side.
     """
+    source = in_target_spelling(source, target.columns)
     new_columns = [c for c in source.columns if c not in target.columns]
     if new_columns and not evolve:
         raise SchemaError(f"the table has no column {', '.join(new_columns)}")
@@ -96,6 +107,10 @@ def merge_upsert(
     if not repeated.isEmpty() and not repeated.join(target, list(keys), "left_semi").isEmpty():
         raise SchemaError("more than one source row for a target row")
 
+    if large_source:
+        # Rows with a NULL key match nothing; in the join they would all go to one task.
+        keyed = reduce(Column.__and__, [F.col(f"`{k}`").isNotNull() for k in keys])
+        target, typed, apart = target.where(keyed), typed.where(keyed), (target.where(~keyed), typed.where(~keyed))
     shared = [c for c in typed.columns if c not in keys]
     changes = typed.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in shared])
     merged = target.join(changes, list(keys), "full" if large_source else "left")
@@ -109,6 +124,8 @@ def merge_upsert(
             picked.append(F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
     result = merged.select(*picked)
     if large_source:
+        for rows in apart:
+            result = result.unionByName(rows, allowMissingColumns=True)
         return result
     matched = target.join(typed.select(*keys), list(keys), "left_semi").select(*keys).distinct()
     inserted = typed.join(matched, list(keys), "left_anti")

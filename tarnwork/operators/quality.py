@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tarnwork.operators.project import all_rules, with_rule_flag
+from tarnwork.session import scratch_dir
 
 Rules = Mapping[str, str]
 
@@ -17,6 +19,11 @@ def _holds(rule: Column, null_as: str) -> Column:
     return F.coalesce(rule, F.lit(null_as == "valid"))
 
 
+def _kept_whole(df: DataFrame) -> DataFrame:
+    """The same rows. A filter put on later is not pushed below, where it would hide rows from a check on top of this."""
+    return df.observe(f"checked {uuid.uuid4().hex}", F.count(F.lit(1)).alias("n_rows"))
+
+
 def _must(df: DataFrame, condition: Column, message: str) -> DataFrame:
     # Inside a filter the check cannot be pruned away with an unused column.
     return df.where(F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
@@ -47,6 +54,8 @@ def expect(
         return df
     if on_fail == "drop":
         return df.where(_holds(all_rules(rules), null_as))
+    if observation is None:
+        df = _kept_whole(df)
     for name, rule in rules.items():
         df = _must(df, _holds(F.expr(rule), null_as), f"rule {name} is violated: {rule}")
     return df
@@ -58,12 +67,23 @@ def quarantine(df: DataFrame, rules: Rules, null_as: str = "invalid") -> tuple[D
     Where a rule is unknown for want of a value the row is invalid; with
     ``null_as="drop"`` such rows are in neither part.
     """
+    flagged = _flagged(df, rules, null_as)
+    return flagged.where("_valid").drop("_valid"), flagged.where("NOT _valid").drop("_valid")
+
+
+def _flagged(df: DataFrame, rules: Rules, null_as: str) -> DataFrame:
     if null_as not in ("invalid", "drop"):
         raise ValueError("null_as is 'invalid' or 'drop'")
     flagged = with_rule_flag(df, rules, "_valid")
-    if null_as == "invalid":
-        flagged = flagged.withColumn("_valid", F.coalesce("_valid", F.lit(False)))
-    return flagged.where("_valid").drop("_valid"), flagged.where("NOT _valid").drop("_valid")
+    return flagged.withColumn("_valid", F.coalesce("_valid", F.lit(False))) if null_as == "invalid" else flagged.where("_valid IS NOT NULL")
+
+
+def quarantine_stored(df: DataFrame, rules: Rules, null_as: str = "invalid") -> tuple[DataFrame, DataFrame]:
+    """``quarantine`` where both parts are read: the rows are computed once and stored in a folder per part."""
+    path, spark = scratch_dir(df.sparkSession, "quarantine"), df.sparkSession
+    _flagged(df, rules, null_as).withColumn("_valid", F.col("_valid").cast("int")).write.partitionBy("_valid").parquet(path)
+    stored = spark.read.schema(T.StructType([*df.schema, T.StructField("_valid", T.IntegerType())])).parquet(path)
+    return stored.where("_valid = 1").drop("_valid"), stored.where("_valid = 0").drop("_valid")
 
 
 def dq_report(df: DataFrame, rules: Rules) -> DataFrame:
@@ -102,6 +122,7 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same rows; the job that reads them fails at the first NULL."""
+    df = _kept_whole(df)
     for c in columns:
         df = _must(df, F.col(c).isNotNull(), f"column {c} must not be NULL")
     return df

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tarnwork.operators.merge import SchemaError, merge_upsert
+from tarnwork.operators.merge import SchemaError, in_target_spelling, merge_upsert
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", overwrite_schema: bool = False) -> None:
@@ -17,9 +17,11 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", overwrite_sch
     Overwriting keeps the table's columns unless ``overwrite_schema``.
     """
     spark = df.sparkSession
+    recover_table(spark, name)
     if mode == "overwrite" and spark.catalog.tableExists(name):
         old = spark.table(name).schema
-        same = [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in df.schema]
+        by_name = lambda schema: sorted((f.name, f.dataType.json()) for f in schema)
+        same = by_name(old) == by_name(df.schema)
         if not same and not overwrite_schema:
             raise ValueError(f"{name} has other columns; pass overwrite_schema=True to replace them")
         replace_table(df, name)
@@ -27,18 +29,50 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", overwrite_sch
         df.write.mode(mode).saveAsTable(name)
 
 
+COMPLETE = "tarnwork.complete"
+
+
+def recover_table(spark: SparkSession, name: str) -> None:
+    """Finish a replacement that was interrupted after the old content went; a copy that was never completed is dropped."""
+    staging = f"{name}__new"
+    if not spark.catalog.tableExists(staging):
+        return
+    complete = any(r.key == COMPLETE for r in spark.sql(f"SHOW TBLPROPERTIES {staging}").collect())
+    if complete and not spark.catalog.tableExists(name):
+        _take_place(spark, staging, name)
+    else:
+        spark.sql(f"DROP TABLE {staging}")
+
+
+def _take_place(spark: SparkSession, staging: str, name: str) -> None:
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{COMPLETE}')")
+
+
 def replace_table(df: DataFrame, name: str) -> None:
     """Replace a table's content and columns; ``df`` may read the table itself.
 
-    The new content is complete under another name before the old one goes, so
-    a job that fails leaves the table as it was.
+    Comments, properties and partition columns are kept as far as the new content has the columns.
+    The new content is complete under another name before the old one goes. A
+    job that fails before leaves the table as it was; one that fails between is
+    finished by the next ``write_table``, ``replace_table`` or ``recover_table``.
     """
     spark = df.sparkSession
+    recover_table(spark, name)
     staging = f"{name}__new"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.saveAsTable(staging)
+    partition_by, comment, kept = [], None, {}
+    if spark.catalog.tableExists(name):
+        columns = {c.name: c for c in spark.catalog.listColumns(name)}
+        partition_by = [c for c, old in columns.items() if old.isPartition and c in df.columns]
+        df = annotate(df, {c: old.description for c, old in columns.items() if old.description and c in df.columns})
+        comment = spark.catalog.getTable(name).description
+        kept = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    df.write.partitionBy(*partition_by).saveAsTable(staging)
+    annotate_table(spark, staging, comment, {})
+    for key, value in {**kept, COMPLETE: "true"}.items():
+        spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ({_quoted(key)} = {_quoted(value)})")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    _take_place(spark, staging, name)
 
 
 def refresh_view(spark: SparkSession, name: str, query: Callable[[], DataFrame]) -> None:
@@ -66,6 +100,7 @@ def merge_into(source: DataFrame, name: str, keys: Sequence[str], evolve: bool =
     """
     spark = source.sparkSession
     target = spark.table(name)
+    source = in_target_spelling(source, target.columns)
     new = {f.name: f.dataType.simpleString() for f in source.schema if f.name not in target.columns}
     if new and not evolve:
         raise SchemaError(f"the table has no column {', '.join(new)}")
@@ -78,10 +113,11 @@ def merge_into(source: DataFrame, name: str, keys: Sequence[str], evolve: bool =
     if new:
         add_columns(spark, name, new)
         target = spark.table(name)
-    touched = source.select(*[F.col(c).alias(f"_{c}") for c in partition_by]).distinct()
-    # Null-safe, for rows without a partition value lie in a partition of their own.
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by])
-    merged = merge_upsert(target.join(touched, same, "left_semi"), source, keys)
+    # As many rows as the source has partitions. As literals they prune the files of the others; null-safe, for
+    # rows without a partition value lie in a partition of their own.
+    touched = source.select(*partition_by).distinct().collect()
+    there = [reduce(Column.__and__, [F.col(c).isNull() if r[c] is None else F.col(c) == F.lit(r[c]) for c in partition_by]) for r in touched]
+    merged = merge_upsert(target.where(reduce(Column.__or__, there, F.lit(False))), source, keys)
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         merged.select(*target.columns).write.mode("overwrite").insertInto(name)
 
@@ -97,8 +133,11 @@ def _setting(spark: SparkSession, key: str, value: str):
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header line, quotes doubled; for small results."""
-    df.coalesce(1).write.mode("overwrite").options(header=True, escape='"').csv(path)
+    """One CSV file with a header line, quotes doubled; for results that the caller knows to be small.
+
+    Only the result goes into one task; what computes it stays spread.
+    """
+    df.repartition(1).write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def clustered_write(df: DataFrame, path: str, keys: Sequence[str], n_files: int) -> None:
@@ -140,11 +179,12 @@ def annotate(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     return df
 
 
-def annotate_table(spark: SparkSession, name: str, comment: str | None, comments: Mapping[str, str]) -> None:
-    def quote(text: str) -> str:
-        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
+
+def annotate_table(spark: SparkSession, name: str, comment: str | None, comments: Mapping[str, str]) -> None:
     if comment is not None:
-        spark.sql(f"COMMENT ON TABLE {name} IS {quote(comment)}")
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
     for column, text in comments.items():
-        spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{column}` COMMENT {quote(text)}")
+        spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{column}` COMMENT {_quoted(text)}")

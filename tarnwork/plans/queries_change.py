@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F, types as T
 
 from tarnwork import fixed_values as fv
@@ -12,7 +13,7 @@ from tarnwork.plans.queries_tables import land_csv
 from tarnwork.plans.registry import query
 from tarnwork.session import scratch_database, scratch_dir
 from tarnwork.sources.files import stream_csv
-from tarnwork.sources.tables import load_tables
+from tarnwork.sources.tables import load_tables, table_schema
 from tarnwork.streaming import flows
 from tarnwork.streaming.medallion import Pipeline, bronze, medallion_run, split_by_flag
 
@@ -52,24 +53,71 @@ def cdc_backfill_once(spark, d):
             started = flows.cdc_flow(
                 stream, target, flow, f"{checkpoints}/{flow}", KEYS, SEQUENCE, "operation = 'DELETE'", ["operation"], once=True
             )
-            flows.finish([started] if started else [])
+            if started:
+                flows.finish([started])
+                flows.mark_finished(spark, f"{checkpoints}/{flow}")
     return cdc.current_rows(flows.read_changes(spark, target, KEYS, SEQUENCE))
 
 
-MERGED_SQL = """updates AS (SELECT s_suppkey AS id, 'supplier' AS segment, s_nationkey AS nation FROM supplier),
-  base AS (SELECT c_custkey AS id, c_mktsegment AS segment, CAST(c_acctbal AS DECIMAL(12,2)) AS balance FROM customer WHERE c_nationkey < 20)"""
+@query("cdc_backfill_resumed", dt.FEED_SQL, NEWEST_SQL, CURRENT_SQL)
+def cdc_backfill_resumed(spark, d):
+    """A backfill in several batches whose second one fails; the next run takes in what is missing."""
+    feed = dt.feed(spark, d)
+    path, target, checkpoint = land_csv(spark, feed.repartition(4), "backfill"), scratch_dir(spark, "users"), scratch_dir(spark, "checkpoint")
+    reduce = lambda df: cdc.latest_changes(df, KEYS, SEQUENCE, "operation = 'DELETE'", ["operation"])
+    whole = flows.batch_writer(target, "backfill", reduce)
+
+    def breaks(batch, batch_id):
+        if batch_id:
+            raise OSError("no more")
+        whole(batch, batch_id)
+
+    def stream():
+        return stream_csv(spark, path, feed.schema, "_rescued", max_bytes=1).drop("_rescued")
+
+    try:
+        flows.finish([flows.start(stream(), breaks, checkpoint, "backfill")])
+    except StreamingQueryException:
+        pass
+    how = (target, "backfill", checkpoint, KEYS, SEQUENCE, "operation = 'DELETE'", ["operation"])
+    flows.finish([flows.cdc_flow(stream(), *how, once=True)])
+    flows.mark_finished(spark, checkpoint)
+    return cdc.current_rows(flows.read_changes(spark, target, KEYS, SEQUENCE))
+
+
+@query(
+    "stream_rule_counts",
+    dt.TRANSACTIONS_SQL,
+    """counted AS (SELECT COUNT(*) AS a, COUNT(*) FILTER (NOT COALESCE(quantity >= 1, FALSE)) AS b,
+      COUNT(*) FILTER (NOT COALESCE(transaction_price > 0, FALSE)) AS c FROM transactions)""",
+    """SELECT 'all' AS flow, 'n_rows' AS name, a AS n FROM counted UNION ALL SELECT 'all', 'quantity_is_more_than_1', b FROM counted
+    UNION ALL SELECT 'all', 'transaction_price_is_more_than_0', c FROM counted""",
+)
+def stream_rule_counts(spark, d):
+    """Violations per rule over more micro-batches than a stream's progress keeps."""
+    lines = dt.transactions(spark, d).select("quantity", "transaction_price")
+    path, target = scratch_dir(spark, "lines"), scratch_dir(spark, "stored")
+    lines.repartition(104).write.parquet(path)
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    flows.append_flows(target, {"all": stream}, scratch_dir(spark, "checkpoints"), rules=fv.TRANSACTION_RULES)
+    return flows.rule_counts(spark, target)
+
+
+MERGED_SQL = """updates AS (SELECT s_suppkey AS id, 'supplier' AS segment, s_nationkey AS nation FROM supplier
+    UNION ALL SELECT -1 - s_suppkey, 'new', s_nationkey FROM supplier),
+  base AS (SELECT c_custkey AS id, c_mktsegment AS segment, CAST(c_acctbal AS DECIMAL(12,2)) AS balance FROM customer)"""
 
 
 def _merge_sides(spark, d):
     customer, supplier = load_tables(spark, d, "customer", "supplier")
-    base = customer.where("c_nationkey < 20").select(
+    base = customer.select(
         F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"),
         F.col("c_acctbal").cast("decimal(12,2)").alias("balance"),
     )
-    updates = supplier.select(
-        F.col("s_suppkey").alias("id"), F.lit("supplier").alias("segment"), F.col("s_nationkey").alias("nation")
-    )
-    return base, updates
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey").alias("nation")
+    updates = supplier.select(key.alias("id"), F.lit("supplier").alias("segment"), nation)
+    inserts = supplier.select((-1 - key).alias("id"), F.lit("new").alias("segment"), nation)
+    return base, updates.union(inserts)
 
 
 @query(
@@ -145,6 +193,92 @@ def enforce_schema(spark, d):
     return merge.enforce_schema(given, schema)
 
 
+@query(
+    "enforce_refusals",
+    """SELECT * FROM (VALUES ('unknown column', TRUE), ('text for a number', TRUE), ('text for a date', TRUE), ('whole number for a decimal', FALSE),
+      ('missing column', FALSE), ('narrowing', TRUE), ('drop without name mapping', TRUE)) AS t(change, refused)""",
+)
+def enforce_refusals(spark, d):
+    """Which changes a table of orders refuses before a row is written."""
+    orders = load_tables(spark, d, "orders")[0].select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(12,2)").alias("total"), F.col("o_orderdate").cast("date").alias("day")
+    )
+    text = lambda c: orders.withColumn(c, F.col(c).cast("string"))
+    tries = {
+        "unknown column": lambda: merge.enforce_schema(orders.withColumn("campaign", F.lit("x")), orders.schema),
+        "text for a number": lambda: merge.enforce_schema(text("total"), orders.schema),
+        "text for a date": lambda: merge.enforce_schema(text("day"), orders.schema),
+        "whole number for a decimal": lambda: merge.enforce_schema(orders.withColumn("total", F.col("id")), orders.schema),
+        "missing column": lambda: merge.enforce_schema(orders.drop("day"), orders.schema),
+        "narrowing": lambda: merge.evolve(orders, widen={"id": "int"}, type_widening=True),
+        "drop without name mapping": lambda: merge.evolve(orders, drop=["day"]),
+    }
+
+    def refused(change) -> bool:
+        try:
+            change()
+        except merge.SchemaError:
+            return True
+        return False
+
+    return spark.createDataFrame([(name, refused(change)) for name, change in tries.items()], "change string, refused boolean")
+
+
+@query(
+    "insert_new_column",
+    """SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL::VARCHAR AS campaign FROM supplier
+    UNION ALL SELECT -1 - s_suppkey, NULL, NULL, NULL, 'spring' FROM supplier""",
+)
+def insert_new_column(spark, d):
+    """A column is added to the table, then rows that have it are inserted by name."""
+    name, supplier = f"{scratch_database(spark)}.suppliers", load_tables(spark, d, "supplier")[0]
+    tables.write_table(supplier, name)
+    tables.add_columns(spark, name, {"campaign": "string"})
+    tables.insert_rows(supplier.select(F.lit("spring").alias("campaign"), (-1 - F.col("s_suppkey")).alias("s_suppkey")), name)
+    return spark.table(name)
+
+
+@query(
+    "overwrite_keeps_layout",
+    """SELECT * FROM (VALUES ('s_suppkey', 'bigint', 'the key', FALSE), ('s_name', 'string', NULL, FALSE), ('s_acctbal', 'double', NULL, FALSE),
+      ('s_nationkey', 'int', NULL, TRUE), ('(table)', 'suppliers by nation', 'retention=30', NULL)) AS t(name, data_type, comment, is_partition)""",
+)
+def overwrite_keeps_layout(spark, d):
+    """What is left of columns, comments, partitioning and properties after the content is replaced twice."""
+    name, supplier = f"{scratch_database(spark)}.suppliers", load_tables(spark, d, "supplier")[0]
+    supplier.write.partitionBy("s_nationkey").saveAsTable(name)
+    tables.annotate_table(spark, name, "suppliers by nation", {"s_suppkey": "the key"})
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('retention' = '30')")
+    tables.write_table(supplier.where("s_acctbal > 0"), name)
+    tables.write_table(spark.table(name), name)
+    columns = [(c.name, c.dataType, c.description, c.isPartition) for c in spark.catalog.listColumns(name)]
+    kept = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    table = ("(table)", spark.catalog.getTable(name).description, f"retention={kept.get('retention')}", None)
+    return spark.createDataFrame([*columns, table], "name string, data_type string, comment string, is_partition boolean")
+
+
+@query(
+    "annotate",
+    """SELECT * FROM (VALUES (0, 's_suppkey', 'bigint', 'the key'), (1, 's_name', 'string', NULL), (2, 's_nationkey', 'int', 'where it is'),
+      (3, 's_acctbal', 'double', NULL)) AS t(position, column_name, data_type, comment)""",
+)
+def annotate(spark, d):
+    """Column comments set on a frame, read back from the table saved from it."""
+    name = f"{scratch_database(spark)}.suppliers"
+    comments = {"s_suppkey": "the key", "s_nationkey": "where it is"}
+    tables.write_table(tables.annotate(load_tables(spark, d, "supplier")[0], comments), name)
+    return table_schema(spark, spark.table(name))
+
+
+@query(
+    "table_schema",
+    """SELECT * FROM (VALUES (0, 'event_id', 'bigint', NULL), (1, 'ts', 'timestamp_ntz', NULL), (2, 'user_id', 'bigint', NULL),
+      (3, 'event_type', 'string', NULL), (4, 'value', 'double', NULL), (5, 'props', 'string', NULL)) AS t(position, column_name, data_type, comment)""",
+)
+def table_schema_query(spark, d):
+    return table_schema(spark, load_tables(spark, d, "events")[0])
+
+
 @query("add_columns", "SELECT *, CAST(NULL AS VARCHAR) AS campaign FROM supplier")
 def add_columns(spark, d):
     return merge.evolve(load_tables(spark, d, "supplier")[0], add={"campaign": "string"})
@@ -220,7 +354,7 @@ def expect_all_or_fail(spark, d):
     FROM transactions""",
 )
 def quarantine_split(spark, d):
-    valid, invalid = quality.quarantine(dt.transactions(spark, d), fv.TRANSACTION_RULES)
+    valid, invalid = quality.quarantine_stored(dt.transactions(spark, d), fv.TRANSACTION_RULES)
     return _lines(valid).withColumn("part", F.lit("valid")).union(_lines(invalid).withColumn("part", F.lit("invalid")))
 
 
@@ -231,7 +365,7 @@ def quarantine_split(spark, d):
     FROM transactions WHERE (quantity >= 1 AND transaction_price > 0) IS NOT NULL""",
 )
 def quarantine_split_unknown_dropped(spark, d):
-    valid, invalid = quality.quarantine(dt.transactions(spark, d), fv.TRANSACTION_RULES, null_as="drop")
+    valid, invalid = quality.quarantine_stored(dt.transactions(spark, d), fv.TRANSACTION_RULES, null_as="drop")
     return _lines(valid).withColumn("part", F.lit("valid")).union(_lines(invalid).withColumn("part", F.lit("invalid")))
 
 

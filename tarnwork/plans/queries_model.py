@@ -244,8 +244,8 @@ def ai_classify(spark, d):
       p AS (SELECT doc_id, parts, list_filter(parts, lambda x: length(x) <= 30) AS fitting FROM s)
     SELECT doc_id, CASE WHEN len(fitting) > 0
         THEN list_filter(fitting, lambda x: length(x) = list_max(list_transform(fitting, lambda y: length(y))))[1]
-      ELSE COALESCE(left(list_filter(parts, lambda x: length(x) = list_min(list_transform(parts, lambda y: length(y))))[1], 30), '')
-      END AS summary FROM p""",
+      ELSE COALESCE(list_filter(parts, lambda x: length(x) = list_min(list_transform(parts, lambda y: length(y))))[1], '')
+      END AS summary, CAST(length(summary) AS INT) AS summary_chars FROM p""",
 )
 def ai_summarize(spark, d):
     docs = load_tables(spark, d, "documents")[0].select("doc_id", "text")

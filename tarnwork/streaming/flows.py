@@ -2,6 +2,7 @@
 
 A micro-batch goes into a folder named after its flow and number and replaces
 what an interrupted try left there, so every input row is stored exactly once.
+How many of its rows break each rule is stored beside it in the same way.
 """
 
 from __future__ import annotations
@@ -9,12 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tarnwork.operators.cdc import latest_changes
+from tarnwork.operators.quality import violation_counts
 
-FLOW_COLUMNS = ("flow", "batch")
+#: Folder columns of a table; no row may have columns of these names.
+FLOW_COLUMNS = ("tarnwork_flow", "tarnwork_batch")
 
 
 def start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, name: str) -> StreamingQuery:
@@ -23,26 +26,64 @@ def start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint
 
 
 def finish(queries: Sequence[StreamingQuery], timeout: int | None = None) -> None:
-    """Wait for all queries; an error in one is raised, a query out of time is stopped."""
-    for query in queries:
-        if query.awaitTermination(timeout) is False:
-            query.stop()
-            raise TimeoutError(f"stream {query.name} did not finish in {timeout} s")
+    """Wait for all queries. If one fails or is out of time, all that still run are stopped and the first error is raised."""
+    try:
+        for query in queries:
+            if query.awaitTermination(timeout) is False:
+                raise TimeoutError(f"stream {query.name} did not finish in {timeout} s")
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+
+
+def _folder(target: str, flow: str, batch: int) -> str:
+    return f"{target}/{FLOW_COLUMNS[0]}={flow}/{FLOW_COLUMNS[1]}={batch}"
+
+
+def _counts(target: str) -> str:
+    return f"{target}_rule_counts"
 
 
-def batch_writer(target: str, flow: str, change: Callable[[DataFrame], DataFrame] = lambda df: df):
+def batch_writer(
+    target: str,
+    flow: str,
+    change: Callable[[DataFrame], DataFrame] = lambda df: df,
+    rules: Mapping[str, str] | None = None,
+    null_as: str = "invalid",
+):
+    """Store each micro-batch, and with ``rules`` a row of how many of its rows there are and break each rule.
+
+    The counts are taken while the rows are written, with no further scan.
+    """
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        change(batch).write.mode("overwrite").parquet(f"{target}/flow={flow}/batch={batch_id}")
+        taken = [c for c in batch.columns if c.lower() in FLOW_COLUMNS]
+        if taken:
+            raise ValueError(f"{', '.join(taken)}: a stored row cannot have a column of this name")
+        seen = Observation()
+        if rules:
+            batch = batch.observe(seen, F.count("*").alias("n_rows"), *violation_counts(rules, null_as))
+        change(batch).write.mode("overwrite").parquet(_folder(target, flow, batch_id))
+        if rules:
+            row = [(name, n) for name, n in seen.get.items()]
+            counts = batch.sparkSession.createDataFrame(row, "name string, n bigint")
+            counts.coalesce(1).write.mode("overwrite").parquet(_folder(_counts(target), flow, batch_id))
 
     return write
 
 
 def append_flows(
-    target: str, flows: Mapping[str, DataFrame], checkpoints: str, timeout: int | None = None
+    target: str,
+    flows: Mapping[str, DataFrame],
+    checkpoints: str,
+    timeout: int | None = None,
+    rules: Mapping[str, str] | None = None,
 ) -> list[StreamingQuery]:
     """Append several streams to one table. A flow added later leaves the others' progress alone."""
     queries = [
-        start(stream, batch_writer(target, flow), f"{checkpoints}/{flow}", flow) for flow, stream in flows.items()
+        start(stream, batch_writer(target, flow, rules=rules), f"{checkpoints}/{flow}", flow)
+        for flow, stream in flows.items()
     ]
     finish(queries, timeout)
     return queries
@@ -73,8 +114,9 @@ def cdc_flow(
     """Store the newest change per key of each micro-batch of a change feed.
 
     Nothing stored is read or rewritten: newest-of-newest is taken on reading
-    (``read_changes``), so flows and backfills may run in any order. ``once``
-    makes a second run of a finished flow do nothing, whatever files have come.
+    (``read_changes``), so flows and backfills may run in any order. With ``once``
+    a flow that ``mark_finished`` was called for does nothing, whatever files have come; one
+    that was interrupted goes on where its checkpoint stands.
     """
     if once and has_finished(feed.sparkSession, checkpoint):
         return None
@@ -85,10 +127,19 @@ def cdc_flow(
     return start(feed, batch_writer(target, flow, reduce), checkpoint, flow)
 
 
+def _marker(checkpoint: str) -> str:
+    return f"{checkpoint}_finished"
+
+
+def mark_finished(spark: SparkSession, checkpoint: str) -> None:
+    """Note that a flow which runs once has taken in all its input; call it after ``finish``."""
+    spark.range(1).write.mode("overwrite").parquet(_marker(checkpoint))
+
+
 def has_finished(spark: SparkSession, checkpoint: str) -> bool:
-    """Whether a checkpoint holds a committed batch."""
+    """Whether ``mark_finished`` was called for the checkpoint."""
     try:
-        return not spark.read.text(f"{checkpoint}/commits").isEmpty()
+        return not spark.read.parquet(_marker(checkpoint)).isEmpty()
     except AnalysisException:
         return False
 
@@ -103,15 +154,23 @@ def compact_changes(
 ) -> None:
     """Write the newest changes alone to a new folder, where the flows then go on."""
     read_changes(spark, target, keys, sequence_by).write.mode("overwrite").parquet(
-        f"{new_target}/flow=compacted/batch=0"
+        _folder(new_target, "compacted", 0)
     )
 
 
-def rule_counts(query: StreamingQuery, observation: str) -> dict[str, int]:
-    """What ``quality.expect`` observed in a finished stream, added up over its micro-batches."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = (progress.observedMetrics or {}).get(observation)
-        for name, n in (row.asDict() if row else {}).items():
-            totals[name] = totals.get(name, 0) + n
-    return totals
+def rule_counts(spark: SparkSession, target: str) -> DataFrame:
+    """Per flow of a table: rows stored (``n_rows``) and rows that broke each rule, as ``flow, name, n`` over all micro-batches."""
+    stored = spark.read.schema(f"name string, n bigint, {FLOW_COLUMNS[0]} string, {FLOW_COLUMNS[1]} bigint").parquet(_counts(target))
+    return stored.groupBy(F.col(FLOW_COLUMNS[0]).alias("flow"), "name").agg(F.sum("n").alias("n"))
+
+
+def counts_by_flow(spark: SparkSession, target: str) -> dict[str, dict[str, int]]:
+    """The same as a dictionary by flow; a table without counts gives an empty one."""
+    try:
+        rows = rule_counts(spark, target).collect()  # one row per flow and rule
+    except AnalysisException:
+        return {}
+    found: dict[str, dict[str, int]] = {}
+    for r in rows:
+        found.setdefault(r.flow, {})[r["name"]] = r.n
+    return found

@@ -74,7 +74,6 @@ def pipeline_from_conf(
     )
 
 
-RULE_COUNTS = "rule_counts"
 USER_KEY, USER_SEQUENCE = ["user_id"], ["last_updated"]
 
 
@@ -85,13 +84,13 @@ def bronze(spark: SparkSession, p: Pipeline) -> dict[str, dict[str, int]]:
     for flow, path in p.transactions.items():
         lines = stream_csv(spark, path, p.transaction_schema, "_rescued_data_transactions", p.max_bytes)
         if p.rules:
-            lines = expect(with_rule_flag(lines, p.rules, "valid"), p.rules, "warn", RULE_COUNTS)
+            lines = with_rule_flag(lines, p.rules, "valid")
         streams[flow] = lines
-    appended = {
-        f: flows.start(s, flows.batch_writer(p.table(landing), f), p.checkpoint(f"{landing}/{f}"), f)
+    before = flows.counts_by_flow(spark, p.table(landing)) if p.rules else {}
+    started = [
+        flows.start(s, flows.batch_writer(p.table(landing), f, rules=p.rules), p.checkpoint(f"{landing}/{f}"), f)
         for f, s in streams.items()
-    }
-    started = list(appended.values())
+    ]
     feeds = {"users": (p.users, False)}
     if p.users_backfill:
         feeds["backfill"] = (p.users_backfill, True)
@@ -109,12 +108,16 @@ def bronze(spark: SparkSession, p: Pipeline) -> dict[str, dict[str, int]]:
         )
         started += [query] if query else []
     flows.finish(started, p.timeout)
+    if p.users_backfill:
+        flows.mark_finished(spark, p.checkpoint("users/backfill"))
     p.products.write.mode("overwrite").parquet(p.table("products"))
     changes = flows.read_changes(spark, p.table("users_changes"), USER_KEY, USER_SEQUENCE)
     current_rows(changes).write.mode("overwrite").parquet(p.table("users"))
     if p.rules:
         split_by_flag(spark, p)
-    return {f: flows.rule_counts(query, RULE_COUNTS) for f, query in appended.items()}
+    after = flows.counts_by_flow(spark, p.table(landing)) if p.rules else {}
+    new = {f: {name: n - before.get(f, {}).get(name, 0) for name, n in after.get(f, {}).items()} for f in streams}
+    return {f: counts if counts.get("n_rows") else {} for f, counts in new.items()}
 
 
 def split_by_flag(spark: SparkSession, p: Pipeline) -> None:

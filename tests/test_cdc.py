@@ -70,3 +70,9 @@ def test_any_order_and_any_batches_give_the_same(spark, changes, cut, seed):
         if row[0] not in newest or row[4] > newest[row[0]]:
             newest[row[0]] = row[4]
     assert {(r["user_id"], r["last_updated"]) for r in state.collect()} == set(newest.items())
+
+
+def test_map_columns(spark):
+    feed = spark.sql("SELECT * FROM VALUES (1, 1, map('a', 1, 'b', 2)), (1, 2, map('b', 2)), (2, 1, NULL), (1, 2, map('c', 0)) AS t(id, seq, extra)")
+    found = {r.id: r.extra for r in cdc.latest_changes(feed, ["id"], ["seq"]).collect()}
+    assert found == {1: {"c": 0}, 2: None}

@@ -219,3 +219,55 @@ def test_merge_into_with_a_new_column(spark, shops, rows):
 def test_merge_into_a_table_without_partitions(spark, table):
     tables.merge_into(spark.table(table).where("sale_id = 1").withColumn("amount", F.lit(1)), table, ["sale_id"])
     assert spark.table(table).where("amount = 1").count() == 1 and spark.table(table).count() == 3
+
+
+def test_overwrite_keeps_partitions_comments_and_properties(spark, shops):
+    tables.annotate_table(spark, shops, "all shops", {"id": "the key"})
+    spark.sql(f"ALTER TABLE {shops} SET TBLPROPERTIES ('keeper' = 'o\\'neil')")
+    tables.write_table(spark.table(shops), shops)
+    columns = {c.name: (c.isPartition, c.description) for c in spark.catalog.listColumns(shops)}
+    assert columns["area"][0] and columns["id"] == (False, "the key")
+    assert spark.catalog.getTable(shops).description == "all shops"
+    assert {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {shops}").collect()}["keeper"] == "o'neil"
+
+
+def test_an_interrupted_swap_is_finished(spark, table, rows):
+    before = rows(spark.table(table))
+    spark.table(table).write.saveAsTable(f"{table}__new")
+    spark.sql(f"ALTER TABLE {table}__new SET TBLPROPERTIES ('{tables.COMPLETE}' = 'true')")
+    spark.sql(f"DROP TABLE {table}")
+    tables.recover_table(spark, table)
+    assert rows(spark.table(table)) == before and not spark.catalog.tableExists(f"{table}__new")
+    spark.table(table).limit(1).write.saveAsTable(f"{table}__new")  # never completed
+    tables.write_table(spark.table(table), table)
+    assert rows(spark.table(table)) == before
+
+
+def test_names_match_in_any_case(spark, rows):
+    target = spark.createDataFrame([(1, 5), (2, 6)], "id int, amount int")
+    source = spark.createDataFrame([(2, 7), (3, 8)], "ID int, Amount int")
+    merged = merge.merge_upsert(target, source, ["id"], evolve=True)
+    assert merged.columns == ["id", "amount"] and rows(merged) == [(1, 5), (2, 7), (3, 8)]
+
+
+def test_null_keys_stay_apart_in_a_large_merge(spark, rows):
+    target = spark.createDataFrame([(1, 5), (None, 6)], "id int, amount int")
+    source = spark.createDataFrame([(1, 7, "a"), (None, 8, "b"), (None, 8, "b")], "id int, amount int, note string")
+    merged = merge.merge_upsert(target, source, ["id"], evolve=True, large_source=True)
+    assert rows(merged) == rows(merge.merge_upsert(target, source, ["id"], evolve=True))
+    assert merged.count() == 4
+
+
+def test_merge_reads_touched_partitions_alone(spark, shops):
+    source = spark.table(shops).limit(1)
+    area = source.first()["area"]
+    read = []
+    original = tables.merge_upsert
+    tables.merge_upsert = lambda target, *how, **more: (read.append(target), original(target, *how, **more))[1]
+    try:
+        tables.merge_into(spark.createDataFrame(source.collect(), source.schema), shops, ["id", "area"])
+    finally:
+        tables.merge_upsert = original
+    plan = read[0]._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert (str(area) if area is not None else "isnull") in filters

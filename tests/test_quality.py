@@ -122,3 +122,14 @@ def test_star_totals(star):
         assert tuple(row) == (200 + fact.where("k = 7 AND id % 2 = 0").count(), row["total"])
         none = joins.star_totals(fact, dim, "k", "name = 'nobody'", "id", ("n", "total"), first).first()
         assert tuple(none) == (0, None)
+
+
+@pytest.mark.parametrize("later", ["quantity > 3", "id > 100"])
+def test_a_later_filter_hides_no_violation(spark, tmp_path, later):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 0), (2, 5)], "id int, quantity int").coalesce(1).write.parquet(path)
+    checked = quality.expect(spark.read.parquet(path), {"some": "quantity > 1"}, "fail")
+    with pytest.raises(Exception, match="rule some is violated"):
+        checked.where(later).collect()
+    with pytest.raises(Exception, match="must not be NULL"):
+        quality.require_not_null(spark.read.parquet(path).withColumn("x", F.expr("if(id = 1, NULL, id)")), ["x"]).where(later).collect()

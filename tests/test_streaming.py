@@ -1,10 +1,11 @@
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tarnwork import fixed_values as fv
-from tarnwork.operators import cdc, quality
+from tarnwork.operators import cdc
 from tarnwork.sources.files import stream_csv
 from tarnwork.streaming import flows
 from tarnwork.streaming.medallion import Pipeline, medallion_run, pipeline_from_conf
@@ -149,11 +150,62 @@ def test_an_interrupted_batch_is_replaced(spark, raw):
 
 
 def test_rule_counts_of_a_stream(spark, raw):
-    stream = quality.expect(stream_csv(spark, str(raw / "east"), TRANSACTIONS, "r"), fv.TRANSACTION_RULES, "warn", "seen")
-    (query,) = flows.append_flows(str(raw / "t"), {"east": stream}, str(raw / "c"), LIMIT)
-    assert flows.rule_counts(query, "seen") == {
-        "n_rows": 3, "quantity_is_more_than_1": 2, "transaction_price_is_more_than_0": 0
+    for i in range(3):
+        shutil.copy(raw / "east" / "1.csv", raw / "east" / f"more{i}.csv")
+    for _ in range(2):  # the second run has nothing new to count
+        stream = stream_csv(spark, str(raw / "east"), TRANSACTIONS, "r", max_bytes=1)
+        (query,) = flows.append_flows(str(raw / "t"), {"east": stream}, str(raw / "c"), LIMIT, fv.TRANSACTION_RULES)
+    assert flows.counts_by_flow(spark, str(raw / "t")) == {
+        "east": {"n_rows": 12, "quantity_is_more_than_1": 8, "transaction_price_is_more_than_0": 0}
     }
+    assert flows.counts_by_flow(spark, str(raw / "nothing")) == {}
+
+
+def test_reserved_names_are_refused(spark, raw):
+    put(raw / "odd", "1.csv", "user_id,batch,flow", "1,2,x")
+    columns = "user_id int, batch int, flow string"
+    flows.append_flows(str(raw / "t"), {"a": stream_csv(spark, str(raw / "odd"), columns, "r")}, str(raw / "c"), LIMIT)
+    assert [tuple(r) for r in flows.read_flows(spark, str(raw / "t")).select("user_id", "batch", "flow").collect()] == [(1, 2, "x")]
+    taken = stream_csv(spark, str(raw / "odd"), columns, "Tarnwork_Flow")
+    with pytest.raises(Exception, match="cannot have a column of this name"):
+        flows.append_flows(str(raw / "t2"), {"a": taken}, str(raw / "c2"), LIMIT)
+
+
+def test_an_interrupted_backfill_goes_on(spark, raw):
+    put(raw / "users", "2.csv", USER_HEAD, "7,30,F,N,INSERT,2024-01-02 00:00:00")
+    target, checkpoint = str(raw / "t"), str(raw / "c" / "old")
+
+    def feed():
+        return stream_csv(spark, str(raw / "users"), USERS, "r", max_bytes=1)
+
+    whole = flows.batch_writer(target, "old", lambda df: cdc.latest_changes(df, ["user_id"], ["last_updated"], "operation = 'DELETE'"))
+
+    def breaks(batch, batch_id):
+        if batch_id:
+            raise OSError("disk full")
+        whole(batch, batch_id)
+
+    with pytest.raises(Exception, match="disk full"):
+        flows.finish([flows.start(feed(), breaks, checkpoint, "old")], LIMIT)
+    how = (target, "old", checkpoint, ["user_id"], ["last_updated"], "operation = 'DELETE'")
+    flows.finish([flows.cdc_flow(feed(), *how, once=True)], LIMIT)
+    flows.mark_finished(spark, checkpoint)
+    assert flows.read_flows(spark, target).count() == 4
+    assert flows.cdc_flow(feed(), *how, once=True) is None
+
+
+def test_all_streams_stop_when_one_fails(spark, raw):
+    def breaks(batch, batch_id):
+        raise OSError("gone")
+
+    def never_ends(batch, batch_id):
+        time.sleep(60)
+
+    streams = [stream_csv(spark, str(raw / f), TRANSACTIONS, "r") for f in ("east", "west")]
+    queries = [flows.start(s, w, str(raw / "c" / w.__name__), w.__name__) for s, w in zip(streams, (breaks, never_ends))]
+    with pytest.raises(Exception, match="gone"):
+        flows.finish(queries, LIMIT)
+    assert not any(q.isActive for q in queries)
 
 
 def test_many_batches(spark, raw, rows):
@@ -162,7 +214,7 @@ def test_many_batches(spark, raw, rows):
     stream = stream_csv(spark, str(raw / "east"), TRANSACTIONS, "r", max_bytes=100)
     (query,) = flows.append_flows(str(raw / "t"), {"east": stream}, str(raw / "c"), LIMIT)
     stored = spark.read.parquet(str(raw / "t"))
-    assert stored.select("batch").distinct().count() > 1
+    assert stored.select("tarnwork_batch").distinct().count() > 1
     assert stored.count() == 15
 
 
