@@ -102,3 +102,20 @@ SCORE_TASK = "[指示]次の顧客レビュー内容について、0~1の間で
 SCORE_HEADING = "[出力形式]"
 SCORE_FORMAT = ["範囲0~1の少数第二位までで出力してください。", "1に近いほどポジティブ度合いが強く、0に近いほどポジティブ度合いが弱い。"]
 SCORE_RULES = ["ポジティブスコアのみ出力してください。補足は一切不要です。"]
+
+# Sales metrics: display name, comment, synonyms. Fixed values.
+METRIC_TEXTS = {
+    "order_month": ("オーダー月", "オーダー月（月次集計用）", ()),
+    "category": ("カテゴリ", "カテゴリ（家具/電化製品/オフィス用品）", ()),
+    "sub_category": ("サブカテゴリ", "サブカテゴリ", ()),
+    "region": ("地域", "地域（関東/関西/中部/九州）", ()),
+    "prefecture": ("都道府県", "都道府県", ()),
+    "customer_segment": ("顧客区分", "顧客区分（消費者/企業/小規模オフィス）", ()),
+    "total_sales": ("売上合計", "売上合計", ("売上", "総売上")),
+    "total_profit": ("利益合計", "利益合計", ("利益", "総利益")),
+    "total_quantity": ("販売数量", "販売数量", ("数量", "売上個数")),
+    "order_count": ("オーダー数", "オーダー数", ("注文数", "オーダー件数")),
+    "customer_count": ("顧客数", "顧客数", ("ユニーク顧客数",)),
+    "profit_margin": ("利益率", "利益率（利益÷売上）", ("マージン",)),
+    "avg_order_value": ("平均オーダー単価", "平均オーダー単価", ()),
+}

@@ -12,6 +12,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarnwork import fixed_values as fv
+
+_DISTINCT = re.compile(r"count\s*\(\s*distinct\s+([\w.]+)\s*\)", re.IGNORECASE)
+_SUM = re.compile(r"sum\s*\([^()]*\)", re.IGNORECASE)
 _REFERENCE = re.compile(r"MEASURE\(\s*(\w+)\s*\)", re.IGNORECASE)
 
 
@@ -63,15 +67,42 @@ class MetricView:
             raise KeyError(f"unknown dimension {', '.join(unknown)}")
         plan = self._plan(measures)
         composed = [m for m in plan if _REFERENCE.search(self.measures[m])]
-        base = [F.expr(self.measures[m]).alias(m) for m in plan if m not in composed]
         keys = [F.expr(self.dimensions[d]).alias(d) for d in dimensions]
-        result = self.source.alias("source").groupBy(*keys).agg(*base)
+        result = self._aggregated(keys, {m: self.measures[m] for m in plan if m not in composed})
         for name in composed:
             result = result.withColumn(name, F.expr(_REFERENCE.sub(r"`\1`", self.measures[name])))
         shown = [self._format(n) if formatted else F.col(n) for n in [*dimensions, *measures]]
         names = [*dimensions, *measures]
         return result.select(*[c.alias(n, metadata=self._metadata(n)) for c, n in zip(shown, names)])
 
+    def _aggregated(self, keys: list[Column], base: Mapping[str, str]) -> DataFrame:
+        """The measures that refer to no other, per combination of the keys.
+
+        Several distinct counts would send a copy of every row per count through the shuffle. Where all
+        other measures are plain sums, the rows are first summed per combination of keys and counted values.
+        """
+        source = self.source.alias("source")
+        distinct = {m: found[1] for m, text in base.items() if (found := _DISTINCT.fullmatch(text.strip()))}
+        sums = {m: text for m, text in base.items() if _SUM.fullmatch(text.strip())}
+        if len(distinct) < 2 or len(distinct) + len(sums) < len(base):
+            return source.groupBy(*keys).agg(*[F.expr(text).alias(m) for m, text in base.items()])
+        counted = [F.expr(text).alias(m) for m, text in distinct.items()]
+        # A group must be there even if nothing is summed.
+        parts = [F.expr(text).alias(m) for m, text in sums.items()] or [F.count("*").alias("_rows")]
+        combined = source.groupBy(*keys, *counted).agg(*parts)
+        names = combined.columns[: len(keys)]
+        measures = [F.countDistinct(m).alias(m) if m in distinct else F.sum(m).alias(m) for m in base]
+        return combined.groupBy(*names).agg(*measures)
+
+    def descriptions(self) -> list[tuple[str, str, str | None, str | None, list[str]]]:
+        """Kind, name, display name, comment and synonyms of all dimensions and measures."""
+        kinds = [*[("dimension", d) for d in self.dimensions], *[("measure", m) for m in self.measures]]
+        return [
+            (kind, name, d.get("display_name"), d.get("comment"), list(d.get("synonyms", [])))
+            for kind, name in kinds
+            for d in [self.details.get(name, {})]
+        ]
+
     def _metadata(self, name: str) -> dict:
         details = self.details.get(name, {})
         return {k: details[k] for k in ("comment", "display_name", "synonyms") if k in details}
@@ -110,13 +141,17 @@ SALES_MEASURES = {
     "avg_order_value": "MEASURE(total_sales) / nullif(MEASURE(order_count), 0)",
 }
 _WHOLE = {"type": "number", "decimal_places": {"type": "exact", "places": 0}, "hide_group_separator": False}
-SALES_DETAILS = {
+_FORMATS = {
     "order_month": {"format": {"type": "date", "leading_zeros": False}},
     "total_sales": {"format": _WHOLE},
     "total_profit": {"format": _WHOLE},
     "profit_margin": {"format": {"type": "percentage", "decimal_places": {"type": "exact", "places": 1}}},
     "avg_order_value": {"format": _WHOLE},
 }
+SALES_DETAILS = {
+    name: {"display_name": shown, "comment": comment, **({"synonyms": list(synonyms)} if synonyms else {}), **_FORMATS.get(name, {})}
+    for name, (shown, comment, synonyms) in fv.METRIC_TEXTS.items()
+}
 
 
 def sales_metrics(sales: DataFrame) -> MetricView:

@@ -10,6 +10,7 @@ from tarnwork.operators import aggregates, joins, project
 from tarnwork.plans import driver_tables as dt, retail
 from tarnwork.plans.metric_view import SALES_MEASURES, sales_metrics
 from tarnwork.plans.registry import query
+from tarnwork.session import scratch_dir
 from tarnwork.sources.tables import load_tables
 
 FIRST, LAST = "1996-01-01", "1998-12-31"
@@ -344,10 +345,16 @@ def unmatched_rows(spark, d):
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_nationkey = 3""",
 )
 def broadcast_dynamic_prune(spark, d):
-    """A filter on the small side prunes the join of the large side at run time."""
-    line, supplier = load_tables(spark, d, "lineitem", "supplier")
+    """A filter on the small side decides at run time which of the large side's partitions are read."""
+    line, supplier, nation = load_tables(spark, d, "lineitem", "supplier", "nation")
+    path = scratch_dir(spark, "lines")
+    placed = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("l_extendedprice", "s_nationkey")
+    placed.repartition("s_nationkey").write.partitionBy("s_nationkey").parquet(path)
+    wanted = nation.where(F.col("n_name") == nation.where("n_nationkey = 3").select("n_name").scalar())
+    joined = spark.read.parquet(path).join(F.broadcast(wanted), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 nations at most
+    if "dynamicpruning" not in joined._jdf.queryExecution().executedPlan().toString():
+        raise RuntimeError("the join does not prune")
     price = F.sum(F.col("l_extendedprice").cast("decimal(14,2)")).cast("double")
-    joined = line.join(supplier.where("s_nationkey = 3"), F.col("l_suppkey") == F.col("s_suppkey"))
     return joined.agg(F.count("*").alias("row_count"), price.alias("total_revenue"))
 
 
@@ -447,7 +454,9 @@ def kpi_totals_text(spark, d):
     """SELECT region, COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT customer_id) AS customers FROM sales GROUP BY region""",
 )
 def distinct_count(spark, d):
-    return dt.sales(spark, d).groupBy("region").agg(
+    # Two distinct counts over the lines would copy each line for either; over the distinct pairs they copy few rows.
+    pairs = dt.sales(spark, d).select("region", "order_id", "customer_id").distinct()
+    return pairs.groupBy("region").agg(
         F.countDistinct("order_id").alias("orders"), F.countDistinct("customer_id").alias("customers")
     )
 
@@ -571,6 +580,24 @@ def metric_view_formatted(spark, d):
     return _metrics(spark, d).query(["order_month"], ["total_sales", "profit_margin"], formatted=True)
 
 
+def _texts_sql() -> str:
+    rows = []
+    for name, (shown, comment, synonyms) in fv.METRIC_TEXTS.items():
+        kind = "measure" if name in SALES_MEASURES else "dimension"
+        rows.append(f"('{kind}', '{name}', '{shown}', '{comment}', '{', '.join(synonyms)}')")
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS t(kind, name, display_name, comment, synonyms)"
+
+
+@query("metric_view_descriptions", _texts_sql())
+def metric_view_descriptions(spark, d):
+    """Display names, comments and synonyms, from the metadata that the view's columns carry."""
+    view = sales_metrics(dt.sales(spark, d))
+    schema = view.query(list(view.dimensions), list(view.measures)).schema
+    kinds = {name: kind for kind, name, *_ in view.descriptions()}
+    rows = [(kinds[f.name], f.name, f.metadata["display_name"], f.metadata["comment"], ", ".join(f.metadata.get("synonyms", []))) for f in schema]
+    return spark.createDataFrame(rows, "kind string, name string, display_name string, comment string, synonyms string")
+
+
 @query("metric_view_total", dt.SALES_SQL, f"SELECT {METRICS_SQL} FROM sales")
 def metric_view_total(spark, d):
     return _metrics(spark, d).query([], ["total_sales", "total_profit", "order_count", "profit_margin"])

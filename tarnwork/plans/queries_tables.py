@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from tarnwork import fixed_values as fv
 from tarnwork.functions.scalars import group_digits, padded
 from tarnwork.operators import aggregates, tables
 from tarnwork.plans import driver_tables as dt
@@ -199,16 +202,36 @@ def gen_dim_product(spark, d):
     return star.dim_product(load_tables(spark, d, "part")[0].select(F.col("p_partkey").alias("id"))).drop("unit_price")
 
 
-@query("gen_fact_sales")  # Murmur3 keys have no SQL twin; tests compare them with the algorithm.
+@query(
+    "gen_fact_sales",
+    """SELECT l_orderkey * 8 + l_linenumber + 1 AS transaction_id, TRUE AS keys_in_range, TRUE AS revenue_in_range, TRUE AS units_in_range,
+      TRUE AS same_for_same_id FROM lineitem""",
+)
 def gen_fact_sales(spark, d):
+    """The generated rows with what must hold for each; the hashed keys themselves are compared with the algorithm in the tests."""
     line, customer = load_tables(spark, d, "lineitem", "customer")
     ids = line.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
-    return star.fact_sales(ids, customer.count())
+    n = customer.count()
+    domains = {"customer_id": n, "product_id": fv.N_PRODUCTS, "time_id": fv.N_DAYS, "promotion_id": fv.N_PROMOTIONS}
+    in_range = reduce(Column.__and__, [F.col(c).between(1, most) for c, most in domains.items()])
+    facts, names = star.fact_sales(ids, n), list(domains)
+    # Rows of one id, as a key of the lines may repeat, are equal.
+    first = facts.groupBy("transaction_id").agg(*[F.min(c).alias(f"_{c}") for c in names])
+    same = reduce(Column.__and__, [F.col(c) == F.col(f"_{c}") for c in names])
+    return facts.join(first, "transaction_id").select(
+        "transaction_id", in_range.alias("keys_in_range"), F.col("revenue").between(0, 9999.99).alias("revenue_in_range"),
+        F.col("units_sold").between(1, 10).alias("units_in_range"), same.alias("same_for_same_id"),
+    )
 
 
-@query("table_detail")
+@query("table_detail", "SELECT CAST(17 AS BIGINT) AS num_files, COUNT(*) AS num_rows, TRUE AS has_bytes FROM lineitem")
 def table_details(spark, d):
-    return table_detail(load_tables(spark, d, "lineitem")[0])
+    """A table written as sixteen files and one file without rows."""
+    line, path = load_tables(spark, d, "lineitem")[0], scratch_dir(spark, "lines")
+    line.repartition(16).write.parquet(path)
+    line.limit(0).coalesce(1).write.mode("append").parquet(path)
+    detail = table_detail(spark.read.parquet(path))
+    return detail.select("num_files", "num_rows", (F.col("size_in_bytes") > 0).alias("has_bytes"))
 
 
 @query(
@@ -302,18 +325,21 @@ def clustered_write(spark, d):
     return spark.read.parquet(path)
 
 
-@query("files_to_read")
+@query(
+    "files_to_read",
+    """SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (o_orderpriority = '2-HIGH') AS found, CAST(16 AS BIGINT) AS plain_opened,
+      TRUE AS clustered_opens_under_half FROM orders""",
+)
 def files_to_read(spark, d):
     """Files an equality filter opens, for the same rows written plainly and clustered."""
     orders = _order_lines(spark, d)
     plain, clustered = scratch_dir(spark, "plain"), scratch_dir(spark, "clustered")
     orders.repartition(16).write.parquet(plain)
     tables.clustered_write(orders, clustered, ["priority"], 16)
-    reports = [
-        tables.files_to_read(spark.read.parquet(path), "priority", "2-HIGH").withColumn("layout", F.lit(layout))
-        for layout, path in (("plain", plain), ("clustered", clustered))
-    ]
-    return reports[0].unionByName(reports[1])
+    rows = spark.read.parquet(clustered)
+    counts = rows.agg(F.count("*").alias("n_rows"), F.count_if(F.col("priority") == "2-HIGH").alias("found"))
+    opened = [tables.files_to_read(spark.read.parquet(p), "priority", "2-HIGH").select("files_to_read").scalar() for p in (plain, clustered)]
+    return counts.select("n_rows", "found", opened[0].alias("plain_opened"), (opened[1] * 2 < opened[0]).alias("clustered_opens_under_half"))
 
 
 @query(

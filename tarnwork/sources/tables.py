@@ -18,18 +18,14 @@ def scan_table_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_detail(table: DataFrame) -> DataFrame:
-    """Number of files, rows and bytes of a file-backed table.
+    """Number of files, rows and bytes of a file-backed table; files without rows count.
 
-    Reads no data column: names and sizes come from the scan's file metadata.
+    Reads no data column: names and sizes come from the file listing.
     """
-    per_file = table.groupBy("_metadata.file_path").agg(
-        F.first("_metadata.file_size").alias("size"), F.count("*").alias("rows")
-    )
-    return per_file.agg(
-        F.count("*").alias("num_files"),
-        F.sum("rows").alias("num_rows"),
-        F.sum("size").alias("size_in_bytes"),
-    )
+    files = table.sparkSession.read.format("binaryFile").load(sorted(set(table.inputFiles()))).select("length")
+    sizes = files.agg(F.count("*").alias("num_files"), F.sum("length").alias("size_in_bytes"))
+    rows = table.agg(F.count("*").alias("num_rows"))
+    return sizes.select("num_files", rows.scalar().alias("num_rows"), "size_in_bytes")
 
 
 def table_schema(spark: SparkSession, table: DataFrame) -> DataFrame:
