@@ -46,8 +46,10 @@ def padded(c: Column | str, width: int) -> Column:
 
 
 def to_number(c: Column | str, sentinel: str = "null") -> Column:
-    """Text to double; the sentinel and unreadable text become NULL."""
-    return F.nullif(_col(c), F.lit(sentinel)).try_cast("double")
+    """Text to double; the sentinel and text that is not a number alone (``12d`` is not) become NULL."""
+    text = _col(c).cast("string")
+    number = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+    return F.when((text != sentinel) & text.rlike(number), text.try_cast("double"))
 
 
 def map_label(c: Column | str, codes: Mapping[str, int], data_type: str = "int") -> Column:

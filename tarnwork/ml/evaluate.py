@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnwork.functions.scalars import ratio_safe
@@ -69,8 +71,20 @@ def pr_curve(scored: DataFrame, label: str = "label", probability: str = "probab
     )
 
 
-def roc_auc(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
-    """Exact area under the ROC curve: pairs ranked rightly, ties counting half, in whole numbers."""
+def roc_auc(
+    scored: DataFrame, label: str = "label", probability: str = "probability", by: str | None = None
+) -> DataFrame:
+    """Exact area under the ROC curve: pairs ranked rightly, ties counting half, in whole numbers.
+
+    With ``by``, one row per value of that column, which is meant for the few parts of a split.
+    """
+    if by:
+        parts = [r[0] for r in scored.select(by).distinct().collect()]
+        areas = [
+            roc_auc(scored.where(F.col(by).eqNullSafe(F.lit(p))), label, probability).select(F.lit(p).alias(by), "roc_auc")
+            for p in parts
+        ]
+        return reduce(DataFrame.unionByName, areas) if areas else scored.select(by, F.lit(0.0).alias("roc_auc")).limit(0)
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     counts = threshold_counts(score_counts(scored, label, probability))
     halves = F.sum(wide("negatives") * (2 * wide("tp") - wide("positives")))
@@ -84,10 +98,11 @@ def evaluate_classifier(
     prediction: str = "prediction",
     probability: str = "probability",
     by: str | None = None,
+    with_auc: bool = False,
 ) -> DataFrame:
     """Accuracy, precision, recall, F1 and log loss (class 1 positive), per split if ``by`` is given.
 
-    One aggregation; ``roc_auc`` is apart since it needs an order.
+    One aggregation. ``with_auc`` adds ``roc_auc``, which needs an order and so a pass of its own per part.
     """
     hit = F.col(prediction) == F.col(label)
     positive, predicted = F.col(label) == 1, F.col(prediction) == 1
@@ -101,7 +116,7 @@ def evaluate_classifier(
         F.avg(-F.log(F.when(positive, p).otherwise(1 - p))).alias("log_loss"),
     )
     whole = lambda c: F.col(c).cast("double")
-    return counts.select(
+    metrics = counts.select(
         *([by] if by else []),
         "n_rows",
         ratio_safe(whole("hits"), F.col("n_rows")).alias("accuracy"),
@@ -110,3 +125,10 @@ def evaluate_classifier(
         ratio_safe(2 * whole("tp"), F.col("pp") + F.col("p")).alias("f1"),
         "log_loss",
     )
+    if not with_auc:
+        return metrics
+    areas = roc_auc(scored, label, probability, by)
+    if not by:
+        return metrics.withColumn("roc_auc", areas.scalar())
+    areas = areas.withColumnRenamed(by, "_part")
+    return metrics.join(areas, F.col(by).eqNullSafe(F.col("_part")), "left").drop("_part")

@@ -15,7 +15,7 @@ from tarnwork.session import scratch_database, scratch_dir
 from tarnwork.sources.files import stream_csv
 from tarnwork.sources.tables import load_tables, table_schema
 from tarnwork.streaming import flows
-from tarnwork.streaming.medallion import Pipeline, bronze, medallion_run, split_by_flag
+from tarnwork.streaming.medallion import Pipeline, bronze, medallion_run, pipeline_from_conf, split_by_flag
 
 KEYS, SEQUENCE = ["user_id"], ["last_updated", "event_id"]
 
@@ -515,3 +515,22 @@ def stream_quarantine(spark, d):
     bronze(spark, p)
     split_by_flag(spark, p)  # nothing new the second time
     return _lines(flows.read_flows(spark, p.table("transactions_invalid")))
+
+
+@query(
+    "pipeline_conf",
+    """SELECT * FROM (VALUES ('root', 'main/shop/tables'), ('east', 'main/shop/raw_data/transactions_east'),
+      ('west', 'main/shop/raw_data/transactions_west'), ('users', 'main/shop/raw_data/users')) AS t(name, place)
+    UNION ALL SELECT 'products', CAST(COUNT(*) AS VARCHAR) FROM part""",
+)
+def pipeline_conf(spark, d):
+    """Where a pipeline named by the session's settings finds its files, and how many products it has."""
+    database, base = scratch_database(spark), scratch_dir(spark, "volumes")
+    dt.products(spark, d).write.saveAsTable(f"{database}.products_source")
+    for key, value in {"catalog_name": "main", "schema_name": database}.items():
+        spark.conf.set(key, value)
+    p = pipeline_from_conf(spark, base, "user_id bigint", "user_id bigint")
+    places = {"root": p.root, **p.transactions, "users": p.users}
+    rows = [(name, place.removeprefix(f"{base}/").replace(database, "shop")) for name, place in places.items()]
+    counted = p.products.agg(F.lit("products").alias("name"), F.count("*").cast("string").alias("place"))
+    return spark.createDataFrame(rows, "name string, place string").union(counted)

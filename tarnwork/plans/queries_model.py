@@ -160,12 +160,15 @@ def roc_auc(spark, d):
     dt.SCORED_SQL,
     """c AS (SELECT split, COUNT(*) AS n_rows, COUNT(*) FILTER (label = prediction) AS hits,
       COUNT(*) FILTER (label = 1 AND prediction = 1) AS tp, SUM(label) AS p, SUM(prediction) AS pp,
-      AVG(-ln(CASE WHEN label = 1 THEN probability ELSE 1 - probability END)) AS log_loss FROM scored GROUP BY split)""",
+      AVG(-ln(CASE WHEN label = 1 THEN probability ELSE 1 - probability END)) AS log_loss FROM scored GROUP BY split),
+    per_score AS (SELECT split, probability, SUM(label) AS pos, SUM(1 - label) AS neg FROM scored GROUP BY split, probability),
+    summed AS (SELECT split, pos, neg, SUM(pos) OVER (PARTITION BY split ORDER BY probability DESC ROWS UNBOUNDED PRECEDING) AS tp FROM per_score),
+    areas AS (SELECT split, CAST(SUM(neg * (2 * tp - pos)) AS DOUBLE) / (2.0::DOUBLE * SUM(pos) * SUM(neg)) AS roc_auc FROM summed GROUP BY split)""",
     """SELECT split, n_rows, CAST(hits AS DOUBLE) / n_rows AS accuracy, CAST(tp AS DOUBLE) / pp AS "precision",
-      CAST(tp AS DOUBLE) / p AS recall, 2 * CAST(tp AS DOUBLE) / (pp + p) AS f1, ROUND(log_loss, 9) AS log_loss FROM c""",
+      CAST(tp AS DOUBLE) / p AS recall, 2 * CAST(tp AS DOUBLE) / (pp + p) AS f1, ROUND(log_loss, 9) AS log_loss, roc_auc FROM c JOIN areas USING (split)""",
 )
 def evaluate_classifier(spark, d):
-    return evaluate.evaluate_classifier(dt.scored(spark, d), by="split").withColumn("log_loss", F.round("log_loss", 9))
+    return evaluate.evaluate_classifier(dt.scored(spark, d), by="split", with_auc=True).withColumn("log_loss", F.round("log_loss", 9))
 
 
 MODEL_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

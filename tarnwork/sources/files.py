@@ -90,6 +90,31 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*([+-]?Infinity|NaN)\s*$"
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
+
+
+def _form(data_type: T.DataType) -> str | None:
+    """What a text must look like where Spark's cast would take more than the type says: suffixes, rest of a line, lost digits."""
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return _NUMBER
+    if isinstance(data_type, T.DecimalType):
+        s = data_type.scale
+        return rf"^\s*[+-]?(\d+(\.\d{{0,{s}}}0*)?|\.\d{{1,{max(1, s)}}}0*)\s*$"
+    if isinstance(data_type, T.DateType):
+        return rf"^\s*{_DAY}\s*$"
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return rf"^\s*{_DAY}([ T]\d{{1,2}}:\d{{1,2}}(:\d{{1,2}}(\.\d{{1,6}}0*)?)?\s?(Z|[+-]\d{{1,2}}:?\d{{2}})?)?\s*$"
+    return None
+
+
+def read_as(text: Column, data_type: T.DataType) -> Column:
+    """The value a text stands for, NULL unless it has the type's form and loses nothing."""
+    form = _form(data_type)
+    value = text.try_cast(data_type)
+    return F.when(text.rlike(form), value) if form else value
+
+
 def with_rescue(df: DataFrame, schema: Schema, rescue: str) -> DataFrame:
     """Type a frame of texts, keeping what is left over as JSON in one column.
 
@@ -104,7 +129,7 @@ def with_rescue(df: DataFrame, schema: Schema, rescue: str) -> DataFrame:
             typed.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
         text = _quoted(field.name)
-        value = text.try_cast(field.dataType)
+        value = read_as(text, field.dataType)
         typed.append(value.alias(field.name))
         leftover.append(F.when(text.isNotNull() & value.isNull(), text).alias(field.name))
     leftover += [_quoted(c).alias(c) for c in df.columns if c not in schema.names]

@@ -192,3 +192,19 @@ def test_moving_keeps_every_value(spark, monkeypatch):
     moved = training.shuffle_features(df, ["v"], ["id"])
     assert moved.select("v_moved").exceptAll(df.select("v")).isEmpty()
     assert moved.where("v <=> v_moved").count() < 50
+
+
+def test_unscored_rows_are_refused(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, None), (1, float("nan"))]
+    scored = spark.createDataFrame(rows, "label int, probability double")
+    for curve in (evaluate.roc_curve, evaluate.pr_curve, evaluate.roc_auc):
+        with pytest.raises(ValueError, match="2 rows have no score"):
+            curve(scored)
+
+
+def test_auc_per_split(spark):
+    rows = [("a", 1, 0.9), ("a", 0, 0.1), ("a", 1, 0.05), ("b", 1, 0.5), ("b", 0, 0.5), (None, 1, 0.2)]
+    scored = spark.createDataFrame(rows, "part string, label int, probability double").withColumn("prediction", F.lit(1))
+    found = {r.part: r.roc_auc for r in evaluate.evaluate_classifier(scored, by="part", with_auc=True).collect()}
+    assert found == {"a": 0.5, "b": 0.5, None: None}
+    assert evaluate.evaluate_classifier(scored.where("part = 'a'"), with_auc=True).first().roc_auc == 0.5

@@ -188,3 +188,12 @@ def test_table_detail_and_schema(spark, tmp_path):
     assert (detail["num_files"], detail["num_rows"]) == (5, 100)
     assert detail["size_in_bytes"] > 0
     assert [tuple(r)[1:3] for r in tables.table_schema(spark, spark.read.parquet(path)).collect()] == [("id", "bigint")]
+
+
+def test_values_that_lose_something_are_rescued(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("d,m,x,t\n2024-01-01 junk,1.239,12d,2024-01-01 10:00:00 x\n2024-1-2,1.2300,12,2024-01-01 10:00:00\n,-.5,1e3,2024-01-01\n")
+    schema = "d date, m decimal(10,2), x double, t timestamp_ntz"
+    found = files.scan_csv(spark, str(tmp_path), schema, rescue="r").collect()
+    assert [str(f.m) for f in found] == ["None", "1.23", "-0.50"] and [f.x for f in found] == [None, 12.0, 1000.0]
+    assert json.loads(found[0].r) == {"d": "2024-01-01 junk", "m": "1.239", "x": "12d", "t": "2024-01-01 10:00:00 x"}
+    assert found[1].r is None and found[2].r is None and found[0].d is None
