@@ -6,9 +6,9 @@ are one point (class). The join goes from coarse to fine:
 1. Neighbourhoods. Two linked sets share one of the first shingles of each (in one order over all
    shingles, the rare ones first; of n shingles the first n - ceil(similarity * n) + 1). Points that share none are at a
    distance over r from each other and need no comparison, and most points stay alone here.
-2. Pivots. The smallest point of each neighbourhood is a pivot; the others measure their exact distance to it.
+2. Pivots. A point of each neighbourhood is its pivot; the others measure their exact distance to it. Links to pivots give
+   components; a few rounds are made, each with other pivots, in neighbourhoods that still hold several components.
    Each point belongs to the Voronoi region of its nearest linked pivot, at a known distance, or is a region by itself.
-   Links to pivots give the first components.
 3. Windows. What may still link lies in a common neighbourhood, in different components. A point y of the smaller region is
    measured against the pivot p of the other one; by the triangle inequality only points x with
    d(x, p) >= d(y, p) - r can link to y, and only these boundary points are compared.
@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,7 @@ class Rule:
     size: int = 5
     percent: int = 75
     common_most: int = 200_000
-    common_from: int = 8
+    common_from: int = 4
 
     @property
     def radius(self) -> float:
@@ -122,7 +123,7 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
             heavy = [None] * len(sizes)
             if sizes:
                 seen, times = np.unique(np.concatenate(list(sets.values())), return_counts=True)
-                often = times >= 4
+                often = times >= 2
                 heavy[0] = np.stack([seen[often], times[often].astype(np.uint64)], 1).tobytes()
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(proofs, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(heavy, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "cid", "proof", "sketch", "heavy"])
@@ -219,10 +220,9 @@ def within(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs ``a, b`` (once each) whose distance can be ``reach`` at most, a column of ``pairs``, as far as sizes and sketches tell."""
     left = classes.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     right = classes.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    # Sizes first: they are short, and most pairs go by them.
-    sized = pairs.join(left.select("a", "n_a"), "a").join(right.select("b", "n_b"), "b")
+    once = pairs.groupBy("a", "b").agg(F.max("reach").alias("reach"))
+    sized = once.join(left.select("a", "n_a"), "a").join(right.select("b", "n_b"), "b")
     apart = F.abs(F.col("n_a") - F.col("n_b"))
-    sized = sized.where(apart / F.greatest("n_a", "n_b") <= F.col("reach") + 1e-9).groupBy("a", "b").agg(F.max("reach").alias("reach"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
     both = sized.join(left.select("a", "sketch_a"), "a").join(right.select("b", "sketch_b"), "b")
     for _ in range(2):
         both = both.withColumns({"sketch_a": folded(F.col("sketch_a"), F.col("sketch_b")), "sketch_b": folded(F.col("sketch_b"), F.col("sketch_a"))})
@@ -281,44 +281,64 @@ def measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule)
     return settle(rows.mapInArrow(run, "a long, b long, d double, linked boolean").distinct(), "measured")
 
 
-def links(near: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+def comparable(n, m, reach):
+    """Whether sets of these sizes can be as near as ``reach``."""
+    return F.abs(n - m) <= (reach + F.lit(1e-9)) * F.greatest(n, m)
+
+
+def open_places(here: DataFrame) -> DataFrame:
+    """Rows ``place, part, ...`` of the places that still hold several components."""
+    several = here.groupBy("place").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("place")
+    return settle(here.join(several, "place"), "open")
+
+
+def merged(here: DataFrame, found: DataFrame) -> DataFrame:
+    """``here`` with the components that links ``a, b`` (of components) leave."""
+    labels = components(found)
+    return here.join(labels, here["part"] == labels["node"], "left").withColumn("part", F.coalesce("label", "part")).drop("node", "label")
+
+
+def links(near: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, rounds: int = 4) -> DataFrame:
     """Links ``a, b`` whose components are those of all links. ``near``: ``place, cid``; ``classes``: ``cid, name, n, sketch``."""
     radius = F.lit(rule.radius)
-    pivots = near.groupBy("place").agg(F.min("cid").alias("b"))
-    first = near.join(pivots, "place").where("cid <> b").select(F.col("cid").alias("a"), "b").distinct()
-    tested = measured(within(first.withColumn("reach", radius), classes), docs, classes, rule)
-    found = tested.where("linked").select("a", "b")
-    points = near.select("cid").distinct()
-    if not found.head(1):
-        parts = points.select("cid", F.col("cid").alias("part"))
-    else:
-        labels = components(found)
-        parts = points.join(labels, points["cid"] == labels["node"], "left").select("cid", F.coalesce("label", "cid").alias("part"))
+    here = settle(near.join(classes.select("cid", "n"), "cid").withColumn("part", F.col("cid")), "near")
+    everywhere, tests = here, []
+    # Pivots: a point of each place that still holds several components, another one in each round.
+    for number in range(rounds):
+        pivots = here.groupBy("place").agg(F.min_by(F.struct("cid", "n", "part"), F.xxhash64("cid", F.lit(number))).alias("p"))
+        met = here.join(pivots, "place").where((F.col("part") != F.col("p.part")) & comparable(F.col("n"), F.col("p.n"), radius))
+        pairs = met.select(F.col("cid").alias("a"), F.col("p.cid").alias("b"), F.col("part").alias("part_a"), F.col("p.part").alias("part_b")).distinct()
+        pairs = settle(pairs, "to-pivots")
+        tests.append(measured(within(pairs.select("a", "b", radius.alias("reach")), classes), docs, classes, rule))
+        new = tests[-1].where("linked").join(pairs, ["a", "b"]).select(F.col("part_a").alias("a"), F.col("part_b").alias("b"))
+        if not new.head(1):
+            break
+        here = open_places(merged(here, new))
+    tested = reduce(DataFrame.unionByName, tests).where("linked")
     # Regions: the nearest linked pivot, at distance at; a point without one is its own.
-    nearest = tested.where("linked").groupBy(F.col("a").alias("cid")).agg(F.min(F.struct("d", "b")).alias("to")).select("cid", "to.d", "to.b")
-    placed = parts.join(nearest, "cid", "left").select("cid", "part", F.coalesce("b", "cid").alias("region"), F.coalesce("d", F.lit(0.0)).alias("at"))
-    weight = placed.groupBy("region").agg(F.count(F.lit(1)).alias("weight"), F.max("at").alias("breadth"))
-    placed = settle(placed.join(weight, "region"), "regions")
-    # Only neighbourhoods that still hold several components.
-    here = near.join(placed, "cid")
-    open_ = here.groupBy("place").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("place")
-    here = settle(here.join(open_, "place"), "open")
-    x = here.select("place", F.col("part").alias("x_part"), "region", F.col("weight").alias("x_weight")).distinct()
-    y = here.select("place", F.col("cid").alias("y"), F.col("part").alias("y_part"), F.col("region").alias("y_region"), F.col("weight").alias("y_weight"))
+    nearest = tested.groupBy(F.col("a").alias("cid")).agg(F.min(F.struct("d", "b")).alias("to")).select("cid", "to.d", "to.b")
+    points = everywhere.select("cid").distinct()
+    placed = points.join(nearest, "cid", "left").select("cid", F.coalesce("b", "cid").alias("region"), F.coalesce("d", F.lit(0.0)).alias("at"))
+    regions = placed.groupBy("region").agg(F.count(F.lit(1)).alias("weight"), F.max("at").alias("breadth"))
+    regions = regions.join(classes.select(F.col("cid").alias("region"), F.col("n").alias("pivot_n")), "region")
+    here = settle(open_places(here).join(placed.join(regions, "region"), "cid"), "regions")
+    # Every point against the larger regions of other components that it meets, unless the sizes say that nothing in there can link.
+    x = here.select("place", F.col("part").alias("x_part"), "region", F.col("weight").alias("x_weight"), "pivot_n", "breadth").distinct()
+    y = here.select("place", F.col("cid").alias("y"), F.col("part").alias("y_part"), F.col("region").alias("y_region"), F.col("weight").alias("y_weight"), F.col("n").alias("y_n"))
     larger = (F.col("x_weight") > F.col("y_weight")) | ((F.col("x_weight") == F.col("y_weight")) & (F.col("region") > F.col("y_region")))
-    probes = x.join(y, "place").where((F.col("x_part") != F.col("y_part")) & larger).select(F.col("y").alias("a"), F.col("region").alias("b")).distinct()
-    # Beyond the region's breadth and the radius together nothing in it can link.
-    reach = weight.select(F.col("region").alias("b"), (F.col("breadth") + radius).alias("reach"))
-    probed = measured(within(probes.join(reach, "b"), classes), docs, classes, rule)
+    meet = (x["place"] == y["place"]) & (F.col("x_part") != F.col("y_part")) & larger & comparable(F.col("y_n"), F.col("pivot_n"), F.col("breadth") + radius)
+    probes = x.join(y, meet).select(F.col("y").alias("a"), F.col("region").alias("b"), (F.col("breadth") + radius).alias("reach")).distinct()
+    probed = measured(within(probes, classes), docs, classes, rule)
     # Boundary points of the region that the triangle inequality leaves open.
-    inner = here.where("weight > 1").select("place", F.col("cid").alias("x"), "region", "at", F.col("part").alias("x_part"))
-    outer = here.select("place", F.col("cid").alias("a"), F.col("part").alias("a_part"))
+    inner = here.where("weight > 1").select("place", F.col("cid").alias("x"), "region", "at", F.col("part").alias("x_part"), F.col("n").alias("x_n"))
+    outer = here.select("place", F.col("cid").alias("a"), F.col("part").alias("a_part"), F.col("n").alias("a_n"))
     window = probed.where("NOT linked").select("a", F.col("b").alias("region"), "d")
-    both = outer.join(window, "a").join(inner, ["place", "region"])
-    close = both.where((F.col("at") >= F.col("d") - F.lit(rule.radius + 1e-9)) & (F.col("x") != F.col("region")) & (F.col("x_part") != F.col("a_part")))
-    last = close.select("a", F.col("x").alias("b"), radius.alias("reach"))
+    left = outer.join(window, "a").withColumnsRenamed({"place": "place_a", "region": "region_a"})
+    edge = (F.col("at") >= F.col("d") - F.lit(rule.radius + 1e-9)) & (F.col("x") != F.col("region")) & (F.col("x_part") != F.col("a_part"))
+    both = left.join(inner, (F.col("place_a") == F.col("place")) & (F.col("region_a") == F.col("region")) & edge & comparable(F.col("x_n"), F.col("a_n"), radius))
+    last = both.select("a", F.col("x").alias("b"), radius.alias("reach"))
     checked = measured(within(last, classes), docs, classes, rule)
-    return found.unionByName(probed.where("linked").select("a", "b")).unionByName(checked.where("linked").select("a", "b"))
+    return tested.select("a", "b").unionByName(probed.where("linked").select("a", "b")).unionByName(checked.where("linked").select("a", "b"))
 
 
 def near_duplicates(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
