@@ -39,24 +39,37 @@ def one_hot(
     columns: Sequence[str],
     levels: Mapping[str, Sequence[str]] | None = None,
     drop_first: bool = False,
+    max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """Replace categorical columns by 0/1 columns ``column_value``; a NULL or new value is 0 in all.
 
     Pass the ``levels`` of the training data to give other data the same
-    columns. ``drop_first`` leaves out the first value of each column.
+    columns; without them a column of more than ``max_levels`` values is refused.
+    ``drop_first`` leaves out the first value of each column.
     """
-    levels = levels or category_levels(df, columns)
+    levels = levels or category_levels(df, columns, max_levels)
     kept = [F.col(c) for c in df.columns if c not in columns]
     flags = [_indicator(c, v).alias(f"{c}_{v}") for c in columns for v in levels[c][1 if drop_first else 0 :]]
     return df.select(*kept, *flags)
 
 
-def churn_features(raw: DataFrame, levels: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """Customer table to model input: id, four numbers, the label ``churn`` and one column per category value."""
+def churn_features(
+    raw: DataFrame,
+    levels: Mapping[str, Sequence[str]] | None = None,
+    max_levels: int = MAX_LEVELS,
+    keep_unknown: bool = False,
+) -> DataFrame:
+    """Customer table to model input: id, four numbers, the label ``churn`` and one column per category value.
+
+    Requests without a label give the same columns but for ``churn``. With ``keep_unknown`` rows that
+    lack a number stay, for a model that fills it.
+    """
     df = raw.withColumn("totalCharges", to_number("totalCharges"))
-    df = one_hot(df, fv.CHURN_CATEGORIES, levels)
-    df = label_column(df, "churnString", {"Yes": 1, "No": 0}, "churn")
-    return drop_null_rows(clean_names(df))
+    df = one_hot(df, fv.CHURN_CATEGORIES, levels, max_levels=max_levels)
+    if "churnString" in df.columns:
+        df = label_column(df, "churnString", {"Yes": 1, "No": 0}, "churn")
+    df = clean_names(df)
+    return df if keep_unknown else drop_null_rows(df)
 
 
 def feature_columns(df: DataFrame, label: str = "churn", ids: Sequence[str] = ("customerID",)) -> list[str]:

@@ -6,10 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tarnwork.operators.joins import broadcast_if_small
-
 PARTS = {"train": 60, "validation": 20, "test": 20}
-MAX_LABELS = 1_000
 _END = "g"  # sorts after every hex digit
 
 
@@ -53,11 +50,12 @@ def split_bounds(
         )
         .where((F.col("before") <= F.col("at")) & (F.col("at") < F.col("before") + F.col("n")))
     )
-    cuts = broadcast_if_small(cuts.withColumnRenamed(label, "_label"), MAX_LABELS * len(marks))
+    # New names for all columns, as the rows and their cuts come from the same frame.
+    cuts = cuts.select(F.col(label).alias("_label"), F.col("_prefix").alias("_cut"), "before", "i", "at")
 
     # Null-safe: rows without a label are a class of their own.
-    in_cut = F.col(label).eqNullSafe(F.col("_label")) & (rows["_prefix"] == cuts["_prefix"])
-    near = rows.join(cuts, in_cut).select("_label", cuts["_prefix"], "before", "i", "at", "_hash")
+    in_cut = F.col(label).eqNullSafe(F.col("_label")) & (F.col("_prefix") == F.col("_cut"))
+    near = rows.join(cuts, in_cut).select("_label", "_prefix", "before", "i", "at", "_hash")
     in_prefix = Window.partitionBy("_label", "i").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
     near = (
         near.groupBy("_label", "_prefix", "before", "i", "at", "_hash")
@@ -85,9 +83,9 @@ def stratified_split(
     Per class the parts have exactly the wanted sizes where ids are unique;
     rows that share an id stay in one part. The choice depends on id and seed
     alone. The rows themselves are not moved: they meet a table with one row
-    per class, whose size is checked before it is broadcast.
+    per class, which Spark broadcasts while it is below its own limit.
     """
-    bounds = broadcast_if_small(split_bounds(df, label, ids, parts, seed), MAX_LABELS)
+    bounds = split_bounds(df, label, ids, parts, seed)
     joined = df.withColumn("_hash", row_hash(ids, seed)).join(bounds, F.col(label).eqNullSafe(F.col("_label")))
     names = list(parts)
     part = F.lit(names[-1])

@@ -15,7 +15,6 @@ from tarnwork.ml.evaluate import evaluate_classifier
 from tarnwork.session import settle
 
 DEFAULTS = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 653201287}
-ROWS_PER_GROUP = 50_000
 
 
 def _plain_names(features: Sequence[str]) -> dict[str, str]:
@@ -92,16 +91,18 @@ def tune(
     return max(trials, key=lambda t: t[2])
 
 
-def shuffle_features(df: DataFrame, features: Sequence[str], ids: Sequence[str], seed: int = 1) -> DataFrame:
+def shuffle_features(
+    df: DataFrame, features: Sequence[str], ids: Sequence[str], seed: int = 1, groups: int = 16
+) -> DataFrame:
     """Add ``<feature>_moved``: each feature's values handed on to another row.
 
     Rows fall into groups by a hash of their id and each passes its values to
     the next by hash, the last to the first. Every value is kept and none has
-    to do with its row any more; no task holds more than one group, given ids
-    that tell the rows apart.
+    to do with its row any more. ``groups`` decides which row gets which value,
+    so it is a parameter and not a matter of size; a group is one task's work,
+    so it should grow with the data, and each should keep several rows.
     """
     order = F.xxhash64(*ids, F.lit(seed))
-    groups = max(1, df.count() // ROWS_PER_GROUP)
     placed = df.withColumn("_group", F.pmod(F.xxhash64(*ids, F.lit(seed + 1)), F.lit(groups)))
     ring = Window.partitionBy("_group").orderBy(order)
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -113,10 +114,16 @@ def shuffle_features(df: DataFrame, features: Sequence[str], ids: Sequence[str],
 
 
 def permutation_importance(
-    df: DataFrame, model: PipelineModel, features: Sequence[str], label: str, ids: Sequence[str], seed: int = 1
+    df: DataFrame,
+    model: PipelineModel,
+    features: Sequence[str],
+    label: str,
+    ids: Sequence[str],
+    seed: int = 1,
+    groups: int = 16,
 ) -> DataFrame:
     """How much F1 falls when one feature's values belong to other rows, largest first. Uses all rows."""
-    moved = settle(shuffle_features(df, features, ids, seed), "moved-features")
+    moved = settle(shuffle_features(df, features, ids, seed, groups), "moved-features")
     base = F.lit(f1_score(batch_score(moved, model, features, [label]), label))
     drops = []
     for f in features:

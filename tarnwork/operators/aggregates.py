@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarnwork import fixed_values as fv
+from tarnwork.session import settle
 
 
 def sum_by(df: DataFrame, keys: Sequence[str | Column], value: str | Column, name: str) -> DataFrame:
@@ -98,40 +98,28 @@ def per_group_linear_fit(df: DataFrame, group: str, x: str, y: str) -> DataFrame
     )
 
 
-ROWS_PER_SLICE = 500_000
-MAX_SLICES = 10_000
-
-
 def running_total(
     df: DataFrame, order: str, values: Sequence[str], descending: bool = False, slices: int | None = None
 ) -> DataFrame:
     """Add ``<value>_cum``: the sum of each value over all rows up to this one.
 
-    ``order`` must be a DOUBLE that is unique per row. A window without
-    partitions would be one task, so the rows are cut into slices of about
-    equal size at estimated quantiles; each slice is summed on its own and
-    offset by the total of the slices before it (a table of ``slices`` rows,
-    by default one per half a million rows). The frame is read four times, so
-    it should be a stored one.
+    ``order`` must be unique per row. A window without partitions would be one
+    task, so the rows are stored once in ``slices`` contiguous ranges of the
+    order (by default one per shuffle partition, so they grow with what the
+    session is set up for); each range is summed on its own and offset by the
+    total of the ranges before it, a table of one row per range.
     """
-    if slices is None:
-        slices = min(MAX_SLICES, max(16, df.count() // ROWS_PER_SLICE))
-    steps = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(df.approxQuantile(order, steps, 0.25 / slices)))
-    bounds = [float("-inf"), *cuts, float("inf")]
-    # Bucketizer places a value by binary search; it needs at least two buckets.
-    if len(bounds) < 3:
-        bounds = [float("-inf"), 0.0, float("inf")]
-    sliced = Bucketizer(splits=bounds, inputCol=order, outputCol="_slice").transform(df)
-    direction = F.desc if descending else F.asc
-    before = Window.orderBy(direction("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = F.desc(order) if descending else F.asc(order)
+    sliced = settle(df.repartitionByRange(slices, by).withColumn("_slice", F.spark_partition_id()), "running-total")
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("_slice")
         .agg(*[F.sum(v).alias(f"_{v}") for v in values])
         .select("_slice", *[F.coalesce(F.sum(f"_{v}").over(before), F.lit(0)).alias(f"_{v}") for v in values])
     )
-    within = Window.partitionBy("_slice").orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("_slice").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
     summed = sliced.select("*", *[F.sum(v).over(within).alias(f"{v}_cum") for v in values])
-    out = summed.join(F.broadcast(offsets), "_slice")
+    out = summed.join(F.broadcast(offsets), "_slice")  # at most ``slices`` rows
     out = out.withColumns({f"{v}_cum": F.col(f"{v}_cum") + F.col(f"_{v}") for v in values})
     return out.drop("_slice", *[f"_{v}" for v in values])

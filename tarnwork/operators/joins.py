@@ -10,39 +10,32 @@ HOT_SHARE = 0.02
 MAX_HOT_DIM_ROWS = 10_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """The rows ready to be broadcast, or the frame as it is where there are more than ``max_rows``.
-
-    They are computed once, for the check and the join.
-    """
-    found = df.limit(max_rows + 1).collect()
-    if len(found) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
-
-
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys that hold more than ``share`` of all rows: at most ``1/share`` of them.
 
     The counts are combined map-side, so a hot key costs one row per task.
     """
+    if not 0 < share <= 1:
+        raise ValueError("share is a part of all rows")
     total = df.agg(F.count("*"))
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     return [r[0] for r in counts.where(F.col("n") > total.scalar() * share).select(key).collect()]
 
 
-def left_join_skewed(fact: DataFrame, dim: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+def left_join_skewed(
+    fact: DataFrame, dim: DataFrame, key: str, share: float = HOT_SHARE, max_hot_rows: int = MAX_HOT_DIM_ROWS
+) -> DataFrame:
     """Left join whose hot keys are not sent to one task each.
 
     Rows with a hot key or a NULL key stay where they are and meet a broadcast
     of the dimension rows of the hot keys alone. There are at most ``1/share``
     such keys, and the rows are counted before the broadcast; a dimension that
-    repeats a hot key too often is joined by shuffle, where AQE splits the
+    repeats hot keys on more than ``max_hot_rows`` rows is joined by shuffle, where AQE splits the
     skewed partitions. All other rows take the ordinary join.
     """
     hot = hot_keys(fact, key, share)
     hot_dim = dim.where(F.col(key).isin(hot)) if hot else dim.limit(0)
-    if hot and hot_dim.limit(MAX_HOT_DIM_ROWS + 1).count() > MAX_HOT_DIM_ROWS:
+    if hot and hot_dim.limit(max_hot_rows + 1).count() > max_hot_rows:
         return fact.join(dim, key, "left")
     is_hot = F.col(key).isNull() | (F.col(key).isin(hot) if hot else F.lit(False))
     spread = fact.where(~is_hot).join(dim, key, "left")

@@ -14,7 +14,7 @@ SALES_SQL = """sales AS (
     CAST(l_quantity AS BIGINT) AS quantity, CAST(l_discount AS DECIMAL(4,2)) AS discount_rate,
     CAST(l_extendedprice AS DECIMAL(14,2))
       * (CAST(0.25 AS DECIMAL(4,2)) - CAST(3 AS DECIMAL(4,0)) * CAST(l_discount AS DECIMAL(4,2))) AS profit,
-    CAST(l_quantity AS DECIMAL(6,0)) * CAST(p_retailprice AS DECIMAL(10,2)) AS budget,
+    CAST(l_quantity AS DECIMAL(14,0)) * CAST(p_retailprice AS DECIMAL(10,2)) AS budget,
     l_returnflag = 'R' AS returned
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -35,7 +35,7 @@ def sales(spark: SparkSession, d: str, first: str | None = None, last: str | Non
     buyers = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     bought = order.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     # Products of up to 18 digits stay in a LONG.
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    price = F.col("l_extendedprice").cast("decimal(14,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
     rate = (F.lit("0.25").cast("decimal(4,2)") - F.lit(3).cast("decimal(1,0)") * discount).cast("decimal(5,2)")
     return (
@@ -58,7 +58,7 @@ def sales(spark: SparkSession, d: str, first: str | None = None, last: str | Non
             F.col("l_quantity").cast("bigint").alias("quantity"),
             discount.alias("discount_rate"),
             (price * rate).alias("profit"),
-            (F.col("l_quantity").cast("decimal(6,0)") * F.col("p_retailprice").cast("decimal(10,2)")).alias("budget"),
+            (F.col("l_quantity").cast("decimal(14,0)") * F.col("p_retailprice").cast("decimal(10,2)")).alias("budget"),
             (F.col("l_returnflag") == "R").alias("returned"),
         )
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tarnwork import fixed_values as fv
 from tarnwork.functions import text, text_models
-from tarnwork.ml import evaluate, features, split, training
+from tarnwork.ml import churn, evaluate, features, split, training
 from tarnwork.plans import driver_tables as dt
 from tarnwork.plans.registry import query
 from tarnwork.session import scratch_dir
@@ -67,6 +67,22 @@ def churn_features(spark, d):
     return features.churn_features(_churn_raw(spark, d))
 
 
+@query(
+    "churn_score",
+    """SELECT c_custkey AS "customerID", CAST(c_mktsegment = 'BUILDING' AS DOUBLE) AS prediction,
+      CAST(c_mktsegment = 'BUILDING' AS INT) AS rounded FROM customer""",
+)
+def churn_score(spark, d):
+    """Raw requests without a label, some without a number, scored by a model that was saved with its preprocessing."""
+    raw = _churn_raw(spark, d)
+    known = raw.withColumn("churnString", F.when(F.col("gender") == "BUILDING", "Yes").otherwise("No"))
+    held_out = F.pmod(F.xxhash64("customerID"), F.lit(4)) == 0
+    path = scratch_dir(spark, "churn")
+    churn.save_churn_model(known.where(~held_out), known.where(held_out), path, {"maxIter": 5, "maxDepth": 3})
+    scored = churn.score_churn(raw.drop("churnString"), path)
+    return scored.select("customerID", "prediction", F.round("probability").cast("int").alias("rounded"))
+
+
 @query(
     "feature_select",
     """SELECT CAST(c_acctbal > 5000 AS INT) AS "seniorCitizen", c_nationkey AS tenure,

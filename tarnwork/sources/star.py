@@ -13,7 +13,9 @@ from tarnwork.functions.scalars import bucket_label, numbered_name
 
 
 def hashed(seed: int, modulo: int) -> Column:
-    """0 .. modulo-1 from the id. Widened first: the smallest INT has no positive INT."""
+    """0 .. modulo-1 from the id, for up to 2^31 values. Widened first: the smallest INT has no positive INT."""
+    if modulo > 1 << 31:
+        raise ValueError(f"a 32-bit hash cannot reach all of {modulo} values")
     return F.abs(F.hash("id", F.lit(seed)).cast("bigint")) % modulo
 
 

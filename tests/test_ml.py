@@ -186,10 +186,9 @@ def test_importance(spark, trained):
     assert training.tree_importance(model, ["a.x", "noise"])[0][0] == "a.x"
 
 
-def test_moving_keeps_every_value(spark, monkeypatch):
-    monkeypatch.setattr(training, "ROWS_PER_GROUP", 100)
+def test_moving_keeps_every_value(spark):
     df = spark.range(1000).selectExpr("id", "if(id % 10 = 0, null, id) AS v")
-    moved = training.shuffle_features(df, ["v"], ["id"])
+    moved = training.shuffle_features(df, ["v"], ["id"], groups=10)
     assert moved.select("v_moved").exceptAll(df.select("v")).isEmpty()
     assert moved.where("v <=> v_moved").count() < 50
 
@@ -208,3 +207,18 @@ def test_auc_per_split(spark):
     found = {r.part: r.roc_auc for r in evaluate.evaluate_classifier(scored, by="part", with_auc=True).collect()}
     assert found == {"a": 0.5, "b": 0.5, None: None}
     assert evaluate.evaluate_classifier(scored.where("part = 'a'"), with_auc=True).first().roc_auc == 0.5
+
+
+def test_raw_requests_are_scored_without_a_label(spark, tmp_path):
+    from tarnwork.ml import churn
+
+    def record(i, value, total):
+        return (f"c{i}", i % 2, i, float(i), total, "Yes" if value == "a" else "No", *[value] * len(fv.CHURN_CATEGORIES))
+
+    names = ["customerID", "seniorCitizen", "tenure", "monthlyCharges", "totalCharges", "churnString", *fv.CHURN_CATEGORIES]
+    raw = spark.createDataFrame([record(i, "abc"[i % 3], "null" if i % 7 == 0 else str(i)) for i in range(120)], names)
+    path = str(tmp_path / "m")
+    churn.save_churn_model(raw.where("tenure < 90"), raw.where("tenure >= 90"), path, {"maxIter": 3, "maxDepth": 2})
+    requests = raw.drop("churnString").limit(9).union(spark.createDataFrame([record(500, "new", "12d")], names).drop("churnString"))
+    found = {r.customerID: r.prediction for r in churn.score_churn(requests, path).collect()}
+    assert found == {f"c{i}": float(i % 3 == 0) for i in range(9)} | {"c500": 0.0}
