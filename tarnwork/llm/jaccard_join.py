@@ -8,17 +8,17 @@ are one point (class). The join goes from coarse to fine:
    distance over r from each other and need no comparison, and most points stay alone here.
 2. Pivots. A point of each neighbourhood is its pivot; the others measure their exact distance to it. Links to pivots give
    components; a few rounds are made, each with other pivots, in neighbourhoods that still hold several components.
-   Each point belongs to the Voronoi region of its nearest linked pivot, at a known distance, or is a region by itself.
-3. Windows. What may still link lies in a common neighbourhood, in different components. A point y of the smaller region is
-   measured against the pivot p of the other one; by the triangle inequality only points x with
-   d(x, p) >= d(y, p) - r can link to y, and only these boundary points are compared.
+3. Regions. What may still link meets in a neighbourhood that holds several components. There the points are cut into
+   Voronoi regions by pivots of the neighbourhood, a region's points meet each other (by recursion) and those points of
+   other regions that the triangle inequality lets into its window, in the metric space of parity sketches (below). Pairs
+   that can link leave the region and are measured exactly.
 
-Before a distance is measured, a lower bound is taken from parity sketches: hashing the shingles into buckets, two sets
-differ in at least as many shingles as buckets whose counts differ in parity. Pairs beyond what matters by this bound are
-not measured.
+A parity sketch hashes the shingles into buckets and keeps the parity of each bucket's count. The number of differing
+bits is a metric and never exceeds the number of shingles in which two sets differ, so no link is hidden. Pairs beyond
+the bound by it are not measured.
 
-Steps 2 and 3 take one measurement per point and pivot, so a large group of near copies costs a multiple of its size and
-not its square, while every link between components is found.
+Step 2 takes one measurement per point and pivot, so most of a large group of near copies is joined at a multiple of its
+size. Step 3 sees what is left of it; its comparisons stay inside tasks of bounded size.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,8 @@ class Rule:
     percent: int = 75
     common_most: int = 200_000
     common_from: int = 4
+    few: int = 6
+    block: int = 4096
 
     @property
     def radius(self) -> float:
@@ -286,6 +289,107 @@ def comparable(n, m, reach):
     return F.abs(n - m) <= (reach + F.lit(1e-9)) * F.greatest(n, m)
 
 
+def parity_distance(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of differing bits between all rows of two matrices of sketches: a metric that never exceeds the symmetric difference."""
+    out = np.empty((len(left), len(right)), np.int64)
+    step = max(1, (1 << 21) // max(1, right.size))
+    for at in range(0, len(left), step):
+        out[at : at + step] = np.bitwise_count(left[at : at + step, None, :] ^ right[None]).sum(2, dtype=np.int64)
+    return out
+
+
+class Regions:
+    """Exact join of the points of one neighbourhood in the metric space of their parity sketches.
+
+    Points stand as sizes, components, sides and sketches of one length. Links differ in at most
+    (1 - s) / (1 + s) of the sum of their sizes, s being the similarity.
+    """
+
+    def __init__(self, sizes, parts, sides, sketches, rule: Rule, leaf: int = 768, pivots: int = 16):
+        self.sizes, self.parts, self.sides, self.sketches = sizes, parts, sides, sketches
+        self.slack = (100 - rule.percent) / (100 + rule.percent)
+        # The farthest that a linked point can be from a point, whose partner has at most size / s shingles.
+        self.window = self.slack * sizes * (1 + 100 / rule.percent)
+        self.leaf, self.n_pivots = leaf, pivots
+
+    def compare(self, left: np.ndarray, right: np.ndarray, ordered: bool) -> Iterator[tuple[int, int]]:
+        apart = parity_distance(self.sketches[left], self.sketches[right])
+        apart = np.maximum(apart, np.abs(self.sizes[left][:, None] - self.sizes[right][None]))
+        good = apart <= self.slack * (self.sizes[left][:, None] + self.sizes[right][None]) + 1e-9
+        good &= self.parts[left][:, None] != self.parts[right][None]
+        good &= (self.sides[left][:, None] | self.sides[right][None]) == 3
+        if ordered:
+            good &= np.triu(np.ones(good.shape, bool), 1)
+        for i, j in zip(*np.nonzero(good), strict=True):
+            yield int(left[i]), int(right[j])
+
+    def join(self, points: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Pairs that can link. Pivots cut the points into Voronoi regions; each region is joined with itself in
+        the same way, and with the points of later regions that its triangle-inequality window lets in."""
+        if len(points) <= self.leaf:
+            yield from self.compare(points, points, True)
+            return
+        pivots = points[np.linspace(0, len(points) - 1, self.n_pivots).astype(int)]
+        to = parity_distance(self.sketches[points], self.sketches[pivots])
+        home = to.argmin(1)
+        nearest = to[np.arange(len(points)), home]
+        for region in range(self.n_pivots):
+            own = points[home == region]
+            if not len(own):
+                continue
+            if len(own) == len(points):  # all alike: nothing to cut
+                for at in range(0, len(own), self.leaf):
+                    yield from self.compare(own[at : at + self.leaf], own[at : at + self.leaf], True)
+                    yield from self.compare(own[at : at + self.leaf], own[at + self.leaf :], False)
+                return
+            yield from self.join(own)
+            # If x is at home here and y there, to(y, here) <= to(y, there) + 2 * distance(x, y).
+            inside = (home > region) & (to[:, region] <= nearest + 2 * self.window[points] + 1e-9)
+            guests = points[inside]
+            for at in range(0, len(own), self.leaf):
+                yield from self.compare(own[at : at + self.leaf], guests, False)
+
+
+def fold(sketches: np.ndarray) -> np.ndarray:
+    half = sketches.shape[1] // 2
+    return sketches[:, :half] ^ sketches[:, half:]
+
+
+def region_pairs(here: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs ``a, b`` of different components that meet in a place and can link, as far as sizes and sketches tell.
+
+    A place's points are dealt into blocks of about ``rule.block``; every pair of blocks is one task's cell, so no
+    task holds more than two blocks, and only pairs that can link leave it.
+    """
+
+    def cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = key[1], key[2]
+        found = []
+        rows = rows.sort_values("cid")
+        lengths = rows["sketch"].map(len).to_numpy()
+        for length in np.unique(lengths):
+            # Sets that can link differ by less than a factor of two, so their sketches by one fold at most.
+            short, long = rows[lengths == length], rows[lengths == 2 * length]
+            sketches = np.stack(short["sketch"].to_list()).view(np.uint64)
+            if len(long):
+                sketches = np.concatenate([sketches, fold(np.stack(long["sketch"].to_list()).view(np.uint64))])
+            both = pd.concat([short, long])
+            # Within a block all pairs count, else those across; longer ones meet each other in their own turn.
+            side = np.full(len(both), 3) if lo == hi else np.where(both["block"] == lo, 1, 2)
+            regions = Regions(both["n"].to_numpy(), both["part"].to_numpy(), side, sketches, rule)
+            cids = both["cid"].to_numpy()
+            found += [(cids[i], cids[j]) for i, j in regions.join(np.arange(len(both))) if min(i, j) < len(short)]
+        low = [min(x) for x in found]
+        return pd.DataFrame({"a": np.array(low, np.int64), "b": np.array([max(x) for x in found], np.int64)})
+
+    blocks = F.ceil(F.col("crowd") / rule.block).cast("int")
+    placed = here.join(classes.select("cid", "sketch"), "cid").withColumn("block", F.pmod(F.xxhash64("cid", "place"), blocks).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    cells = dealt.select("place", "lo", "hi", "block", "cid", "n", "part", "sketch").groupBy("place", "lo", "hi")
+    return cells.applyInPandas(cell, "a long, b long").distinct()
+
+
 def open_places(here: DataFrame) -> DataFrame:
     """Rows ``place, part, ...`` of the places that still hold several components."""
     several = here.groupBy("place").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("place")
@@ -302,7 +406,7 @@ def links(near: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, roun
     """Links ``a, b`` whose components are those of all links. ``near``: ``place, cid``; ``classes``: ``cid, name, n, sketch``."""
     radius = F.lit(rule.radius)
     here = settle(near.join(classes.select("cid", "n"), "cid").withColumn("part", F.col("cid")), "near")
-    everywhere, tests = here, []
+    tests = []
     # Pivots: a point of each place that still holds several components, another one in each round.
     for number in range(rounds):
         pivots = here.groupBy("place").agg(F.min_by(F.struct("cid", "n", "part"), F.xxhash64("cid", F.lit(number))).alias("p"))
@@ -314,31 +418,17 @@ def links(near: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, roun
         if not new.head(1):
             break
         here = open_places(merged(here, new))
-    tested = reduce(DataFrame.unionByName, tests).where("linked")
-    # Regions: the nearest linked pivot, at distance at; a point without one is its own.
-    nearest = tested.groupBy(F.col("a").alias("cid")).agg(F.min(F.struct("d", "b")).alias("to")).select("cid", "to.d", "to.b")
-    points = everywhere.select("cid").distinct()
-    placed = points.join(nearest, "cid", "left").select("cid", F.coalesce("b", "cid").alias("region"), F.coalesce("d", F.lit(0.0)).alias("at"))
-    regions = placed.groupBy("region").agg(F.count(F.lit(1)).alias("weight"), F.max("at").alias("breadth"))
-    regions = regions.join(classes.select(F.col("cid").alias("region"), F.col("n").alias("pivot_n")), "region")
-    here = settle(open_places(here).join(placed.join(regions, "region"), "cid"), "regions")
-    # Every point against the larger regions of other components that it meets, unless the sizes say that nothing in there can link.
-    x = here.select("place", F.col("part").alias("x_part"), "region", F.col("weight").alias("x_weight"), "pivot_n", "breadth").distinct()
-    y = here.select("place", F.col("cid").alias("y"), F.col("part").alias("y_part"), F.col("region").alias("y_region"), F.col("weight").alias("y_weight"), F.col("n").alias("y_n"))
-    larger = (F.col("x_weight") > F.col("y_weight")) | ((F.col("x_weight") == F.col("y_weight")) & (F.col("region") > F.col("y_region")))
-    meet = (x["place"] == y["place"]) & (F.col("x_part") != F.col("y_part")) & larger & comparable(F.col("y_n"), F.col("pivot_n"), F.col("breadth") + radius)
-    probes = x.join(y, meet).select(F.col("y").alias("a"), F.col("region").alias("b"), (F.col("breadth") + radius).alias("reach")).distinct()
-    probed = measured(within(probes, classes), docs, classes, rule)
-    # Boundary points of the region that the triangle inequality leaves open.
-    inner = here.where("weight > 1").select("place", F.col("cid").alias("x"), "region", "at", F.col("part").alias("x_part"), F.col("n").alias("x_n"))
-    outer = here.select("place", F.col("cid").alias("a"), F.col("part").alias("a_part"), F.col("n").alias("a_n"))
-    window = probed.where("NOT linked").select("a", F.col("b").alias("region"), "d")
-    left = outer.join(window, "a").withColumnsRenamed({"place": "place_a", "region": "region_a"})
-    edge = (F.col("at") >= F.col("d") - F.lit(rule.radius + 1e-9)) & (F.col("x") != F.col("region")) & (F.col("x_part") != F.col("a_part"))
-    both = left.join(inner, (F.col("place_a") == F.col("place")) & (F.col("region_a") == F.col("region")) & edge & comparable(F.col("x_n"), F.col("a_n"), radius))
-    last = both.select("a", F.col("x").alias("b"), radius.alias("reach"))
-    checked = measured(within(last, classes), docs, classes, rule)
-    return tested.select("a", "b").unionByName(probed.where("linked").select("a", "b")).unionByName(checked.where("linked").select("a", "b"))
+    tested = reduce(DataFrame.unionByName, tests).where("linked").select("a", "b")
+    # What may still link. Few points are paired as rows; more are joined by region inside tasks.
+    crowds = here.groupBy("place").agg(F.count(F.lit(1)).alias("crowd"))
+    here = settle(here.join(crowds, "place"), "crowds")
+    few = here.where(F.col("crowd") <= rule.few)
+    l, r = few.alias("l"), few.alias("r")
+    meet = (F.col("l.place") == F.col("r.place")) & (F.col("l.cid") < F.col("r.cid")) & (F.col("l.part") != F.col("r.part")) & comparable(F.col("l.n"), F.col("r.n"), radius)
+    rows = l.join(r, meet).select(F.col("l.cid").alias("a"), F.col("r.cid").alias("b"), radius.alias("reach"))
+    pairs = within(rows.distinct(), classes).unionByName(region_pairs(here.where(F.col("crowd") > rule.few), classes, rule)).distinct()
+    last = measured(settle(pairs, "pairs"), docs, classes, rule)
+    return tested.unionByName(last.where("linked").select("a", "b"))
 
 
 def near_duplicates(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

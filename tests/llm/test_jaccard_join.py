@@ -150,3 +150,30 @@ def test_sketches_never_hide_a_link(frame):
         kept = {(r.a, r.b) for r in jj.within(pairs, classes).collect()}
         assert {p for p, d in wanted.items() if d <= reach} <= kept
         assert len(kept) < 0.8 * len(wanted)
+
+
+def test_regions_find_all_that_can_link():
+    rng, rule = np.random.default_rng(8), jj.Rule()
+    base = rng.integers(0, 1 << 62, 150).astype(np.uint64)
+    sets = []
+    for _ in range(700):
+        kept = base[rng.random(150) < rng.uniform(0.6, 1)]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 62, int(rng.integers(0, 40))).astype(np.uint64)])))
+    sets += [np.unique(rng.integers(0, 1 << 62, 120).astype(np.uint64)) for _ in range(300)]
+    sketches = np.array([(jj.sketch(x) + [0] * 16)[:16] for x in sets]).view(np.uint64)
+    sizes, parts = np.array([len(x) for x in sets]), np.arange(len(sets)) // 2
+    pairs = {(i, j) for leaf in (40,) for i, j in jj.Regions(sizes, parts, np.full(len(sets), 3), sketches, rule, leaf, 5).join(np.arange(len(sets)))}
+    pairs = {tuple(sorted(p)) for p in pairs}
+    linked = set()
+    for i, x in enumerate(sets):
+        for j in range(i):
+            common = len(np.intersect1d(x, sets[j], assume_unique=True))
+            if parts[i] != parts[j] and 100 * common >= rule.percent * (len(x) + len(sets[j]) - common):
+                linked.add((j, i))
+    assert linked and linked <= pairs and len(pairs) < 500 * 999
+
+
+@pytest.mark.parametrize("few, block", [(0, 4), (2, 10), (1000, 1)])
+def test_blocks_and_rows_find_the_same(frame, few, block):
+    rows = corpus(11, 90, 3)
+    same(jj.near_duplicates(frame(rows, "doc_id long, text string"), jj.Rule(few=few, block=block)), rows)
