@@ -377,16 +377,18 @@ def region_pairs(here: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
             # Within a block all pairs count, else those across; longer ones meet each other in their own turn.
             side = np.full(len(both), 3) if lo == hi else np.where(both["block"] == lo, 1, 2)
             regions = Regions(both["n"].to_numpy(), both["part"].to_numpy(), side, sketches, rule)
-            cids = both["cid"].to_numpy()
-            found += [(cids[i], cids[j]) for i, j in regions.join(np.arange(len(both))) if min(i, j) < len(short)]
+            cids, met = both["cid"].to_numpy(), [frozenset(x.tolist()) for x in both["places"]]
+            # A pair leaves the first of the places where it meets, and no other.
+            found += [(cids[i], cids[j]) for i, j in regions.join(np.arange(len(both))) if min(i, j) < len(short) and min(met[i] & met[j]) == key[0]]
         low = [min(x) for x in found]
         return pd.DataFrame({"a": np.array(low, np.int64), "b": np.array([max(x) for x in found], np.int64)})
 
     blocks = F.ceil(F.col("crowd") / rule.block).cast("int")
-    placed = here.join(classes.select("cid", "sketch"), "cid").withColumn("block", F.pmod(F.xxhash64("cid", "place"), blocks).cast("int"))
+    lists = here.groupBy("cid").agg(F.collect_set("place").alias("places")).join(classes.select("cid", "sketch"), "cid")
+    placed = here.join(lists, "cid").withColumn("block", F.pmod(F.xxhash64("cid", "place"), blocks).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    cells = dealt.select("place", "lo", "hi", "block", "cid", "n", "part", "sketch").groupBy("place", "lo", "hi")
+    cells = dealt.select("place", "lo", "hi", "block", "cid", "n", "part", "sketch", "places").groupBy("place", "lo", "hi")
     return cells.applyInPandas(cell, "a long, b long").distinct()
 
 
