@@ -62,6 +62,11 @@ def sainte_lague(targets: DataFrame, seats: int, votes: str = "target", party: s
     return bounds.join(more, party, "left").withColumn("quota", F.col("sure") + F.coalesce(F.col("more"), F.lit(0))).drop("sure", "possible", "more")
 
 
+def place_of(key: Column, seed: int) -> Column:
+    """Where a row stands in its source's seeded order."""
+    return F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 1)
+
+
 def mix_plan(
     df: DataFrame,
     weights: tuple[int, ...] = (5, 2, 1),
@@ -75,7 +80,7 @@ def mix_plan(
     source_col: str = "source",
     rows_per_slice: int = 50_000,
 ) -> DataFrame:
-    """Per row of ``df``: ``id, source, size, source_size, target, blocks, taken``.
+    """Per row of ``df``: ``id, source, size, source_size, target, blocks, taken, place, before``.
 
     A source's rows stand in an order seeded by their id and are cut into blocks of
     ``block_tokens`` words (the last may be shorter). Seats of the Sainte-Laguë
@@ -84,7 +89,7 @@ def mix_plan(
     moved or sorted to be chosen. Seats are dealt to the shards in turn, which gives whole
     quotas per shard and source. ``blocks`` lists the chosen pieces of the row as
     structs ``block, first_word, n_words, shard`` (one entry per repeat), and ``taken`` adds up
-    their words.
+    their words. ``place`` is where the seed puts the row, and ``before`` counts its source's words up to there.
 
     A NULL text has no words, a NULL source is a source of its own, equal rows are taken
     independently of their order, an empty table gives no rows; other columns are ignored.
@@ -101,8 +106,7 @@ def mix_plan(
     quotas = settle(quotas.withColumn("stride", stride), "seats")
 
     slices = max(slices_for(rows.count(), rows_per_slice), shuffle_width(df.sparkSession))
-    place = F.shiftrightunsigned(F.xxhash64(F.col("id"), F.lit(seed)), 1)
-    hashed = rows.withColumn("place", place).withColumn("slice", F.expr(f"place div {2**63 // slices + 1}"))
+    hashed = rows.withColumn("place", place_of(F.col("id"), seed)).withColumn("slice", F.expr(f"place div {2**63 // slices + 1}"))
     known = hashed.join(quotas, hashed["source"].eqNullSafe(quotas["source"])).drop(quotas["source"])
     known = settle(known, "known")
     totals = known.groupBy("source_no", "slice").agg(F.sum("size").alias("slice_size"))
@@ -140,7 +144,7 @@ def mix_plan(
     blocks = F.when((F.col("size") > 0) & (F.col("quota") > 0), F.flatten(F.transform(spanned, pieces))).otherwise(empty)
     planned = lined.withColumn("blocks", blocks)
     taken = F.aggregate("blocks", F.lit(0).cast("long"), lambda acc, x: acc + x["n_words"])
-    return planned.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "blocks", taken.alias("taken"))
+    return planned.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "blocks", taken.alias("taken"), "place", "before")
 
 
 def mixed_texts(df: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -153,6 +157,29 @@ def mixed_texts(df: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col
     return split.select(id_col, "piece.shard", "piece.block", F.array_join(piece, " ").alias("text"))
 
 
+def whole_documents(df: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``df`` as often as a mix of whole rows takes them, with all their columns.
+
+    A source's rows are taken in the plan's seeded order, and from the first again after the last, as long as
+    at least half of the next row lies within the target, so its words are off by half a row at most. A row's place in
+    the order tells whether it is taken, so no text moves. Rows stand by id and text: equal ones are taken alike, and rows without words not at all.
+    """
+
+    def key() -> Column:
+        return F.struct(col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("digest"))
+
+    plan = mix_plan(df.select(key().alias("key"), col(source_col).alias("source"), col(text_col).alias("text")), seed=seed, id_col="key").where("size > 0")
+    rounds = F.floor(F.col("target") / F.col("source_size")).cast("int")
+    once_more = F.col("before") + F.col("size") / 2 <= F.col("target") - F.col("rounds") * F.col("source_size")
+    last = plan.withColumn("rounds", rounds).groupBy("source").agg(F.first("rounds").alias("rounds"), F.max(F.when(once_more, F.col("place"))).alias("last"))
+    last = settle(last.withColumnRenamed("source", "of_source"), "last-places")
+    rows = df.select(F.struct("*").alias("row"), col(source_col).alias("in_source"), place_of(key(), seed).alias("at"), (word_count(col(text_col)) > 0).alias("has_words"))
+    taken = rows.where("has_words").join(last, F.col("in_source").eqNullSafe(F.col("of_source")))
+    times = F.col("rounds") + F.coalesce((F.col("at") <= F.col("last")).cast("int"), F.lit(0))
+    copies = taken.select(F.explode(F.array_repeat("row", times)).alias("row"))
+    return copies.select(*[F.col("row").getField(c).alias(c) for c in df.columns])
+
+
 @query("op6_mixing")
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed with weights 5, 2, 1 to one and a half times their words."""

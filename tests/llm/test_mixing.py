@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from tarnwork.llm.mixing import mix_plan, mixed_texts, op6_mixing, sainte_lague, source_targets
+from tarnwork.llm.mixing import mix_plan, mixed_texts, op6_mixing, sainte_lague, source_targets, whole_documents
 
 WEIGHTS = (5, 2, 1)
 
@@ -72,6 +72,23 @@ def test_pieces_are_the_words_taken(frame):
     assert {p.shard for p in pieces} == {0, 1, 2}
 
 
+def test_whole_long_documents_come_near_their_targets(frame):
+    rows = [(None if i % 10 == 0 else i, f"d{i} " + "w " * (199 + i * 37 % 200), [None, "a", "b", "c", "d"][i % 5] if i % 3 else "a", i) for i in range(400)]
+    docs = frame(rows, "doc_id long, text string, source string, row int")
+    sizes, got, times = Counter(), Counter(), Counter()
+    for r in rows:
+        sizes[r[2]] += len(r[1].split())
+    mixed = whole_documents(docs)
+    assert mixed.columns == docs.columns
+    for r in mixed.collect():
+        assert tuple(r) == rows[r["row"]]
+        got[r.source] += len(r.text.split())
+        times[r["row"]] += 1
+    targets = brute_targets(sizes)
+    assert any(0.1 < t / sizes[s] % 1 < 0.9 for s, t in targets.items()) and max(times.values()) <= 2
+    assert all(abs(got[s] - t) <= 200 for s, t in targets.items())
+
+
 def test_all_documents(spark, sf_dir):
     found = op6_mixing(spark, sf_dir).collect()
     source = {r.doc_id: (r.source, len((r.text or "").encode().split())) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
