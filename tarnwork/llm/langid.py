@@ -104,14 +104,15 @@ def train(
     max_rows: int = 3_000,
     max_chars: int = 50_000,
 ) -> Model | None:
-    """Fit on a bounded sample: about ``rows_per_language`` rows (``max_rows`` in all) of texts up to ``max_chars`` of
-    each of the ``max_languages`` most frequent languages, chosen by a hash of the text, so that reruns agree.
+    """Fit on a bounded sample: about ``rows_per_language`` different texts (``max_rows`` in all), or all there are, of texts up to ``max_chars`` of
+    each of the ``max_languages`` languages with most texts, chosen by a hash of the text, so that reruns agree.
 
     Rows without a text, a language or a letter are not learned from; copies of a text count once.
     """
     rows = df.select(col(text_col).alias("text"), col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= max_chars))
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+    digests = rows.select("lang", F.xxhash64("text").alias("digest")).distinct()  # copies count once, here as in the sample
+    counts = {r.lang: r.n for r in digests.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     if not counts:
         return None
     wanted = min(rows_per_language, max(1, max_rows // len(counts)))

@@ -74,3 +74,12 @@ def test_labels_of_held_out_rows_are_not_used(frame):
     schema = "doc_id long, text string, lang string"
     answers = [sorted((r.doc_id, r.lang_pred, r.score) for r in langid.identify_documents(frame(x, schema)).collect()) for x in (rows, wrong)]
     assert answers[0] == answers[1]
+
+
+def test_copies_take_no_place_in_the_sample(frame):
+    rows = [(t, lang) for _, t, lang in labelled()] + [("le la des eau", "fr")] * 50_000 + [("water of the house", "en")] * 50_000
+    seen = {}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(langid, "fit", lambda texts, langs: seen.update(zip(texts, langs, strict=True)))
+        langid.train(frame(rows, "text string, lang string"))
+    assert seen == dict(rows)
