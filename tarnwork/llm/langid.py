@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.llm.common import col, table
 from tarnwork.llm.registry import query
+from tarnwork.session import settle
 
 DIMENSIONS = 8192
 UNDETERMINED = "und"
@@ -45,7 +46,7 @@ def codebook(classes: int, seed: int = 11) -> np.ndarray:
         splits = [[1] * width] + [[1 if (number >> k) & 1 else -1 for number in range(width)] for k in range(classes - 1)]
         return np.array(splits[:classes], np.float32)
     width, rng = 15 * int(np.ceil(np.log2(classes))) // 2, np.random.default_rng(seed)
-    books = [rng.choice(np.array([-1, 1], np.float32), (classes, width)) for _ in range(200)]
+    books = (rng.choice(np.array([-1, 1], np.float32), (classes, width)) for _ in range(200))  # one at a time, as languages may be many
 
     def nearest(book: np.ndarray) -> float:
         alike = book @ book.T
@@ -100,25 +101,29 @@ def train(
     text_col: str = "text",
     lang_col: str = "lang",
     rows_per_language: int = 300,
-    max_languages: int = 100,
     max_rows: int = 3_000,
     max_chars: int = 50_000,
+    least_rows: int = 30,
 ) -> Model | None:
-    """Fit on a bounded sample: about ``rows_per_language`` different texts (``max_rows`` in all), or all there are, of texts up to ``max_chars`` of
-    each of the ``max_languages`` languages with most texts, chosen by a hash of the text, so that reruns agree.
+    """Fit on a sample: about ``rows_per_language`` different texts of every language, or all there are, chosen by a hash of the text, so that reruns agree.
 
+    With many languages each gives fewer, so that they are ``max_rows`` in all, but no fewer than ``least_rows``. Of a text over
+    ``max_chars`` characters that many are learned from, from its first letter on.
     Rows without a text, a language or a letter are not learned from; copies of a text count once.
     """
     rows = df.select(col(text_col).alias("text"), col(lang_col).alias("lang"))
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= max_chars))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    stretch = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{max_chars - 1}}}", 0)
+    rows = rows.withColumn("text", F.when(F.length("text") <= max_chars, F.col("text")).otherwise(stretch))
     digests = rows.select("lang", F.xxhash64("text").alias("digest")).distinct()  # copies count once, here as in the sample
-    counts = {r.lang: r.n for r in digests.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+    counts = [tuple(r) for r in digests.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()]
     if not counts:
         return None
-    wanted = min(rows_per_language, max(1, max_rows // len(counts)))
-    bound = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, wanted / n))])[F.col("lang")]
+    wanted = min(rows_per_language, max(least_rows, max_rows // len(counts)))
+    bounds = df.sparkSession.createDataFrame([(lang, min(1.0, wanted / n)) for lang, n in counts], "lang string, bound double")
+    bounds = settle(bounds, "languages")  # read back it has a size, so that Spark can broadcast it and leave the texts where they are
     chance = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(F.col("lang").isin(*counts) & (chance < bound)).distinct().orderBy(F.xxhash64("text"), "lang").limit(2 * max_rows).collect()
+    sample = rows.join(bounds, "lang").where(chance < F.col("bound")).select("text", "lang").distinct().orderBy(F.xxhash64("text"), "lang").collect()
     return fit([r.text for r in sample], [r.lang for r in sample])
 
 

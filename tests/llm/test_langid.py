@@ -83,3 +83,12 @@ def test_copies_take_no_place_in_the_sample(frame):
         patch.setattr(langid, "fit", lambda texts, langs: seen.update(zip(texts, langs, strict=True)))
         langid.train(frame(rows, "text string, lang string"))
     assert seen == dict(rows)
+
+
+def test_every_language_is_learned(frame):
+    rows = [(f"{a}{b} {b}{a}{a}", f"{a}{b}") for a in "abcdefghijkl" for b in "mnopqrstuvw"] + [(". " * 30_000 + "über " * 30_000, "long")]
+    seen = {}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(langid, "fit", lambda texts, langs: seen.update(zip(langs, texts, strict=True)))
+        langid.train(frame(rows * 2, "text string, lang string"))
+    assert len(rows) == 133 and set(seen) == {lang for _, lang in rows} and seen["long"] == "über " * 10_000
