@@ -41,7 +41,7 @@ AT_WORD = re.compile(r"\s?[(\[{]\s?at\s?[)\]}]\s?|\sat\s", re.I)
 DOTTED = re.compile(r"[A-Za-z0-9-]++(?:(?:\s?[(\[{]\s?dot\s?[)\]}]\s?|\sdot\s|\.)[A-Za-z0-9-]++)++", re.I)
 BARE_HOST = re.compile(r"[A-Za-z0-9-]++")
 LOCAL_PHONE = re.compile(r"(?<![0-9.+-])\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9.-])")
-ASSIGNED = re.compile(r"(?:token|secret|api[_-]?key|access[_-]?key|passw(?:or)?d|pwd)\s{0,3}[=:]\s{0,3}[\"']?([^\s\"']{6,256})", re.I)
+ASSIGNED = re.compile(r"(?:token|secret|api[_-]?key|access[_-]?key|passw(?:or)?d|pwd)\s{0,3}[=:]\s{0,3}[\"']?([^\s\"']{6,}+)", re.I)
 LONG_HEX = re.compile(r"[0-9A-Fa-f]{32,}+")
 
 # Gazetteers and cue words of the labelers.
@@ -80,6 +80,11 @@ def small(part: str) -> bool:
 
 def scan(text: str) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int, int, int]]]:
     """Base spans and further candidates, each ``(start, kind, end, vote of the pattern)``."""
+    return scan_values(text)[:2]
+
+
+def scan_values(text: str) -> tuple[list, list, dict[tuple[int, int], tuple[int, int]]]:
+    """The spans of ``scan``, and the whole value by each piece of an assigned one that base spans cut."""
     base, more = [], []
     if "@" in text:
         base += [(s, 0, e, 1) for s, e in emails(text)]
@@ -105,10 +110,23 @@ def scan(text: str) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, in
     for m in LOCAL_PHONE.finditer(text):
         if 9 <= len(NOT_DIGIT.sub("", m.group())) <= 15:
             more.append((m.start(), 3, m.end(), 0))
-    more += [(m.start(1), 4, m.end(1), 1) for m in ASSIGNED.finditer(text)]
-    more += [(m.start(), 4, m.end(), 0) for m in LONG_HEX.finditer(text)]
     base.sort()
-    return base, apart(base, more)
+    values, at = {}, 0
+    for m in ASSIGNED.finditer(text):
+        start, end = m.span(1)
+        while at < len(base) and base[at][2] <= start:
+            at += 1
+        k = at
+        while k < len(base) and base[k][0] < end:
+            if base[k][0] > start:
+                values[start, base[k][0]] = m.span(1)
+            start = max(start, base[k][2])
+            k += 1
+        if start < end:
+            values[start, end] = m.span(1)
+    more += [(start, 4, end, 1) for start, end in values]
+    more += [(m.start(), 4, m.end(), 0) for m in LONG_HEX.finditer(text)]
+    return base, apart(base, more), values
 
 
 def apart(base: list, more: list) -> list:
@@ -218,11 +236,12 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             found = []
             for text in batch.column("text"):
                 text = text.as_py() or ""
-                base, more = scan(text)
+                base, more, values = scan_values(text)
                 row = []
                 for is_base, spans in ((True, base), (False, more)):
                     for start, kind, end, pattern in spans:
-                        voted, features = votes(text, start, kind, end, pattern)
+                        whole = values.get((start, end), (start, end)) if kind == 4 else (start, end)
+                        voted, features = votes(text, whole[0], kind, whole[1], pattern)
                         row.append({"start": start, "end": end, "kind": kind, "base": is_base, "code": coded(voted), "features": features})
                 row.sort(key=lambda x: (x["start"], x["kind"]))
                 found.append(row)

@@ -107,3 +107,14 @@ def test_all_documents(spark, sf_dir):
         assert set(filter(None, listed(spans).split(","))) <= set(r.spans.split(","))
         seen += len(spans)
     assert seen > 0
+
+
+def test_an_assigned_secret_is_taken_to_its_end():
+    value = "aB3_" * 100
+    assert pii.scan(f"token={value} and more") == ([], [(6, 4, 406, 1)])
+    text = f"token={value}:4111111111111111:{value}."
+    base, more = pii.scan(text)
+    assert [text[s:e] for s, _, e, _ in base] == ["4111111111111111"]
+    assert [(s, e) for s, _, e, _ in more] == [(6, base[0][0]), (base[0][2], len(text))]
+    spans = [{"kind": "x", "start": s, "end": e} for s, _, e, _ in base + more]
+    assert pii.redacted(text, spans) == "token=[x][x][x]"
