@@ -1,6 +1,6 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit distance.
 
-Texts and items are sequences of lower-cased words. The CGK random walk copies a
+Texts and items are sequences of lower-cased words, or of single characters in scripts without spaces. The CGK random walk copies a
 sequence into a longer one, moving on after each step or not by a random bit of
 step and symbol; sequences at a small edit distance then agree in many places,
 so sampling a few places finds them. What is found is verified by the exact edit distance.
@@ -25,13 +25,20 @@ from tarnwork.llm.common import col, table, word_count
 from tarnwork.llm.registry import query
 from tarnwork.session import settle
 
-TOKEN = re.compile(r"\w+")
+#: Characters of scripts that put no spaces between words, with their marks: Han, Kana, Thai, Lao, Myanmar, Khmer.
+UNSPACED = (
+    "\u3005\u3007\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff\u3041-\u3096\u3099\u309a\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\uff66-\uff9f"
+    "\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ebd\u0ec0-\u0ece\u0edc-\u0edf\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u17dc\u17dd"
+)
+TOKEN = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 FOUND = "array<struct<item:int,distance:int,n_words:int,start:int,end:int>>"
 
 
 @dataclass(frozen=True)
 class Search:
-    """``max_edits`` is the share of an item's words that may be edited; items under ``least_words`` words are left out.
+    """``max_edits`` is the share of an item's words that may be edited; items under ``least_words`` words are searched for word by word, without edits.
+
+    A single word is not searched for, as it stands in any number of texts that hold no item.
 
     The number of LSH tables follows from ``recall``: a table compares ``samples`` places of an
     embedding, of which a share of ``differing`` differs at the edit bound (measured with random
@@ -123,6 +130,10 @@ class Items:
             self.symbols.append(np.array([self.words.setdefault(w, len(self.words) + 1) for w in words], np.int64))
         self.base = len(self.words) + 1
         self.kept = [i for i, s in enumerate(self.symbols) if len(s) >= max(2, search.least_words)]
+        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))  # items by their words' hash, by size
+        for i, s in enumerate(self.symbols):
+            if 2 <= len(s) < search.least_words:
+                self.short[len(s)][int(self.hashes(s, len(s))[0])].append(i)
         postings, self.tables = defaultdict(list), {}
         self.needs, self.counts, sizes = {}, {}, defaultdict(list)
         for i in self.kept:
@@ -146,6 +157,27 @@ class Items:
     def grams(self, symbols: np.ndarray) -> np.ndarray:
         return symbols[:-1] * self.base + symbols[1:]
 
+    def hashes(self, symbols: np.ndarray, n: int) -> np.ndarray:
+        """A hash of each window of ``n`` symbols."""
+        total = np.zeros(len(symbols) - n + 1, np.int64)
+        for k in range(n):
+            total = total * 0x5851F42D4C957F2D + symbols[k : len(symbols) - n + 1 + k]
+        return total
+
+    def exact(self, symbols: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Items under ``least_words`` words that stand in the text as they are, and the first place of each."""
+        for n, by_hash in self.short.items():
+            if len(symbols) < n:
+                continue
+            codes = self.hashes(symbols, n)
+            places = np.flatnonzero(np.isin(codes, np.fromiter(by_hash, np.int64, len(by_hash))))
+            open_ = {code: list(items) for code, items in by_hash.items()} if len(places) else {}
+            for code, at in zip(codes[places].tolist(), places.tolist(), strict=True):
+                for i in open_[code]:
+                    if np.array_equal(self.symbols[i], symbols[at : at + n]):
+                        yield i, at
+                open_[code] = [i for i in open_[code] if not np.array_equal(self.symbols[i], symbols[at : at + n])]
+
     def regions(self, hits: np.ndarray) -> Iterator[tuple[int, int]]:
         """Stretches of the text that can hold a match: somewhere in a match, ``reach`` places hold ``least`` pairs of some item."""
         total = np.concatenate([[0], np.cumsum(hits)])
@@ -163,16 +195,22 @@ class Items:
 
     def find(self, text: str | None) -> list[dict]:
         """Best match per item, in words ``[start, end)`` of the text."""
-        tokens = TOKEN.findall(text.lower()) if text and self.kept else []
+        tokens = TOKEN.findall(text.lower()) if text and (self.kept or self.short) else []
         symbols = np.fromiter(map(self.words.get, tokens, repeat(0)), np.int64, len(tokens))
         if len(symbols) < 2:
             return []
+        best: dict[int, tuple[int, int, int]] = {i: (0, at, at + len(self.symbols[i])) for i, at in self.exact(symbols)}
+        if self.kept:
+            self.near(symbols, best)
+        return [{"item": i, "distance": d, "n_words": len(self.symbols[i]), "start": s, "end": e} for i, (d, s, e) in sorted(best.items())]
+
+    def near(self, symbols: np.ndarray, best: dict[int, tuple[int, int, int]]) -> None:
+        """Adds the best match of every item within its edits."""
         grams = self.grams(symbols)
         spot = np.minimum(np.searchsorted(self.pairs, grams), len(self.pairs) - 1)
         hits = self.pairs[spot] == grams
         if hits.sum() < self.least:
-            return []
-        best: dict[int, tuple[int, int, int]] = {}
+            return
         for low, high in self.regions(hits):
             shared = defaultdict(list)
             for at in np.flatnonzero(hits[low : high - 1]):
@@ -186,7 +224,6 @@ class Items:
                 for item, start, end, distance in self.matches(symbols[low:high], n, items):
                     if item not in best or (distance, low + start) < best[item][:2]:
                         best[item] = (distance, low + start, low + end)
-        return [{"item": i, "distance": d, "n_words": len(self.symbols[i]), "start": s, "end": e} for i, (d, s, e) in sorted(best.items())]
 
     def matches(self, symbols: np.ndarray, n: int, items: list) -> Iterator[tuple[int, int, int, int]]:
         """LSH over all windows of ``n`` words that keep enough of an item's pairs, then the exact distance around those that collide."""
@@ -224,7 +261,7 @@ def finder(spark: SparkSession, texts: list[str], search: Search):
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list]:
     """The items in blocks of about ``block_words`` words, so that what is sent to the tasks stays bounded."""
     items = benchmark.select(col(id_col).alias("item_id"), col(text_col).alias("text")).where(F.col("text").isNotNull())
-    items = settle(items.withColumn("n", word_count(F.col("text"))), "items")
+    items = settle(items.withColumn("n", word_count(F.col("text")) + F.regexp_count("text", F.lit(f"[{UNSPACED}]"))), "items")
     blocks = max(1, math.ceil((items.agg(F.sum("n")).first()[0] or 0) / block_words))
     for block in range(blocks):
         yield items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
@@ -244,8 +281,9 @@ def leaks(
 
     An item is contained where some part of the document is within ``search.max_edits`` of it in
     words (upper case and all between words do not count); the best place is given, the first on a
-    tie. Whole texts are searched. NULL and empty texts contain nothing and NULL
-    or too short items are in nothing; copies of documents or items are reported one by one; empty
+    tie. Items under ``search.least_words`` words are found where they stand word by word. Whole texts are
+    searched. NULL and empty texts contain nothing and NULL
+    or one-word items are in nothing; copies of documents or items are reported one by one; empty
     tables give no rows; other columns are ignored.
     """
     spark, parts = docs.sparkSession, []

@@ -109,6 +109,19 @@ def test_odd_rows(frame):
     assert clean.columns == df.columns and sorted(r.doc_id for r in clean.collect()) == [1, 2, 5]
 
 
+def test_short_items_and_scripts_without_spaces(frame):
+    question = "世界上最長的河流是哪一條,它流經多少個國家"
+    items = [(1, "What is 2 + 2?"), (2, question), (3, "そうですか"), (4, "ประเทศไทยมีกี่จังหวัด"), (5, "of it"), (6, "of it")]
+    docs = [(1, "so, what is 2 and 2; what is 2+2"), (2, f"前面還有許多別的話{question.replace(',', '')}後面也有"), (3, "x そうですね y"), (4, "what is 2 + 3"), (5, f"ก่อน{items[3][1]}หลัง"), (6, "end of it")]
+    docs += [(7, "前面還有許多" + question.replace("最長", "最大") + "後面"), (8, "世界上的河流"), (9, "it of"), (10, None)]
+    frames = frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.distance, r.end_word - r.start_word) for r in leaks(*frames).collect()}
+    assert found == {(1, 1): (0, 4), (2, 2): (0, 20), (3, 3): (1, found[3, 3][1]), (5, 4): (0, len(items[3][1])), (6, 5): (0, 2), (6, 6): (0, 2), (7, 2): (1, 20)}
+    assert sorted(r.doc_id for r in without_leaks(*frames).collect()) == [4, 8, 9, 10]
+    only_short = Items(["What is 2 + 2?"], Search())
+    assert only_short.find("what is 2 2") and not only_short.find("what is 2 3")
+
+
 def test_blocks_and_empty_tables(frame):
     docs, items = corpus(5, 60)
     d, b = frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")
