@@ -72,6 +72,9 @@ PROSE = [
 #: Corpus lines with one of these are not taken as examples of prose.
 CUE = r"(?i)licen[cs]|copyright|rights reserved|warrant|permission|redistribut|creative commons|\bgpl\b|\bcc\b"
 
+#: Every template has one of these, so a notice that goes over several lines has a line with one.
+WRAPPED_CUE = CUE + r"|\brights\b|reserved|\bgnu\b|gpl|apache|mozilla|\bmpl\b|\bmit\b|\bbsd\b|\bcc0\b|commons|confidential|proprietary|unauthorized|publication"
+
 
 def examples() -> list[tuple[str, str]]:
     """Text and family: names in notices, sentences of the texts, notices of licences nobody knows, and prose."""
@@ -105,16 +108,68 @@ def featured(df: DataFrame) -> DataFrame:
 
 
 def paragraphs(df: DataFrame, id_col: str, text_col: str, longest: int = 800) -> DataFrame:
-    """``doc_id, paragraph, start, text``: the lines of each text; lines over ``longest`` characters in pieces of that length which overlap by half.
+    """``doc_id, digest, paragraph, start, text``: the lines of each text; lines over ``longest`` characters in pieces of that length which overlap by half.
 
-    ``paragraph`` counts lines from 0, ``start`` is the code point of the line where the piece begins.
+    ``paragraph`` counts lines from 0, ``start`` is the code point of the line where the piece begins, ``digest`` that of the whole text.
     """
     lines = F.split(F.coalesce(col(text_col), F.lit("")), "\n")
-    rows = df.select(col(id_col).alias("doc_id"), F.posexplode(lines).alias("paragraph", "line")).where(F.col("line") != "")
+    rows = df.select(col(id_col).alias("doc_id"), F.xxhash64(col(text_col)).alias("digest"), F.posexplode(lines).alias("paragraph", "line")).where(F.col("line") != "")
     step = longest // 2
     offsets = F.when(F.length("line") <= longest, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.length("line") - step, F.lit(step)))
-    pieces = rows.select("doc_id", "paragraph", "line", F.explode(offsets).alias("start"))
-    return pieces.select("doc_id", "paragraph", "start", F.substring("line", F.col("start") + 1, F.lit(longest)).alias("text"))
+    pieces = rows.select("doc_id", "digest", "paragraph", "line", F.explode(offsets).alias("start"))
+    return pieces.select("doc_id", "digest", "paragraph", "start", F.substring("line", F.col("start") + 1, F.lit(longest)).alias("text"))
+
+
+def wrapped(df: DataFrame, id_col: str, text_col: str, most_lines: int = 8, longest: int = 800) -> DataFrame:
+    """``doc_id, digest, paragraph, last, text``: all runs of 2 to ``most_lines`` lines with a licence word in them and no blank line, joined.
+
+    A line of nothing but marks is blank. Of lines over ``longest`` characters both ends are joined to their neighbours.
+    """
+    half, around = longest // 2, most_lines - 1
+    rows = df.select(col(id_col).alias("doc_id"), F.xxhash64(col(text_col)).alias("digest"), col(text_col).alias("text")).where(F.col("text").contains("\n") & F.col("text").rlike(WRAPPED_CUE))
+    ends = lambda x: F.concat(F.substring(x, 1, half), F.lit(" | "), F.substring(x, -half, half))
+    unmarked = lambda x: F.regexp_replace(x, r"(?i)^\W*(rem|dnl)\b", "")
+    lines = F.transform(F.split("text", "\n"), lambda x: F.when(F.length(x) <= longest, unmarked(x)).otherwise(ends(x)))
+    rows = rows.select("doc_id", "digest", lines.alias("lines"))
+    rows = rows.withColumn("cues", F.filter(F.transform("lines", lambda x, i: F.when(x.rlike(WRAPPED_CUE), i)), lambda i: i.isNotNull()))
+    first = lambda i: F.greatest(i - around, F.lit(0))
+    # A run belongs to its first line with a licence word.
+    near = F.transform(
+        "cues",
+        lambda i, k: F.struct(i.alias("cue"), F.when(k > 0, F.get("cues", k - 1)).otherwise(-1).alias("earlier"), first(i).alias("first"), F.slice("lines", first(i) + 1, F.lit(2 * around + 1)).alias("lines")),
+    )
+    seeds = rows.select("doc_id", "digest", F.explode(near).alias("near")).select("doc_id", "digest", "near.*")
+    shapes = F.array(*[F.struct(F.lit(before).alias("before"), F.lit(n).alias("n")) for n in range(2, most_lines + 1) for before in range(n)])
+    runs = seeds.withColumn("shape", F.explode(shapes)).withColumn("paragraph", F.col("cue") - F.col("shape.before"))
+    at = F.col("paragraph") - F.col("first")
+    runs = runs.where((F.col("paragraph") > F.col("earlier")) & (at >= 0) & (at + F.col("shape.n") <= F.size("lines")))
+    runs = runs.withColumn("lines", F.slice("lines", F.greatest(at + 1, F.lit(1)), F.col("shape.n"))).where(F.forall("lines", lambda x: x.rlike(r"[\p{L}\p{N}]")))
+    return runs.select("doc_id", "digest", "paragraph", (F.col("paragraph") + F.col("shape.n") - 1).alias("last"), F.array_join("lines", " ").alias("text"))
+
+
+def best_places(found: DataFrame) -> DataFrame:
+    """``found`` without runs and lines that overlap a better place of their family or its kin, and without unconfirmed lines inside a run that stays.
+
+    The higher ``template_share`` is better, then fewer lines, then the higher probability. Runs stay only if they are confirmed.
+    """
+    text = ["doc_id", "digest"]
+    kin = F.when(F.col("predicted").contains("GPL"), "GPL").when(F.col("predicted").startswith("CC"), "CC").otherwise(F.col("predicted"))
+    found = found.withColumn("kin", kin).where(F.col("confirmed") | (F.col("paragraph") == F.col("last")))
+    rank = F.struct(F.col("template_share"), F.col("paragraph") - F.col("last"), F.col("probability"), -F.col("paragraph"))
+    sure = found.where("confirmed").withColumn("rank", rank)
+    covered = sure.select(*text, "kin", "paragraph", "last", "rank", F.explode(F.sequence("paragraph", "last")).alias("line"))
+    top = covered.groupBy(*text, "kin", "line").agg(F.max_by(F.struct("paragraph", "last"), "rank").alias("top"))
+    # Places whose every line has them as its best.
+    whole = top.groupBy(*text, "kin", "top").agg(F.count(F.lit(1)).alias("lines")).where("lines = top.last - top.paragraph + 1").select(*text, "kin", "top.paragraph", "top.last")
+
+    def same(left: DataFrame, right: DataFrame, names: list[str]):
+        return [left[n].eqNullSafe(right[n]) for n in names]
+
+    whole = settle(whole, "places")
+    kept = sure.join(whole, same(sure, whole, [*text, "kin", "paragraph", "last"]), "left_semi").drop("rank")
+    inside = whole.where("last > paragraph").select(*text, F.explode(F.sequence("paragraph", "last")).alias("paragraph"))
+    rest = found.where("NOT confirmed")
+    return kept.unionByName(rest.join(inside, same(rest, inside, [*text, "paragraph"]), "left_anti"))
 
 
 def temperature(rows: list[tuple[list[float], int]]) -> float:
@@ -153,7 +208,8 @@ def train(df: DataFrame, id_col: str, text_col: str, prose_lines: int = 2_000) -
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5, alike: float = 0.6) -> DataFrame:
     """One row per paragraph that is a licence notice: ``doc_id, paragraph, start, family, probability, template_share, confirmed``.
 
-    A paragraph is a line (long lines in overlapping pieces); it is a notice where prose is not the most probable class.
+    A paragraph is a line (long lines in overlapping pieces), or a run of up to eight lines without a blank one where that
+    holds more of a template than its lines do; it is numbered by its first line. It is a notice where prose is not the most probable class.
     Its family is the most probable one; with a calibrated probability under ``least`` it is ``unknown``. A prediction is confirmed where a template of its family has at
     least ``alike`` of its word pairs in the paragraph (``template_share``; of single words for one-word
     templates); an unconfirmed one is reported as ``unknown`` too, with its probability.
@@ -163,8 +219,10 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = df.sparkSession
     model, labels, heat = train(df, id_col, text_col)
-    scored = model.setProbabilityCol("").transform(featured(paragraphs(df, id_col, text_col)))
-    notices = scored.where(F.col("prediction") != labels.index(NONE)).select("doc_id", "paragraph", "start", "words", vector_to_array("rawPrediction").alias("raw"))
+    lines = paragraphs(df, id_col, text_col).withColumn("last", F.col("paragraph"))
+    runs = wrapped(df, id_col, text_col).withColumn("start", F.lit(0))
+    scored = model.setProbabilityCol("").transform(featured(lines.unionByName(runs)))
+    notices = scored.where(F.col("prediction") != labels.index(NONE)).select("doc_id", "digest", "paragraph", "last", "start", "words", vector_to_array("rawPrediction").alias("raw"))
     # Few paragraphs come this far. Written, so that what follows is not folded into the scan and done again per use.
     sure = settle(notices, "notices")
     shifted = F.transform("raw", lambda x: F.exp((x - F.array_max("raw")) / heat))
@@ -172,16 +230,18 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sure = sure.withColumn("e", shifted).withColumn("p", F.transform("e", lambda x: x / total))
     best = F.array_max(F.slice("p", 3, len(labels)))
     family = F.when(best >= least, F.element_at(F.array(*map(F.lit, labels)), F.array_position("p", best).cast("int"))).otherwise(UNKNOWN)
-    found = sure.select("doc_id", "paragraph", "start", "words", family.alias("predicted"), best.alias("probability"))
+    found = sure.select("doc_id", "digest", "paragraph", "last", "start", "words", family.alias("predicted"), best.alias("probability"))
     fixed = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, pairs_of(words_of(t)))).alias("grams")) for f, t in templates()])
     own = F.array_distinct(grams("words"))
     found = found.withColumn("own", own)
     mine = F.filter(fixed, lambda t: t["family"] == F.col("predicted"))
     share = F.array_max(F.transform(mine, lambda t: F.size(F.array_intersect(t["grams"], F.col("own"))) / F.size(t["grams"])))
     found = found.withColumn("template_share", F.coalesce(share, F.lit(0.0)))
-    confirmed = F.col("template_share") >= alike
+    found = found.withColumn("confirmed", F.col("template_share") >= alike).drop("words", "own")
+    found = best_places(settle(found, "found"))
+    confirmed = F.col("confirmed")
     return found.select(
-        F.col("doc_id").alias(id_col), "paragraph", "start", F.when(confirmed, F.col("predicted")).otherwise(UNKNOWN).alias("family"), "probability", "template_share", confirmed.alias("confirmed")
+        F.col("doc_id").alias(id_col), "paragraph", "start", F.when(confirmed, F.col("predicted")).otherwise(UNKNOWN).alias("family"), "probability", "template_share", "confirmed"
     )
 
 

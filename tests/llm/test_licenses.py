@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from tarnwork.llm import licenses as lic
@@ -35,6 +37,20 @@ def test_families(found):
     assert all(0 <= r.probability <= 1 and 0 <= r.template_share <= 1 for r in found)
 
 
+def test_wrapped_notices(spark):
+    header = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation{} either version {} of the License, or\n(at your option) any later version."
+    texts = {
+        "GPL-2.0": header.format(";", 2), "GPL-3.0": header.format(",", 3),
+        "MIT": textwrap.fill(lic.SENTENCES["MIT"][0], 80), "Apache-2.0": "\n".join(" * " + x for x in textwrap.wrap(lic.SENTENCES["Apache-2.0"][1], 76)), "BSD": "Released under the 3-Clause\nBSD License.",
+    }
+    rows = [(i, f"{PROSE[0]}\n\n{t}\n\n{PROSE[0]}") for i, t in enumerate(texts.values())]
+    found = {}
+    for r in lic.scan_licenses(spark.createDataFrame([*rows, rows[0]], SCHEMA)).collect():
+        found.setdefault(list(texts)[r.doc_id], []).append((r.family, r.confirmed))
+    assert {k: {f for f, sure in v if sure} for k, v in found.items()} == {k: {k} for k in texts}
+    assert len(found["GPL-2.0"]) == 2 * len(found["GPL-3.0"])
+
+
 def test_an_unknown_licence_is_unknown(found):
     rows = [r for r in found if r.doc_id == 200]
     assert [(r.family, r.confirmed) for r in rows] == [("unknown", False)]
