@@ -1,0 +1,104 @@
+import random
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+
+from tarnwork.llm import collocations as module
+from tarnwork.llm.collocations import Words, collocations, distinct_ngrams, op12_collocations, phrase_counts
+from tarnwork.llm.registry import SQL
+
+
+def brute(rows, longest=5, least=100, top=2000):
+    n, f = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang if lang is not None else "und"
+        text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", text):
+            words = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                f.update((lang, tuple(words[i : i + k])) for i in range(len(words) - k + 1))
+    found = {p: a for p, a in f.items() if a >= least and len(p[1]) > 1}
+    within = Counter()
+    for (lang, words), a in found.items():
+        for k in range(2, len(words)):
+            for i in range(len(words) - k + 1):
+                within[lang, words[i : i + k]] = max(within[lang, words[i : i + k]], a)
+    out = {}
+    for (lang, words), a in found.items():
+        if within[lang, words] >= a:
+            continue
+        score, k = min((1000 * a * n[lang] // (f[lang, words[:k]] * f[lang, words[k:]]), k) for k in range(1, len(words)))
+        out.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), f[lang, words[:k]], f[lang, words[k:]]))
+    return [(lang, i, p.decode(), -a, le, r, n[lang], -s) for lang, all_ in sorted(out.items()) for i, (s, a, p, le, r) in enumerate(sorted(all_)[:top], 1)]
+
+
+def found(df):
+    return sorted(map(tuple, df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()))
+
+
+def some_rows(seed, n=60):
+    r = random.Random(seed)
+    words = ["of", "the", "The", "é", "straße", "a", "x" * 300, " ", "\U0001f600", "naïve"]
+    ends = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\x0b", "\r\n", " ?! "]
+    texts = ["".join(x for _ in range(r.randint(0, 60)) for x in (r.choice(words), r.choice(ends))) for _ in range(n)]
+    return [(r.choice(["en", "de", None, ""]), t) for t in texts] + [("en", None), (None, None), ("en", ""), ("fr", " . ")] + [("en", "of the people, by the people")] * 40
+
+
+@pytest.mark.parametrize("least,bits", [(100, None), (3, 4), (1, None), (700, 12)])
+def test_against_brute_force(frame, least, bits):
+    rows = some_rows(least)
+    df = frame([(*r, 1, "x") for r in rows], "lang string, text string, row_no int, phrase string")
+    words, phrases = phrase_counts(df, least=least, cell_bits=bits)
+    assert found(collocations(words, phrases)) == brute(rows, least=least)
+
+
+def test_top_and_ties(frame):
+    rows = [("en", "b a. c a. b d. c d")] * 5
+    assert found(collocations(*phrase_counts(frame(rows, "lang string, text string"), least=2), top=2)) == brute(rows, least=2, top=2)
+
+
+def test_long_text_is_read_whole(frame):
+    rows = [("en", "alpha beta gamma " * 60_000 + "omega omega"), ("en", "q" * 200_000 + " omega omega")]
+    assert found(collocations(*phrase_counts(frame(rows, "lang string, text string"), least=2))) == brute(rows, least=2)
+
+
+def test_collisions_change_nothing(frame, monkeypatch):
+    """With fingerprints of three bits nearly all n-grams collide."""
+    weak = module.spread
+    monkeypatch.setattr(module, "spread", lambda x, salt: weak(x, salt) & np.uint64(7 << 61))
+    words = Words([b"a b c a b d", b"c a b"])
+    prints = np.concatenate([p for n, _, p in words.ngrams(module.Polynomials(1), 1, 0)])
+    names = words.names(prints)
+    assert [list(names).index(x) for x in names] == [0, 1, 2, 0, 1, 5, 2, 0, 1]
+    parts = [(n, at, p) for n, at, p in words.ngrams(module.Polynomials(1), 3, 0)]
+    at, n, p = np.concatenate([x for _, x, _ in parts]), np.concatenate([np.full(len(x), k) for k, x, _ in parts]), np.concatenate([x for *_, x in parts])
+    counted = Counter()
+    for which, count in distinct_ngrams(names, at, n, p):
+        for w, c in zip(which, count, strict=True):
+            counted[tuple(names[at[w] : at[w] + n[w]])] += c
+    texts = [names[:6], names[6:]]
+    assert counted == Counter(tuple(t[i : i + k]) for t in texts for k in (1, 2, 3) for i in range(len(t) - k + 1))
+
+
+def test_products_beyond_64_bits(frame):
+    words = frame([("en", 3 * 10**15)], "lang string, n long")
+    phrases = frame([("en", "a b", 10**10), ("en", "a", 10**12), ("en", "b", 7 * 10**11)], "lang string, phrase string, f long")
+    assert found(collocations(words, phrases)) == [("en", 1, "a b", 10**10, 10**12, 7 * 10**11, 3 * 10**15, 1000 * 10**10 * 3 * 10**15 // (10**12 * 7 * 10**11))]
+
+
+def test_empty_table(frame):
+    assert found(collocations(*phrase_counts(frame([], "lang string, text string")))) == []
+
+
+def test_whole_table_against_brute_force_and_sql(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", "text").collect()]
+    ours = found(op12_collocations(spark, sf_dir))
+    assert ours == brute(rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    names = "lang, rank, phrase, a, l, r, n, score"
+    assert ours == sorted(con.execute(f"SELECT {names} FROM ({SQL['op12_collocations']})").fetchall())
