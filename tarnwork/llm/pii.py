@@ -101,10 +101,12 @@ def scan_values(text: str) -> tuple[list, list, dict[tuple[int, int], tuple[int,
         for m in PHONE.finditer(text):
             good = 9 <= len(NOT_DIGIT.sub("", m.group())) <= 15
             (base if good else more).append((m.start(), 3, m.end(), 1 if good else -1))
+    done = 0
     for m in AT_WORD.finditer(text):
         start = m.start()
-        while start > max(0, m.start() - 64) and text[start - 1] in LOCAL:
+        while start > done and text[start - 1] in LOCAL:
             start -= 1
+        done = m.end()
         if start < m.start() and (found := DOTTED.match(text, m.end())):
             more.append((start, 0, found.end(), 0))
     for m in LOCAL_PHONE.finditer(text):
@@ -158,7 +160,7 @@ def votes(text: str, start: int, kind: int, end: int, pattern: int) -> tuple[lis
         shape = 1 if len(host) > 1 and host[-1].isalpha() and len(host[-1]) >= 2 else -1
         gazetteer = 1 if host[-1].lower() in ENDINGS else 0
     elif name == "ip":
-        parts = span[:64].split(".")
+        parts = span.split(".")
         shape = 1 if all(p == str(int(p)) for p in parts if len(p) < 9) and max(map(len, parts)) <= 3 else -1
         gazetteer = -1 if parts[0] in ("0", "00", "255") else 0
     elif name == "card":
@@ -322,4 +324,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         spans = F.filter("spans", lambda s: s["base"]) if only_base else F.col("spans")
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    return found.select("doc_id", *[count(k) for k in KINDS[:4]], F.sha2(listed(True), 256).alias("base_sha256"), listed(False).alias("spans"))
+    secrets = F.size(F.filter("spans", lambda s: s["kind"] == "secret")).cast("long").alias("n_secret")
+    return found.select(
+        "doc_id", *[count(k) for k in KINDS[:4]], F.sha2(listed(True), 256).alias("base_sha256"), listed(False).alias("spans"), secrets, F.size("spans").cast("long").alias("n_found")
+    )

@@ -52,8 +52,24 @@ def test_candidates_touch_nothing():
         assert not any(s < e2 and s2 < e for s, e in spans for s2, _, e2, _ in base)
 
 
+def test_long_digit_runs_between_dots_are_voted_on():
+    rng = random.Random(7)
+    texts = ["0" * k + ".1.2.3" for k in range(55, 75)] + ["1" * 61 + "." + "2" * 70 + ".3.4"]
+    texts += ["".join(rng.choice(["1", "0", ".", "25", "0" * rng.randint(55, 70), " "]) for _ in range(rng.randint(4, 60))) for _ in range(2000)]
+    for text in texts:
+        base, more = pii.scan(text)
+        assert [(s, k, e) for s, k, e, _ in base] == plain(text), text
+        for start, kind, end, pattern in base + more:
+            pii.votes(text, start, kind, end, pattern)
+
+
+def test_spelled_out_address_is_found_whole():
+    text = "mail " + "x" * 300 + " (at) example (dot) com"
+    assert (5, 0, len(text)) in [m[:3] for m in pii.scan(text)[1]]
+
+
 def test_long_runs_take_linear_time():
-    for text in ("1" * 200_000, "a." * 100_000 + "@", "+1" + "(" * 200_000, "1.2.3." * 50_000, "a@" * 100_000, " at " * 50_000, "f" * 200_000, "token" + " " * 100_000):
+    for text in ("1" * 200_000, "a." * 100_000 + "@", "+1" + "(" * 200_000, "1.2.3." * 50_000, "a@" * 100_000, " at " * 50_000, "a" * 200_000 + " at b", "(at)a" * 40_000, "f" * 200_000, "token" + " " * 100_000):
         pii.scan(text)
 
 
