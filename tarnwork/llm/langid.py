@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +16,8 @@ from tarnwork.session import settle
 
 DIMENSIONS = 8192
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+#: What a letter is, always asked in the JVM, for learning, prediction and the pipeline alike: signs and numbers such as ½ or Ⅷ are none.
+LETTER = r"\p{L}"
 #: ASCII bytes that are no letters become spaces; bytes of other letters stay.
 SPACED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 #: Multipliers of the hash per n-gram length (odd 32-bit numbers).
@@ -112,7 +112,7 @@ def train(
     Rows without a text, a language or a letter are not learned from; copies of a text count once.
     """
     rows = df.select(col(text_col).alias("text"), col(lang_col).alias("lang"))
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
     stretch = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{max_chars - 1}}}", 0)
     rows = rows.withColumn("text", F.when(F.length("text") <= max_chars, F.col("text")).otherwise(stretch))
     digests = rows.select("lang", F.xxhash64("text").alias("digest")).distinct()  # copies count once, here as in the sample
@@ -144,7 +144,7 @@ def identifier(spark: SparkSession, model: Model | None, margin: float = 0.15, b
         for texts in parts:
             n = len(texts)
             lang, score, vague, fits = np.full(n, UNDETERMINED, object), np.zeros(n), np.ones(n, bool), np.zeros(n, bool)
-            known = [i for i, t in enumerate(texts) if m and t and LETTER.search(t)]
+            known = [i for i, t in enumerate(texts) if m and t]
             for start in range(0, len(known), batch):
                 rows = known[start : start + batch]
                 loss = m.losses(np.stack([features(texts.iloc[i]) for i in rows]))
@@ -161,7 +161,7 @@ def identifier(spark: SparkSession, model: Model | None, margin: float = 0.15, b
                     vague[rows] = False
             yield pd.DataFrame({"lang": lang, "score": score, "ambiguous": vague, "fits": fits})
 
-    return identify
+    return lambda text: identify(F.when(text.rlike(LETTER), text))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -92,3 +92,30 @@ def test_every_language_is_learned(frame):
         patch.setattr(langid, "fit", lambda texts, langs: seen.update(zip(langs, texts, strict=True)))
         langid.train(frame(rows * 2, "text string, lang string"))
     assert len(rows) == 133 and set(seen) == {lang for _, lang in rows} and seen["long"] == "über " * 10_000
+
+
+def test_texts_without_letters_are_undetermined(frame):
+    texts = ["½ ²", "5 ①", "Ⅷ", "٣ _ 12", "ª", "日"]
+    rows = [(10_000 + i, t, None) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.lang_pred for r in langid.identify_documents(frame(labelled() + rows, "doc_id long, text string, lang string")).collect()}
+    assert [found[i] == "und" for i, _, _ in rows] == [True, True, True, True, False, False]
+
+
+def test_decoding_against_plain_loops():
+    rng = np.random.default_rng(9)
+    codes = langid.codebook(5)
+    width = codes.shape[1]
+    trust = rng.random((5, width)).astype(np.float32)
+    model = langid.Model(list("abcde"), codes, rng.normal(size=(langid.DIMENSIONS, width)).astype(np.float32), rng.normal(size=width).astype(np.float32), trust)
+    texts = ["the house of water", "über ßig", "a", "x y z " * 50]
+    found = model.losses(np.stack([langid.features(t) for t in texts]))
+    for t, losses in zip(texts, found, strict=True):
+        raw = b" " + b" ".join(t.lower().encode().translate(langid.SPACED).split()) + b" "
+        counts = np.zeros(langid.DIMENSIONS)
+        for n, factor in langid.MIX.items():
+            for i in range(len(raw) - n + 1):
+                counts[((int.from_bytes(raw[i : i + n], "big") * factor) & 0xFFFFFFFF) >> int(langid.SHIFT)] += 1
+        x = np.sqrt(counts) / np.sqrt(counts.sum())
+        for c in range(5):
+            loss = sum(float(trust[c, j]) * np.log1p(np.exp(-float(codes[c, j]) * (x @ model.weights[:, j] + model.bias[j]))) for j in range(width))
+            assert losses[c] == pytest.approx(loss, rel=1e-3)
