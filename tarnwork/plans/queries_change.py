@@ -8,14 +8,15 @@ from pyspark.sql import functions as F, types as T
 from tarnwork import fixed_values as fv
 from tarnwork.functions.scalars import equals_value, mask_constant, mask_email
 from tarnwork.operators import cdc, govern, joins, merge, quality, tables
+from tarnwork.operators.versions import KeyedTable
 from tarnwork.plans import driver_tables as dt
 from tarnwork.plans.queries_tables import land_csv
 from tarnwork.plans.registry import query
 from tarnwork.session import scratch_database, scratch_dir
-from tarnwork.sources.files import stream_csv
+from tarnwork.sources.files import CsvFiles, stream_csv
 from tarnwork.sources.tables import load_tables, table_schema
 from tarnwork.streaming import flows
-from tarnwork.streaming.medallion import Pipeline, bronze, medallion_run, pipeline_from_conf, split_by_flag
+from tarnwork.streaming.medallion import Pipeline, bronze, gold_views, medallion_run, pipeline_from_conf, split_by_flag
 
 KEYS, SEQUENCE = ["user_id"], ["last_updated", "event_id"]
 
@@ -41,6 +42,16 @@ def cdc_tombstones(spark, d):
     return cdc.current_rows(cdc.apply_changes(state, feed.where(~late), *how))
 
 
+@query("keyed_table", dt.FEED_SQL, NEWEST_SQL, CURRENT_SQL)
+def keyed_table(spark, d):
+    """A stored table that takes in the newest changes first, then older ones, then the first again; each run rewrites buckets it has keys of."""
+    feed, table = dt.feed(spark, d), KeyedTable(spark, scratch_dir(spark, "users"), KEYS, SEQUENCE, 8)
+    late = F.col("last_updated") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    for batch, part in enumerate((feed.where(late), feed.where(~late), feed.where(late))):
+        table.take(part, "operation = 'DELETE'", ["operation"], "feed", batch)
+    return table.current()
+
+
 @query("cdc_backfill_once", dt.FEED_SQL, NEWEST_SQL, CURRENT_SQL)
 def cdc_backfill_once(spark, d):
     """A stream of the feed's deletes and a backfill with the other changes, into one table."""
@@ -48,10 +59,10 @@ def cdc_backfill_once(spark, d):
     is_delete = F.col("operation") == "DELETE"
     target, checkpoints = scratch_dir(spark, "users"), scratch_dir(spark, "checkpoints")
     for flow, part in (("deletes", feed.where(is_delete)), ("backfill", feed.where(~is_delete))):
-        stream = stream_csv(spark, land_csv(spark, part, flow), feed.schema, "_rescued").drop("_rescued")
+        stream = CsvFiles(spark, land_csv(spark, part, flow), feed.schema, "_rescued")
         for _ in range(2):  # the second time there is nothing to do
             started = flows.cdc_flow(
-                stream, target, flow, f"{checkpoints}/{flow}", KEYS, SEQUENCE, "operation = 'DELETE'", ["operation"], once=True
+                stream, target, flow, f"{checkpoints}/{flow}", KEYS, SEQUENCE, "operation = 'DELETE'", ["operation", "_rescued"], once=True
             )
             if started:
                 flows.finish([started])
@@ -482,7 +493,7 @@ def pipeline(spark, d, **options) -> Pipeline:
 def medallion(spark, d):
     p = pipeline(spark, d, rules=fv.TRANSACTION_RULES)
     medallion_run(spark, p)
-    revenue = spark.read.parquet(p.table("revenue_by_user_segment"))
+    revenue = gold_views(spark, p)["revenue_by_user_segment"].current()
     return revenue.withColumn("sum_revenue", F.col("sum_revenue").cast("double"))
 
 

@@ -6,6 +6,14 @@ their quotes, ``encoding``, ``sep`` and so on.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -51,15 +59,14 @@ def scan_csv(
 ) -> DataFrame:
     """CSV with a header line; types inferred unless given.
 
-    With ``rescue`` a column of that name keeps what does not fit the schema.
+    With ``rescue`` a column of that name keeps what does not fit the schema, and each file is read by its own header.
     """
     if schema is None:
         schema = infer_schema(spark, path, sampling_ratio, **options)
-    reader = spark.read.options(**{**options, **_CSV})
     if rescue is None:
-        return reader.schema(schema).csv(path)
-    raw = reader.schema(_text_schema(header_columns(spark, path, **options))).csv(path)
-    return with_rescue(raw, schema, rescue)
+        return spark.read.options(**{**options, **_CSV}).schema(schema).csv(path)
+    files = CsvFiles(spark, path, schema, rescue, options=options)
+    return files.rows(files.lines(spark.read))
 
 
 def stream_csv(
@@ -86,6 +93,73 @@ def stream_csv(
     return with_rescue(reader.csv(path), schema, rescue)
 
 
+@dataclass(frozen=True)
+class CsvFiles:
+    """CSV files of a directory, each with a header of its own: other columns, or the same in another order.
+
+    A stream hands on the files' lines; ``rows`` reads the files that a micro-batch of them comes from. Files are
+    grouped by their first line, each group is read in its own columns, and the groups are united by name. Names that
+    differ from the schema's in case only count as the schema's; columns it does not know go to ``rescue``.
+    ``max_bytes`` bounds one micro-batch. The driver holds one path and header for each of a batch's files, as Spark's own file list does.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: Schema
+    rescue: str
+    max_bytes: int | None = None
+    options: Mapping[str, object] = field(default_factory=dict)
+
+    def lines(self, reader) -> DataFrame:
+        """``line, file, first_block`` by ``spark.read`` or ``spark.readStream``."""
+        separator = self.options.get("lineSep")
+        reader = reader.option("lineSep", separator) if separator else reader
+        return reader.schema("value string").text(self.path).select(
+            F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") == 0).alias("first_block")
+        )
+
+    def stream(self) -> DataFrame:
+        reader = self.spark.readStream
+        return self.lines(reader.option("maxBytesPerTrigger", self.max_bytes) if self.max_bytes else reader)
+
+    def rows(self, lines: DataFrame) -> DataFrame:
+        """The typed rows of the files that the lines come from."""
+        first = lines.where("first_block").select("file", "line").mapInArrow(_first_lines, "file string, line string")
+        groups: dict[str, set[str]] = {}
+        for row in first.collect():
+            groups.setdefault(row.line, set()).add(literal_path(row.file))
+        schema = _struct(self.schema)
+        known = {f.name.lower(): f.name for f in schema}
+        parts = []
+        for _, paths in sorted(groups.items()):
+            names = header_columns(self.spark, min(paths), **self.options)
+            raw = self.spark.read.options(**{**self.options, **_CSV, "enforceSchema": True}).schema(_text_schema(names)).csv(sorted(paths))
+            spelled = []
+            for name in names:
+                spelled.append(name if name.lower() in spelled else known.setdefault(name.lower(), name))
+            parts.append(raw.toDF(*spelled, CORRUPT))
+        if not parts:
+            parts = [self.spark.createDataFrame([], _text_schema(schema.names))]
+        return with_rescue(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), schema, self.rescue)
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each file's first row; a file's first block lies in one task, its lines in order. (Built-in aggregates of texts would sort them all.)"""
+    last = None
+    for batch in batches:
+        files = batch.column("file")
+        ends = pc.run_end_encode(files).run_ends.to_pylist()
+        for at in [0, *ends[:-1]] if len(files) else []:
+            if files[at].as_py() != last:
+                last = files[at].as_py()
+                yield batch.slice(at, 1)
+
+
+def literal_path(uri: str) -> str:
+    """A file's address as a reader takes it: decoded, with the signs that readers take for patterns marked."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
+
+
 def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

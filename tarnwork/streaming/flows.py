@@ -15,6 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tarnwork.operators.cdc import latest_changes
 from tarnwork.operators.quality import violation_counts
+from tarnwork.operators.versions import KeyedTable
+from tarnwork.sources.files import CsvFiles
 
 #: Folder columns of a table; no row may have columns of these names.
 FLOW_COLUMNS = ("tarnwork_flow", "tarnwork_batch")
@@ -51,13 +53,16 @@ def batch_writer(
     change: Callable[[DataFrame], DataFrame] = lambda df: df,
     rules: Mapping[str, str] | None = None,
     null_as: str = "invalid",
+    read: Callable[[DataFrame], DataFrame] = lambda df: df,
 ):
     """Store each micro-batch, and with ``rules`` a row of how many of its rows there are and break each rule.
 
-    The counts are taken while the rows are written, with no further scan.
+    ``read`` makes rows of what the stream hands on (``CsvFiles.rows``). The counts are taken while the rows are
+    written, with no further scan.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = read(batch)
         taken = [c for c in batch.columns if c.lower() in FLOW_COLUMNS]
         if taken:
             raise ValueError(f"{', '.join(taken)}: a stored row cannot have a column of this name")
@@ -73,18 +78,23 @@ def batch_writer(
     return write
 
 
+def source_of(source: DataFrame | CsvFiles) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """A stream, and what makes rows of its micro-batches."""
+    return (source.stream(), source.rows) if isinstance(source, CsvFiles) else (source, lambda df: df)
+
+
 def append_flows(
     target: str,
-    flows: Mapping[str, DataFrame],
+    flows: Mapping[str, DataFrame | CsvFiles],
     checkpoints: str,
     timeout: int | None = None,
     rules: Mapping[str, str] | None = None,
 ) -> list[StreamingQuery]:
     """Append several streams to one table. A flow added later leaves the others' progress alone."""
-    queries = [
-        start(stream, batch_writer(target, flow, rules=rules), f"{checkpoints}/{flow}", flow)
-        for flow, stream in flows.items()
-    ]
+    queries = []
+    for flow, source in flows.items():
+        stream, read = source_of(source)
+        queries.append(start(stream, batch_writer(target, flow, rules=rules, read=read), f"{checkpoints}/{flow}", flow))
     finish(queries, timeout)
     return queries
 
@@ -101,7 +111,7 @@ def stream_flows(spark: SparkSession, target: str) -> DataFrame:
 
 
 def cdc_flow(
-    feed: DataFrame,
+    feed: DataFrame | CsvFiles,
     target: str,
     flow: str,
     checkpoint: str,
@@ -110,21 +120,31 @@ def cdc_flow(
     delete_when: str | None = None,
     except_columns: Sequence[str] = (),
     once: bool = False,
+    into: KeyedTable | None = None,
 ) -> StreamingQuery | None:
     """Store the newest change per key of each micro-batch of a change feed.
 
     Nothing stored is read or rewritten: newest-of-newest is taken on reading
-    (``read_changes``), so flows and backfills may run in any order. With ``once``
+    (``read_changes``), so flows and backfills may run in any order. ``into`` is a keyed table that
+    takes the same changes in, so that reading it does not grow with the feed's age. With ``once``
     a flow that ``mark_finished`` was called for does nothing, whatever files have come; one
     that was interrupted goes on where its checkpoint stands.
     """
+    feed, read = source_of(feed)
     if once and has_finished(feed.sparkSession, checkpoint):
         return None
 
     def reduce(batch: DataFrame) -> DataFrame:
         return latest_changes(batch, keys, sequence_by, delete_when, except_columns)
 
-    return start(feed, batch_writer(target, flow, reduce), checkpoint, flow)
+    store = batch_writer(target, flow, reduce, read=read)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        if into is not None:
+            into.take(batch.sparkSession.read.parquet(_folder(target, flow, batch_id)), flow=flow, batch=batch_id)
+
+    return start(feed, write, checkpoint, flow)
 
 
 def _marker(checkpoint: str) -> str:

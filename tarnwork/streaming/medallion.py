@@ -7,12 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tarnwork.operators.cdc import current_rows
+from tarnwork.functions.scalars import age_bucket
 from tarnwork.operators.joins import enrich, match_audit
 from tarnwork.operators.project import with_rule_flag
 from tarnwork.operators.quality import expect
-from tarnwork.plans.retail import revenue_by_subcategory, revenue_by_user_segment
-from tarnwork.sources.files import stream_csv
+from tarnwork.operators.versions import IncrementalView, KeyedTable, VersionedTable, refresh_each
+from tarnwork.sources.files import CsvFiles
 from tarnwork.streaming import flows
 
 MASTER_RULES = {"product_id_is_not_null": "product_id_matched", "user_id_is_not_null": "user_id_matched"}
@@ -25,6 +25,7 @@ class Pipeline:
     ``rules`` sends transactions that break them to ``transactions_invalid``.
     ``check_masters`` stops the run at a transaction of an unknown user or product.
     ``hot_share`` is the share of a batch above which a key is joined apart.
+    ``buckets`` folders hold the users, and a view's groups; a run rewrites those it has changes for.
     """
 
     root: str
@@ -38,6 +39,7 @@ class Pipeline:
     null_as: str = "invalid"
     check_masters: bool = False
     hot_share: float | None = None
+    buckets: int = 4
     max_bytes: int | None = None
     timeout: int | None = None
 
@@ -77,26 +79,34 @@ def pipeline_from_conf(
 USER_KEY, USER_SEQUENCE = ["user_id"], ["last_updated"]
 
 
+def users_table(spark: SparkSession, p: Pipeline) -> KeyedTable:
+    """Users as the change feeds left them; ``users_changes`` keeps the feeds' newest changes by micro-batch."""
+    return KeyedTable(spark, p.table("users"), USER_KEY, USER_SEQUENCE, p.buckets)
+
+
+def products_table(spark: SparkSession, p: Pipeline) -> VersionedTable:
+    return VersionedTable(spark, p.table("products"))
+
+
 def bronze(spark: SparkSession, p: Pipeline) -> dict[str, dict[str, int]]:
     """Take in new files; gives per flow how many new rows broke each rule."""
     landing = "transactions_all" if p.rules else "transactions"
-    streams = {}
-    for flow, path in p.transactions.items():
-        lines = stream_csv(spark, path, p.transaction_schema, "_rescued_data_transactions", p.max_bytes)
-        if p.rules:
-            lines = with_rule_flag(lines, p.rules, "valid")
-        streams[flow] = lines
+
+    def flagged(batch: DataFrame) -> DataFrame:
+        return with_rule_flag(batch, p.rules, "valid") if p.rules else batch
+
     before = flows.counts_by_flow(spark, p.table(landing)) if p.rules else {}
-    started = [
-        flows.start(s, flows.batch_writer(p.table(landing), f, rules=p.rules), p.checkpoint(f"{landing}/{f}"), f)
-        for f, s in streams.items()
-    ]
-    feeds = {"users": (p.users, False)}
+    started = []
+    for flow, path in p.transactions.items():
+        files = CsvFiles(spark, path, p.transaction_schema, "_rescued_data_transactions", p.max_bytes)
+        write = flows.batch_writer(p.table(landing), flow, flagged, p.rules, read=files.rows)
+        started.append(flows.start(files.stream(), write, p.checkpoint(f"{landing}/{flow}"), flow))
+    feeds, users = {"users": (p.users, False)}, users_table(spark, p)
     if p.users_backfill:
         feeds["backfill"] = (p.users_backfill, True)
     for flow, (path, once) in feeds.items():
         query = flows.cdc_flow(
-            stream_csv(spark, path, p.user_schema, "_rescued_data_users", p.max_bytes),
+            CsvFiles(spark, path, p.user_schema, "_rescued_data_users", p.max_bytes),
             p.table("users_changes"),
             flow,
             p.checkpoint(f"users/{flow}"),
@@ -105,18 +115,20 @@ def bronze(spark: SparkSession, p: Pipeline) -> dict[str, dict[str, int]]:
             "operation = 'DELETE'",
             ["operation"],
             once,
+            users,
         )
         started += [query] if query else []
     flows.finish(started, p.timeout)
     if p.users_backfill:
         flows.mark_finished(spark, p.checkpoint("users/backfill"))
-    p.products.write.mode("overwrite").parquet(p.table("products"))
-    changes = flows.read_changes(spark, p.table("users_changes"), USER_KEY, USER_SEQUENCE)
-    current_rows(changes).write.mode("overwrite").parquet(p.table("users"))
+    if not users.versions():  # no change has come yet
+        nothing = spark.createDataFrame([], "line string, file string, first_block boolean")
+        users.take(CsvFiles(spark, p.users, p.user_schema, "_rescued_data_users").rows(nothing), "operation = 'DELETE'", ["operation"])
+    products_table(spark, p).publish(p.products)
     if p.rules:
         split_by_flag(spark, p)
     after = flows.counts_by_flow(spark, p.table(landing)) if p.rules else {}
-    new = {f: {name: n - before.get(f, {}).get(name, 0) for name, n in after.get(f, {}).items()} for f in streams}
+    new = {f: {name: n - before.get(f, {}).get(name, 0) for name, n in after.get(f, {}).items()} for f in p.transactions}
     return {f: counts if counts.get("n_rows") else {} for f, counts in new.items()}
 
 
@@ -135,8 +147,7 @@ def silver(spark: SparkSession, p: Pipeline) -> None:
 
     def add_masters(batch: DataFrame) -> DataFrame:
         session = batch.sparkSession
-        masters = {"users": "user_id", "products": "product_id"}
-        dims = [(session.read.parquet(p.table(name)), key) for name, key in masters.items()]
+        dims = [(users_table(session, p).current(), "user_id"), (products_table(session, p).read(), "product_id")]
         enriched = enrich(batch, dims, p.hot_share)
         if not p.check_masters:
             return enriched
@@ -148,13 +159,18 @@ def silver(spark: SparkSession, p: Pipeline) -> None:
     flows.finish([flows.start(stream, write, p.checkpoint("transactions_enriched"), "enrich")], p.timeout)
 
 
-GOLD = {"revenue_by_subcategory": revenue_by_subcategory, "revenue_by_user_segment": revenue_by_user_segment}
+def gold_views(spark: SparkSession, p: Pipeline) -> dict[str, IncrementalView]:
+    """Revenue by subcategory, and by age group, gender and region."""
+    revenue = {"sum_revenue": "transaction_price"}
+    keys = {"revenue_by_subcategory": ["subcategory"], "revenue_by_user_segment": ["age_group", "gender", "region"]}
+    return {name: IncrementalView(spark, p.table(name), k, revenue, buckets=p.buckets) for name, k in keys.items()}
 
 
 def gold(spark: SparkSession, p: Pipeline) -> None:
-    enriched = flows.read_flows(spark, p.table("transactions_enriched"))
-    for name, view in GOLD.items():
-        view(enriched).write.mode("overwrite").parquet(p.table(name))
+    """The views take in the rows that were enriched since the last run."""
+    rows = flows.stream_flows(spark, p.table("transactions_enriched")).withColumn("age_group", age_bucket("age"))
+    refresh = refresh_each(list(gold_views(spark, p).values()), "gold")
+    flows.finish([flows.start(rows, refresh, p.checkpoint("gold"), "gold")], p.timeout)
 
 
 def medallion_run(spark: SparkSession, p: Pipeline) -> dict[str, dict[str, int]]:

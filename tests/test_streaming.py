@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tarnwork import fixed_values as fv
 from tarnwork.operators import cdc
-from tarnwork.sources.files import stream_csv
+from tarnwork.sources.files import CsvFiles, stream_csv
 from tarnwork.streaming import flows
-from tarnwork.streaming.medallion import Pipeline, medallion_run, pipeline_from_conf
+from tarnwork.streaming.medallion import Pipeline, gold_views, medallion_run, pipeline_from_conf, products_table, users_table
 
 TRANSACTIONS = "user_id int, product_id string, quantity int, transaction_price double"
 USERS = "user_id int, age int, gender string, region string, operation string, last_updated timestamp_ntz"
@@ -60,9 +60,9 @@ def test_the_pipeline(spark, raw, rows):
     assert enriched.count() == 6
     rescued = enriched.where("_rescued_data_transactions IS NOT NULL").select("user_id", "_rescued_data_transactions")
     assert rows(rescued) == [(2, '{"transaction_price":"cheap"}')]
-    by_segment = rows(spark.read.parquet(p.table("revenue_by_user_segment")))
+    by_segment = rows(gold_views(spark, p)["revenue_by_user_segment"].current())
     assert by_segment == [("シニア層", None, None, 40.0), ("シニア層", "M", "S", 20.0), ("若年層", "F", "N", 15.0)]
-    assert rows(spark.read.parquet(p.table("revenue_by_subcategory"))) == [(None, None), ("s1", 55.0), ("s2", 20.0)]
+    assert rows(gold_views(spark, p)["revenue_by_subcategory"].current()) == [(None, None), ("s1", 55.0), ("s2", 20.0)]
 
     # Nothing new: nothing changes.
     medallion_run(spark, p)
@@ -72,7 +72,7 @@ def test_the_pipeline(spark, raw, rows):
     put(raw / "users", "2.csv", USER_HEAD, "3,41,M,S,UPDATE,2024-01-04 00:00:00", "2,20,M,W,UPDATE,2024-02-01 00:00:00")
     put(raw / "east", "2.csv", HEAD, "2,p1,1,7.0", "3,p1,1,8.0")
     medallion_run(spark, p)
-    assert rows(spark.read.parquet(p.table("users")).select("user_id", "age")) == [(1, 30), (2, 20)]
+    assert rows(users_table(spark, p).current().select("user_id", "age")) == [(1, 30), (2, 20)]
     ages = read(spark, p, "transactions_enriched").where("user_id = 2").select("transaction_price", "age")
     # Rows enriched before keep what was known then.
     assert rows(ages) == [(None, 60), (20.0, 60), (7.0, 20)]
@@ -117,10 +117,10 @@ def test_backfill_runs_once_and_never_wins_over_newer_rows(spark, raw, rows):
     with_backfill = pipeline(spark, raw, users_backfill=str(raw / "old"))
     medallion_run(spark, with_backfill)
     wanted = [(1, 30), (2, 60), (4, 12)]
-    assert rows(spark.read.parquet(p.table("users")).select("user_id", "age")) == wanted
+    assert rows(users_table(spark, p).current().select("user_id", "age")) == wanted
     put(raw / "old", "2.csv", USER_HEAD, "5,12,F,N,INSERT,2020-01-01 00:00:00")
     medallion_run(spark, with_backfill)
-    assert rows(spark.read.parquet(p.table("users")).select("user_id", "age")) == wanted
+    assert rows(users_table(spark, p).current().select("user_id", "age")) == wanted
 
 
 def test_compaction(spark, raw, rows):
@@ -257,7 +257,7 @@ def test_hot_keys_in_the_pipeline(spark, raw, rows):
     p = pipeline(spark, raw, hot_share=0.3)
     medallion_run(spark, p)
     assert read(spark, p, "transactions_enriched").count() == 6
-    by_segment = rows(spark.read.parquet(p.table("revenue_by_user_segment")))
+    by_segment = rows(gold_views(spark, p)["revenue_by_user_segment"].current())
     assert by_segment == [("シニア層", None, None, 40.0), ("シニア層", "M", "S", 20.0), ("若年層", "F", "N", 15.0)]
 
 
@@ -273,3 +273,70 @@ def test_the_pipeline_named_in_the_session(spark, raw, tmp_path):
     medallion_run(spark, p)
     assert read(spark, p, "transactions_enriched").count() == 6
     assert p.root == str(home / "tables")
+
+
+def test_the_pipeline_before_its_first_user(spark, raw, rows):
+    (raw / "nobody").mkdir()
+    p = Pipeline(**{**pipeline(spark, raw).__dict__, "users": str(raw / "nobody")})
+    medallion_run(spark, p)
+    assert read(spark, p, "transactions_enriched").where("age IS NULL").count() == 6
+
+
+def test_a_run_rewrites_what_it_has_changes_for(spark, raw):
+    p = pipeline(spark, raw, buckets=8)
+    medallion_run(spark, p)
+    users, view = users_table(spark, p), gold_views(spark, p)["revenue_by_subcategory"]
+    before, groups = users.manifest()["parts"], view.manifest()["parts"]
+    put(raw / "users", "2.csv", USER_HEAD, "2,20,M,W,UPDATE,2024-02-01 00:00:00")
+    put(raw / "east", "2.csv", HEAD, "2,p1,1,7.0")
+    medallion_run(spark, p)
+    assert sum(before[b] != f for b, f in users.manifest()["parts"].items() if b in before) == 1
+    assert sum(groups[b] != f for b, f in view.manifest()["parts"].items() if b in groups) == 1
+
+
+def test_readers_keep_the_old_version_when_a_run_stops(spark, raw, rows, monkeypatch):
+    """Killed between writing and switching: users, products and gold show what they showed, and the next run makes up for it."""
+    from tarnwork.operators.versions import VersionedTable
+
+    p = pipeline(spark, raw)
+    medallion_run(spark, p)
+    tables = [users_table(spark, p), products_table(spark, p), *gold_views(spark, p).values()]
+    shown = [rows(t.read()) for t in tables]
+    put(raw / "users", "2.csv", USER_HEAD, "2,20,M,W,UPDATE,2024-02-01 00:00:00")
+    put(raw / "east", "2.csv", HEAD, "2,p1,1,7.0")
+    switch = VersionedTable._switch
+    for name in ("users", "products", "revenue_by_subcategory", "revenue_by_user_segment"):
+
+        def stop(self, manifest, name=name):
+            if self.path.endswith(name):
+                raise OSError("killed")
+            return switch(self, manifest)
+
+        monkeypatch.setattr(VersionedTable, "_switch", stop)
+        with pytest.raises(Exception, match="killed"):
+            medallion_run(spark, p)
+        stopped = [t for t in tables if t.path.endswith(name)]
+        assert [rows(t.read()) for t in stopped] == [s for t, s in zip(tables, shown, strict=True) if t in stopped]
+    monkeypatch.setattr(VersionedTable, "_switch", switch)
+    medallion_run(spark, p)
+    assert rows(users_table(spark, p).current().select("user_id", "age")) == [(1, 30), (2, 20)]
+    assert rows(gold_views(spark, p)["revenue_by_subcategory"].current()) == [(None, None), ("s1", 62.0), ("s2", 20.0)]
+
+
+def test_files_with_headers_of_their_own(spark, raw, rows):
+    put(raw / "many", "1.csv", "user_id,note,quantity", "1,hi,2")
+    put(raw / "many", "2.csv", "quantity,USER_ID,product_id", "3,2,p1", "x,2,p1", "4,2")
+    put(raw / "many", "3.csv", "user_id,quantity")
+
+    def run():
+        flows.append_flows(str(raw / "t"), {"a": CsvFiles(spark, str(raw / "many"), TRANSACTIONS, "r")}, str(raw / "c"), LIMIT)
+        return rows(flows.read_flows(spark, str(raw / "t")).select("user_id", "product_id", "quantity", "r"))
+
+    first = [
+        (1, None, 2, '{"note":"hi"}'), (2, None, 4, '{"_corrupt_record":"4,2"}'), (2, "p1", None, '{"quantity":"x"}'), (2, "p1", 3, None)
+    ]
+    assert run() == first
+    put(raw / "many", "4 [new] 50%.csv", "transaction_price,extra,user_id", '1.5,"a,b",9')
+    put(raw / "many", "empty.csv")
+    (raw / "many" / "empty.csv").write_text("")
+    assert run() == [*first, (9, None, None, '{"extra":"a,b"}')]
