@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tarnwork import fixed_values as fv
 from tarnwork.functions.scalars import group_digits, padded
 from tarnwork.operators import aggregates, tables
+from tarnwork.operators.versions import IncrementalView, VersionedTable
+from tarnwork.operators.zones import ZonedTable, write_zoned
 from tarnwork.plans import driver_tables as dt
 from tarnwork.plans.registry import query
 from tarnwork.session import scratch_database, scratch_dir
@@ -53,7 +55,7 @@ def scan_csv_tvf(spark, d):
 @query("stream_csv", ORDER_SQL)
 def stream_csv(spark, d):
     source, target = land_csv(spark, _order_lines(spark, d), "csv"), scratch_dir(spark, "orders")
-    stream = files.stream_csv(spark, source, ORDER_DDL, "_rescued")
+    stream = files.CsvFiles(spark, source, ORDER_DDL, "_rescued")
     flows.append_flows(target, {"all": stream}, scratch_dir(spark, "checkpoints"))
     return flows.read_flows(spark, target).drop("_rescued")
 
@@ -77,6 +79,31 @@ def rescued_data(spark, d):
     return files.scan_csv(spark, path, "order_id bigint, line int, quantity int", rescue="_rescued_data")
 
 
+@query(
+    "stream_csv_headers",
+    """SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 3 <> 1 THEN o_orderpriority END AS priority,
+      CASE WHEN o_orderkey % 3 <> 1 THEN NULL WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS customer_id,
+      CASE WHEN o_orderkey % 3 = 0 THEN NULL
+        WHEN o_orderkey % 3 = 1 AND o_orderstatus = 'P' THEN '{"customer_id":"about ' || o_custkey || '","status":"P"}'
+        ELSE '{"status":"' || o_orderstatus || '"}' END AS _rescued_data
+    FROM orders""",
+)
+def stream_csv_headers(spark, d):
+    """Files of one directory with other columns, or the same in another order, in two micro-batches."""
+    orders, base, target, checkpoints = load_tables(spark, d, "orders")[0], scratch_dir(spark, "landing"), scratch_dir(spark, "orders"), scratch_dir(spark, "checkpoints")
+    of = lambda k: orders.where(F.col("o_orderkey") % 3 == k)
+    key, priority, status = F.col("o_orderkey").alias("order_id"), F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status")
+    text = F.col("o_custkey").cast("string")
+    customer = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("about "), text)).otherwise(text).alias("Customer_ID")
+    landings = [[("plain", of(0).select(key, priority)), ("turned", of(2).select(status, priority, key))], [("other", of(1).select(customer, key, status))]]
+    lines = files.CsvFiles(spark, f"{base}/*", "order_id bigint, priority string, customer_id bigint", "_rescued_data")
+    for batch in landings:
+        for name, rows in batch:
+            rows.write.option("header", True).csv(f"{base}/{name}")
+        flows.append_flows(target, {"orders": lines}, checkpoints)
+    return flows.read_flows(spark, target)
+
+
 @query(
     "infer_types",
     """SELECT * FROM (VALUES ('order_id', 'int'), ('order_date', 'date'), ('total', 'double'), ('priority', 'string'))
@@ -302,6 +329,68 @@ def materialized_view(spark, d):
     return spark.table(name)
 
 
+@query(
+    "published_versions",
+    """SELECT 1 AS version, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS total FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 2, COUNT(*), CAST(SUM(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) FROM orders""",
+)
+def published_versions(spark, d):
+    """A reader that chose a version before the next was published, beside one that chose afterwards."""
+    orders, table = load_tables(spark, d, "orders")[0], VersionedTable(spark, scratch_dir(spark, "orders"))
+    is_done = F.col("o_orderstatus") == "F"
+    table.publish(orders.where(is_done))
+    pinned = table.read()
+    table.publish(table.read().unionByName(orders.where(~is_done)))
+    total = F.sum(F.col("o_totalprice").cast("decimal(14,2)")).cast("double").alias("total")
+    count = lambda rows, version: rows.agg(F.lit(version).alias("version"), F.count("*").alias("n"), total)
+    return count(pinned, 1).union(count(table.read(), 2))
+
+
+MONTHLY_SQL = """monthly AS (SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, o_custkey AS customer,
+    CAST(o_totalprice AS DECIMAL(14,2)) AS price FROM orders)"""
+
+
+def _monthly_view(spark, d):
+    """Orders by month, taken in as four batches, the second of them twice."""
+    orders = load_tables(spark, d, "orders")[0].select(
+        F.col("o_orderkey").alias("order_id"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
+        F.col("o_custkey").alias("customer"), F.col("o_totalprice").cast("decimal(14,2)").alias("price"),
+    )
+    view = IncrementalView(
+        spark, scratch_dir(spark, "by_month"), ["year", "month"], sums={"total": "price"}, counted="n", least={"smallest": "price"}, most={"largest": "price"},
+        distinct={"customers": "customer"}, about_distinct={"customers_about": "customer"},
+    )
+    for batch in (0, 1, 1, 2, 3):
+        view.refresh(orders.where(F.col("order_id") % 4 == batch), "orders", batch)
+    return view
+
+
+@query(
+    "incremental_view",
+    MONTHLY_SQL,
+    """SELECT year, month, COUNT(*) AS n, CAST(SUM(price) AS DOUBLE) AS total, CAST(MIN(price) AS DOUBLE) AS smallest,
+      CAST(MAX(price) AS DOUBLE) AS largest, COUNT(DISTINCT customer) AS customers FROM monthly GROUP BY year, month""",
+)
+def incremental_view(spark, d):
+    """Monthly totals and exact distinct customers, refreshed batch by batch without reading earlier rows."""
+    doubles = {c: F.col(c).cast("double") for c in ("total", "smallest", "largest")}
+    return _monthly_view(spark, d).current().drop("customers_about", "customers_about_error").withColumns(doubles)
+
+
+@query(
+    "distinct_rollup",
+    MONTHLY_SQL,
+    """SELECT year, COUNT(DISTINCT customer) AS customers, TRUE AS within_three_errors, CAST(0.01625 AS DOUBLE) AS standard_error
+    FROM monthly GROUP BY year""",
+)
+def distinct_rollup(spark, d):
+    """Yearly distinct customers from monthly sketches, beside the exact count from the monthly state; no order is read again."""
+    yearly = _monthly_view(spark, d).rolled_up(["year"])
+    error = F.col("customers_about_error")
+    within = F.abs(F.col("customers_about") - F.col("customers")) <= 3 * error * F.col("customers") + 1
+    return yearly.select("year", "customers", within.alias("within_three_errors"), F.round(error, 5).alias("standard_error"))
+
+
 @query(
     "export_csv_single",
     """SELECT n_name AS nation, COUNT(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
@@ -342,6 +431,39 @@ def files_to_read(spark, d):
     return counts.select("n_rows", "found", opened[0].alias("plain_opened"), (opened[1] * 2 < opened[0]).alias("clustered_opens_under_half"))
 
 
+@query(
+    "zone_skipping",
+    """SELECT COUNT(*) AS n_rows, CAST(SUM(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS total, CAST(5 AS BIGINT) AS files, TRUE AS at_most_two_opened
+    FROM orders WHERE o_orderpriority = '2-HIGH'""",
+)
+def zone_skipping(spark, d):
+    """An equality filter that opens one or two of five clustered files, as the files' own ranges and Bloom bits say."""
+    path = scratch_dir(spark, "zoned")
+    write_zoned(_order_lines(spark, d), path, ["priority"], 5)
+    table = ZonedTable(spark, path)
+    found = table.read(priority="2-HIGH")
+    total = F.sum(F.col("total").cast("decimal(14,2)")).cast("double").alias("total")
+    return found.agg(
+        F.count("*").alias("n_rows"), total, F.lit(table.files().count()).alias("files"), F.lit(len(found.inputFiles()) <= 2).alias("at_most_two_opened")
+    )
+
+
+@query(
+    "zone_join",
+    """SELECT c_custkey AS customer_id, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS total
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = 3 AND c_acctbal > 8500 GROUP BY c_custkey""",
+)
+def zone_join(spark, d):
+    """A join that reads of the orders only files which can hold one of the customers, although they are not partitioned by them."""
+    orders, customer = load_tables(spark, d, "orders", "customer")
+    path = scratch_dir(spark, "zoned")
+    write_zoned(orders, path, ["o_custkey"], 32)
+    few = customer.where("c_nationkey = 3 AND c_acctbal > 8500").select("c_custkey")
+    read = ZonedTable(spark, path).read_for(few, "o_custkey", "c_custkey")
+    total = F.sum(F.col("o_totalprice").cast("decimal(14,2)")).cast("double").alias("total")
+    return read.join(few, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_custkey").alias("customer_id")).agg(F.count("*").alias("n"), total)
+
+
 @query(
     "analyze_columns",
     """SELECT 'c_custkey' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT(c_custkey) AS n_nulls,
@@ -407,7 +529,7 @@ def multi_flow_append(spark, d):
     streams = {}
     for flow, area in (("east", "O"), ("west", "F")):
         path = land_csv(spark, lines.where(F.col("area") == area), flow)
-        streams[flow] = files.stream_csv(spark, path, schema, "_rescued")
+        streams[flow] = files.CsvFiles(spark, path, schema, "_rescued")
     target, checkpoints = scratch_dir(spark, "transactions"), scratch_dir(spark, "checkpoints")
     flows.append_flows(target, {"east": streams["east"]}, checkpoints)
     flows.append_flows(target, streams, checkpoints)  # the first flow has nothing new
