@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnwork.functions.scalars import ratio_safe
@@ -19,15 +17,16 @@ def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str =
     ).agg(F.count("*").alias("n"))
 
 
-def score_counts(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
-    """Positives and negatives per score, stored.
+def score_counts(scored: DataFrame, label: str = "label", probability: str = "probability", by: str | None = None) -> DataFrame:
+    """Positives and negatives per score, and per ``_part`` with ``by``, stored.
 
     Rows of equal score are combined, so ties count together and a score shared
     by many rows is one row from here on. The scored rows are read only here.
     Rows without a score have no place in an order, so they are refused with their number.
     """
     positive = F.col(label) == 1
-    counts = scored.groupBy(F.col(probability).cast("double").alias("threshold")).agg(
+    part = [F.col(by).alias("_part")] if by else []
+    counts = scored.groupBy(*part, F.col(probability).cast("double").alias("threshold")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
     counts = settle(counts, "score-counts")
@@ -76,20 +75,19 @@ def roc_auc(
 ) -> DataFrame:
     """Exact area under the ROC curve: pairs ranked rightly, ties counting half, in whole numbers.
 
-    With ``by``, one row per value of that column, which is meant for the few parts of a split.
+    With ``by``, one row per value of that column, from the same single pass: positives are totalled over all parts in one
+    order of part and score, and each part takes off what stands before its first score. Parts may be many, and one may be hot.
     """
-    if by:
-        parts = [r[0] for r in scored.select(by).distinct().collect()]
-        areas = [
-            roc_auc(scored.where(F.col(by).eqNullSafe(F.lit(p))), label, probability).select(F.lit(p).alias(by), "roc_auc")
-            for p in parts
-        ]
-        return reduce(DataFrame.unionByName, areas) if areas else scored.select(by, F.lit(0.0).alias("roc_auc")).limit(0)
-    wide = lambda c: F.col(c).cast("decimal(19,0)")
-    counts = threshold_counts(score_counts(scored, label, probability))
-    halves = F.sum(wide("negatives") * (2 * wide("tp") - wide("positives")))
-    pairs = 2 * F.sum("positives").cast("double") * F.sum("negatives").cast("double")
-    return counts.agg((halves.cast("double") / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
+    wide = lambda c: c.cast("decimal(19,0)")
+    counts = score_counts(scored, label, probability, by)
+    ranked = running_total(counts, ["_part", "threshold"] if by else "threshold", ["positives"], descending=True)
+    sums = ranked.groupBy(*(["_part"] if by else [])).agg(
+        F.sum(wide(F.col("negatives")) * (2 * wide(F.col("positives_cum")) - wide(F.col("positives")))).alias("halves"),
+        F.sum("positives").alias("p"), F.sum("negatives").alias("n"), F.min(F.col("positives_cum") - F.col("positives")).alias("before"),
+    )
+    halves = F.col("halves") - 2 * wide(F.col("before")) * wide(F.col("n"))
+    pairs = 2 * F.col("p").cast("double") * F.col("n").cast("double")
+    return sums.select(*([F.col("_part").alias(by)] if by else []), (halves.cast("double") / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
 
 
 def evaluate_classifier(
@@ -102,7 +100,7 @@ def evaluate_classifier(
 ) -> DataFrame:
     """Accuracy, precision, recall, F1 and log loss (class 1 positive), per split if ``by`` is given.
 
-    One aggregation. ``with_auc`` adds ``roc_auc``, which needs an order and so a pass of its own per part.
+    One aggregation. ``with_auc`` adds ``roc_auc``, which needs an order and so one more pass for all parts.
     """
     hit = F.col(prediction) == F.col(label)
     positive, predicted = F.col(label) == 1, F.col(prediction) == 1

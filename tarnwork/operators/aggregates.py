@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarnwork import fixed_values as fv
@@ -98,27 +100,62 @@ def per_group_linear_fit(df: DataFrame, group: str, x: str, y: str) -> DataFrame
     )
 
 
+def per_group_least_squares(df: DataFrame, group: str, features: Sequence[str], target: str) -> DataFrame:
+    """A linear model of several features per group: ``group, n, intercept, coefficients, r2`` with one coefficient for each feature.
+
+    One aggregation gives every group's Gram matrix and its products with the target; they combine map-side, so a hot group
+    costs no more than others, and each group's system is then solved where its one row is. Rows with a NULL
+    are left out. A group whose system has no single solution gets the one of least length.
+    """
+    if not features:
+        raise ValueError("a model needs a feature")
+    columns = [F.col(f"`{c}`").cast("double") for c in (*features, target)]
+    rows = df.select(F.col(f"`{group}`").alias("_group"), *[c.alias(f"_x{i}") for i, c in enumerate(columns)]).na.drop("any", subset=[f"_x{i}" for i in range(len(columns))])
+    k = len(columns)
+    products = [F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")) for i in range(k) for j in range(i, k)]
+    moments = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(f"_x{i}") for i in range(k)]).alias("sums"), F.array(*products).alias("products"))
+
+    @F.pandas_udf("intercept double, coefficients array<double>, r2 double")
+    def solve(n: pd.Series, sums: pd.Series, products: pd.Series) -> pd.DataFrame:
+        out = []
+        upper = np.triu_indices(k)
+        for count, total, product in zip(n, sums, products, strict=True):
+            gram = np.zeros((k, k))
+            gram[upper] = product
+            gram = gram + np.triu(gram, 1).T
+            # About the means: the intercept drops out, and the sums lose fewer digits.
+            mean = np.asarray(total) / count
+            spread = gram - count * np.outer(mean, mean)
+            beta = np.linalg.lstsq(spread[:-1, :-1], spread[:-1, -1], rcond=1e-12)[0]
+            whole = spread[-1, -1]
+            out.append((mean[-1] - beta @ mean[:-1], beta.tolist(), float(beta @ spread[:-1, -1] / whole) if whole > 0 else None))
+        return pd.DataFrame(out, columns=["intercept", "coefficients", "r2"])
+
+    solved = moments.withColumn("m", solve("n", "sums", "products"))
+    return solved.select(F.col("_group").alias(group), "n", "m.intercept", "m.coefficients", "m.r2")
+
+
 def running_total(
-    df: DataFrame, order: str, values: Sequence[str], descending: bool = False, slices: int | None = None
+    df: DataFrame, order: str | Sequence[str], values: Sequence[str], descending: bool = False, slices: int | None = None
 ) -> DataFrame:
     """Add ``<value>_cum``: the sum of each value over all rows up to this one.
 
-    ``order`` must be unique per row. A window without partitions would be one
+    ``order``, a column or several, must be unique per row. A window without partitions would be one
     task, so the rows are stored once in ``slices`` contiguous ranges of the
     order (by default one per shuffle partition, so they grow with what the
     session is set up for); each range is summed on its own and offset by the
     total of the ranges before it, a table of one row per range.
     """
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = F.desc(order) if descending else F.asc(order)
-    sliced = settle(df.repartitionByRange(slices, by).withColumn("_slice", F.spark_partition_id()), "running-total")
+    by = [F.desc(c) if descending else F.asc(c) for c in ([order] if isinstance(order, str) else order)]
+    sliced = settle(df.repartitionByRange(slices, *by).withColumn("_slice", F.spark_partition_id()), "running-total")
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("_slice")
         .agg(*[F.sum(v).alias(f"_{v}") for v in values])
         .select("_slice", *[F.coalesce(F.sum(f"_{v}").over(before), F.lit(0)).alias(f"_{v}") for v in values])
     )
-    within = Window.partitionBy("_slice").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("_slice").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
     summed = sliced.select("*", *[F.sum(v).over(within).alias(f"{v}_cum") for v in values])
     out = summed.join(F.broadcast(offsets), "_slice")  # at most ``slices`` rows
     out = out.withColumns({f"{v}_cum": F.col(f"{v}_cum") + F.col(f"_{v}") for v in values})

@@ -528,6 +528,25 @@ def per_group_linear_fit(spark, d):
     return fits.withColumns({c: F.round(c, n) for c, n in places.items()})
 
 
+@query(
+    "per_group_least_squares",
+    dt.SALES_SQL,
+    """moments AS (SELECT region, COUNT(*) AS n, AVG(x) AS mx, AVG(z) AS mz, AVG(y) AS my, var_pop(x) AS xx, var_pop(z) AS zz, var_pop(y) AS yy,
+        covar_pop(x, z) AS xz, covar_pop(x, y) AS xy, covar_pop(z, y) AS zy
+      FROM (SELECT region, CAST(quantity AS DOUBLE) AS x, CAST(discount_rate AS DOUBLE) AS z, CAST(sales_amount AS DOUBLE) AS y FROM sales) GROUP BY region),
+    solved AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM moments)""",
+    """SELECT region, n, ROUND(my - bx * mx - bz * mz, 2) AS intercept, ROUND(bx, 3) AS of_quantity, ROUND(bz, 2) AS of_discount,
+      ROUND((bx * xy + bz * zy) / yy, 7) AS r2 FROM solved""",
+)
+def per_group_least_squares(spark, d):
+    """A model of two features for each region, all from one aggregation."""
+    fits = aggregates.per_group_least_squares(dt.sales(spark, d), "region", ["quantity", "discount_rate"], "sales_amount")
+    return fits.select(
+        "region", "n", F.round("intercept", 2).alias("intercept"), F.round(F.col("coefficients")[0], 3).alias("of_quantity"),
+        F.round(F.col("coefficients")[1], 2).alias("of_discount"), F.round("r2", 7).alias("r2"),
+    )
+
+
 # Metric view
 
 

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from conftest import day
 from pyspark.sql import functions as F
@@ -70,6 +71,22 @@ def test_linear_fit(spark):
     assert fits["b"]["slope"] is None and fits["b"]["n"] == 1
 
 
+def test_least_squares_per_group(spark):
+    r = random.Random(4)
+    data = [(g, r.gauss(1000, 3), r.gauss(0, 1), r.random()) for g in ["a"] * 300 + ["b"] * 40 + [None] * 40]
+    data = [(g, x, z, 3 * x - 2 * z + 5 + e if g == "a" else z + e) for g, x, z, e in data] + [("one", 1.0, 2.0, 3.0), ("a", None, 1.0, 1.0), ("flat", 1.0, 1.0, 7.0), ("flat", 2.0, 5.0, 7.0)]
+    found = {m.g: m for m in aggregates.per_group_least_squares(spark.createDataFrame(data, "g string, x double, z double, y double"), "g", ["x", "z"], "y").collect()}
+    for g in ("a", "b", None):
+        rows = np.array([d[1:] for d in data if d[0] == g and d[1] is not None])
+        x = np.column_stack([np.ones(len(rows)), rows[:, :2]])
+        beta, *_ = np.linalg.lstsq(x, rows[:, 2], rcond=None)
+        assert [found[g].intercept, *found[g].coefficients] == pytest.approx(beta.tolist(), rel=1e-5) and found[g].n == len(rows)
+        residual = rows[:, 2] - x @ beta
+        assert found[g].r2 == pytest.approx(1 - residual @ residual / ((rows[:, 2] - rows[:, 2].mean()) ** 2).sum(), abs=1e-6)
+    assert found["one"].coefficients == [0.0, 0.0] and found["one"].intercept == 3.0 and found["one"].r2 is None
+    assert found["flat"].intercept == pytest.approx(7.0) and found["flat"].r2 is None
+
+
 SALES = (
     "customer_segment string, ship_mode string, order_date string, ship_date string, sales_amount double, "
     "profit double, budget double, returned boolean, order_id string, customer_id string, category string"

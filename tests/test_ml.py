@@ -222,3 +222,20 @@ def test_raw_requests_are_scored_without_a_label(spark, tmp_path):
     requests = raw.drop("churnString").limit(9).union(spark.createDataFrame([record(500, "new", "12d")], names).drop("churnString"))
     found = {r.customerID: r.prediction for r in churn.score_churn(requests, path).collect()}
     assert found == {f"c{i}": float(i % 3 == 0) for i in range(9)} | {"c500": 0.0}
+
+
+def test_auc_of_many_parts_at_once(spark):
+    """Each part's area as if it were alone; parts without one class have none."""
+    r = random.Random(8)
+    data = [(f"p{r.randint(0, 30)}" if r.random() < 0.6 else None, r.randint(0, 1), round(r.random(), 1)) for _ in range(900)] + [("ones", 1, 0.5), ("zeros", 0, 0.5), ("zeros", 0, 0.6)]
+    scored = spark.createDataFrame(data, "part string, label int, probability double")
+    found = {x.part: x.roc_auc for x in evaluate.roc_auc(scored, by="part").collect()}
+    assert len(found) == len({d[0] for d in data})
+    for part, area in found.items():
+        ones = [p for g, y, p in data if g == part and y == 1]
+        zeros = [p for g, y, p in data if g == part and y == 0]
+        if not ones or not zeros:
+            assert area is None
+            continue
+        wins = sum((a > b) + 0.5 * (a == b) for a in ones for b in zeros)
+        assert area == pytest.approx(wins / (len(ones) * len(zeros)), abs=1e-12)
