@@ -260,6 +260,24 @@ LABEL_WORDS = {"有": ["tion", "ment"], "品質": ["sch"], "the": ["the"]}
 LABELS = [*LABEL_WORDS, "その他"]
 
 
+def answer_table(spark, load):
+    return text.AnswerTable(spark, scratch_dir(spark, "answers"), text.one_by_one(load))
+
+
+@query(
+    "ai_asked_once",
+    """SELECT COUNT(*) AS n_rows, COUNT(DISTINCT text) AS asked, CAST(0 AS BIGINT) AS asked_again, COUNT(text) AS answered FROM documents""",
+)
+def ai_asked_once(spark, d):
+    """Prompts put to the model for all reviews, copies among them, and by a second run over the same."""
+    docs, table = load_tables(spark, d, "documents")[0].select("doc_id", "text"), answer_table(spark, text_models.sentence_picker(30))
+    text.summarize_text(docs, "text", table)
+    asked = table.known().count()
+    again = text.summarize_text(docs, "text", table)
+    counts = again.agg(F.count("*").alias("n_rows"), F.count("summary").alias("answered"))
+    return counts.select("n_rows", F.lit(asked).alias("asked"), F.lit(table.known().count() - asked).alias("asked_again"), "answered")
+
+
 @query(
     "ai_classify",
     """SELECT doc_id, CASE WHEN contains(text, 'tion') OR contains(text, 'ment') THEN '有' WHEN contains(text, 'sch') THEN '品質'
@@ -267,7 +285,7 @@ LABELS = [*LABEL_WORDS, "その他"]
 )
 def ai_classify(spark, d):
     docs = load_tables(spark, d, "documents")[0].select("doc_id", "text")
-    model = text_models.keyword_classifier(LABEL_WORDS, "その他")
+    model = answer_table(spark, text_models.keyword_classifier(LABEL_WORDS, "その他"))
     return text.classify_text(docs, "text", model, LABELS).drop("text")
 
 
@@ -283,7 +301,7 @@ def ai_classify(spark, d):
 )
 def ai_summarize(spark, d):
     docs = load_tables(spark, d, "documents")[0].select("doc_id", "text")
-    return text.summarize_text(docs, "text", text_models.sentence_picker(30)).drop("text")
+    return text.summarize_text(docs, "text", answer_table(spark, text_models.sentence_picker(30))).drop("text")
 
 
 @query(
@@ -295,7 +313,7 @@ def ai_summarize(spark, d):
 )
 def ai_score(spark, d):
     docs = load_tables(spark, d, "documents")[0].select("doc_id", "text")
-    return text.score_text(docs, "text", text_models.word_balance(["the"], ["un"])).drop("text")
+    return text.score_text(docs, "text", answer_table(spark, text_models.word_balance(["the"], ["un"]))).drop("text")
 
 
 def strict_reader():

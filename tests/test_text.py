@@ -88,3 +88,66 @@ def test_the_model_is_loaded_once_per_task(spark, tmp_path):
     assert text.score_text(df, "comment", load).where("positive_score = 0.5").count() == 1000
     with open(log) as f:
         assert len(f.read()) == 2
+
+
+def noting(log, fail=()):
+    """A model for several prompts that notes each review it is asked."""
+
+    def load():
+        def answers(pairs):
+            if any(review in fail for _, review in pairs):
+                raise RuntimeError("no answer")
+            with open(log, "a") as f:
+                f.writelines(f"{review}\n" for _, review in pairs)
+            return [f"{len(prompt)}:{review}" for prompt, review in pairs]
+
+        return answers
+
+    return load
+
+
+def test_each_prompt_is_asked_once(spark, tmp_path):
+    log, path = tmp_path / "log", str(tmp_path / "answers")
+    df = spark.createDataFrame([(i, ["same", "other", None, "rare"][min(i % 5, 2) if i else 3]) for i in range(200)], "id int, comment string")
+    frame = text.prompt_frame("Do.", [("[Form]", ["short"])])
+    table = text.AnswerTable(spark, path, noting(log), batch=2)
+    found = {(r.comment, r._answer and r._answer.result) for r in table.ask(df, "comment", frame).collect()}
+    size = len("".join(frame))
+    assert found == {(c, f"{size + len(c)}:{c}") for c in ("same", "other", "rare")} | {(None, None)}
+    assert sorted(log.read_text().split()) == ["other", "rare", "same"]
+    # The same again, and one that is new; another frame makes other prompts.
+    more = df.union(spark.createDataFrame([(999, "new")], df.schema))
+    assert text.AnswerTable(spark, path, noting(log)).ask(more, "comment", frame).count() == 201
+    assert sorted(log.read_text().split()) == ["new", "other", "rare", "same"]
+    table.ask(df, "comment", text.prompt_frame("Do otherwise.", []))
+    assert len(log.read_text().split()) == 7
+
+
+def test_failures_are_noted_and_asked_again(spark, tmp_path):
+    log, path = tmp_path / "log", str(tmp_path / "answers")
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(["a", "bad", "b", "bad", "c"])], "id int, comment string").coalesce(1)
+    frame = text.prompt_frame("Do.", [])
+    first = text.AnswerTable(spark, path, noting(log, {"bad"}), 8).ask(df, "comment", frame)
+    assert {r.comment: r._answer.errorMessage for r in first.collect()} == {"a": None, "b": None, "c": None, "bad": "RuntimeError: no answer"}
+    with pytest.raises(Exception, match="no answer"):
+        text.AnswerTable(spark, path, noting(log, {"bad"})).ask(df, "comment", frame, on_error="raise")
+    second = text.AnswerTable(spark, path, noting(log)).ask(df, "comment", frame)
+    assert second.where("_answer.result IS NULL").count() == 0 and second.count() == 5
+    assert sorted(log.read_text().split()) == ["a", "b", "bad", "c"]
+
+
+def test_labels_and_scores_by_an_answer_table(reviews, spark, tmp_path):
+    load = text.one_by_one(text_models.keyword_classifier({"品質": ["品質"], "接客・サービス": ["店員"]}, "その他"))
+    table = text.AnswerTable(spark, str(tmp_path / "labels"), load)
+    assert answers(text.classify_text(reviews, "comment", table), "category") == ["品質", None, "接客・サービス", "その他"]
+    scores = text.AnswerTable(spark, str(tmp_path / "scores"), text.one_by_one(text_models.word_balance(["良い", "親切"], ["悪い"])))
+    assert answers(text.score_text(reviews, "comment", scores), "positive_score") == [1.0, None, 1.0, 0.5]
+
+
+def test_a_model_that_answers_too_few(spark, tmp_path):
+    def load():
+        return lambda pairs: ["x"] * min(len(pairs), 1)
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, comment string").coalesce(1)
+    found = text.AnswerTable(spark, str(tmp_path / "t"), load).ask(df, "comment", ("", ""))
+    assert [r._answer.result for r in found.collect()] == ["x", "x"]
