@@ -60,14 +60,19 @@ class VersionedTable:
         """Makes the manifest the newest version: written aside, then renamed."""
         version = manifest["version"] + 1
         fs, final = self._store(f"_versions/{version:012d}.json")
-        _, aside = self._store(f"_versions/.{uuid.uuid4().hex}")
-        out = fs.create(aside, False)
-        out.write(bytearray(json.dumps({**manifest, "version": version}).encode()))
-        out.close()
+        aside = self.write_text(f"_versions/.{uuid.uuid4().hex}", json.dumps({**manifest, "version": version}))
         if fs.exists(final) or not fs.rename(aside, final):
             raise Conflict(f"{self.path} has a version {version} already")
         return version
 
+    def write_text(self, name: str, text: str):
+        """A new small file in the table's folder; gives its place."""
+        fs, place = self._store(name)
+        out = fs.create(place, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        return place
+
     def _folder(self) -> str:
         return f"data/{uuid.uuid4().hex}"
 

@@ -538,9 +538,8 @@ def pipeline_conf(spark, d):
     """Where a pipeline named by the session's settings finds its files, and how many products it has."""
     database, base = scratch_database(spark), scratch_dir(spark, "volumes")
     dt.products(spark, d).write.saveAsTable(f"{database}.products_source")
-    for key, value in {"catalog_name": "main", "schema_name": database}.items():
-        spark.conf.set(key, value)
-    p = pipeline_from_conf(spark, base, "user_id bigint", "user_id bigint")
+    with tables.settings(spark, {"catalog_name": "main", "schema_name": database}):
+        p = pipeline_from_conf(spark, base, "user_id bigint", "user_id bigint")
     places = {"root": p.root, **p.transactions, "users": p.users}
     rows = [(name, place.removeprefix(f"{base}/").replace(database, "shop")) for name, place in places.items()]
     counted = p.products.agg(F.lit("products").alias("name"), F.count("*").cast("string").alias("place"))

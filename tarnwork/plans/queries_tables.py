@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -15,6 +16,7 @@ from tarnwork.plans import driver_tables as dt
 from tarnwork.plans.registry import query
 from tarnwork.session import scratch_database, scratch_dir
 from tarnwork.sources import files, star
+from tarnwork.sources.chunks import read_chunks
 from tarnwork.sources.statements import statement_json_to_df
 from tarnwork.sources.tables import load_tables, scan_table_stream, table_detail, table_row_counts
 from tarnwork.streaming import flows
@@ -391,6 +393,28 @@ def distinct_rollup(spark, d):
     return yearly.select("year", "customers", within.alias("within_three_errors"), F.round(error, 5).alias("standard_error"))
 
 
+@query("statement_chunks", ORDER_SQL)
+def statement_chunks(spark, d):
+    """A statement's result in eight chunk files, read by a task each."""
+    orders, path = _order_lines(spark, d), scratch_dir(spark, "result")
+    chunk = F.pmod(F.xxhash64("order_id"), F.lit(8))
+    row = F.array(*[F.col(c).cast("string") for c in orders.columns])
+    rows = orders.select(chunk.alias("chunk"), F.to_json(row, {"ignoreNullFields": "false"}).alias("row"))
+    counts = {r.chunk: r.n for r in rows.groupBy("chunk").agg(F.count("*").alias("n")).collect()}
+    store = VersionedTable(spark, path)
+    names = {}
+    for k, n in sorted(counts.items()):
+        # One small text file for each chunk, as the service would send it.
+        rows.where(F.col("chunk") == k).agg(F.concat(F.lit("["), F.array_join(F.collect_list("row"), ","), F.lit("]"))).coalesce(1).write.text(f"{path}/chunk-{k}")
+        names[k] = (spark.read.text(f"{path}/chunk-{k}").select("_metadata.file_path").first()[0].rsplit("/", 1)[1], n)
+    manifest = {
+        "columns": [{"name": f.name, "type": f.dataType.simpleString()} for f in orders.schema],
+        "chunks": [{"file": f"chunk-{k}/{name}", "row_count": n} for k, (name, n) in names.items()],
+    }
+    store.write_text("manifest.json", json.dumps(manifest))
+    return read_chunks(spark, path)
+
+
 @query(
     "export_csv_single",
     """SELECT n_name AS nation, COUNT(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
@@ -464,6 +488,45 @@ def zone_join(spark, d):
     return read.join(few, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_custkey").alias("customer_id")).agg(F.count("*").alias("n"), total)
 
 
+@query(
+    "statistics_choose_join",
+    """SELECT COUNT(*) AS n_rows, CAST(SUM(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE) AS total, 'SortMergeJoin' AS before_statistics,
+      'BroadcastHashJoin' AS with_statistics FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_totalprice > 490000""",
+)
+def statistics_choose_join(spark, d):
+    """Dear orders' lines: stored histograms tell the optimizer that few orders pass the filter, so it broadcasts them."""
+    orders, line = load_tables(spark, d, "orders", "lineitem")
+    database = scratch_database(spark)
+    orders.write.saveAsTable(f"{database}.orders")
+    line.write.saveAsTable(f"{database}.lines")
+    size = spark.table(f"{database}.orders")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+
+    def joined():
+        return spark.table(f"{database}.lines").join(spark.table(f"{database}.orders").where("o_totalprice > 490000"), F.expr("l_orderkey = o_orderkey"))
+
+    with tables.settings(spark, {"spark.sql.cbo.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": str(size // 4)}):
+        before = tables.planned_joins(joined())
+        for name in ("orders", "lines"):
+            tables.analyze_table(spark, f"{database}.{name}", histograms=True)
+        after = tables.planned_joins(joined())
+    total = F.sum(F.col("l_extendedprice").cast("decimal(14,2)")).cast("double").alias("total")
+    return joined().agg(F.count("*").alias("n_rows"), total, F.lit(before[0]).alias("before_statistics"), F.lit(after[0]).alias("with_statistics"))
+
+
+@query(
+    "sketch_quantiles",
+    """SELECT o_orderpriority AS priority, p AS probability, COUNT(*) AS n, TRUE AS rank_is_near FROM orders, (VALUES (0.25::DOUBLE), (0.5), (0.99)) AS t(p)
+    GROUP BY o_orderpriority, p""",
+)
+def sketch_quantiles(spark, d):
+    """Quantiles of order totals by priority from sketches, and whether their exact rank is within two percent of what was asked."""
+    orders = _order_lines(spark, d)
+    asked = tables.quantiles(orders, "total", [0.25, 0.5, 0.99], ["priority"])
+    per = orders.join(asked, "priority").groupBy("priority", "probability").agg(F.count("*").alias("n"), F.count_if(F.col("total") <= F.col("value")).alias("upto"))
+    near = F.abs(F.col("upto") / F.col("n") - F.col("probability")) <= 0.02 + 1 / F.col("n")
+    return per.select("priority", "probability", "n", near.alias("rank_is_near"))
+
+
 @query(
     "analyze_columns",
     """SELECT 'c_custkey' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT(c_custkey) AS n_nulls,

@@ -199,3 +199,41 @@ def test_values_that_lose_something_are_rescued(spark, tmp_path):
     assert [str(f.m) for f in found] == ["None", "1.23", "-0.50"] and [f.x for f in found] == [None, 12.0, 1000.0]
     assert json.loads(found[0].r) == {"d": "2024-01-01 junk", "m": "1.239", "x": "12d", "t": "2024-01-01 10:00:00 x"}
     assert found[1].r is None and found[2].r is None and found[0].d is None
+
+
+def chunked(tmp_path, chunks, columns=(("id", "bigint"), ("a b", "string"), ("price", "decimal(9,2)"), ("on", "date"))):
+    listed = []
+    for i, (rows, count) in enumerate(chunks):
+        (tmp_path / f"c{i}.json").write_text(rows if isinstance(rows, str) else json.dumps(rows))
+        listed.append({"file": f"c{i}.json", "row_count": count})
+    (tmp_path / "manifest.json").write_text(json.dumps({"columns": [{"name": n, "type": t} for n, t in columns], "chunks": listed}))
+    return str(tmp_path)
+
+
+def test_chunks(spark, tmp_path, rows):
+    from tarnwork.sources.chunks import read_chunks
+
+    path = chunked(tmp_path, [([[str(i), f"x{i}", "1.50", "2024-01-02"] for i in range(k * 10, k * 10 + 10)], 10) for k in range(5)] + [([["99", None, None, None]], 1), ([], 0)])
+    df = read_chunks(spark, path)
+    assert df.rdd.getNumPartitions() == 7
+    assert [f.dataType.simpleString() for f in df.schema] == ["bigint", "string", "decimal(9,2)", "date"]
+    assert df.count() == 51 and rows(df.where("id = 99")) == [(99, None, None, None)]
+    assert str(df.where("id = 42").first()) == "Row(id=42, a b='x42', price=Decimal('1.50'), on=datetime.date(2024, 1, 2))"
+    assert rows(read_chunks(spark, path, typed=False).where("id = '42'")) == [("42", "x42", "1.50", "2024-01-02")]
+
+
+@pytest.mark.parametrize(
+    "rows, count, told", [('[["1","x"', 1, "cut off"), ([["1", "x", "1", "2024-01-01"]], 2, "has 1 rows, the manifest says 2"), ([["1"]], 1, "1 values for 4 columns")]
+)
+def test_broken_chunks_stop_the_read(spark, tmp_path, rows, count, told):
+    from tarnwork.sources.chunks import read_chunks
+
+    with pytest.raises(Exception, match=told):
+        read_chunks(spark, chunked(tmp_path, [([["0", "x", "1", "2024-01-01"]], 1), (rows, count)])).collect()
+
+
+def test_values_that_are_none_of_their_type_stop_the_read(spark, tmp_path):
+    from tarnwork.sources.chunks import read_chunks
+
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_chunks(spark, chunked(tmp_path, [([["one", "x", "1", "2024-01-01"]], 1)])).collect()
