@@ -13,6 +13,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from tarnwork.llm.common import col, table
 from tarnwork.llm.registry import query
@@ -25,43 +26,77 @@ FEATURES = 1 << 13
 NAMES = {
     "MIT": ["the MIT License", "the MIT license (MIT)", "the Expat License", "MIT"],
     "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "Apache 2.0", "the Apache Software License, Version 2.0"],
-    "GPL-2.0": ["the GNU General Public License, version 2", "the GNU GPL v2", "GPL-2.0", "the GNU General Public License version 2 or later"],
-    "GPL-3.0": ["the GNU General Public License, version 3", "the GNU GPL v3", "GPL-3.0", "the GNU General Public License version 3 or later"],
-    "LGPL": ["the GNU Lesser General Public License, version 2.1", "the GNU Lesser General Public License, version 3", "the GNU LGPL v3", "LGPL-2.1"],
-    "AGPL-3.0": ["the GNU Affero General Public License, version 3", "the GNU AGPL v3", "AGPL-3.0"],
+    "GPL-2.0": ["the GNU General Public License, version 2", "the GNU GPL v2", "GPL-2.0", "the GNU General Public License version 2 or later", "the GNU GPLv2", "GPL-2.0-or-later"],
+    "GPL-3.0": ["the GNU General Public License, version 3", "the GNU GPL v3", "GPL-3.0", "the GNU General Public License version 3 or later", "the GNU GPLv3", "GPL-3.0-or-later"],
+    "LGPL": ["the GNU Lesser General Public License, version 2.1", "the GNU Lesser General Public License, version 3", "the GNU LGPL v3", "LGPL-2.1", "the GNU LGPLv3", "the GNU LGPLv2.1", "LGPL-3.0"],
+    "AGPL-3.0": ["the GNU Affero General Public License, version 3", "the GNU AGPL v3", "AGPL-3.0", "the GNU AGPLv3"],
     "BSD": ["the BSD License", "the 3-Clause BSD License", "the 2-Clause BSD License", "the New BSD License", "BSD-3-Clause"],
     "MPL-2.0": ["the Mozilla Public License, version 2.0", "MPL 2.0", "the Mozilla Public License, v. 2.0"],
     "CC-BY-4.0": ["CC BY 4.0", "a Creative Commons Attribution 4.0 International License", "the Creative Commons Attribution License"],
     "CC-BY-SA-4.0": ["CC BY-SA 4.0", "a Creative Commons Attribution-ShareAlike 4.0 International License"],
     "CC-BY-NC-4.0": ["CC BY-NC 4.0", "a Creative Commons Attribution-NonCommercial 4.0 International License"],
     "CC0": ["CC0 1.0", "CC0 1.0 Universal", "the Creative Commons Zero dedication"],
+    "ISC": ["the ISC License", "the ISC license (ISC)"],
+    "Unlicense": ["the Unlicense"],
+    "Zlib": ["the zlib License", "the zlib/libpng License"],
+    "BSL-1.0": ["the Boost Software License, Version 1.0", "BSL-1.0"],
+    "EPL-2.0": ["the Eclipse Public License 2.0", "the Eclipse Public License, v. 2.0", "EPL-2.0"],
     "proprietary": [],
 }
 SENTENCES = {
     "MIT": [
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ],
     "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "See the License for the specific language governing permissions and limitations under the License.",
     ],
     "GPL-2.0": ["it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
     "GPL-3.0": ["it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
-    "LGPL": ["it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
-    "AGPL-3.0": ["it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"],
+    "LGPL": [
+        "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Lesser General Public License along with this library",
+    ],
+    "AGPL-3.0": [
+        "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+    ],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
     ],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
     "CC-BY-4.0": [],
     "CC-BY-SA-4.0": [],
     "CC-BY-NC-4.0": [],
     "CC0": ["has waived all copyright and related or neighboring rights to this work, to the extent possible under law"],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+        "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+    ],
+    "BSL-1.0": ["Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software"],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"],
     "proprietary": ["All rights reserved.", "Confidential and proprietary. Do not distribute without written permission.", "Unauthorized copying of this file is strictly prohibited.", "No part of this publication may be reproduced without prior written permission."],
 }
-LEADS = ["Licensed under {}.", "This work is licensed under {}.", "Released under {}.", "Distributed under the terms of {}.", "This file is available under {}, see LICENSE.", "Code in this article is published under {}.", "License: {}"]
+LEADS = ["SPDX-License-Identifier: {}", "Licensed under {}.", "This work is licensed under {}.", "Released under {}.", "Distributed under the terms of {}.", "This file is available under {}, see LICENSE.", "Code in this article is published under {}.", "License: {}"]
 TITLES = ["the {} Public License, version {}", "the {} License {}", "{} License v{}", "the terms of the {} agreement {}", "the {} Community License {}"]
 INVENTED = ["Acorn", "Harbor", "Lantern", "Quill", "Summit", "Meadow", "Copper", "Falcon"]
 PROSE = [
@@ -69,11 +104,16 @@ PROSE = [
     "The general opinion of the public was against it.", "Under the bridge, a boat was lying in the sun.", "The license plate of the car was covered in mud.", "She had a licence to fish in the lake, version or no version.",
     "See the article for more about the method and the data.", "Files are kept in a box under the table.", "The software is fast and its documentation is short.", "Permission to land was given at noon.",
 ]
+#: Words that carry a version in themselves.
+VERSIONED = frozenset({"gplv2", "gplv3", "lgplv3", "lgplv2", "agplv3", "v2", "v3", "cc0"})
 #: Corpus lines with one of these are not taken as examples of prose.
 CUE = r"(?i)licen[cs]|copyright|rights reserved|warrant|permission|redistribut|creative commons|\bgpl\b|\bcc\b"
 
-#: Every template has one of these, so a notice that goes over several lines has a line with one.
-WRAPPED_CUE = CUE + r"|\brights\b|reserved|\bgnu\b|gpl|apache|mozilla|\bmpl\b|\bmit\b|\bbsd\b|\bcc0\b|commons|confidential|proprietary|unauthorized|publication"
+#: Every template of more than one word has one of these, so a notice that goes over several lines has a line with one.
+WRAPPED_CUE = (
+    CUE + r"|\brights\b|reserved|\bgnu\b|gpl|apache|mozilla|eclipse|boost|\bmpl\b|\bepl\b|\bbsl\b|\bbsd\b|\bisc\b|zlib|\bcc0\b|commons|confidential|proprietary|unauthorized"
+    r"|publication|\bsoftware\b|public domain"
+)
 
 
 def examples() -> list[tuple[str, str]]:
@@ -120,31 +160,48 @@ def paragraphs(df: DataFrame, id_col: str, text_col: str, longest: int = 800) ->
     return pieces.select("doc_id", "digest", "paragraph", "start", F.substring("line", F.col("start") + 1, F.lit(longest)).alias("text"))
 
 
-def wrapped(df: DataFrame, id_col: str, text_col: str, most_lines: int = 8, longest: int = 800) -> DataFrame:
-    """``doc_id, digest, paragraph, last, text``: all runs of 2 to ``most_lines`` lines with a licence word in them and no blank line, joined.
+def wrapped(df: DataFrame, id_col: str, text_col: str, alike: float) -> DataFrame:
+    """``doc_id, digest, paragraph, last, text``: runs of two or more lines that hold a template, each as short as it can be.
 
-    A line of nothing but marks is blank. Of lines over ``longest`` characters both ends are joined to their neighbours.
+    A stretch of lines without a blank one, some line of which has a licence word, is read once as one sequence of words. Where it
+    holds ``alike`` of a template's word pairs, the lines of those pairs make the run: a run goes on as long as
+    no more than one line in between is without such a pair, over any number of lines. A line of nothing but marks is blank.
     """
-    half, around = longest // 2, most_lines - 1
-    rows = df.select(col(id_col).alias("doc_id"), F.xxhash64(col(text_col)).alias("digest"), col(text_col).alias("text")).where(F.col("text").contains("\n") & F.col("text").rlike(WRAPPED_CUE))
-    ends = lambda x: F.concat(F.substring(x, 1, half), F.lit(" | "), F.substring(x, -half, half))
+    rows = df.select(col(id_col).alias("doc_id"), F.xxhash64(col(text_col)).alias("digest"), col(text_col).alias("text"), F.monotonically_increasing_id().alias("row_no"))
+    rows = rows.where(F.col("text").contains("\n") & F.col("text").rlike(WRAPPED_CUE))
     unmarked = lambda x: F.regexp_replace(x, r"(?i)^\W*(rem|dnl)\b", "")
-    lines = F.transform(F.split("text", "\n"), lambda x: F.when(F.length(x) <= longest, unmarked(x)).otherwise(ends(x)))
-    rows = rows.select("doc_id", "digest", lines.alias("lines"))
-    rows = rows.withColumn("cues", F.filter(F.transform("lines", lambda x, i: F.when(x.rlike(WRAPPED_CUE), i)), lambda i: i.isNotNull()))
-    first = lambda i: F.greatest(i - around, F.lit(0))
-    # A run belongs to its first line with a licence word.
-    near = F.transform(
-        "cues",
-        lambda i, k: F.struct(i.alias("cue"), F.when(k > 0, F.get("cues", k - 1)).otherwise(-1).alias("earlier"), first(i).alias("first"), F.slice("lines", first(i) + 1, F.lit(2 * around + 1)).alias("lines")),
-    )
-    seeds = rows.select("doc_id", "digest", F.explode(near).alias("near")).select("doc_id", "digest", "near.*")
-    shapes = F.array(*[F.struct(F.lit(before).alias("before"), F.lit(n).alias("n")) for n in range(2, most_lines + 1) for before in range(n)])
-    runs = seeds.withColumn("shape", F.explode(shapes)).withColumn("paragraph", F.col("cue") - F.col("shape.before"))
-    at = F.col("paragraph") - F.col("first")
-    runs = runs.where((F.col("paragraph") > F.col("earlier")) & (at >= 0) & (at + F.col("shape.n") <= F.size("lines")))
-    runs = runs.withColumn("lines", F.slice("lines", F.greatest(at + 1, F.lit(1)), F.col("shape.n"))).where(F.forall("lines", lambda x: x.rlike(r"[\p{L}\p{N}]")))
-    return runs.select("doc_id", "digest", "paragraph", (F.col("paragraph") + F.col("shape.n") - 1).alias("last"), F.array_join("lines", " ").alias("text"))
+    lines = rows.select("doc_id", "digest", "row_no", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(F.col("text").rlike(r"[\p{L}\p{N}]"))
+    lines = lines.withColumn("cue", F.col("text").rlike(WRAPPED_CUE))
+    # Lines in a row share their number less their place among the lines that are not blank.
+    placed = lines.withColumn("stretch", F.col("line") - F.row_number().over(Window.partitionBy("row_no").orderBy("line")))
+    whole = Window.partitionBy("row_no", "stretch")
+    # Of the other lines only those beside a stretch's cues matter, but which they are the templates tell.
+    near = placed.withColumn("cues", F.max("cue").over(whole)).withColumn("lines", F.count(F.lit(1)).over(whole)).where("cues AND lines > 1")
+    near = settle(near.select("doc_id", "digest", "row_no", "stretch", "line", "text", tokens(unmarked(F.col("text"))).alias("words")), "licence-lines")
+    # Each word with the one before it, also over the line's end.
+    order = Window.partitionBy("row_no", "stretch").orderBy("line")
+    before = F.lag(F.element_at("words", -1)).over(order)
+    joined = near.where(F.size("words") > 0).withColumn("all", F.when(before.isNull(), F.col("words")).otherwise(F.concat(F.array(before), F.col("words"))))
+    pairs = F.zip_with(F.slice("all", 1, F.size("all") - 1), F.slice("all", 2, F.size("all")), lambda a, b: F.concat(a, F.lit(" "), b))
+    joined = joined.withColumn("over", before.isNotNull()).where(F.size("all") > 1)
+    at = joined.select("row_no", "stretch", "line", "over", F.posexplode(pairs).alias("i", "pair"))
+    at = at.withColumn("from", F.when(F.col("over") & (F.col("i") == 0), F.col("line") - 1).otherwise(F.col("line")))
+    known = [(k, f"{a} {b}") for k, (_, t) in enumerate(templates()) if len(w := words_of(t)) > 1 for a, b in {*zip(w, w[1:], strict=False)}]
+    spark = df.sparkSession
+    sizes = spark.createDataFrame([(k, n) for k, n in Counter(k for k, _ in known).items()], "template int, size long")
+    hits = at.join(F.broadcast(spark.createDataFrame(known, "template int, pair string")), "pair")  # the templates' pairs, fixed values
+    hits = hits.groupBy("row_no", "stretch", "template", "pair", "from", "line").agg(F.lit(1).alias("one")).drop("one")
+    share = F.count_distinct("pair") / F.first("size")
+    full = hits.join(F.broadcast(sizes), "template").groupBy("row_no", "stretch", "template").agg(share.alias("share")).where(F.col("share") >= alike).drop("share")
+    hits = hits.join(full, ["row_no", "stretch", "template"], "left_semi")
+    one = Window.partitionBy("row_no", "stretch", "template").orderBy("from", "line")
+    gap = F.col("from") - F.max("line").over(one.rowsBetween(Window.unboundedPreceding, -1)) > 2
+    hits = hits.withColumn("part", F.sum(F.when(gap, 1).otherwise(0)).over(one.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = hits.join(F.broadcast(sizes), "template").groupBy("row_no", "stretch", "template", "part").agg(F.min("from").alias("paragraph"), F.max("line").alias("last"), share.alias("share"))
+    runs = runs.where((F.col("share") >= alike) & (F.col("last") > F.col("paragraph"))).select("row_no", "stretch", "paragraph", "last").distinct()
+    told = near.join(runs, ["row_no", "stretch"]).where(F.col("line").between(F.col("paragraph"), F.col("last")))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: unmarked(x["text"])), " ")
+    return told.groupBy("doc_id", "digest", "row_no", "paragraph", "last").agg(text.alias("text")).drop("row_no")
 
 
 def best_places(found: DataFrame) -> DataFrame:
@@ -208,11 +265,11 @@ def train(df: DataFrame, id_col: str, text_col: str, prose_lines: int = 2_000) -
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5, alike: float = 0.6) -> DataFrame:
     """One row per paragraph that is a licence notice: ``doc_id, paragraph, start, family, probability, template_share, confirmed``.
 
-    A paragraph is a line (long lines in overlapping pieces), or a run of up to eight lines without a blank one where that
+    A paragraph is a line (long lines in overlapping pieces), or a run of lines without a blank one where that
     holds more of a template than its lines do; it is numbered by its first line. It is a notice where prose is not the most probable class.
     Its family is the most probable one; with a calibrated probability under ``least`` it is ``unknown``. A prediction is confirmed where a template of its family has at
     least ``alike`` of its word pairs in the paragraph (``template_share``; of single words for one-word
-    templates); an unconfirmed one is reported as ``unknown`` too, with its probability.
+    templates), and all pairs with its version, if it names one; an unconfirmed one is reported as ``unknown`` too, with its probability.
 
     NULL and empty texts have no paragraphs; repeated rows are reported each; an empty table gives no
     rows; other columns are ignored.
@@ -220,7 +277,7 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = df.sparkSession
     model, labels, heat = train(df, id_col, text_col)
     lines = paragraphs(df, id_col, text_col).withColumn("last", F.col("paragraph"))
-    runs = wrapped(df, id_col, text_col).withColumn("start", F.lit(0))
+    runs = settle(wrapped(df, id_col, text_col, alike).withColumn("start", F.lit(0)), "licence-runs")
     scored = model.setProbabilityCol("").transform(featured(lines.unionByName(runs)))
     notices = scored.where(F.col("prediction") != labels.index(NONE)).select("doc_id", "digest", "paragraph", "last", "start", "words", vector_to_array("rawPrediction").alias("raw"))
     # Few paragraphs come this far. Written, so that what follows is not folded into the scan and done again per use.
@@ -231,12 +288,18 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = F.array_max(F.slice("p", 3, len(labels)))
     family = F.when(best >= least, F.element_at(F.array(*map(F.lit, labels)), F.array_position("p", best).cast("int"))).otherwise(UNKNOWN)
     found = sure.select("doc_id", "digest", "paragraph", "last", "start", "words", family.alias("predicted"), best.alias("probability"))
-    fixed = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, pairs_of(words_of(t)))).alias("grams")) for f, t in templates()])
+    numbered = lambda gs: [g for g in gs if any(w[0].isdigit() or w in VERSIONED for w in g.split())]
+    texts = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
+    fixed = F.array(
+        *[F.struct(F.lit(f).alias("family"), texts(g).alias("grams"), texts(numbered(g)).alias("numbered")) for f, t in templates() for g in [pairs_of(words_of(t))]]
+    )
     own = F.array_distinct(grams("words"))
     found = found.withColumn("own", own)
     mine = F.filter(fixed, lambda t: t["family"] == F.col("predicted"))
-    share = F.array_max(F.transform(mine, lambda t: F.size(F.array_intersect(t["grams"], F.col("own"))) / F.size(t["grams"])))
-    found = found.withColumn("template_share", F.coalesce(share, F.lit(0.0)))
+    # A template that names a version is met only with its version; a template's other pairs do not make up for it.
+    met = lambda t: F.size(F.array_except(t["numbered"], F.col("own"))) == 0
+    shares = F.transform(mine, lambda t: F.struct(F.when(met(t), F.size(F.array_intersect(t["grams"], F.col("own"))) / F.size(t["grams"])).otherwise(0.0).alias("share")))
+    found = found.withColumn("template_share", F.coalesce(F.array_max(shares)["share"], F.lit(0.0)))
     found = found.withColumn("confirmed", F.col("template_share") >= alike).drop("words", "own")
     found = best_places(settle(found, "found"))
     confirmed = F.col("confirmed")

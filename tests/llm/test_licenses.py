@@ -51,6 +51,45 @@ def test_wrapped_notices(spark):
     assert len(found["GPL-2.0"]) == 2 * len(found["GPL-3.0"])
 
 
+def families(spark, texts):
+    found = lic.scan_licenses(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    return [{r.family for r in found if r.doc_id == i and r.confirmed} for i in range(len(texts))], [{r.family for r in found if r.doc_id == i} for i in range(len(texts))]
+
+
+def test_versions_and_wide_wraps(spark):
+    mit = lic.SENTENCES["MIT"][0]
+    texts = [
+        "You should have received a copy of the GNU General Public License along with this program.", "Licensed under the GNU GPLv3.", lic.SENTENCES["MIT"][3], lic.SENTENCES["Unlicense"][0],
+        PROSE[0] + "\n" + textwrap.fill(mit, 14) + "\n\n" + PROSE[0], textwrap.fill(mit, 20), "# " + "\n# ".join(textwrap.wrap(lic.SENTENCES["GPL-2.0"][0], 12)),
+        "Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-3.0-or-later", textwrap.fill(lic.SENTENCES["BSD"][2], 30) + "\n" + textwrap.fill(lic.SENTENCES["BSD"][3], 30),
+    ]
+    sure, said = families(spark, texts)
+    assert sure[0] <= {"unknown"} and not {"GPL-2.0", "GPL-3.0"} & said[0]
+    assert sure[1:] == [{"GPL-3.0"}, {"MIT"}, {"Unlicense"}, {"MIT"}, {"MIT"}, {"GPL-2.0"}, {"GPL-2.0"}, {"GPL-3.0"}, {"BSD"}]
+
+
+def test_whole_texts_and_licences_it_does_not_know(spark):
+    known = {f: "\n\n".join(textwrap.fill(x, 72) for x in lic.SENTENCES[f]) for f in ("MIT", "BSD", "Apache-2.0", "ISC", "Zlib", "Unlicense")}
+    others = ["Licensed under the Artistic License 2.0.", "Released under the European Union Public Licence v1.2.", "This work is licensed under the PostgreSQL License."]
+    sure, said = families(spark, [*known.values(), *others])
+    assert sure[: len(known)] == [{f} for f in known]
+    assert all(not x for x in sure[len(known) :])
+
+
+def test_runs_against_all_pairs_of_lines(spark):
+    """Runs of lines, found by plain search: the shortest that hold enough of some template."""
+    header = textwrap.fill(lic.SENTENCES["Apache-2.0"][2], 40).split("\n")
+    texts = ["\n".join(["first of all", *header, "and so on"]), "\n".join(["***", header[0], "", *header[1:]]), "the mit und die\nmit von der"]
+    rows = lic.wrapped(spark.createDataFrame(list(enumerate(texts)), SCHEMA), "doc_id", "text", 0.6).collect()
+    for r in rows:
+        lines = texts[r.doc_id].split("\n")[r.paragraph : r["last"] + 1]
+        assert all(x.strip("* ") for x in lines) and lic.words_of(r.text) == lic.words_of(" ".join(lines))
+        own = set(lic.pairs_of(lic.words_of(r.text)))
+        assert max(len(own & set(lic.pairs_of(lic.words_of(t)))) / len(lic.pairs_of(lic.words_of(t))) for _, t in lic.templates()) >= 0.6
+    spans = {(r.doc_id, r.paragraph, r["last"]) for r in rows}
+    assert (0, 1, len(header)) in spans and not any(i == 2 for i, *_ in spans)
+
+
 def test_an_unknown_licence_is_unknown(found):
     rows = [r for r in found if r.doc_id == 200]
     assert [(r.family, r.confirmed) for r in rows] == [("unknown", False)]
