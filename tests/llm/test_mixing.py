@@ -105,3 +105,50 @@ def test_all_documents(spark, sf_dir):
     for name, t in taken.items():
         assert abs(t - wanted[name]) <= 64
     assert sorted(found) == sorted(op6_mixing(spark, sf_dir).collect())
+
+
+@pytest.mark.parametrize("words", [10, 40, 3])
+def test_small_sources_come_near_their_targets(frame, words):
+    rows = [(i, "w " * words, f"s{i:03}") for i in range(200)]
+    sizes, taken = Counter(), Counter()
+    for r in mix_plan(frame(rows, "doc_id long, text string, source string")).select("source", "size", "taken").collect():
+        sizes[r.source] += r["size"]
+        taken[r.source] += r.taken
+    targets = brute_targets(sizes)
+    assert abs(sum(taken.values()) - 300 * words) <= 0.02 * 300 * words
+    assert all(abs(taken[s] - t) <= 1 and taken[s] > 0 for s, t in targets.items())
+
+
+def test_small_and_large_sources_together(frame):
+    rows = [(i, "w " * 100, "large") for i in range(400)] + [(1000 + i, "w " * (3 + i), f"s{i:02}") for i in range(40)] + [(None, "w " * 5, None)] * 30
+    sizes, taken = Counter(), Counter()
+    for r in mix_plan(frame(rows, "doc_id long, text string, source string")).select("source", "size", "taken").collect():
+        sizes[r.source] += r["size"]
+        taken[r.source] += r.taken
+        assert r.taken <= 2 * r["size"]
+    for s, t in brute_targets(sizes).items():
+        assert abs(taken[s] - t) <= (33 if s == "large" else 1)
+
+
+def test_equal_rows_are_told_apart(spark):
+    from tarnwork.llm.mixing import equal_rows
+
+    df = spark.createDataFrame([(None, "a", 3)] * 57 + [(1, "b", 2)] * 2 + [(2, None, 1)], "id int, source string, size int")
+    found = Counter((r.id, r.source, r["size"], r.among) for r in equal_rows(df, most=10).collect())
+    assert found == Counter({**{(None, "a", 3, k): 1 for k in range(57)}, (1, "b", 2, 0): 1, (1, "b", 2, 1): 1, (2, None, 1, 0): 1})
+
+
+@pytest.mark.parametrize("doc_id", [5, None])
+def test_repeated_rows_are_taken_up_to_the_target(frame, doc_id):
+    """Half of a source's rows are equal; as many of them are taken as the target wants."""
+    rows = [(doc_id, "same words here every time a b c d e", "a", 0)] * 200 + [(1000 + i, f"d{i} " + "x " * 9, "a", 1 + i) for i in range(200)] + [(5000 + i, "y " * 10, "b", 9) for i in range(400)]
+    docs = frame(rows, "doc_id long, text string, source string, row int")
+    sizes, got = Counter(), Counter()
+    for r in rows:
+        sizes[r[2]] += len(r[1].split())
+    mixed = whole_documents(docs).collect()
+    for r in mixed:
+        got[r.source] += len(r.text.split())
+    targets = brute_targets(sizes)
+    assert all(abs(got[s] - t) <= 6 for s, t in targets.items())
+    assert Counter(map(tuple, mixed)) == Counter(map(tuple, whole_documents(docs).collect()))
