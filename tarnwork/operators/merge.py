@@ -11,6 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tarnwork.session import settle
+
 
 class SchemaError(ValueError):
     """A write or schema change the table does not allow."""
@@ -92,7 +94,7 @@ def merge_upsert(
 
     The target is joined from the left, so a source below Spark's broadcast
     limit leaves the target where it is; inserts are then found among the
-    source rows. For a source beyond it, ``large_source`` does both in a single
+    source rows, by the target's keys alone. For a source beyond it, ``large_source`` does both in a single
     full outer join, with one shuffle of each side.
     """
     source = in_target_spelling(source, target.columns)
@@ -101,7 +103,8 @@ def merge_upsert(
         raise SchemaError(f"the table has no column {', '.join(new_columns)}")
     as_target = [f for f in target.schema if f.name in source.columns]
     added = [f for f in source.schema if f.name in new_columns]
-    typed = enforce_schema(source, T.StructType([*as_target, *added]))
+    # Written, as it is checked, joined and searched for inserts; the source itself is computed once.
+    typed = settle(enforce_schema(source, T.StructType([*as_target, *added])), "merge-source")
 
     repeated = typed.na.drop("any", subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
     if not repeated.isEmpty() and not repeated.join(target, list(keys), "left_semi").isEmpty():

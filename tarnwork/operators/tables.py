@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -114,11 +113,13 @@ def merge_into(source: DataFrame, name: str, keys: Sequence[str], evolve: bool =
     if new:
         add_columns(spark, name, new)
         target = spark.table(name)
-    # As many rows as the source has partitions. As literals they prune the files of the others; null-safe, for
-    # rows without a partition value lie in a partition of their own.
+    # As many rows as the source has partitions: one list of literals, which prunes the files of the others. Rows without
+    # a partition value lie in a partition of their own; a struct finds it, as its fields are compared null-safe.
     touched = source.select(*partition_by).distinct().collect()
-    there = [reduce(Column.__and__, [F.col(c).isNull() if r[c] is None else F.col(c) == F.lit(r[c]) for c in partition_by]) for r in touched]
-    merged = merge_upsert(target.where(reduce(Column.__or__, there, F.lit(False))), source, keys)
+    kinds = {c: target.schema[c].dataType for c in partition_by}
+    there = [F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in partition_by]) for r in touched]
+    wanted = F.struct(*partition_by).isin(*there) if there else F.lit(False)
+    merged = merge_upsert(target.where(wanted), source, keys)
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         merged.select(*target.columns).write.mode("overwrite").insertInto(name)
 

@@ -206,23 +206,28 @@ def enforce_schema(spark, d):
 
 @query(
     "enforce_refusals",
-    """SELECT * FROM (VALUES ('unknown column', TRUE), ('text for a number', TRUE), ('text for a date', TRUE), ('whole number for a decimal', FALSE),
-      ('missing column', FALSE), ('narrowing', TRUE), ('drop without name mapping', TRUE)) AS t(change, refused)""",
+    """SELECT change, refused, times * (SELECT COUNT(*) FROM orders) AS row_count, days * (SELECT COUNT(o_orderdate) FROM orders) AS day_count
+    FROM (VALUES ('unknown column', TRUE, 1, 1), ('text for a number', TRUE, 1, 1), ('text for a date', TRUE, 1, 1), ('whole number for a decimal', FALSE, 2, 2),
+      ('missing column', FALSE, 3, 2), ('narrowing', TRUE, 3, 2), ('drop without name mapping', TRUE, 3, 2)) AS t(change, refused, times, days)""",
 )
 def enforce_refusals(spark, d):
-    """Which changes a table of orders refuses before a row is written."""
+    """Writes of all orders into a table of orders, one after the other: which are refused, and what the table then holds."""
     orders = load_tables(spark, d, "orders")[0].select(
-        F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(12,2)").alias("total"), F.col("o_orderdate").cast("date").alias("day")
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(22,2)").alias("total"), F.col("o_orderdate").cast("date").alias("day")
     )
     text = lambda c: orders.withColumn(c, F.col(c).cast("string"))
+    name = f"{scratch_database(spark)}.orders"
+    tables.write_table(orders, name)
+    insert = lambda df: tables.insert_rows(merge.enforce_schema(df, orders.schema), name)
+    replace = lambda **change: tables.replace_table(merge.evolve(spark.table(name), **change), name)
     tries = {
-        "unknown column": lambda: merge.enforce_schema(orders.withColumn("campaign", F.lit("x")), orders.schema),
-        "text for a number": lambda: merge.enforce_schema(text("total"), orders.schema),
-        "text for a date": lambda: merge.enforce_schema(text("day"), orders.schema),
-        "whole number for a decimal": lambda: merge.enforce_schema(orders.withColumn("total", F.col("id")), orders.schema),
-        "missing column": lambda: merge.enforce_schema(orders.drop("day"), orders.schema),
-        "narrowing": lambda: merge.evolve(orders, widen={"id": "int"}, type_widening=True),
-        "drop without name mapping": lambda: merge.evolve(orders, drop=["day"]),
+        "unknown column": lambda: insert(orders.withColumn("campaign", F.lit("x"))),
+        "text for a number": lambda: insert(text("total")),
+        "text for a date": lambda: insert(text("day")),
+        "whole number for a decimal": lambda: insert(orders.withColumn("total", F.col("id"))),
+        "missing column": lambda: insert(orders.drop("day")),
+        "narrowing": lambda: replace(widen={"id": "int"}, type_widening=True),
+        "drop without name mapping": lambda: replace(drop=["day"]),
     }
 
     def refused(change) -> bool:
@@ -232,7 +237,8 @@ def enforce_refusals(spark, d):
             return True
         return False
 
-    return spark.createDataFrame([(name, refused(change)) for name, change in tries.items()], "change string, refused boolean")
+    rows = [(change, refused(attempt), *spark.table(name).agg(F.count("*"), F.count("day")).first()) for change, attempt in tries.items()]
+    return spark.createDataFrame(rows, "change string, refused boolean, row_count bigint, day_count bigint")
 
 
 @query(

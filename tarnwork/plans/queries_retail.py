@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tarnwork import fixed_values as fv
 from tarnwork.functions import scalars
@@ -51,6 +53,28 @@ def segment_performance_function(spark, d):
     )
 
 
+@query(
+    "param_defaults",
+    """WITH shifted AS (SELECT CAST(current_date - CAST(CAST((SELECT MAX(o_orderdate) FROM orders) AS DATE) - CAST(o_orderdate AS DATE) AS INT) AS DATE) AS day,
+        CAST(o_totalprice AS DECIMAL(14,2)) AS price FROM orders),
+      periods AS (SELECT * FROM (VALUES ('no start', current_date - 730, current_date), ('empty start', current_date - 730, current_date),
+        ('start alone', CAST('2000-01-01' AS DATE), current_date), ('end alone', current_date - 730, current_date - 365)) AS t(given, first_day, last_day))
+    SELECT given, COUNT(*) AS n, CAST(SUM(price) AS DOUBLE) AS total FROM shifted JOIN periods ON day BETWEEN first_day AND last_day GROUP BY given""",
+)
+def param_defaults(spark, d):
+    """Orders, moved so that the last one is of today, in periods that leave out the start, the end or both."""
+    orders = load_tables(spark, d, "orders")[0].select(F.col("o_orderdate").cast("date").alias("ordered"), F.col("o_totalprice").cast("decimal(14,2)").alias("price"))
+    last = orders.agg(F.max("ordered")).scalar()
+    moved = orders.withColumn("day", F.date_sub(F.current_date(), F.datediff(last, "ordered")))
+    year_ago = spark.range(1).select(F.date_sub(F.current_date(), 365).cast("string")).first()[0]
+    given = {"no start": (None, None), "empty start": ("", ""), "start alone": ("2000-01-01", None), "end alone": ("", year_ago)}
+    parts = [
+        moved.where(F.col("day").between(*retail.period(*dates))).groupBy(F.lit(name).alias("given")).agg(F.count("*").alias("n"), F.sum("price").cast("double").alias("total"))
+        for name, dates in given.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "performance_tag",
     """WITH lines AS (SELECT l_returnflag, l_linestatus, l_suppkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE) AS s,
@@ -349,7 +373,8 @@ def broadcast_dynamic_prune(spark, d):
     line, supplier, nation = load_tables(spark, d, "lineitem", "supplier", "nation")
     path = scratch_dir(spark, "lines")
     placed = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("l_extendedprice", "s_nationkey")
-    placed.repartition("s_nationkey").write.partitionBy("s_nationkey").parquet(path)
+    # A nation's rows go to several tasks, each writing a file of it.
+    placed.repartition("s_nationkey", F.pmod(F.xxhash64("l_extendedprice"), F.lit(8))).write.partitionBy("s_nationkey").parquet(path)
     wanted = nation.where(F.col("n_name") == nation.where("n_nationkey = 3").select("n_name").scalar())
     joined = spark.read.parquet(path).join(F.broadcast(wanted), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 nations at most
     if "dynamicpruning" not in joined._jdf.queryExecution().executedPlan().toString():
