@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import string
 from collections.abc import Iterator
 
@@ -25,8 +24,12 @@ KIND[[0x20, 0x09]] = 1
 KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 #: Bytes of text taken together, and words hashed together; neither changes the result.
 TAKEN_BYTES, HASHED_WORDS = 12_000_000, 1 << 17
-#: Cells of the count table that travel in one row, and the most cells it may have (a 16 MB bitmap is sent to the tasks then).
-CELLS_PER_ROW, MOST_CELL_BITS = 1 << 12, 27
+#: Cells of the count table that travel in one row.
+CELLS_PER_ROW = 1 << 15
+#: Fingerprints that a task holds before it hands them on, and buckets for each shuffle partition.
+HELD_PRINTS, BUCKETS = 2_000_000, 4
+#: Start and length of an occurrence in one number.
+SPAN = 1 << 31
 
 
 def folded(x: np.ndarray) -> np.ndarray:
@@ -55,14 +58,22 @@ class Polynomials:
             self.powers[which][i] = known
         return self.powers[which]
 
-    def ngrams(self, joined: np.ndarray, starts: np.ndarray, ends: np.ndarray, n_first: int, longest: int) -> Iterator[np.ndarray]:
-        """For n of 1 to ``longest``: 62-bit fingerprints of the n-grams that begin at the first ``n_first`` words and end within them all."""
-        prefixes = []
+    def prefixes(self, joined: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For both bases the sums of the first bytes' terms, and the powers of the inverse."""
         for which in range(2):
             power, inverse = self.powers_to(which, len(joined))
             sums = np.zeros(len(joined) + 1, np.uint64)
             np.cumsum(folded(self.of_byte[which][joined] * power[: len(joined)]), out=sums[1:])
-            prefixes.append((sums[ends], sums[starts[:n_first]], inverse[starts[:n_first]]))
+            yield sums, inverse
+
+    def stretches(self, joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """62-bit fingerprints of stretches of the bytes."""
+        high, low = (folded(folded(sums[ends] - sums[starts]) * inverse[starts]) for sums, inverse in self.prefixes(joined))
+        return (high << BITS) | low
+
+    def ngrams(self, joined: np.ndarray, starts: np.ndarray, ends: np.ndarray, n_first: int, longest: int) -> Iterator[np.ndarray]:
+        """For n of 1 to ``longest``: 62-bit fingerprints of the n-grams that begin at the first ``n_first`` words and end within them all."""
+        prefixes = [(sums[ends], sums[starts[:n_first]], inverse[starts[:n_first]]) for sums, inverse in self.prefixes(joined)]
         for n in range(1, longest + 1):
             m = min(n_first, max(0, len(starts) - n + 1))
             high, low = (folded(folded(end[n - 1 : n - 1 + m] - start[:m]) * back[:m]) for end, start, back in prefixes)
@@ -110,6 +121,20 @@ class Words:
                 within = self.piece[at] == self.piece[at + n - 1]
                 yield n, at[within], spread(found[within], salt)
 
+    def fingerprints(self, polynomials: Polynomials, at: np.ndarray, n: np.ndarray, salt: int) -> np.ndarray:
+        """Fingerprints of the n-grams of ``n`` words that begin at the words ``at``."""
+        out, order = np.zeros(len(at), np.uint64), np.argsort(at, kind="stable")
+        longest = int(n.max()) if len(n) else 0
+        for low in range(0, len(self), HASHED_WORDS):
+            some = order[slice(*np.searchsorted(at[order], [low, low + HASHED_WORDS]))]
+            if len(some):
+                zero, last = self.joined_starts[low], min(len(self), low + HASHED_WORDS + longest - 1) - 1
+                starts, end = self.joined_starts[at[some]] - zero, at[some] + n[some] - 1
+                ends = self.joined_starts[end] + self.lengths[end] - zero
+                joined = self.joined[zero : self.joined_starts[last] + self.lengths[last]]
+                out[some] = polynomials.stretches(joined, starts, ends)
+        return spread(out, salt)
+
     def names(self, fingerprints: np.ndarray) -> np.ndarray:
         """A number for each word, the same for the same bytes only: words of one fingerprint are compared with the first of them."""
         _, first, name = np.unique(fingerprints, return_index=True, return_inverse=True)
@@ -176,7 +201,8 @@ def _salt(lang: str) -> int:
 def count_cells(texts: DataFrame, longest: int, least: int, bits: int, seed: int) -> tuple[DataFrame, bytes]:
     """Words per language, and a bitmap of the cells of a hashed count table that n-grams hit ``least`` times in all.
 
-    Each task counts into a table of its own, stopping at ``least``; the tables are added up by stretches of cells.
+    Each task counts into a table of its own, stopping at ``least``; the tables are added up by stretches of cells,
+    compressed to a few bits for each n-gram.
     """
     kind = np.min_scalar_type(least)
     stretch = min(CELLS_PER_ROW, 1 << bits)
@@ -195,13 +221,13 @@ def count_cells(texts: DataFrame, longest: int, least: int, bits: int, seed: int
         used = np.flatnonzero(rows.any(1))
         for low in range(0, len(used), 512):
             some = used[low : low + 512]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.string()), pa.nulls(len(some), pa.int64()), pa.array(some, pa.int32()), pa.array([rows[i].tobytes() for i in some], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.string()), pa.nulls(len(some), pa.int64()), pa.array(some, pa.int32()), pa.array([pa.compress(rows[i].tobytes(), "zstd", asbytes=True) for i in some], pa.binary())], names)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, cells in zip(batch.column("stretch").to_pylist(), batch.column("cells"), strict=True):
-                counts = np.frombuffer(cells.as_buffer(), kind).astype(np.int64)
+                counts = np.frombuffer(pa.decompress(cells.as_buffer(), stretch * kind.itemsize, "zstd"), kind).astype(np.int64)
                 sums[i] = np.minimum(sums[i] + counts, least) if i in sums else counts
         full = {i: np.packbits(x >= least, bitorder="little").tobytes() for i, x in sums.items()}
         yield pa.RecordBatch.from_arrays([pa.array(list(full), pa.int32()), pa.array(list(full.values()), pa.binary())], ["stretch", "full"])
@@ -215,6 +241,38 @@ def count_cells(texts: DataFrame, longest: int, least: int, bits: int, seed: int
     return words, bytes(bitmap)
 
 
+def added(parts: list[np.ndarray]) -> np.ndarray:
+    """Columns print, check, count, row number and span, by print and check; counts of the same two are added, any one's pointer stays."""
+    rows = np.concatenate(parts, axis=1)
+    rows = rows[:, np.lexsort((rows[1], rows[0]))]
+    new = np.flatnonzero((np.diff(rows[:2], prepend=~rows[:2, :1]) != 0).any(0))
+    out = rows[:, new]
+    out[2] = np.add.reduceat(rows[2], new) if len(new) else out[2]
+    return out
+
+
+def blocks(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """``bucket, n_rows, rows``: sorted rows cut by their print into buckets, each compressed; prints as steps, of which few bytes are not 0."""
+    bucket = (rows[0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    first = np.flatnonzero(np.diff(bucket, prepend=~bucket[:1]) != 0)
+    packed = []
+    for x in np.split(rows, first[1:], axis=1):
+        x = np.ascontiguousarray(x)
+        x[0] = np.diff(x[0], prepend=np.uint64(0))
+        # Bytes of one place lie together.
+        packed.append(pa.compress(x.view(np.uint8).reshape(5, -1, 8).transpose(0, 2, 1).tobytes(), "zstd", asbytes=True))
+    sizes = np.diff(first, append=rows.shape[1]).astype(np.int32)
+    columns = [pa.array(bucket[first].astype(np.int32)), pa.array(sizes), pa.array(packed, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "n_rows", "rows"])
+
+
+def unblocked(block: pa.Buffer, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(block, n * 40, "zstd"), np.uint8).reshape(5, 8, n).transpose(0, 2, 1)
+    rows = np.ascontiguousarray(raw).view(np.uint64).reshape(5, n)
+    rows[0] = np.cumsum(rows[0], dtype=np.uint64)
+    return rows
+
+
 def settle_small(df: DataFrame, label: str) -> DataFrame:
     """``settle`` with a stronger compression, for tables that are as large as the texts."""
     path = scratch_dir(df.sparkSession, label)
@@ -222,66 +280,81 @@ def settle_small(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def phrase_counts(df: DataFrame, longest: int = 5, least: int = 100, lang_col: str = "lang", text_col: str = "text", cell_bits: int | None = None, seed: int = 11) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(df: DataFrame, longest: int = 5, least: int = 100, lang_col: str = "lang", text_col: str = "text", cell_bits: int = 25, seed: int = 11) -> tuple[DataFrame, DataFrame]:
     """``lang, n`` (words of each language) and ``lang, phrase, f`` (phrases of 1 to ``longest`` words that occur at least ``least`` times).
 
     Texts are split at ``[.,;:!?]`` and line ends into pieces, those at spaces and tabs into words, A-Z in lower case; phrases stand within a piece.
     Prefix polynomials over the bytes give each n-gram's fingerprint. A first pass adds up how often cells of a
-    hashed table are hit; n-grams of cells under ``least`` cannot be frequent. The second pass sends fingerprints of the others,
-    counted per some megabytes of text, with a pointer to one occurrence. Before they are counted together, n-grams of one
-    fingerprint are compared word by word. The pointers of frequent fingerprints then fetch their phrases from the texts, and
-    counts are added up by the phrase itself, so that collisions change nothing.
+    hashed table are hit; n-grams of cells under ``least`` cannot be frequent, nor those that hold one. The second pass sends fingerprints of the others,
+    counted per some megabytes of text, with a pointer to one occurrence. Before they are counted together there, n-grams of one
+    fingerprint are compared word by word, and those of another text get a row of their own, told apart by a check to other
+    bases (124 bits in all). The pointers of frequent fingerprints then fetch their phrases from the texts.
 
-    ``cell_bits`` sets the table's size (as a rule a quarter of ``least`` hits a cell, at most 2**27 cells); it decides how much is
-    sent, not what is found. NULL texts are empty, a NULL language is ``und``; repeated rows count each; an empty table gives none.
+    ``2**cell_bits`` cells (by default 32 MB in a task, and a bitmap of 4 MB sent to all) decide how much is sent, not what is
+    found: with more n-grams for each cell than ``least`` the table keeps all. Fingerprints travel in compressed blocks by bucket. NULL texts are empty, a NULL language is ``und``; repeated rows count each; an empty table gives none.
     """
     if longest < 1 or least < 1:
         raise ValueError("longest and least must be at least 1")
     spark = df.sparkSession
     texts = df.select(F.coalesce(col(lang_col), F.lit("und")).alias("lang"), col(text_col).cast("binary").alias("text"), F.monotonically_increasing_id().alias("row_no"))
     texts = settle_small(texts.where("text IS NOT NULL"), "texts")
-    if cell_bits is None:
-        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        cell_bits = min(MOST_CELL_BITS, max(12, math.ceil(math.log2(1 + longest * size / 6 * 4 / least))))
     words, bitmap = count_cells(texts, longest, least, cell_bits, seed)
     full = spark.sparkContext.broadcast(bitmap)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        polynomials, hits = Polynomials(seed), np.frombuffer(full.value, np.uint8)
+        polynomials, others, hits = Polynomials(seed), Polynomials(seed + 1), np.frombuffer(full.value, np.uint8)
+        held: list[np.ndarray] = []
         for lang, numbers, some in _by_language(batches):
-            found = Words(some)
-            at, n, prints, of_words = [], [], [], [np.zeros(0, np.uint64)]
-            for size, where, fingerprints in found.ngrams(polynomials, longest, _salt(lang)):
+            found, salt = Words(some), _salt(lang)
+            at, n, prints, of_words, alive = [], [], [], [np.zeros(0, np.uint64)], np.zeros(0, bool)
+            for size, where, fingerprints in found.ngrams(polynomials, longest, salt):
                 if size == 1:
                     of_words.append(fingerprints)
                 cell = fingerprints >> np.uint64(64 - cell_bits)
                 kept = (hits[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                if size > 1:  # a frequent n-gram's two parts of one word less are frequent too
+                    kept &= alive[where] & alive[where + 1]
+                alive = np.ones(len(found) + 1, bool)  # also where the words of the next stretch are not seen yet
+                alive[where] = kept
                 at.append(where[kept])
                 prints.append(fingerprints[kept])
                 n.append(np.full(len(at[-1]), size, np.int8))
-            if not at:
+            if not sum(map(len, at)):
                 continue
             at, n, prints = map(np.concatenate, (at, n, prints))
             names = found.names(np.concatenate(of_words))
-            for which, count in distinct_ngrams(names, at, n, prints) if len(at) else ():
-                first = found.starts[at[which]]
-                last = at[which] + n[which] - 1
+            for which, count in distinct_ngrams(names, at, n, prints):
+                first, last = found.starts[at[which]], at[which] + n[which] - 1
                 text = np.searchsorted(found.text_starts, first, "right") - 1
-                arrays = [
-                    pa.array([lang]).take(pa.array(np.zeros(len(which), np.int8))), pa.array(prints[which].view(np.int64)), pa.array(count),
-                    pa.array(numbers[text]), pa.array((first - found.text_starts[text]).astype(np.int32)), pa.array((found.starts[last] + found.lengths[last] - first).astype(np.int32)),
-                ]
-                sent = pa.RecordBatch.from_arrays(arrays, ["lang", "print", "n", "row_no", "start", "length"])
-                yield from (sent.slice(i, 50_000) for i in range(0, len(sent), 50_000))
-
-    partial = texts.mapInArrow(send, "lang string, print long, n long, row_no long, start int, length int")
-    partial = settle_small(partial, "fingerprints")
-    frequent = partial.groupBy(F.col("lang").alias("of_lang"), F.col("print").alias("of_print")).agg(F.sum("n").alias("sum")).where(F.col("sum") >= least)
-    pointers = partial.join(frequent, (partial["lang"] == frequent["of_lang"]) & (partial["print"] == frequent["of_print"]), "left_semi")
-    pointers = pointers.select(F.col("row_no").alias("of_row"), "n", "start", "length")
-    read = texts.join(pointers, texts["row_no"] == pointers["of_row"]).select("lang", "n", F.expr("CAST(substring(text, start + 1, length) AS STRING)").alias("phrase"))
-    spaced = F.regexp_replace(F.translate("phrase", string.ascii_uppercase, string.ascii_lowercase), "[ \t]+", " ")
-    counts = read.groupBy("lang", spaced.alias("phrase")).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+                span = (first - found.text_starts[text]) * SPAN + found.starts[last] + found.lengths[last] - first
+                checks = found.fingerprints(others, at[which], n[which], salt)
+                held.append(np.stack([prints[which], checks, *(x.astype(np.uint64) for x in (count, numbers[text], span))]))
+            if sum(x.shape[1] for x in held) >= HELD_PRINTS:
+                yield blocks(added(held), buckets)
+                held.clear()
+        if held:
+            yield blocks(added(held), buckets)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for bucket, rows, n in zip(batch.column("bucket").to_pylist(), batch.column("rows"), batch.column("n_rows").to_pylist(), strict=True):
+                parts = held.setdefault(bucket, [])
+                parts.append(unblocked(rows.as_buffer(), n))
+                if len(parts) > 1 and sum(x.shape[1] for x in parts[1:]) > max(HELD_PRINTS // 4, parts[0].shape[1]):
+                    parts[:] = [added(parts)]
+        for parts in held.values():
+            _, _, f, row_no, span = added(parts)
+            often = f >= least
+            yield pa.RecordBatch.from_arrays([pa.array(x[often].view(np.int64)) for x in (row_no, span, f)], ["of_row", "span", "f"])
+
+    buckets = BUCKETS * shuffle_width(spark)
+    sent = texts.mapInArrow(send, "bucket int, n_rows int, rows binary").repartition(shuffle_width(spark), "bucket")
+    frequent = settle(sent.mapInArrow(add, "of_row long, span long, f long"), "frequent")
+    read = texts.join(frequent, texts["row_no"] == frequent["of_row"])
+    phrase = F.expr(f"CAST(substring(text, CAST(span div {SPAN} + 1 AS INT), CAST(span % {SPAN} AS INT)) AS STRING)")
+    spaced = F.regexp_replace(F.translate(phrase, string.ascii_uppercase, string.ascii_lowercase), "[ \t]+", " ")
+    counts = read.select("lang", spaced.alias("phrase"), "f")
     return words, settle(counts, "phrases")
 
 

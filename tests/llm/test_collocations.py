@@ -48,7 +48,7 @@ def some_rows(seed, n=60):
     return [(r.choice(["en", "de", None, ""]), t) for t in texts] + [("en", None), (None, None), ("en", ""), ("fr", " . ")] + [("en", "of the people, by the people")] * 40
 
 
-@pytest.mark.parametrize("least,bits", [(100, None), (3, 4), (1, None), (700, 12)])
+@pytest.mark.parametrize("least,bits", [(100, 25), (3, 4), (1, 15), (700, 12)])
 def test_against_brute_force(frame, least, bits):
     rows = some_rows(least)
     df = frame([(*r, 1, "x") for r in rows], "lang string, text string, row_no int, phrase string")
@@ -81,9 +81,30 @@ def test_collisions_change_nothing(frame, monkeypatch):
         for w, c in zip(which, count, strict=True):
             counted[tuple(names[at[w] : at[w] + n[w]])] += c
     texts = [names[:6], names[6:]]
+    lone = words.fingerprints(module.Polynomials(1), at, n, 0)
+    assert (lone == p).all()
     assert counted == Counter(tuple(t[i : i + k]) for t in texts for k in (1, 2, 3) for i in range(len(t) - k + 1))
 
 
+@pytest.mark.parametrize("n,buckets", [(1, 4), (5000, 1), (5000, 844)])
+def test_blocks_keep_the_rows(n, buckets):
+    r = np.random.default_rng(n)
+    parts = [r.integers(0, 1 << 64, (5, n), np.uint64, endpoint=False) for _ in range(2)]
+    parts[1][:2, : n // 2] = parts[0][:2, : n // 2]
+    for p in parts:
+        p[2] %= 100
+    rows = module.added(parts)
+    wanted = Counter()
+    for p in parts:
+        for a, b, c, *_ in p.T.tolist():
+            wanted[a, b] += c
+    assert {(a, b): c for a, b, c, *_ in rows.T.tolist()} == wanted
+    batch = module.blocks(rows, buckets)
+    back = [module.unblocked(x.as_buffer(), k) for x, k in zip(batch.column("rows"), batch.column("n_rows").to_pylist(), strict=True)]
+    assert (np.concatenate(back, axis=1) == rows).all()
+    assert len(set(batch.column("bucket").to_pylist())) == len(back) and max(batch.column("bucket").to_pylist()) < buckets
+
+
 def test_products_beyond_64_bits(frame):
     words = frame([("en", 3 * 10**15)], "lang string, n long")
     phrases = frame([("en", "a b", 10**10), ("en", "a", 10**12), ("en", "b", 7 * 10**11)], "lang string, phrase string, f long")
