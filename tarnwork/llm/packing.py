@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, compress, count, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -15,28 +17,17 @@ from tarnwork.llm.common import col, shuffle_width, table
 from tarnwork.llm.registry import query
 from tarnwork.session import scratch_dir
 
-#: Words whose ids a worker keeps (it begins anew beyond that), and bytes of text split at a time; neither changes the result.
+#: Words whose ids a worker keeps (it forgets rare ones beyond that), and bytes of text split at a time; neither changes the result.
 KEPT_WORDS, TAKEN_BYTES = 1_000_000, 4_000_000
 #: Marks of ASCII but the apostrophe, which begins words such as 's.
 MARKS = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
 #: Saturation and length normalisation of BM25.
 K1, B = 1.5, 0.75
+LEADS = ("lead_1", "lead_2", "lead_3")
 #: Sequences of whole windows of one document are numbered from here, so that they meet no others.
 OWN_FIRST = 1 << 62
 
 
-class Numbers(dict):
-    """Numbers words as they are first asked for, and lists them."""
-
-    def __init__(self) -> None:
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self.new.append(word)
-        self[word] = len(self)
-        return len(self) - 1
-
-
 class WordTokens:
     """Ids of texts by a tokenizer that lower-cases, drops white space and never joins what white space parts.
 
@@ -56,53 +47,75 @@ class WordTokens:
         self.begin()
 
     def begin(self) -> None:
-        self.number = Numbers()
+        self.number: defaultdict[bytes, int] = defaultdict(count().__next__)  # words are numbered as they are first asked for
         self.first, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.seen = np.zeros(0, np.int64)
+
+    def forget(self) -> None:
+        """Drops the words met once or twice; all of them, if that leaves too many."""
+        kept = np.flatnonzero(self.seen > 2)
+        if len(kept) > KEPT_WORDS // 2:
+            return self.begin()
+        words = list(self.number)
+        self.number = defaultdict(count(len(kept)).__next__, zip([words[i] for i in kept], range(len(kept)), strict=True))
+        lengths = self.length[kept]
+        upto = np.cumsum(lengths)
+        self.ids = self.ids[np.repeat(self.first[kept] - upto + lengths, lengths) + np.arange(lengths.sum())]
+        self.first, self.length, self.seen = upto - lengths, lengths, self.seen[kept] // 2
 
     def encoded(self, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the names one after the other, and how many each has."""
-        texts = [n.decode() for n in names]
-        plain = [t.isalpha() and max(t) < "\u0250" for t in texts]
-        runs = [t for t, p in zip(texts, plain, strict=True) if p]
+        """Ids of names without white space one after the other, and how many each has."""
+        texts = b"\n".join(names).decode().split("\n")
+        plain = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        runs = list(compress(texts, plain))
         found = self.tokenizer.encode_batch_fast([" ".join(runs[i : i + 100]) for i in range(0, len(runs), 100)], add_special_tokens=False)
-        flat = np.array([i for x in found for i in x.ids], np.uint32)
+        flat = np.fromiter(chain.from_iterable([x.ids for x in found]), np.uint32)
         last = np.flatnonzero(self.ends_word[flat])
-        if len(last) != len(runs):  # some run of letters gave more or less than one word
-            plain, flat, last = [False] * len(texts), flat[:0], last[:0]
-        others = self.tokenizer.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False)
-        is_plain, lengths = np.array(plain, bool), np.zeros(len(names), np.int64)
-        lengths[is_plain] = np.diff(last, prepend=-1)
-        lengths[~is_plain] = [len(x.ids) for x in others]
-        ids = np.zeros(lengths.sum(), np.uint32)
-        from_runs = np.repeat(is_plain, lengths)
+        if len(last) != len(runs):  # some run of letters is more than one word
+            plain, flat, last = np.zeros(len(texts), bool), flat[:0], last[:0]
+        others = [x.ids for x in self.tokenizer.encode_batch_fast(list(compress(texts, ~plain)), add_special_tokens=False)]
+        lengths = np.zeros(len(names), np.int64)
+        lengths[plain] = np.diff(last, prepend=-1)
+        lengths[~plain] = list(map(len, others))
+        from_runs = np.repeat(plain, lengths)
+        ids = np.zeros(len(from_runs), np.uint32)
         ids[from_runs] = flat
-        ids[~from_runs] = [i for x in others for i in x.ids]
+        ids[~from_runs] = np.fromiter(chain.from_iterable(others), np.uint32)
         return ids, lengths
 
     def learn(self, words: list[bytes], end_id: int) -> None:
         """Ids of words not met so far, in the order of their numbers; a line's end stands for ``end_id``."""
-        cores = [w.rstrip(MARKS) for w in words]
-        cores = [c if c[-1:].isalpha() else w for c, w in zip(cores, words, strict=True)]  # ASCII letters only
-        tails = [w[len(c) :] for c, w in zip(cores, words, strict=True)]
-        names = {n: i for i, n in enumerate(dict.fromkeys([*cores, *tails]))}
-        ids, lengths = self.encoded(list(names))
+        ends = words[0] == b"\n"  # the first word that is learned
+        words = words[ends:]
+        cores = list(map(bytes.rstrip, words, repeat(MARKS)))
+        cut = [i for i in np.flatnonzero(np.fromiter(map(len, cores), np.int64, len(cores)) < np.fromiter(map(len, words), np.int64, len(words))) if cores[i][-1:].isalpha()]  # ASCII letters only
+        whole = words.copy()
+        for i in cut:
+            whole[i] = cores[i]
+        tails = [words[i][len(whole[i]) :] for i in cut]
+        names = {n: i for i, n in enumerate(dict.fromkeys([*whole, *tails]))}
+        ids, lengths = self.encoded(list(names)) if names else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
         starts = np.cumsum(lengths) - lengths
-        parts = np.fromiter((names[x] for pair in zip(cores, tails, strict=True) for x in pair), np.int64, 2 * len(words))
+        # Each word is a name, or two of them, one behind the other.
+        parts = np.fromiter(map(names.__getitem__, whole), np.int64, len(whole))
+        behind = np.array(cut, np.int64)
+        parts = np.insert(parts, behind + 1, [names[t] for t in tails]) if cut else parts
         sizes = lengths[parts]
         upto = np.cumsum(sizes)
         ids = ids[np.repeat(starts[parts] - upto + sizes, sizes) + np.arange(sizes.sum())]
-        lengths = sizes.reshape(-1, 2).sum(1)
-        first = upto[1::2] - lengths
-        if words[0] == b"\n":  # the first word that is learned
-            ids, first[0], lengths[0] = np.append(ids, np.uint32(end_id)), len(ids), 1
-        self.first = np.concatenate([self.first, len(self.ids) + first])
+        first_part = np.arange(len(words))
+        first_part[1:] += np.cumsum(np.bincount(behind, minlength=len(words)))[:-1] if len(words) else 0
+        lengths = np.add.reduceat(sizes, first_part) if len(words) else sizes
+        if ends:
+            ids, lengths = np.concatenate([np.array([end_id], np.uint32), ids]), np.concatenate([[1], lengths])
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
         self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, each text's with ``end_id`` behind, and where each text begins."""
         if len(self.number) > KEPT_WORDS:
-            self.begin()
+            self.forget()
         words: list[bytes] = [b"\n"]
         ends, whole = [], []
         for i, text in enumerate(texts):
@@ -113,10 +126,12 @@ class WordTokens:
                 words += lower.split()
             words.append(b"\n")
             ends.append(len(words))
+        known = len(self.number)
         number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        if self.number.new:
-            self.learn(self.number.new, end_id)
-            self.number.new.clear()
+        if len(self.number) > known:
+            self.learn(list(islice(self.number, known, None)), end_id)
+            self.seen = np.concatenate([self.seen, np.zeros(len(self.number) - known, np.int64)])
+        self.seen += np.bincount(number, minlength=len(self.seen))
         lengths = self.length[number]
         upto = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.ids[np.repeat(self.first[number] - upto[:-1], lengths) + np.arange(upto[-1])]
@@ -149,9 +164,22 @@ def distinct_terms(ids: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.n
     return keys[new] // size, keys[new] % size, np.diff(new, append=len(keys))
 
 
+def leads(text: np.ndarray, term: np.ndarray, times: np.ndarray, n: int) -> np.ndarray:
+    """For each text its three terms of most weight, by how often and how late in the vocabulary, whose early ids are the common ones."""
+    weight = times / (times + K1) * np.log1p(term)
+    first, found = np.searchsorted(text, np.arange(n)), np.zeros((3, n), np.int32)
+    for row in found:
+        best = np.maximum.reduceat(weight, first)
+        at = np.flatnonzero(weight == best[text])
+        at = at[np.diff(text[at], prepend=-1) != 0]
+        row[:] = term[at]
+        weight[at] = -1
+    return found
+
+
 def tokenized(df: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, row_no, tokens, ids`` for each row (ids as little-endian numbers), and one row for each task with
-    ``terms`` and ``counts``: in how many of its texts they occur."""
+    """``doc_id, row_no, tokens, ids, lead_1, lead_2, lead_3`` for each row (ids as little-endian numbers; see ``leads``), and one row
+    for each task with ``terms`` and ``counts``: in how many of its texts they occur."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(path)
@@ -164,25 +192,26 @@ def tokenized(df: DataFrame, path: str, end_id: int, id_col: str, text_col: str)
                 taken += len(texts[-1])
                 if i == batch.num_rows - 1 or taken >= TAKEN_BYTES:
                     ids, starts = tokens.encode(texts, end_id)
-                    counts += np.bincount(distinct_terms(ids, starts, tokens.size)[1], minlength=tokens.size)
+                    distinct = distinct_terms(ids, starts, tokens.size)
+                    counts += np.bincount(distinct[1], minlength=tokens.size)
                     at = pa.py_buffer((starts * kind.itemsize).astype(np.int32))
                     column = pa.Array.from_buffers(pa.binary(), len(texts), [None, at, pa.py_buffer(ids.astype(kind))])
                     some, n = batch.slice(low, len(texts)), len(texts)
                     empty = pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("row_no"), pa.array(np.diff(starts)), column, *empty], names)
+                    yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("row_no"), pa.array(np.diff(starts)), column, *map(pa.array, leads(*distinct, n)), *empty], names)
                     low, texts, taken = low + n, [], 0
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([used.astype(np.int32)]), pa.array([counts[used]])], names
+            [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int32())] * 3, pa.array([used.astype(np.int32)]), pa.array([counts[used]])], names
         )
 
     from pyspark.sql.pandas.types import to_arrow_type
 
-    names = ["doc_id", "row_no", "tokens", "ids", "terms", "counts"]
+    names = ["doc_id", "row_no", "tokens", "ids", *LEADS, "terms", "counts"]
     rows = df.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col), F.lit("")).cast("binary").alias("text"), F.monotonically_increasing_id().alias("row_no"))
     id_type = to_arrow_type(rows.schema["doc_id"].dataType)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(encode, f"doc_id {kind}, row_no long, tokens long, ids binary, terms array<int>, counts array<long>")
+    found = rows.mapInArrow(encode, f"doc_id {kind}, row_no long, tokens long, ids binary, lead_1 int, lead_2 int, lead_3 int, terms array<int>, counts array<long>")
     out = scratch_dir(df.sparkSession, "tokens")
     found.write.option("compression", "zstd").parquet(out)
     return df.sparkSession.read.parquet(out)
@@ -204,16 +233,26 @@ class Shard:
         weight = self.idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes[text] / self.mean))
         self.terms, self.term_first = term, np.searchsorted(text, np.arange(len(sizes) + 1))
         by_term = np.argsort(term, kind="stable")
-        self.text_of, self.weight = text[by_term], weight[by_term]
-        self.found_first = np.searchsorted(term[by_term], np.arange(len(self.idf) + 1))
+        self.text_of, self.term_of, self.weight = text[by_term].astype(np.int64), term[by_term], weight[by_term]
+        self.index()
+
+    def index(self) -> None:
+        """Where each term's texts begin; leaves out texts that are used up."""
+        open_ = self.used < self.sizes
+        self.open = int(open_.sum())
+        kept = open_[self.text_of]
+        self.text_of, self.term_of, self.weight = self.text_of[kept], self.term_of[kept], self.weight[kept]
+        self.found_first = np.concatenate([[0], np.cumsum(np.bincount(self.term_of, minlength=len(self.idf)))])
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Texts by falling score with the seed's terms; equal ones, and those without a common term, in the shard's order."""
+        """Texts that are not used up by falling score with the seed's terms; equal ones, and those without a common term, in the shard's order."""
         terms = self.terms[self.term_first[seed] : self.term_first[seed + 1]]
         first = self.found_first[terms]
         lengths = self.found_first[terms + 1] - first
         at = np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        return np.argsort(-np.bincount(self.text_of[at], self.weight[at], len(self.sizes)), kind="stable")
+        scores = np.bincount(self.text_of[at], self.weight[at], len(self.sizes))
+        open_ = np.flatnonzero(self.used < self.sizes)
+        return open_[np.argsort(-scores[open_], kind="stable")]
 
     def windows(self, window: int) -> Iterator[list[tuple[int, int, int]]]:
         """``text, start, length`` of the pieces of each window; all windows but the last are full.
@@ -238,15 +277,14 @@ class Shard:
                 return length
 
             room -= put(seed, room)
+            if np.count_nonzero(self.used < self.sizes) < 0.7 * self.open:
+                self.index()
             order = self.neighbours(seed) if room else np.zeros(0, np.int64)
-            order = order[self.used[order] < self.sizes[order]]
-            left = (self.sizes - self.used)[order]
-            for i in np.flatnonzero(left <= room):
-                if left[i] <= room:
-                    room -= put(int(order[i]), room)
-                    left[i] = window + 1
-                if not room:
-                    break
+            left, at = self.sizes[order] - self.used[order], 0
+            while room and len(fits := np.flatnonzero(left[at:] <= room)):
+                at += int(fits[0])
+                room -= put(int(order[at]), room)
+                at += 1
             if room:
                 rest = order[self.used[order] < self.sizes[order]]
                 if len(rest):
@@ -277,7 +315,7 @@ def packed_sequences(
 
     A row's ids are its text's by the tokenizer file (one that lower-cases and drops white space, see ``WordTokens``) and
     then ``end_id``; ``ids`` holds a piece's as little-endian 32-bit numbers. Whole windows of a long text are
-    sequences of their own. The rest of each text is a unit. Units are sorted by the terms that weigh most in them, so that like ones lie together, and each
+    sequences of their own. The rest of each text is a unit. Units are sorted by the terms that weigh most in their text, so that like ones lie together, and each
     range of that order is a task, which cuts it into shards of ``shard_tokens`` ids. A shard has a BM25 index, weighted by
     document frequencies over all rows; each seed's unused neighbours fill its window. All sequences are full, but for each task's last
     window, which is cut at powers of two, so that nothing is padded.
@@ -299,25 +337,6 @@ def packed_sequences(
     kind = f"<u{width}"
     id_kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Adds the three terms that weigh most."""
-        idf = np.frombuffer(weights.value[0], np.float32)
-        for batch in batches:
-            texts = [np.frombuffer(x.as_buffer(), kind) for x in batch.column("ids")]
-            leads = np.zeros((3, len(texts)), np.int32)
-            for low in range(0, len(texts), 1000):
-                some = texts[low : low + 1000]
-                text, term, times = distinct_terms(np.concatenate(some), np.cumsum([0] + [len(x) for x in some]), size)
-                weight = idf[term] * times / (times + K1)
-                first = np.searchsorted(text, np.arange(len(some)))
-                for row in leads:
-                    best = np.maximum.reduceat(weight, first)
-                    at = np.flatnonzero(weight == best[text])
-                    at = at[np.diff(text[at], prepend=-1) != 0]
-                    row[low : low + len(some)] = term[at]
-                    weight[at] = -1
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, leads)], [*batch.schema.names, "lead_1", "lead_2", "lead_3"])
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf = np.frombuffer(weights.value[0], np.float32)
         number = TaskContext.get().partitionId() << 33
@@ -388,10 +407,9 @@ def packed_sequences(
 
     start = F.col("tokens") - F.col("tokens") % window
     tails = rows.withColumn("start", start).where(F.col("start") < F.col("tokens"))
-    tails = tails.select("doc_id", "row_no", "tokens", "start", F.expr(f"substring(ids, CAST(start * {width} + 1 AS INT))").alias("ids"))
-    keys = ["lead_1", "lead_2", "lead_3", "row_no"]
-    sorted_ = tails.mapInArrow(lead, tails.schema.simpleString()[7:-1].replace(":", " ") + ", lead_1 int, lead_2 int, lead_3 int")
-    sorted_ = sorted_.repartitionByRange(shuffle_width(spark), *keys).sortWithinPartitions(*keys)
+    tails = tails.select("doc_id", "row_no", "tokens", "start", *LEADS, F.expr(f"substring(ids, CAST(start * {width} + 1 AS INT))").alias("ids"))
+    keys = [*LEADS, "row_no"]
+    sorted_ = tails.repartitionByRange(shuffle_width(spark), *keys).sortWithinPartitions(*keys)
     filled = sorted_.select("doc_id", "tokens", "start", "ids").mapInArrow(pack, schema + ", sequence_id long, offset long")
     return filled.unionByName(whole)
 

@@ -41,6 +41,16 @@ def test_ids_after_the_words_were_forgotten(tokens, monkeypatch):
         assert ids.tolist() == ids_of(tokens, text)
 
 
+def test_rare_words_are_forgotten_first(monkeypatch):
+    own = WordTokens(PATH)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 40)
+    for i in range(60):
+        text = "often more often " * 3 + f"rare{i} word{i},"
+        ids, _ = own.encode([text.encode()], 1)
+        assert ids.tolist() == ids_of(own, text)
+    assert b"often" in own.number and len(own.number) < 60
+
+
 def checked(tokens, rows, df, window):
     """Every id of every row lies in one piece, sequences are gapless, at most ``window`` long, and full or a power of two."""
     pieces = df.collect()
@@ -101,6 +111,7 @@ def test_neighbours_against_plain_bm25():
                 score += float(idf[term]) * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(t) / 25.0))
             scores.append(score)
         found = shard.neighbours(seed)
+        assert sorted(found) == list(range(40))
         assert np.allclose(np.array(scores)[found], sorted(scores, reverse=True), rtol=1e-4)
 
 
