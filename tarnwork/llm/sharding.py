@@ -18,7 +18,7 @@ def balanced_shards(df: DataFrame, n_shards: int, id_col: str = "doc_id", text_c
     ``n_shards`` equal targets; a row goes where its middle byte lies, so a shard
     misses its target by less than one row's size. ``slot`` counts from 0 within the shard.
 
-    A NULL text counts as no bytes. A row larger than a target leaves the shards
+    Equal texts are not kept together: their ids decide where they go. A NULL text counts as no bytes. A row larger than a target leaves the shards
     it spans empty. Repeated rows each get a slot of their own. An empty table
     gives no rows. Other columns are ignored, whatever they are called.
     """
