@@ -6,6 +6,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from functools import reduce
 from itertools import product
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -109,11 +110,23 @@ VERSIONED = frozenset({"gplv2", "gplv3", "lgplv3", "lgplv2", "agplv3", "v2", "v3
 #: Corpus lines with one of these are not taken as examples of prose.
 CUE = r"(?i)licen[cs]|copyright|rights reserved|warrant|permission|redistribut|creative commons|\bgpl\b|\bcc\b"
 
-#: Every template of more than one word has one of these, so a notice that goes over several lines has a line with one.
-WRAPPED_CUE = (
-    CUE + r"|\brights\b|reserved|\bgnu\b|gpl|apache|mozilla|eclipse|boost|\bmpl\b|\bepl\b|\bbsl\b|\bbsd\b|\bisc\b|zlib|\bcc0\b|commons|confidential|proprietary|unauthorized"
-    r"|publication|\bsoftware\b|public domain"
-)
+#: Every template of more than one word has one of these in lower case, so a notice that goes over several lines has a line with one.
+CUES = (
+    "licen", "copyright", "rights", "reserved", "warrant", "permission", "redistribut", "commons", "gpl", "apache", "mozilla", "eclipse", "boost", "zlib", "confidential", "proprietary",
+    "unauthorized", "publication", "software", "public domain",
+)
+SHORT_CUES = ("gnu", "mpl", "epl", "bsl", "bsd", "isc", "cc")
+
+
+def has_cue(text: Column) -> Column:
+    """Whether a text has a cue, short ones as words of their own; plain searches come first, as a pattern is slow on long texts."""
+
+    def found(t: Column) -> Column:
+        plain = reduce(Column.__or__, [F.contains(t, F.lit(c)) for c in CUES])
+        short = reduce(Column.__or__, [F.contains(t, F.lit(c)) for c in SHORT_CUES])
+        return plain | (short & t.rlike(r"\b(cc0|" + "|".join(SHORT_CUES) + r")\b"))
+
+    return F.exists(F.array(F.lower(text)), found)  # lower case once
 
 
 def examples() -> list[tuple[str, str]]:
@@ -168,10 +181,10 @@ def wrapped(df: DataFrame, id_col: str, text_col: str, alike: float) -> DataFram
     no more than one line in between is without such a pair, over any number of lines. A line of nothing but marks is blank.
     """
     rows = df.select(col(id_col).alias("doc_id"), F.xxhash64(col(text_col)).alias("digest"), col(text_col).alias("text"), F.monotonically_increasing_id().alias("row_no"))
-    rows = rows.where(F.col("text").contains("\n") & F.col("text").rlike(WRAPPED_CUE))
+    rows = rows.where(F.col("text").contains("\n") & has_cue(F.col("text")))
     unmarked = lambda x: F.regexp_replace(x, r"(?i)^\W*(rem|dnl)\b", "")
     lines = rows.select("doc_id", "digest", "row_no", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(F.col("text").rlike(r"[\p{L}\p{N}]"))
-    lines = lines.withColumn("cue", F.col("text").rlike(WRAPPED_CUE))
+    lines = lines.withColumn("cue", has_cue(F.col("text")))
     # Lines in a row share their number less their place among the lines that are not blank.
     placed = lines.withColumn("stretch", F.col("line") - F.row_number().over(Window.partitionBy("row_no").orderBy("line")))
     whole = Window.partitionBy("row_no", "stretch")

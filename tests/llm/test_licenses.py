@@ -51,6 +51,12 @@ def test_wrapped_notices(spark):
     assert len(found["GPL-2.0"]) == 2 * len(found["GPL-3.0"])
 
 
+def test_every_template_has_a_cue(spark):
+    texts = [t for _, t in lic.templates() if len(lic.words_of(t)) > 1] + ["discuss simple steps", "zu mit und", "no Isc here", "it is CC BY"]
+    found = [r.cue for r in spark.createDataFrame([(t,) for t in texts], "t string").select(lic.has_cue(lic.F.col("t")).alias("cue")).collect()]
+    assert found == [True] * (len(texts) - 4) + [False, False, True, True]
+
+
 def families(spark, texts):
     found = lic.scan_licenses(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
     return [{r.family for r in found if r.doc_id == i and r.confirmed} for i in range(len(texts))], [{r.family for r in found if r.doc_id == i} for i in range(len(texts))]
