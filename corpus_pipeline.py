@@ -59,7 +59,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, whole: each source's words come within half a document of its target.
+    """Documents as often as the mix takes them, whole: each source's words come within half a document of what its seats give, which
+    is its target to within a block.
 
     Sources weigh 5, 2, 1 in turn and share one and a half times all words, so some documents come twice, and
     those of sources beyond their share may not come at all. Texts without words are not taken; a NULL source is one of its own; rows

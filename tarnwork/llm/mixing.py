@@ -179,8 +179,9 @@ def mixed_texts(df: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col
 def whole_documents(df: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``df`` as often as a mix of whole rows takes them, with all their columns.
 
-    A source's rows are taken in the plan's seeded order, and from the first again after the last, as long as
-    at least half of the next row lies within the target, so its words are off by half a row at most. A row's place in
+    The plan's seats say how many words a source gives: those of all its chosen blocks. Its rows are taken in the plan's seeded
+    order, and from the first again after the last, as long as at least half of the next row lies within that number,
+    so its words are off by half a row at most. A row's place in
     the order tells whether it is taken, so texts stay where they are; only rows equal in id and text are written aside to be
     numbered. Rows without words are not taken. NULL ids and sources and repeated rows are rows like others; an empty table gives none.
     """
@@ -190,8 +191,10 @@ def whole_documents(df: DataFrame, seed: int = 7, id_col: str = "doc_id", text_c
 
     plan = mix_plan(df.select(col(id_col).alias("id"), col(source_col).alias("source"), col(text_col).alias("text")), seed=seed, id_col="id").where("size > 0")
     plan = settle(plan.drop("blocks"), "mix-plan")
-    rounds = F.floor(F.col("target") / F.col("source_size")).cast("int")
-    once_more = F.col("before") + F.col("size") / 2 <= F.col("target") - F.col("rounds") * F.col("source_size")
+    seated = plan.groupBy("source").agg(F.sum("taken").alias("seated")).withColumnRenamed("source", "seated_source")
+    plan = plan.join(seated, F.col("source").eqNullSafe(F.col("seated_source")))
+    rounds = F.floor(F.col("seated") / F.col("source_size")).cast("int")
+    once_more = F.col("before") + F.col("size") / 2 <= F.col("seated") - F.col("rounds") * F.col("source_size")
     last = plan.withColumn("rounds", rounds).groupBy("source").agg(F.first("rounds").alias("rounds"), F.max(F.when(once_more, F.col("place"))).alias("last"))
     last = settle(last.withColumnRenamed("source", "of_source"), "last-places")
     rows = df.select(F.struct("*").alias("row"), col(id_col).alias("in_id"), col(source_col).alias("in_source"), digest().alias("in_digest"), (word_count(col(text_col)) > 0).alias("has_words"))

@@ -152,3 +152,15 @@ def test_repeated_rows_are_taken_up_to_the_target(frame, doc_id):
     targets = brute_targets(sizes)
     assert all(abs(got[s] - t) <= 6 for s, t in targets.items())
     assert Counter(map(tuple, mixed)) == Counter(map(tuple, whole_documents(docs).collect()))
+
+
+def test_whole_documents_follow_the_seats(frame):
+    """Documents of one word each: a source gives exactly the words of its chosen blocks, not its target rounded."""
+    rows = [(i, "w", ["a", "b", "c", None][i % 7 % 4]) for i in range(16000)]
+    docs = frame(rows, "doc_id long, text string, source string")
+    seated = Counter()
+    plan = mix_plan(docs).collect()
+    for r in plan:
+        seated[r.source] += r.taken
+    assert any(abs(seated[r.source] - r.target) > 1 for r in plan)
+    assert Counter(r.source for r in whole_documents(docs).collect()) == seated
