@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarnwork.sources.tables import load_tables
@@ -21,8 +23,12 @@ SALES_SQL = """sales AS (
   JOIN part ON l_partkey = p_partkey)"""
 
 
-def sales(spark: SparkSession, d: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Sales lines; a period of order days reaches the scan of the orders."""
+#: Lines of one task where lines meet orders and are aggregated by order. Their bytes do not tell: what compresses well is large in memory.
+LINES_PER_TASK = 100_000
+
+
+def sales(spark: SparkSession, d: str, first: str | None = None, last: str | None = None, lines_per_task: int = LINES_PER_TASK) -> DataFrame:
+    """Sales lines, dealt by order to as many tasks as the number of lines asks for; a period of order days reaches the scan of the orders."""
     line, order, customer, nation, region, part = load_tables(
         spark, d, "lineitem", "orders", "customer", "nation", "region", "part"
     )
@@ -39,8 +45,9 @@ def sales(spark: SparkSession, d: str, first: str | None = None, last: str | Non
     discount = F.col("l_discount").cast("decimal(4,2)")
     rate = (F.lit("0.25").cast("decimal(4,2)") - F.lit(3).cast("decimal(1,0)") * discount).cast("decimal(5,2)")
     return (
-        line.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .repartition(max(1, math.ceil(line.count() / lines_per_task)), "l_orderkey")  # counted from the files' footers
+        .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("o_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("row_id"),

@@ -38,6 +38,18 @@ def test_sums_combine_before_the_shuffle(spark, sf_dir):
     assert text.index("functions=[partial_") > text.index("Exchange")
 
 
+def test_sales_are_dealt_by_the_number_of_lines(spark, sf_dir):
+    lines = load_tables(spark, sf_dir, "lineitem")[0].count()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sales = dt.sales(spark, sf_dir, lines_per_task=500)
+        sizes = sales.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert len(sizes) == -(-lines // 500) and sum(sizes) == lines and max(sizes) <= 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_changes_combine_before_the_shuffle(spark, sf_dir):
     text = plan(cdc.latest_changes(dt.feed(spark, sf_dir), ["user_id"], ["last_updated"], "operation = 'DELETE'"))
     assert text.count("Exchange hashpartitioning") == 1
