@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tarnwork import fixed_values as fv
 from tarnwork.functions.scalars import group_digits, padded
@@ -414,25 +415,37 @@ def distinct_rollup(spark, d):
     return yearly.select("year", "customers", within.alias("within_three_errors"), F.round(error, 5).alias("standard_error"))
 
 
-@query("statement_chunks", ORDER_SQL)
-def statement_chunks(spark, d):
-    """A statement's result in eight chunk files, read by a task each."""
-    orders, path = _order_lines(spark, d), scratch_dir(spark, "result")
-    chunk = F.pmod(F.xxhash64("order_id"), F.lit(8))
-    row = F.array(*[F.col(c).cast("string") for c in orders.columns])
-    rows = orders.select(chunk.alias("chunk"), F.to_json(row, {"ignoreNullFields": "false"}).alias("row"))
+def write_chunks(store: VersionedTable, result: DataFrame, key: str, rows_per_chunk: int = 100_000, least: int = 8) -> int:
+    """``result`` as a statement service sends it: chunk files of a bounded number of rows and their manifest. Returns the number of chunks.
+
+    There are more chunks where there are more rows, as a chunk is read by one task. One job writes them all, each by one task.
+    """
+    n = max(least, math.ceil(result.count() / rows_per_chunk))
+    row = F.array(*[F.col(c).cast("string") for c in result.columns])
+    rows = result.select(F.pmod(F.xxhash64(key), F.lit(n)).alias("chunk"), F.to_json(row, {"ignoreNullFields": "false"}).alias("row"))
+    in_chunk = Window.partitionBy("chunk").orderBy("row")
+    begin = F.when(F.lag("row").over(in_chunk).isNull(), "[").otherwise(",")
+    end = F.when(F.lead("row").over(in_chunk).isNull(), "]").otherwise("")
+    lines = rows.repartition(n, "chunk").select("chunk", "row", F.concat(begin, "row", end).alias("line"))
+    lines.sortWithinPartitions("chunk", "row").select("chunk", "line").write.partitionBy("chunk").text(f"{store.path}/chunks")
     counts = {r.chunk: r.n for r in rows.groupBy("chunk").agg(F.count("*").alias("n")).collect()}
-    store = VersionedTable(spark, path)
-    names = {}
-    for k, n in sorted(counts.items()):
-        # One small text file for each chunk, as the service would send it.
-        rows.where(F.col("chunk") == k).agg(F.concat(F.lit("["), F.array_join(F.collect_list("row"), ","), F.lit("]"))).coalesce(1).write.text(f"{path}/chunk-{k}")
-        names[k] = (spark.read.text(f"{path}/chunk-{k}").select("_metadata.file_path").first()[0].rsplit("/", 1)[1], n)
+    files = {}
+    for file in result.sparkSession.read.text(f"{store.path}/chunks").inputFiles():
+        folder, name = file.rsplit("/", 2)[1:]
+        files[int(folder.removeprefix("chunk="))] = f"chunks/{folder}/{name}"
     manifest = {
-        "columns": [{"name": f.name, "type": f.dataType.simpleString()} for f in orders.schema],
-        "chunks": [{"file": f"chunk-{k}/{name}", "row_count": n} for k, (name, n) in names.items()],
+        "columns": [{"name": f.name, "type": f.dataType.simpleString()} for f in result.schema],
+        "chunks": [{"file": files[k], "row_count": rows_in} for k, rows_in in sorted(counts.items())],
     }
     store.write_text("manifest.json", json.dumps(manifest))
+    return len(counts)
+
+
+@query("statement_chunks", ORDER_SQL)
+def statement_chunks(spark, d):
+    """A statement's result in chunk files, eight at least, read by a task each."""
+    path = scratch_dir(spark, "result")
+    write_chunks(VersionedTable(spark, path), _order_lines(spark, d), "order_id")
     return read_chunks(spark, path)
 
 

@@ -232,6 +232,19 @@ def test_broken_chunks_stop_the_read(spark, tmp_path, rows, count, told):
         read_chunks(spark, chunked(tmp_path, [([["0", "x", "1", "2024-01-01"]], 1), (rows, count)])).collect()
 
 
+def test_more_rows_make_more_chunks(spark, tmp_path):
+    from tarnwork.operators.versions import VersionedTable
+    from tarnwork.plans.queries_tables import write_chunks
+    from tarnwork.sources.chunks import read_chunks
+
+    df = spark.range(2000).selectExpr("id", "if(id % 3 = 0, NULL, concat('\"a\\n,]', id)) AS v", "id / 7 AS d").unionByName(spark.sql("SELECT 5L AS id, 'twice' AS v, 0D AS d"))
+    n = write_chunks(VersionedTable(spark, str(tmp_path)), df, "id", rows_per_chunk=50)
+    found = read_chunks(spark, str(tmp_path))
+    sizes = found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert n == len(sizes) == 41 and max(sizes) <= 100
+    assert found.exceptAll(df).isEmpty() and df.exceptAll(found).isEmpty()
+
+
 def test_values_that_are_none_of_their_type_stop_the_read(spark, tmp_path):
     from tarnwork.sources.chunks import read_chunks
 
