@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tarnwork.session import settle
+
 PARTS = {"train": 60, "validation": 20, "test": 20}
 _END = "g"  # sorts after every hex digit
 
@@ -51,7 +53,8 @@ def split_bounds(
         .where((F.col("before") <= F.col("at")) & (F.col("at") < F.col("before") + F.col("n")))
     )
     # New names for all columns, as the rows and their cuts come from the same frame.
-    cuts = cuts.select(F.col(label).alias("_label"), F.col("_prefix").alias("_cut"), "before", "i", "at")
+    # Read back, so that Spark knows how small they are and leaves the rows where they are.
+    cuts = settle(cuts.select(F.col(label).alias("_label"), F.col("_prefix").alias("_cut"), "before", "i", "at"), "split-cuts")
 
     # Null-safe: rows without a label are a class of their own.
     in_cut = F.col(label).eqNullSafe(F.col("_label")) & (F.col("_prefix") == F.col("_cut"))
@@ -82,10 +85,11 @@ def stratified_split(
 
     Per class the parts have exactly the wanted sizes where ids are unique;
     rows that share an id stay in one part. The choice depends on id and seed
-    alone. The rows themselves are not moved: they meet a table with one row
-    per class, which Spark broadcasts while it is below its own limit.
+    alone. The rows themselves are not moved: they meet a stored table with one row
+    per class, which Spark broadcasts while it is below its own limit. Joined as it is
+    computed, it would have no known size, and the rows would be shuffled by their few classes.
     """
-    bounds = split_bounds(df, label, ids, parts, seed)
+    bounds = settle(split_bounds(df, label, ids, parts, seed), "split-bounds")
     joined = df.withColumn("_hash", row_hash(ids, seed)).join(bounds, F.col(label).eqNullSafe(F.col("_label")))
     names = list(parts)
     part = F.lit(names[-1])

@@ -61,6 +61,11 @@ def test_totals_need_no_single_task_window(spark, sf_dir):
     assert "Window" not in text and "Subquery" in text
 
 
+def test_rows_are_not_shuffled_by_their_class(spark, sf_dir):
+    text = plan(QUERIES["stratified_split"](spark, sf_dir))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+
+
 def test_a_filtered_dimension_is_broadcast(spark, sf_dir):
     text = plan(QUERIES["star_inner_filter"](spark, sf_dir))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
