@@ -193,6 +193,28 @@ def test_moving_keeps_every_value(spark):
     assert moved.where("v <=> v_moved").count() < 50
 
 
+def most_rows(df):
+    """Rows of the largest partition, as Spark runs it."""
+    return max(df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+
+
+def test_no_training_task_gets_many_rows(spark, monkeypatch):
+    df = spark.range(6000, numPartitions=1).selectExpr("cast(id % 7 as double) AS x", "cast(id % 7 > 3 as int) AS churn")
+    seen, plain = [], training.Pipeline.fit
+    monkeypatch.setattr(training.Pipeline, "fit", lambda self, rows: seen.append(rows) or plain(self, rows))
+    rows = training.training_rows(df, df.limit(600), ["x"], "churn")
+    training.fit(rows, ["x"], {"maxIter": 1, "maxDepth": 1}, rows_per_task=500)
+    assert rows.count() == 6600 and seen[0].rdd.getNumPartitions() == 14 and most_rows(seen[0]) <= 1000
+
+
+def test_groups_of_moved_values_grow_with_the_rows(spark):
+    df = spark.range(4000).selectExpr("id", "id AS v")
+    groups = training.groups_for(df, rows_per_group=40)
+    moved = training.shuffle_features(df, ["v"], ["id"], groups=groups)
+    assert (groups, training.groups_for(df)) == (100, 16) and moved.rdd.getNumPartitions() == 100 and most_rows(moved) <= 400
+    assert moved.select("v_moved").exceptAll(df.select("v")).isEmpty()
+
+
 def test_unscored_rows_are_refused(spark):
     rows = [(1, 0.9), (0, 0.1), (1, None), (1, float("nan"))]
     scored = spark.createDataFrame(rows, "label int, probability double")
