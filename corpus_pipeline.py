@@ -1,7 +1,8 @@
 """From documents to shards: language, near copies, benchmark leaks, source mix, shards.
 
 Each stage takes what its predecessor kept and returns documents with their
-columns; the last one returns where every document goes.
+columns; the last one returns where every document goes. Stages whose Python workers read
+whole texts lower the session's rows per Arrow batch to 1,000; it stays so, as their results are computed later.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from tarnwork.llm.jaccard_join import near_duplicates
 from tarnwork.llm.langid import UNDETERMINED, held_out, identifier, train
 from tarnwork.llm.mixing import whole_documents
 from tarnwork.llm.sharding import balanced_shards
-from tarnwork.session import scratch_dir
+from tarnwork.session import limit_batches, scratch_dir
 
 N_SHARDS = 40
 
@@ -26,6 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Without any labelled text to learn from, all texts with a letter stay. Equal rows are treated alike and all kept; other columns
     pass through, whatever they are called; an empty table gives no rows.
     """
+    limit_batches(spark)
     model = train(docs.where(~held_out(F.col("doc_id"))))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))  # nothing to learn a language from
@@ -55,6 +57,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     NULL and empty texts contain none and stay, as do all rows without a benchmark; equal rows go or stay together, NULL ids are
     rows like others; an empty table gives no rows.
     """
+    limit_batches(spark)
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tarnwork.llm.common import col, shuffle_width, table
 from tarnwork.llm.components import components
 from tarnwork.llm.registry import query
-from tarnwork.session import settle
+from tarnwork.session import settle, small_batches
 
 #: Odd 64-bit numbers that tell a word's place in a shingle.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -46,6 +46,8 @@ PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
 SKETCH_RATE, SKETCH_LEAST = 4, 1024
 #: Bits of the filter that keeps most unneeded texts out of a shuffle.
 FILTER_BITS = 1 << 23
+#: Shingles whose repeats a worker counts together, shingles that it deals out together, and bytes of one range of them; none changes a result.
+COUNTED, DEALT, RANGE_BYTES = 1 << 21, 1 << 19, 4 << 20
 META = "doc_id long, n long, cid long, proof long, sketch array<long>, heavy binary"
 
 
@@ -109,39 +111,65 @@ def sketch(own: np.ndarray) -> list[int]:
     return np.packbits(parity.astype(np.uint8)).view(np.int64).tolist()
 
 
+def repeated(sets: list[np.ndarray]) -> bytes:
+    """The shingles that several of the sets hold, and how many do. Empties the list, so that shingles are held once."""
+    flat = np.concatenate(sets)
+    sets.clear()
+    flat.sort()
+    same = np.zeros(len(flat) + 1, bool)  # as the one before
+    np.equal(flat[1:], flat[:-1], out=same[1:-1])
+    first, last = np.flatnonzero(same[1:] & ~same[:-1]), np.flatnonzero(same[:-1] & ~same[1:])
+    return np.stack([flat[first], (last - first + 1).astype(np.uint64)], 1).tobytes()
+
+
 def describe(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Per document its set's size and digests; one row of each batch also lists shingles that are frequent in the batch."""
+    """Per document its set's size and digests; a row of every ``COUNTED`` shingles also lists those that are frequent among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, known, held, waiting = [], set(), 0, None
+
+        def made(ids, sizes, digests, proofs, sketches, heavy) -> pa.RecordBatch:
+            columns = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.int64()), pa.array(proofs, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(heavy, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "cid", "proof", "sketch", "heavy"])
+
         for batch in batches:
-            sizes, ids, proofs, sketches, sets = [], [], [], [], {}
+            if not batch.num_rows:
+                continue
+            if waiting:
+                yield made(*waiting)
+            sizes, digests, proofs, sketches, heavy = [], [], [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), rule.size)
                 cid, proof = identity(own)
                 sizes.append(len(own))
-                ids.append(cid)
+                digests.append(cid)
                 proofs.append(proof)
-                sketches.append(None if cid in sets else sketch(own))
-                sets[cid] = own
-            heavy = [None] * len(sizes)
-            if sizes:
-                seen, times = np.unique(np.concatenate(list(sets.values())), return_counts=True)
-                often = times >= 2
-                heavy[0] = np.stack([seen[often], times[often].astype(np.uint64)], 1).tobytes()
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(proofs, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(heavy, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "cid", "proof", "sketch", "heavy"])
+                sketches.append(None if cid in known else sketch(own))
+                heavy.append(None)
+                if cid not in known:
+                    known.add(cid)
+                    sets.append(own)
+                    held += len(own)
+                if held >= COUNTED:
+                    heavy[-1], held = repeated(sets), 0
+                    known.clear()
+            waiting = batch.column("doc_id"), sizes, digests, proofs, sketches, heavy
+        if waiting:
+            if sets:
+                waiting[-1][-1] = repeated(sets)
+            yield made(*waiting)
 
     return docs.mapInArrow(run, META)
 
 
 def common_shingles(meta: DataFrame, rule: Rule) -> np.ndarray:
-    """The most frequent shingles, from the rarest to the most frequent, by the batches' counts over all documents."""
+    """The most frequent shingles, from the rarest to the most frequent, by the workers' counts over all documents."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = [b for b in batch.column("heavy").to_pylist() if b]
-            rows = np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0].view(np.int64) if len(rows) else [], pa.int64()), pa.array(rows[:, 1].astype(np.int64), pa.int64())], ["shingle", "times"])
+            for blob in batch.column("heavy"):
+                rows = np.frombuffer(blob.as_buffer(), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, 0])), pa.array(np.ascontiguousarray(rows[:, 1]))], ["shingle", "times"])
 
     counts = meta.where("heavy IS NOT NULL").select("heavy").mapInArrow(unpack, "shingle long, times long")
     often = counts.groupBy("shingle").agg(F.sum("times").alias("times")).where(F.col("times") >= rule.common_from)
@@ -161,8 +189,19 @@ def neighbourhoods(docs: DataFrame, rule: Rule, common: np.ndarray, buckets: int
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.argsort(shared.value, kind="stable")
         known, sent = shared.value[rank], set()
+        tokens, owners, held = [], [], 0
+
+        def dealt() -> pa.RecordBatch:
+            rows = np.stack([np.concatenate(tokens), np.concatenate(owners).view(np.uint64)], 1)
+            tokens.clear()
+            owners.clear()
+            bucket = (rows[:, 0] % np.uint64(buckets)).astype(np.int64)
+            rows = rows[np.argsort(bucket, kind="stable")]
+            ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+            blobs = [(b, rows[e - c : e].tobytes()) for b, (e, c) in enumerate(zip(ends, np.diff(ends, prepend=0), strict=True)) if c]
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], ["bucket", "rows"])
+
         for batch in batches:
-            tokens, owners = [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), rule.size)
                 cid = identity(own)[0]
@@ -177,14 +216,12 @@ def neighbourhoods(docs: DataFrame, rule: Rule, common: np.ndarray, buckets: int
                 first = own[np.argpartition(order, k - 1)[:k]] if k < len(own) else own
                 tokens.append(first)
                 owners.append(np.full(len(first), cid, np.int64))
-            if not tokens:
-                continue
-            rows = np.stack([np.concatenate(tokens), np.concatenate(owners).view(np.uint64)], 1)
-            bucket = (rows[:, 0] % np.uint64(buckets)).astype(np.int64)
-            rows = rows[np.argsort(bucket, kind="stable")]
-            ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-            blobs = [(b, rows[e - c : e].tobytes()) for b, (e, c) in enumerate(zip(ends, np.diff(ends, prepend=0), strict=True)) if c]
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], ["bucket", "rows"])
+                held += len(first)
+                if held >= DEALT:
+                    yield dealt()
+                    held = 0
+        if tokens:
+            yield dealt()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: list[bytes] = []
@@ -210,7 +247,8 @@ def neighbourhoods(docs: DataFrame, rule: Rule, common: np.ndarray, buckets: int
             yield pa.RecordBatch.from_arrays([pa.array(own[:, 0]), pa.array(own[:, 1])], ["place", "cid"])
 
     packed = docs.select("text").mapInArrow(send, "bucket int, rows binary")
-    return packed.repartition(buckets, "bucket").mapInArrow(meet, "place long, cid long").distinct()
+    # By number, not by its hash, which would put several ranges into one task.
+    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(meet, "place long, cid long").distinct()
 
 
 def folded(longer, other):
@@ -261,13 +299,13 @@ def measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, other = None, None
         for batch in batches:
-            a, b, ta, tb = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
+            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             out = []
-            for x, y, left, right in zip(a, b, ta, tb, strict=True):
+            for x, y, left, right in zip(a, b, batch.column("text_a"), batch.column("text_b"), strict=True):
                 if last != y:
-                    own = shingles(right, rule.size)
+                    own = shingles(right.as_py(), rule.size)
                     last, other = (y, own) if identity(own)[0] == y else (None, None)
-                mine = shingles(left, rule.size)
+                mine = shingles(left.as_py(), rule.size)
                 # With repeated ids a text may be that of another point of the same id.
                 if last is None or identity(mine)[0] != x:
                     continue
@@ -441,6 +479,11 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     component is named by its smallest id that is not NULL, if there is one; a repeated id is one
     name for several rows. An empty table gives no rows; other columns are ignored.
     """
+    with small_batches(df.sparkSession):  # all Python steps are run in here; what is returned reads their results
+        return grouped_documents(df, rule, id_col, text_col)
+
+
+def grouped_documents(df: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
     spark = df.sparkSession
     docs = df.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
     meta = settle(describe(docs, rule), "sets")
@@ -451,7 +494,7 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
         raise RuntimeError(f"{torn} digests stand for several sets; use another seed")
     if not total:
         return meta.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    buckets = max(shuffle_width(spark), math.ceil(total * rule.radius * 16 / (32 << 20)))
+    buckets = max(shuffle_width(spark), math.ceil(total * rule.radius * 16 / RANGE_BYTES))
     near = settle(neighbourhoods(docs, rule, common_shingles(meta, rule), buckets), "neighbourhoods")
     found = settle(links(near, docs, classes, rule), "links")
     named = classes.select("cid", "name")

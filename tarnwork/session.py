@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +51,30 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def limit_batches(spark: SparkSession, rows: int = 1000) -> str:
+    """From now on Python workers get at most ``rows`` rows at a time; gives the setting from before.
+
+    For steps that send whole texts: Spark's 10,000 rows would be held as a whole, by the executor and by its worker.
+    """
+    before = spark.conf.get(BATCH_ROWS)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+    return before
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """``limit_batches`` for what is run inside."""
+    before = limit_batches(spark, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def scratch_database(spark: SparkSession) -> str:
     """A new database whose managed tables lie in the scratch folder."""
     name = f"tarnwork_{uuid.uuid4().hex}"

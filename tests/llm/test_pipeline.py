@@ -106,3 +106,16 @@ def test_repeated_and_missing_ids_and_more_columns(spark, tmp_path):
     mixed = pipeline.mix_sources(spark, docs, str(tmp_path))
     assert mixed.columns == docs.columns and 0 < mixed.count() <= 6
     assert mixed.where(F.length("text") == 0).count() == 0 and TOKEN.findall("a b") == ["a", "b"]
+
+
+def test_stages_send_few_whole_texts_at_a_time(spark, sf_dir):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(5)
+    try:
+        for stage in (pipeline.identify_language, pipeline.drop_leaks):
+            spark.conf.set(key, "10000")
+            stage(spark, docs, sf_dir)
+            assert spark.conf.get(key) == "1000"
+    finally:
+        spark.conf.set(key, before)
