@@ -157,7 +157,9 @@ def grams(words: str) -> Column:
 def featured(df: DataFrame) -> DataFrame:
     """Rows with a ``text`` get ``words`` and ``features``."""
     hashing = HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features")
-    return hashing.transform(df.withColumn("words", tokens(F.col("text"))).withColumn("grams", grams("words"))).drop("grams")
+    # A list of one, exploded: a later filter on a prediction would else cut the text into words anew for each use of ``words``.
+    cut = df.select("*", F.explode(F.array(tokens(F.col("text")))).alias("words"))
+    return hashing.transform(cut.withColumn("grams", grams("words"))).drop("grams")
 
 
 def paragraphs(df: DataFrame, id_col: str, text_col: str, longest: int = 800) -> DataFrame:

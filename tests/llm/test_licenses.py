@@ -1,6 +1,7 @@
 import textwrap
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 
 from tarnwork.llm import licenses as lic
 
@@ -133,3 +134,10 @@ def test_all_documents(spark, sf_dir):
     found = {(r.doc_id, r.paragraph): r.family for r in lic.op4_license_scan(spark, sf_dir).collect()}
     assert lines and {k: found.get(k) for k in lines} == lines
     assert len(found) <= len(lines) + 2
+
+
+def test_a_filter_on_features_cuts_the_words_once(frame):
+    scored = lic.featured(frame([("Licensed under the MIT License.",)], "text string")).where(vector_to_array("features")[0] >= 0)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert [r.words for r in scored.collect()] == [["licensed", "under", "the", "mit", "license"]]
