@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain, compress, count, islice, repeat
+from itertools import chain, compress, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from tarnwork.session import scratch_dir
 KEPT_WORDS, TAKEN_BYTES = 1_000_000, 4_000_000
 #: Marks of ASCII but the apostrophe, which begins words such as 's.
 MARKS = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
+LETTERS = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
 #: Saturation and length normalisation of BM25.
 K1, B = 1.5, 0.75
 LEADS = ("lead_1", "lead_2", "lead_3")
@@ -28,11 +30,24 @@ LEADS = ("lead_1", "lead_2", "lead_3")
 OWN_FIRST = 1 << 62
 
 
+def places(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``first``, one run after the other."""
+    upto = np.cumsum(lengths)
+    return np.repeat(first - upto + lengths, lengths) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def laid_out(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each string begins (and the last ends) in the bytes of all."""
+    _, at, letters = strings.buffers()
+    at = np.frombuffer(at, np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    return at, np.frombuffer(letters, np.uint8) if letters else np.zeros(0, np.uint8)
+
+
 class WordTokens:
     """Ids of texts by a tokenizer that lower-cases, drops white space and never joins what white space parts.
 
-    Each distinct run between ASCII white space is encoded once and kept. Closing marks are cut
-    off a run that ends in a letter, where such a tokenizer always cuts. Texts with a special token's name are encoded whole.
+    Distinct runs between ASCII white space are found by Arrow's dictionaries. Closing marks are cut off a run that ends in a
+    letter, where such a tokenizer always cuts; each distinct part is encoded once and kept. Texts with a special token's name are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,28 +62,27 @@ class WordTokens:
         self.begin()
 
     def begin(self) -> None:
-        self.number: defaultdict[bytes, int] = defaultdict(count().__next__)  # words are numbered as they are first asked for
-        self.first, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        self.seen = np.zeros(0, np.int64)
+        self.number: defaultdict[bytes, int] = defaultdict(count().__next__)  # names are numbered as they are first asked for
+        self.first, self.length, self.seen = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(1, np.uint32)  # the first is the id of a text's end
 
     def forget(self) -> None:
-        """Drops the words met once or twice; all of them, if that leaves too many."""
+        """Drops the names met once or twice; all of them, if that leaves too many."""
         kept = np.flatnonzero(self.seen > 2)
         if len(kept) > KEPT_WORDS // 2:
             return self.begin()
-        words = list(self.number)
-        self.number = defaultdict(count(len(kept)).__next__, zip([words[i] for i in kept], range(len(kept)), strict=True))
+        names = list(self.number)
+        self.number = defaultdict(count(len(kept)).__next__, zip([names[i] for i in kept], range(len(kept)), strict=True))
         lengths = self.length[kept]
-        upto = np.cumsum(lengths)
-        self.ids = self.ids[np.repeat(self.first[kept] - upto + lengths, lengths) + np.arange(lengths.sum())]
-        self.first, self.length, self.seen = upto - lengths, lengths, self.seen[kept] // 2
+        self.ids = np.concatenate([self.ids[:1], self.ids[places(self.first[kept], lengths)]])
+        self.first, self.length, self.seen = 1 + np.cumsum(lengths) - lengths, lengths, self.seen[kept] // 2
 
     def encoded(self, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of names without white space one after the other, and how many each has."""
         texts = b"\n".join(names).decode().split("\n")
         plain = np.fromiter(map(str.isalpha, texts), bool, len(texts))
         runs = list(compress(texts, plain))
-        found = self.tokenizer.encode_batch_fast([" ".join(runs[i : i + 100]) for i in range(0, len(runs), 100)], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([" ".join(runs[i : i + 1000]) for i in range(0, len(runs), 1000)], add_special_tokens=False)
         flat = np.fromiter(chain.from_iterable([x.ids for x in found]), np.uint32)
         last = np.flatnonzero(self.ends_word[flat])
         if len(last) != len(runs):  # some run of letters is more than one word
@@ -83,60 +97,58 @@ class WordTokens:
         ids[~from_runs] = np.fromiter(chain.from_iterable(others), np.uint32)
         return ids, lengths
 
-    def learn(self, words: list[bytes], end_id: int) -> None:
-        """Ids of words not met so far, in the order of their numbers; a line's end stands for ``end_id``."""
-        ends = words[0] == b"\n"  # the first word that is learned
-        words = words[ends:]
-        cores = list(map(bytes.rstrip, words, repeat(MARKS)))
-        cut = [i for i in np.flatnonzero(np.fromiter(map(len, cores), np.int64, len(cores)) < np.fromiter(map(len, words), np.int64, len(words))) if cores[i][-1:].isalpha()]  # ASCII letters only
-        whole = words.copy()
-        for i in cut:
-            whole[i] = cores[i]
-        tails = [words[i][len(whole[i]) :] for i in cut]
-        names = {n: i for i, n in enumerate(dict.fromkeys([*whole, *tails]))}
-        ids, lengths = self.encoded(list(names)) if names else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        starts = np.cumsum(lengths) - lengths
-        # Each word is a name, or two of them, one behind the other.
-        parts = np.fromiter(map(names.__getitem__, whole), np.int64, len(whole))
-        behind = np.array(cut, np.int64)
-        parts = np.insert(parts, behind + 1, [names[t] for t in tails]) if cut else parts
-        sizes = lengths[parts]
-        upto = np.cumsum(sizes)
-        ids = ids[np.repeat(starts[parts] - upto + sizes, sizes) + np.arange(sizes.sum())]
-        first_part = np.arange(len(words))
-        first_part[1:] += np.cumsum(np.bincount(behind, minlength=len(words)))[:-1] if len(words) else 0
-        lengths = np.add.reduceat(sizes, first_part) if len(words) else sizes
-        if ends:
-            ids, lengths = np.concatenate([np.array([end_id], np.uint32), ids]), np.concatenate([[1], lengths])
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
-        self.ids = np.concatenate([self.ids, ids])
+    def numbers(self, names: list[bytes]) -> np.ndarray:
+        """The numbers of names; those not met so far are learned."""
+        known = len(self.number)
+        found = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        if len(self.number) > known:
+            ids, lengths = self.encoded(list(islice(self.number, known, None)))
+            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(lengths) - lengths])
+            self.length, self.seen = np.concatenate([self.length, lengths]), np.concatenate([self.seen, np.zeros(len(lengths), np.int64)])
+            self.ids = np.concatenate([self.ids, ids])
+        return found
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, each text's with ``end_id`` behind, and where each text begins."""
         if len(self.number) > KEPT_WORDS:
             self.forget()
-        words: list[bytes] = [b"\n"]
-        ends, whole = [], []
-        for i, text in enumerate(texts):
-            lower = text.lower()
-            if b"<|" in lower and any(s in lower for s in self.special):
-                whole.append(i)
-            else:
-                words += lower.split()
-            words.append(b"\n")
-            ends.append(len(words))
-        known = len(self.number)
-        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        if len(self.number) > known:
-            self.learn(list(islice(self.number, known, None)), end_id)
-            self.seen = np.concatenate([self.seen, np.zeros(len(self.number) - known, np.int64)])
-        self.seen += np.bincount(number, minlength=len(self.seen))
-        lengths = self.length[number]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.ids[np.repeat(self.first[number] - upto[:-1], lengths) + np.arange(upto[-1])]
-        starts = np.concatenate([[1], upto[ends]]) - 1  # the first line's end only makes it known
-        ids = ids[1:]
+        self.ids[0] = end_id
+        whole = [i for i, t in enumerate(texts) if b"<|" in t and any(s in t.lower() for s in self.special)]
+        rest = texts.copy()
+        for i in whole:
+            rest[i] = b""
+        strings = pa.Array.from_buffers(pa.string(), len(rest), pa.array(rest, pa.binary()).buffers())
+        split = pc.ascii_split_whitespace(pc.ascii_lower(strings))
+        found = split.flatten().dictionary_encode()  # only the distinct words are asked for one by one
+        words, word = found.dictionary, found.indices.to_numpy()
+        # A word is a name, or two of them: one ending in an ASCII letter, and the marks behind it.
+        cores = pc.ascii_rtrim(words, MARKS.decode())
+        (word_at, letters), (core_at, core_letters) = laid_out(words), laid_out(cores)
+        sizes, core_sizes = np.diff(word_at), np.diff(core_at)
+        cut = np.flatnonzero((0 < core_sizes) & (core_sizes < sizes))
+        cut = cut[np.isin(core_letters[core_at[cut + 1] - 1], LETTERS)]
+        is_cut = np.zeros(len(words), bool)
+        is_cut[cut] = True
+        tail_sizes = sizes[cut] - core_sizes[cut]
+        tail_at = np.concatenate([[0], np.cumsum(tail_sizes)]).astype(np.int32)
+        tails = pa.Array.from_buffers(pa.string(), len(cut), [None, pa.py_buffer(tail_at), pa.py_buffer(letters[places(word_at[cut] + core_sizes[cut], tail_sizes)])])
+        named = pa.concat_arrays([pc.if_else(pa.array(is_cut), cores, words), tails]).dictionary_encode()
+        names = pa.Array.from_buffers(pa.binary(), len(named.dictionary), named.dictionary.buffers(), offset=named.dictionary.offset)
+        number = self.numbers(names.to_numpy(zero_copy_only=False).tolist())[named.indices.to_numpy()]
+        front, behind = number[: len(words)], number[len(words) :]
+        times = np.bincount(word, minlength=len(words))
+        self.seen += np.bincount(number, np.concatenate([times, times[cut]]), len(self.seen)).astype(np.int64)
+        # The ids of words of two names are put together behind the others; one more word is a text's end.
+        both = np.stack([front[cut], behind], 1).ravel()
+        first, length = np.append(self.first[front], 0), np.append(self.length[front], 1)
+        length[cut] += self.length[behind]
+        first[cut] = len(self.ids) + np.cumsum(length[cut]) - length[cut]
+        ids = np.concatenate([self.ids, self.ids[places(self.first[both], self.length[both])]])
+        ends = split.offsets.to_numpy()
+        word = np.insert(word, ends[1:], len(words))
+        lengths = length[word]
+        starts = np.concatenate([[0], np.cumsum(lengths)])[ends + np.arange(len(ends))]
+        ids = ids[places(first[word], lengths)]
         for i in reversed(whole):
             own = np.array(self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids, np.uint32)
             ids = np.insert(ids, starts[i], own)

@@ -51,6 +51,17 @@ def test_rare_words_are_forgotten_first(monkeypatch):
     assert b"often" in own.number and len(own.number) < 60
 
 
+def test_marks_make_no_new_words_and_copies_are_asked_for_once(monkeypatch):
+    own, asked = WordTokens(PATH), []
+    numbers = own.numbers
+    monkeypatch.setattr(own, "numbers", lambda names: asked.extend(names) or numbers(names))
+    text = "House, house. THE house,\n" * 50 + "'s x2. house"
+    ids, starts = own.encode([text.encode(), b"", text.encode()], 1)
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:], strict=False)] == [ids_of(own, t) for t in (text, "", text)]
+    assert len(asked) == len(set(asked)) and set(asked) - {b""} == {b"house", b"the", b"'s", b"x2.", b",", b"."}
+    assert set(own.number) == set(asked)
+
+
 def checked(tokens, rows, df, window):
     """Every id of every row lies in one piece, sequences are gapless, at most ``window`` long, and full or a power of two."""
     pieces = df.collect()
