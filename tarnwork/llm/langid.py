@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.llm.common import col, table
 from tarnwork.llm.registry import query
-from tarnwork.session import settle
+from tarnwork.session import limit_batches, settle
 
 DIMENSIONS = 8192
 UNDETERMINED = "und"
@@ -172,8 +172,10 @@ def held_out(doc_id: Column) -> Column:
 def identify_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``id, held_out, lang_pred, score, ambiguous`` per row, learned from the rows that are not held out.
 
-    Empty tables give no rows, repeated rows equal answers; other columns are ignored.
+    Empty tables give no rows, repeated rows equal answers; other columns are ignored. Leaves the session with
+    small batches for Python workers, as the rows are computed later.
     """
+    limit_batches(df.sparkSession)
     learn = df.where(~held_out(col(id_col)))
     identify = identifier(df.sparkSession, train(learn, text_col, lang_col))
     rows = df.select(col(id_col).alias(id_col), held_out(col(id_col)).alias("held_out"), identify(col(text_col)).alias("found"))

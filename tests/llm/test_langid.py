@@ -119,3 +119,15 @@ def test_decoding_against_plain_loops():
         for c in range(5):
             loss = sum(float(trust[c, j]) * np.log1p(np.exp(-float(codes[c, j]) * (x @ model.weights[:, j] + model.bias[j]))) for j in range(width))
             assert losses[c] == pytest.approx(loss, rel=1e-3)
+
+
+def test_few_whole_texts_are_sent_at_a_time(spark, frame):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for rows, wanted in (("10000", "1000"), ("500", "500")):
+            spark.conf.set(key, rows)
+            langid.identify_documents(frame(labelled(30), "doc_id long, text string, lang string"))
+            assert spark.conf.get(key) == wanted
+    finally:
+        spark.conf.set(key, before)
